@@ -17,7 +17,7 @@ def ratio_half_up(num: Column, den: Column, scale: int = 2) -> Column:
     """
     m = 10**scale
     n = num.cast("decimal(38,0)")
-    q = (F.abs(n) * (2 * m) + den).div(den * 2)
+    q = F.call_function("div", F.abs(n) * (2 * m) + den, den * 2)
     signed = F.when(n < 0, -q).otherwise(q)
     unit = F.lit(Decimal(1).scaleb(-scale))
     return F.when(den > 0, (signed.cast("decimal(38,0)") * unit).cast(f"decimal(38,{scale})"))

@@ -123,6 +123,41 @@ def q(body: str, extra_ctes: str = "") -> str:
     return _PRELUDE + (",\n" + extra_ctes if extra_ctes else "") + "\n" + body
 
 
+def _ratio_half_up(num: str, den: str) -> str:
+    """Twin of strata.functions.numeric.ratio_half_up with scale 2."""
+    return (
+        f"case when {den} > 0 then cast(cast(sign({num}) * ((abs({num}) * 200 + {den}) // (2 * {den})) "
+        f"as decimal(38,0)) * 0.01 as decimal(38,2)) end"
+    )
+
+
+def _month(c: str) -> str:
+    return f"strftime(date_trunc('month', {c}), '%Y-%b')"
+
+
+def _tasks_ctes(prefix: str, where: str = "") -> str:
+    """Runs of (user, block of 1000 event ids) and the latest start per (task_key, run)."""
+    return f"""{prefix}_ev as (select event_id, user_id, event_type, epoch_us(ts) // 1000 as ms,
+                                 event_id // 1000 as block from events {where}),
+    {prefix}_runs as (select user_id, block, min(event_id) as run_id, min(ms) as start_ms, max(ms) as end_ms
+                      from {prefix}_ev group by user_id, block),
+    {prefix}_tasks as (
+      select task_key, job_run_id, make_timestamp(start_ms * 1000) as start_time,
+             make_timestamp(end_ms * 1000) as end_time, status
+      from (select e.event_type as task_key, r.run_id as job_run_id, e.ms as start_ms, e.ms + 1000 as end_ms,
+                   case when e.event_type = 'error' then 'FAILED' else 'SUCCESS' end as status
+            from {prefix}_ev e join {prefix}_runs r on e.user_id = r.user_id and e.block = r.block)
+      qualify row_number() over (partition by task_key, job_run_id order by start_ms desc) = 1)"""
+
+
+def _upsert_all(t: str, s: str, keys: list[str], cols: list[str]) -> str:
+    on = " and ".join(f"t.{k} = s.{k}" for k in keys)
+    present = f"s.{keys[0]} is not null"
+    out = [f"coalesce(t.{k}, s.{k}) as {k}" for k in keys]
+    out += [f"case when {present} then s.{c} else t.{c} end as {c}" for c in cols]
+    return f"select {', '.join(out)} from {t} t full join {s} s on {on}"
+
+
 ORACLES: dict[str, str] = {
     "mart_city_sales": q(
         f"""select a.city, count(distinct o.id) as TotalOrders,
@@ -134,4 +169,156 @@ ORACLES: dict[str, str] = {
         where o.deliveredOn is not null
         group by a.city"""
     ),
+    "join_inner": q(
+        f"""select o.id as orderId, o.customerId, a.city, a.state, a.country
+        from fct_orders o join dim_addresses a on o.addressId = a.id where a.exp_date = {OPEN}"""
+    ),
+    "mart_geo_orders": q(
+        """select a.country, a.state, count(distinct o.id) as OrdersCount
+        from fct_orders o join dim_addresses a on o.addressId = a.id group by a.country, a.state"""
+    ),
+    "mart_product_performance": q(
+        f"""select i.Codes, i.Descriptions, cast(sum(d.totalQuantity) as decimal(38,2)) as TotalUnitsSold,
+               cast(sum(d.totalQuantity * i.price) as decimal(38,4)) as TotalRevenue
+        from fct_orderdetails d join dim_items i on d.itemId = i.id and {_asof('i')}
+        group by i.Codes, i.Descriptions"""
+    ),
+    "mart_city_delivery": q(
+        f"""select a.city, count(1) as OrdersCount,
+               {_ratio_half_up("sum(date_diff('day', o.deliveryDate, o.deliveredOn)) * 24",
+                               "count(date_diff('day', o.deliveryDate, o.deliveredOn))")} as AvgHoursDelivery
+        from dim_addresses a join fct_orders o on a.id = o.addressId
+        where {_asof('a')} group by a.city"""
+    ),
+    "mart_vip_cities": q(
+        f"""select k.city, count(1) as NumberOfVIPCustomers
+        from (select distinct a.city, c.id from dim_customers c
+              join fct_orders o on o.customerId = c.id
+              join dim_addresses a on a.id = o.addressId and {_asof('a')}
+              where c.status = 'VIP' and {_asof('c')}) k
+        group by k.city order by count(1) desc, k.city limit 5"""
+    ),
+    "mart_orders_monthly": q(
+        f"""select {_month('deliveryDate')} as ReportingPeriod, count(1) as Orders_Number
+        from fct_orders o where o.deliveryDate between {RANGE} group by date_trunc('month', deliveryDate)"""
+    ),
+    "mart_new_customers": q(
+        f"""select {_month('c.createdOn')} as ReportingPeriod, type, status, count(1) as NewCustomerNumber
+        from dim_customers c where c.createdOn between {RANGE} and {_asof('c')}
+        group by date_trunc('month', c.createdOn), type, status"""
+    ),
+    "mart_orders_daily": q(
+        f"""select strftime(deliveryDate, '%Y-%m-%d') as ReportingPeriod, count(1) as Orders_Number
+        from fct_orders o where o.deliveryDate between {RANGE} group by deliveryDate"""
+    ),
+    "period_filter": q(
+        "select * from fct_orders where deliveryDate between date '1997-01-01' and date '1998-12-31'"
+    ),
+    "orderdetails_rollup": q("select * from fct_orderdetails"),
+    "surrogate_key": q(
+        "select concat_ws('_', cast(itemId as varchar), cast(orderId as varchar)) as id, orderId, itemId, quantity "
+        "from raw_orderdetails"
+    ),
+    "clean_strings": q("select * from addresses_clean"),
+    "valid_flag": q("select id, validFlag from addresses_clean"),
+    "mart_valid_addresses": q(
+        f"""select case when a.validFlag = 1 then 'Valid' else 'Invalid' end as validFlag, count(1) as count
+        from dim_addresses a where {_asof('a')} group by 1"""
+    ),
+    "row_hash": q(
+        f"select id, {_hash(*CUST, marker=False)} as hash_plain, {_hash(*CUST)} as hash from customers"
+    ),
+    "dedupe_key": q(
+        "select * from customers_dup qualify row_number() over (partition by id order by load_no desc) = 1"
+    ),
+    "dedupe_latest": q(
+        "select * from events qualify row_number() over "
+        "(partition by event_type, user_id order by ts desc, event_id desc) = 1"
+    ),
+    "upsert_all": q(_upsert_all("customers_s1", "customers_s2", ["id"], CUST)),
+    "upsert_composite": q(
+        _upsert_all("old_tasks", "new_tasks", ["job_run_id", "task_key"], ["start_time", "end_time", "status"]),
+        _tasks_ctes("old", "where ts < timestamp '2024-01-16'") + ",\n" + _tasks_ctes("new"),
+    ),
+    "upsert_if_changed": q(
+        "select coalesce(t.id, s.id) as id, "
+        + ", ".join(
+            f"case when t.id is null or (s.id is not null and s.hash <> t.hash) then s.{c} else t.{c} end as {c}"
+            for c in [*CUST, "hash"]
+        )
+        + " from customers_seed t full join customers_src s on t.id = s.id"
+    ),
+    "upsert_column": q(
+        """select case when t.id is not null then t.id else s.id end as id,
+               case when t.id is not null then t.orderId else s.orderId end as orderId,
+               case when t.id is not null then t.itemId else s.itemId end as itemId,
+               case when t.id is null then s.totalQuantity
+                    when s.id is not null and t.totalQuantity is distinct from s.totalQuantity then s.totalQuantity
+                    else t.totalQuantity end as totalQuantity
+        from old_fct t full join fct_orderdetails s
+          on t.orderId is not distinct from s.orderId and t.itemId is not distinct from s.itemId""",
+        """old_fct as (
+          select concat_ws('_', cast(itemId as varchar), cast(orderId as varchar)) as id, orderId, itemId,
+                 cast(sum(quantity) as decimal(18,2)) as totalQuantity
+          from (select l_orderkey as orderId, l_partkey as itemId, cast(l_quantity as decimal(18,2)) as quantity
+                from lineitem where l_shipdate < timestamp '1998-01-01')
+          group by orderId, itemId)""",
+    ),
+    "mart_merge_period": q(
+        """select coalesce(e.ReportingPeriod, l.ReportingPeriod) as ReportingPeriod,
+               case when l.ReportingPeriod is not null then l.Orders_Number else e.Orders_Number end as Orders_Number
+        from earlier e full join later l on e.ReportingPeriod = l.ReportingPeriod""",
+        f"""earlier as (select {_month('deliveryDate')} as ReportingPeriod, count(1) as Orders_Number from fct_orders
+                        where deliveryDate between date '1995-01-01' and date '1999-06-15' group by 1),
+        later as (select {_month('deliveryDate')} as ReportingPeriod, count(1) as Orders_Number from fct_orders
+                  where deliveryDate between date '1999-06-01' and date '2001-12-31' group by 1)""",
+    ),
+    "scd2_seed": q("select * from customers_seed"),
+    "scd2_apply": q("select * from dim_customers"),
+    "scd2_current": q(f"select * from dim_customers where exp_date = {OPEN}"),
+    "asof_dim": q(f"select * from dim_customers c where {_asof('c')}"),
+    "asof_inclusive": q(f"select * from dim_customers c where {_asof('c', inclusive=True)}"),
+    "asof_join": q(
+        f"""select o.id as orderId, o.customerId, c.type, c.status, o.deliveryDate, c.beg_date
+        from fct_orders o join dim_customers c on o.customerId = c.id and {_asof('c')}"""
+    ),
+    "bootstrap_ignore": q("select * from customers_s1"),
+    "ingest_overwrite": q("select * from customers_s2"),
+    "reconcile_counts": q(
+        """select source_rows, target_rows, source_keys, target_keys,
+               source_rows = target_rows as rows_match, source_keys = target_keys as keys_match
+        from (select count(*) as source_rows, count(distinct id) as source_keys from customers_dup) s,
+             (select count(*) as target_rows, count(distinct id) as target_keys from
+                (select * from customers_dup qualify row_number() over (partition by id order by load_no desc) = 1)) t"""
+    ),
+    "reporting_periods": """with cal as (select distinct cast(o_orderdate as date) as d from orders)
+        select 'daily' as frequency, d as report_date, d - 1 as beg_date, d - 1 as exp_date from cal
+        union all select 'weekly', d, d - 7, d - 1 from cal where isodow(d) = 1
+        union all select 'monthly', d, cast(d - interval 1 month as date), d - 1 from cal where day(d) = 1
+        union all select 'yearly', d, make_date(year(d) - 1, 1, 1), make_date(year(d) - 1, 12, 31) from cal
+                  where month(d) = 1 and day(d) = 1""",
+    "period_rollup": q(
+        """select 'daily' as frequency, deliveryDate as beg_date, deliveryDate as exp_date, count(*) as Orders_Number
+             from fct_orders where deliveryDate is not null group by deliveryDate
+        union all
+        select 'weekly', cast(date_trunc('week', deliveryDate) as date), cast(date_trunc('week', deliveryDate) as date) + 6,
+               count(*) from fct_orders where deliveryDate is not null group by date_trunc('week', deliveryDate)
+        union all
+        select 'monthly', cast(date_trunc('month', deliveryDate) as date), max(last_day(deliveryDate)), count(*)
+             from fct_orders where deliveryDate is not null group by date_trunc('month', deliveryDate)
+        union all
+        select 'yearly', cast(date_trunc('year', deliveryDate) as date), make_date(year(deliveryDate), 12, 31), count(*)
+             from fct_orders where deliveryDate is not null group by date_trunc('year', deliveryDate), year(deliveryDate)"""
+    ),
+    "runlog_jobs": q(
+        """select r.run_id as job_run_id, r.user_id % 3 as job_id,
+               case r.user_id % 3 when 0 then 'ingestion' when 1 then 'processing' else 'monitoring' end as job_name,
+               cast(make_timestamp(r.start_ms * 1000) as date) as date,
+               make_timestamp(r.start_ms * 1000) as start_time, make_timestamp(r.end_ms * 1000) as end_time,
+               cast(r.end_ms - r.start_ms as double) / 1000.0 as duration,
+               case when r.user_id % 7 = 0 then 'SUCCESS' when r.user_id % 5 = 0 then 'FAILED' else 'SUCCESS' end as status
+        from all_runs r""",
+        _tasks_ctes("all"),
+    ),
+    "runlog_tasks": q("select * from all_tasks", _tasks_ctes("all")),
 }

@@ -1,26 +1,306 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
 Each reads the driver's tables (or what Spark derives from them) whole; the
-fixed dates live in ``strata.plans.warehouse``.
+fixed dates live in ``strata.plans.warehouse``. Keys that exercise a sink
+write to fresh locations under the session's checkpoint folder and return
+the table read back.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.plans import marts
-from strata.plans.warehouse import REPORT_DATE, Warehouse
+from strata.functions.cleaning import clean_strings, string_columns, valid_flag
+from strata.functions.dates import within
+from strata.functions.fingerprint import with_row_hash
+from strata.functions.keys import surrogate_key
+from strata.operators.dedupe import dedupe_key, latest_per_key
+from strata.operators.merge import merge
+from strata.operators.reconcile import reconcile_counts
+from strata.operators.scd2 import as_of_join, scd2_as_of, scd2_current, scd2_seed
+from strata.plans import marts, periods, runlog
+from strata.plans.warehouse import RANGE_BEG, RANGE_END, REPORT_DATE, Warehouse
+from strata.session import fresh_table_path
+from strata.sources import sinks
+from strata.sources.fixtures import Store, rollup_orderdetails
+from strata.sources.runs import runs_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed values of the test scenarios.
+PERIOD_FILTER = (dt.date(1997, 1, 1), dt.date(1998, 12, 31))
+# The mart merged into: run up to the middle of June 1999, then the next run from June 1999.
+EARLIER_RUN = (dt.date(1995, 1, 1), dt.date(1999, 6, 15))
+LATER_RUN = (dt.date(1999, 6, 1), dt.date(2001, 12, 31))
+# Earlier loads: order lines shipped before 1998, events before 16 January 2024.
+EARLIER_SHIP_DAY = "1998-01-01"
+EARLIER_EVENTS = "2024-01-16"
+
+
+# --- step 1: flagship ---------------------------------------------------------------
+
 
 def mart_city_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Warehouse(spark, sf_dir)
     return marts.city_sales(w.fct_orders, w.dim_addresses, w.fct_orderdetails, w.dim_items, REPORT_DATE)
 
 
+# --- step 2: read side --------------------------------------------------------------
+
+
+def join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Warehouse(spark, sf_dir)
+    a = scd2_current(w.dim_addresses)
+    o = w.fct_orders
+    return o.join(a, o.addressId == a.id).select(
+        o.id.alias("orderId"), "customerId", "city", "state", "country"
+    )
+
+
+def mart_geo_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Warehouse(spark, sf_dir)
+    return marts.geo_orders(w.fct_orders, w.dim_addresses)
+
+
+def mart_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Warehouse(spark, sf_dir)
+    return marts.product_performance(w.fct_orderdetails, w.dim_items, REPORT_DATE)
+
+
+def mart_city_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Warehouse(spark, sf_dir)
+    return marts.city_delivery(w.dim_addresses, w.fct_orders, REPORT_DATE)
+
+
+def mart_vip_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Warehouse(spark, sf_dir)
+    return marts.vip_cities(w.dim_customers, w.fct_orders, w.dim_addresses, REPORT_DATE)
+
+
+def mart_orders_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.orders_monthly(Store(spark, sf_dir).fct_orders, RANGE_BEG, RANGE_END)
+
+
+def mart_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Warehouse(spark, sf_dir)
+    return marts.new_customers_monthly(w.dim_customers, RANGE_BEG, RANGE_END, REPORT_DATE)
+
+
+def mart_orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.orders_daily(Store(spark, sf_dir).fct_orders, RANGE_BEG, RANGE_END)
+
+
+def period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Store(spark, sf_dir).fct_orders.filter(within("deliveryDate", *PERIOD_FILTER))
+
+
+def orderdetails_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Store(spark, sf_dir).fct_orderdetails
+
+
+def surrogate_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = Store(spark, sf_dir).raw_orderdetails
+    return raw.select(surrogate_key("itemId", "orderId").alias("id"), "orderId", "itemId", "quantity")
+
+
+# --- step 3: cleaning -------------------------------------------------------------
+
+
+def clean_strings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_strings(Store(spark, sf_dir).addresses)
+
+
+def valid_flag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = Store(spark, sf_dir).addresses
+    return a.select("id", valid_flag(a, string_columns(a)).alias("validFlag"))
+
+
+def mart_valid_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.valid_addresses(Warehouse(spark, sf_dir).dim_addresses, REPORT_DATE)
+
+
+# --- step 4: fingerprint and dedup ---------------------------------------------------
+
+
+def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = Store(spark, sf_dir).customers
+    plain = with_row_hash(c, name="hash_plain", null_marker=None).select("id", "hash_plain")
+    marked = with_row_hash(c).select("id", "hash")
+    return plain.join(marked, "id")
+
+
+def dedupe_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe_key(Store(spark, sf_dir).customers_dup, "id", order_by=["load_no"])
+
+
+def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = Store(spark, sf_dir).raw("events")
+    return latest_per_key(events, ["event_type", "user_id"], ["ts", "event_id"])
+
+
+# --- step 5: merge ------------------------------------------------------------------
+
+
+def upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Store(spark, sf_dir)
+    return merge(s.customers_s1, dedupe_key(s.customers_s2, "id"), "id")
+
+
+def _tasks_log(events: DataFrame) -> DataFrame:
+    return runlog.latest_tasks(runlog.flatten_tasks(runs_from_events(events)))
+
+
+def upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = Store(spark, sf_dir).raw("events")
+    earlier = events.filter(F.col("ts") < F.lit(EARLIER_EVENTS).cast("timestamp_ntz"))
+    return merge(_tasks_log(earlier), _tasks_log(events), ["job_run_id", "task_key"])
+
+
+def upsert_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Store(spark, sf_dir)
+    return merge(with_row_hash(s.customers_s1), with_row_hash(s.customers_s2), "id", when_changed="hash")
+
+
+def upsert_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Store(spark, sf_dir)
+    target = rollup_orderdetails(s.raw_orderdetails_shipped_before(EARLIER_SHIP_DAY))
+    return merge(
+        target,
+        s.fct_orderdetails,
+        ["orderId", "itemId"],
+        when_changed="totalQuantity",
+        update_cols=["totalQuantity"],
+        null_safe=True,
+    )
+
+
+def mart_merge_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly orders mart: first run creates the table, second run merges by period."""
+    orders = Store(spark, sf_dir).fct_orders
+    path = fresh_table_path(spark, "dm_orders_monthly")
+    sinks.create_if_absent(marts.orders_monthly(orders, *EARLIER_RUN), path)
+    current = sinks.read_snapshot(spark, path)
+    merged = merge(current, marts.orders_monthly(orders, *LATER_RUN), "ReportingPeriod")
+    return sinks.read_snapshot(spark, sinks.write_snapshot(spark, merged, "dm_orders_monthly"))
+
+
+# --- step 6: history ----------------------------------------------------------------
+
+
+def scd2_seed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2_seed(Store(spark, sf_dir).customers_s1)
+
+
+def scd2_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Warehouse(spark, sf_dir).dim_customers
+
+
+def scd2_current_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2_current(Warehouse(spark, sf_dir).dim_customers)
+
+
+def asof_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2_as_of(Warehouse(spark, sf_dir).dim_customers, REPORT_DATE)
+
+
+def asof_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2_as_of(Warehouse(spark, sf_dir).dim_customers, REPORT_DATE, inclusive=True)
+
+
+def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Warehouse(spark, sf_dir)
+    j = as_of_join(w.fct_orders, w.dim_customers, "customerId", REPORT_DATE)
+    return j.select(
+        w.fct_orders.id.alias("orderId"), "customerId", "type", "status", "deliveryDate", "beg_date"
+    )
+
+
+# --- step 7: operations -------------------------------------------------------------
+
+
+def bootstrap_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Store(spark, sf_dir)
+    path = fresh_table_path(spark, "customers")
+    sinks.create_if_absent(s.customers_s1, path)
+    sinks.create_if_absent(s.customers_s2, path)  # table exists: nothing written
+    return sinks.read_snapshot(spark, path)
+
+
+def ingest_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = Store(spark, sf_dir)
+    path = fresh_table_path(spark, "customers")
+    sinks.overwrite(s.customers_s1, path)
+    sinks.overwrite(s.customers_s2, path)
+    return sinks.read_snapshot(spark, path)
+
+
+def reconcile_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = Store(spark, sf_dir).customers_dup
+    loaded = dedupe_key(source, "id", order_by=["load_no"])
+    return reconcile_counts(source, loaded, "id")
+
+
+def reporting_periods_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = Store(spark, sf_dir).raw("orders")
+    calendar = orders.select(F.col("o_orderdate").cast("date").alias("date")).distinct()
+    return periods.reporting_periods(calendar)
+
+
+def period_rollup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.period_rollup(Store(spark, sf_dir).fct_orders, "deliveryDate", measure="Orders_Number")
+
+
+# --- step 8: run log ----------------------------------------------------------------
+
+
+def runlog_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = runs_from_events(Store(spark, sf_dir).raw("events"))
+    return runlog.flatten_jobs(runs, runlog.job_names(spark))
+
+
+def runlog_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tasks_log(Store(spark, sf_dir).raw("events"))
+
+
 QUERIES: dict[str, Query] = {
     "mart_city_sales": mart_city_sales,
+    "join_inner": join_inner,
+    "mart_geo_orders": mart_geo_orders,
+    "mart_product_performance": mart_product_performance,
+    "mart_city_delivery": mart_city_delivery,
+    "mart_vip_cities": mart_vip_cities,
+    "mart_orders_monthly": mart_orders_monthly,
+    "mart_new_customers": mart_new_customers,
+    "mart_orders_daily": mart_orders_daily,
+    "period_filter": period_filter,
+    "orderdetails_rollup": orderdetails_rollup,
+    "surrogate_key": surrogate_key_q,
+    "clean_strings": clean_strings_q,
+    "valid_flag": valid_flag_q,
+    "mart_valid_addresses": mart_valid_addresses,
+    "row_hash": row_hash,
+    "dedupe_key": dedupe_key_q,
+    "dedupe_latest": dedupe_latest,
+    "upsert_all": upsert_all,
+    "upsert_composite": upsert_composite,
+    "upsert_if_changed": upsert_if_changed,
+    "upsert_column": upsert_column,
+    "mart_merge_period": mart_merge_period,
+    "scd2_seed": scd2_seed_q,
+    "scd2_apply": scd2_apply_q,
+    "scd2_current": scd2_current_q,
+    "asof_dim": asof_dim,
+    "asof_inclusive": asof_inclusive,
+    "asof_join": asof_join,
+    "bootstrap_ignore": bootstrap_ignore,
+    "ingest_overwrite": ingest_overwrite,
+    "reconcile_counts": reconcile_counts_q,
+    "reporting_periods": reporting_periods_q,
+    "period_rollup": period_rollup_q,
+    "runlog_jobs": runlog_jobs,
+    "runlog_tasks": runlog_tasks,
 }
