@@ -1,0 +1,17 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from strata.session import get_spark  # noqa: E402
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = get_spark(master="local[4]", app_name="strata-tests", shuffle_partitions=4)
+    yield s
+    s.stop()

@@ -1,0 +1,62 @@
+"""Keyed merge semantics."""
+
+import pytest
+from pyspark.errors import PySparkException
+
+from strata.operators.merge import merge
+
+S = "id long, v string, h string"
+
+
+def as_set(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_full_upsert_keeps_target_only_rows(spark):
+    t = spark.createDataFrame([(1, "a", "1"), (2, "b", "2")], S)
+    s = spark.createDataFrame([(2, "B", "9"), (3, "c", "3")], S)
+    assert as_set(merge(t, s, "id"), "id", "v", "h") == [(1, "a", "1"), (2, "B", "9"), (3, "c", "3")]
+
+
+def test_update_only_when_changed(spark):
+    t = spark.createDataFrame([(1, "a", "h1"), (2, "b", "h2")], S)
+    s = spark.createDataFrame([(1, "A", "h1"), (2, "B", "hX")], S)
+    out = merge(t, s, "id", when_changed="h")
+    assert as_set(out, "id", "v", "h") == [(1, "a", "h1"), (2, "B", "hX")]
+
+
+def test_column_scoped_update(spark):
+    t = spark.createDataFrame([(1, "a", "1")], S)
+    s = spark.createDataFrame([(1, "A", "2"), (5, "e", "5")], S)
+    out = merge(t, s, "id", update_cols=["h"], when_changed="h")
+    assert as_set(out, "id", "v", "h") == [(1, "a", "2"), (5, "e", "5")]
+
+
+def test_duplicate_source_keys_raise(spark):
+    t = spark.createDataFrame([(1, "a", "1")], S)
+    s = spark.createDataFrame([(1, "x", "1"), (1, "y", "2")], S)
+    with pytest.raises(PySparkException):
+        merge(t, s, "id").collect()
+
+
+def test_null_safe_composite_keys(spark):
+    schema = "orderId long, itemId long, q int"
+    t = spark.createDataFrame([(None, 5, 1), (5, None, 2)], schema)
+    s = spark.createDataFrame([(None, 5, 10)], schema)
+    out = merge(t, s, ["orderId", "itemId"], null_safe=True)
+    got = sorted(((r.orderId, r.itemId, r.q) for r in out.collect()), key=str)
+    assert got == sorted([(None, 5, 10), (5, None, 2)], key=str)
+
+
+def test_null_safe_change_detection(spark):
+    schema = "k long, q int"
+    t = spark.createDataFrame([(1, None), (2, 3)], schema)
+    s = spark.createDataFrame([(1, 4), (2, None)], schema)
+    out = merge(t, s, "k", when_changed="q", update_cols=["q"])
+    assert as_set(out, "k", "q") == [(1, 4), (2, None)]
+
+
+def test_missing_key_is_rejected(spark):
+    t = spark.createDataFrame([(1, "a", "1")], S)
+    with pytest.raises(ValueError):
+        merge(t, t.drop("id"), "id")

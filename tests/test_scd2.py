@@ -1,0 +1,99 @@
+"""SCD2 one-pass semantics on hand-written frames (FIXTURES.md §5)."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from strata.functions.dates import BEGINNING, OPEN_END
+from strata.operators.scd2 import as_of_join, scd2_apply, scd2_as_of, scd2_current, scd2_seed
+
+D1 = dt.date(2024, 1, 10)
+D2 = dt.date(2024, 2, 1)
+SCHEMA = "id long, v string"
+
+
+def rows(df):
+    return sorted((r.id, r.v, r.beg_date, r.exp_date) for r in df.collect())
+
+
+@pytest.fixture()
+def day_one(spark):
+    target = scd2_seed(spark.createDataFrame([(1, "a"), (2, "b"), (4, "z")], SCHEMA))
+    source = spark.createDataFrame([(1, "a2"), (2, "b"), (3, "c")], SCHEMA)
+    return scd2_apply(target, source, D1)
+
+
+def test_day_one(day_one):
+    assert rows(day_one) == [
+        (1, "a", BEGINNING, D1),
+        (1, "a2", D1, OPEN_END),
+        (2, "b", BEGINNING, OPEN_END),
+        (3, "c", BEGINNING, OPEN_END),
+        (4, "z", BEGINNING, OPEN_END),
+    ]
+
+
+def test_rerun_same_day_is_identical(spark, day_one):
+    source = spark.createDataFrame([(1, "a2"), (2, "b"), (3, "c")], SCHEMA)
+    assert rows(scd2_apply(day_one, source, D1)) == rows(day_one)
+
+
+def test_same_day_correction_replaces_in_place(spark, day_one):
+    source = spark.createDataFrame([(1, "a3"), (2, "b")], SCHEMA)
+    out = rows(scd2_apply(day_one, source, D1))
+    assert (1, "a3", D1, OPEN_END) in out
+    assert not any(r[1] == "a2" for r in out)
+    assert (1, "a", BEGINNING, D1) in out
+    assert len(out) == 5
+
+
+def test_next_change(spark, day_one):
+    fixed = scd2_apply(day_one, spark.createDataFrame([(1, "a3"), (2, "b")], SCHEMA), D1)
+    out = rows(scd2_apply(fixed, spark.createDataFrame([(1, "a4")], SCHEMA), D2))
+    assert (1, "a3", D1, D2) in out and (1, "a4", D2, OPEN_END) in out
+    assert sum(1 for r in out if r[0] == 1 and r[3] == OPEN_END) == 1
+
+
+def test_as_of_half_open_vs_inclusive(day_one):
+    assert scd2_as_of(day_one, D1).count() == 4
+    assert scd2_as_of(day_one, D1, inclusive=True).count() == 5
+    assert scd2_current(day_one).count() == 4
+
+
+def test_returning_id_restarts_at_effective_date(spark):
+    closed = spark.createDataFrame(
+        [(7, "old", "h", BEGINNING, D1)], "id long, v string, hash string, beg_date date, exp_date date"
+    )
+    out = rows(scd2_apply(closed, spark.createDataFrame([(7, "back")], SCHEMA), D2))
+    assert out == [(7, "back", D2, OPEN_END), (7, "old", BEGINNING, D1)]
+
+
+def test_duplicate_source_keys_raise(spark):
+    target = scd2_seed(spark.createDataFrame([(1, "a")], SCHEMA))
+    source = spark.createDataFrame([(1, "x"), (1, "y")], SCHEMA)
+    with pytest.raises(PySparkException):
+        scd2_apply(target, source, D1).collect()
+
+
+def test_load_dated_before_open_version_raises(spark, day_one):
+    with pytest.raises(PySparkException):
+        scd2_apply(day_one, spark.createDataFrame([(1, "late")], SCHEMA), dt.date(2024, 1, 5)).collect()
+
+
+def test_as_of_join_picks_one_version(spark, day_one):
+    fact = spark.createDataFrame([(100, 1), (101, 3)], "oid long, cid long")
+    out = as_of_join(fact, day_one, "cid", D1).select("oid", "v").collect()
+    assert sorted((r.oid, r.v) for r in out) == [(100, "a2"), (101, "c")]
+    before = as_of_join(fact, day_one, "cid", D1 - dt.timedelta(days=1)).select("oid", "v").collect()
+    assert sorted((r.oid, r.v) for r in before) == [(100, "a"), (101, "c")]
+
+
+def test_hash_ignores_key_and_marks_nulls(spark):
+    a = scd2_seed(spark.createDataFrame([(1, "x", None), (2, None, "x")], "id long, p string, q string"))
+    h = {r.id: r.hash for r in a.collect()}
+    assert h[1] != h[2]
+    b = scd2_seed(spark.createDataFrame([(9, "x", None)], "id long, p string, q string"))
+    assert b.first().hash == h[1]
+    assert a.filter(F.col("hash").isNull()).count() == 0
