@@ -1,0 +1,54 @@
+"""Property-based checks of SCD2 and merge on random snapshot sequences."""
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from strata.functions.dates import OPEN_END
+from strata.operators.merge import merge
+from strata.operators.scd2 import scd2_apply, scd2_as_of, scd2_seed
+
+SCHEMA = "id long, v string"
+snapshot = st.dictionaries(st.integers(0, 6), st.sampled_from(["a", "b", "c"]), max_size=6)
+SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def frame(spark, snap):
+    return spark.createDataFrame(sorted(snap.items()), SCHEMA)
+
+
+@SETTINGS
+@given(first=snapshot, loads=st.lists(snapshot, min_size=1, max_size=3))
+def test_scd2_invariants(spark, first, loads):
+    dim = scd2_seed(frame(spark, first))
+    day = dt.date(2024, 1, 1)
+    for snap in loads:
+        day += dt.timedelta(days=7)
+        dim = scd2_apply(dim, frame(spark, snap), day)
+        dim = spark.createDataFrame(dim.collect(), dim.schema)  # cut lineage between loads
+    rows = dim.collect()
+    # (a) rerun with the last load and date changes nothing
+    again = scd2_apply(dim, frame(spark, loads[-1]), day).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+    # (b) at most one open version per id; (c) versions of an id never overlap
+    by_id = {}
+    for r in rows:
+        by_id.setdefault(r.id, []).append((r.beg_date, r.exp_date))
+    for spans in by_id.values():
+        assert sum(1 for _, e in spans if e == OPEN_END) <= 1
+        spans.sort()
+        assert all(spans[i][1] <= spans[i + 1][0] for i in range(len(spans) - 1))
+        assert all(b < e for b, e in spans)
+    # (d) as of the last load day, the ids of that load carry its values
+    now = {r.id: r.v for r in scd2_as_of(dim, day).collect()}
+    assert all(now[k] == v for k, v in loads[-1].items())
+
+
+@SETTINGS
+@given(t=snapshot, s=snapshot)
+def test_merge_keys_are_union_once(spark, t, s):
+    out = merge(frame(spark, t), frame(spark, s), "id").collect()
+    ids = [r.id for r in out]
+    assert sorted(ids) == sorted(set(t) | set(s))
+    assert {r.id: r.v for r in out} == {**t, **s}
