@@ -13,21 +13,25 @@ from strata.operators.merge import _as_list
 def reconcile_counts(source: DataFrame, target: DataFrame, keys: str | Iterable[str] = "id") -> DataFrame:
     """One report row: row and distinct-key counts of both sides and whether they agree.
 
-    Both sides are tagged and unioned, then counted in one aggregate (one job,
-    keys shuffled once with partial aggregation). Raising on a mismatch is the
+    Both sides are tagged and unioned, then counted per key and summed (one
+    job, keys shuffled once with partial aggregation, no row expansion). Raising on a mismatch is the
     caller's choice: after an upsert, dropped source duplicates and kept target
     rows make the row counts differ legitimately.
     """
     keys = _as_list(keys)
     k = F.struct(*keys)
-    both = source.select(F.lit(True).alias("__src"), k.alias("__k")).unionByName(
-        target.select(F.lit(False).alias("__src"), k.alias("__k"))
+    both = source.select(F.lit(True).alias("src"), k.alias("k")).unionByName(
+        target.select(F.lit(False).alias("src"), k.alias("k"))
     )
-    counts = both.agg(
-        F.count(F.when(F.col("__src"), 1)).alias("source_rows"),
-        F.count(F.when(~F.col("__src"), 1)).alias("target_rows"),
-        F.count_distinct(F.when(F.col("__src"), F.col("__k"))).alias("source_keys"),
-        F.count_distinct(F.when(~F.col("__src"), F.col("__k"))).alias("target_keys"),
+    # Rows per (side, key) first: duplicates collapse map-side, so a hot key
+    # costs one row per task; then one small global aggregate.
+    per_key = both.groupBy("src", "k").agg(F.count(F.lit(1)).alias("n"))
+    src = F.col("src")
+    counts = per_key.agg(
+        F.coalesce(F.sum(F.when(src, F.col("n"))), F.lit(0)).alias("source_rows"),
+        F.coalesce(F.sum(F.when(~src, F.col("n"))), F.lit(0)).alias("target_rows"),
+        F.count(F.when(src, 1)).alias("source_keys"),
+        F.count(F.when(~src, 1)).alias("target_keys"),
     )
     return counts.withColumns(
         {

@@ -321,4 +321,6 @@ ORACLES: dict[str, str] = {
         _tasks_ctes("all"),
     ),
     "runlog_tasks": q("select * from all_tasks", _tasks_ctes("all")),
+    "stream_latest_events": "select * from events qualify row_number() over "
+    "(partition by event_type, user_id order by ts desc, event_id desc) = 1",
 }

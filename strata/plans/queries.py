@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.cleaning import clean_strings, string_columns, valid_flag
 from strata.functions.dates import within
-from strata.functions.fingerprint import with_row_hash
+from strata.functions.fingerprint import fingerprint, hashed_columns, with_row_hash
 from strata.functions.keys import surrogate_key
 from strata.operators.dedupe import dedupe_key, latest_per_key
 from strata.operators.merge import merge
@@ -28,6 +28,7 @@ from strata.session import fresh_table_path
 from strata.sources import sinks
 from strata.sources.fixtures import Store, rollup_orderdetails
 from strata.sources.runs import runs_from_events
+from strata.streaming.incremental import incremental_load, upsert_step
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,9 +129,12 @@ def mart_valid_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = Store(spark, sf_dir).customers
-    plain = with_row_hash(c, name="hash_plain", null_marker=None).select("id", "hash_plain")
-    marked = with_row_hash(c).select("id", "hash")
-    return plain.join(marked, "id")
+    cols = hashed_columns(c)
+    return c.select(
+        "id",
+        fingerprint(cols, null_marker=None).alias("hash_plain"),
+        fingerprint(cols).alias("hash"),
+    )
 
 
 def dedupe_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +270,25 @@ def runlog_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tasks_log(Store(spark, sf_dir).raw("events"))
 
 
+# --- incremental (Structured Streaming) -------------------------------------------
+
+
+def stream_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per (event_type, user) kept up to date by a file stream over ``events``."""
+    events = Store(spark, sf_dir).raw("events")
+    out = incremental_load(
+        spark,
+        sf_dir,
+        events.schema,
+        initial=events.limit(0),
+        table_root=fresh_table_path(spark, "latest_events"),
+        checkpoint=fresh_table_path(spark, "latest_events_checkpoint"),
+        step=upsert_step(["event_type", "user_id"], order_by=["ts", "event_id"]),
+        path_glob="events.parquet",
+    )
+    return spark.read.parquet(out)
+
+
 QUERIES: dict[str, Query] = {
     "mart_city_sales": mart_city_sales,
     "join_inner": join_inner,
@@ -303,4 +326,5 @@ QUERIES: dict[str, Query] = {
     "period_rollup": period_rollup_q,
     "runlog_jobs": runlog_jobs,
     "runlog_tasks": runlog_tasks,
+    "stream_latest_events": stream_latest_events,
 }
