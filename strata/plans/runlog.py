@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_per_key
+from strata.sources.runs import from_epoch_ms
 
 # Job id -> job name of the warehouse's three workflows.
 JOB_NAMES = {0: "ingestion", 1: "processing", 2: "monitoring"}
@@ -25,7 +26,7 @@ def job_names(spark: SparkSession, mapping: Mapping[int, str] = JOB_NAMES) -> Da
 
 
 def _ts(ms: F.Column) -> F.Column:
-    return F.when(ms > 0, F.timestamp_millis(ms).cast("timestamp_ntz"))
+    return F.when(ms > 0, from_epoch_ms(ms))
 
 
 def flatten_jobs(runs: DataFrame, names: DataFrame, default_status: str = "SUCCESS") -> DataFrame:

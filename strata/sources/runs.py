@@ -42,9 +42,25 @@ def read_runs_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).json(path)
 
 
-def epoch_ms(ts: str) -> F.Column:
-    """Epoch milliseconds of a timestamp column (``timestamp_ntz`` read as UTC)."""
-    return F.unix_millis(F.col(ts).cast("timestamp"))
+# Fixed value: the Unix epoch as a wall-clock timestamp (zone-free).
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def epoch_ms(ts: str, zone_free: bool = True) -> F.Column:
+    """Epoch milliseconds of a timestamp column, truncated.
+
+    A ``timestamp_ntz`` wall clock is read as UTC without going through the
+    session time zone; with ``zone_free=False`` the column is an instant
+    (``timestamp``) and ``unix_millis`` is used.
+    """
+    if zone_free:
+        return F.timestamp_diff("MILLISECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), F.col(ts))
+    return F.unix_millis(F.col(ts))
+
+
+def from_epoch_ms(ms: F.Column) -> F.Column:
+    """Wall-clock UTC ``timestamp_ntz`` of epoch milliseconds (zone-free)."""
+    return F.timestamp_add("MILLISECOND", ms, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def runs_from_events(events: DataFrame) -> DataFrame:
@@ -54,14 +70,15 @@ def runs_from_events(events: DataFrame) -> DataFrame:
     (still running) for users divisible by 7, FAILED for users divisible by 5,
     else SUCCESS; a task FAILED for 'error' events, else no state.
     """
+    zone_free = dict(events.dtypes)["ts"] == "timestamp_ntz"
     e = events.select(
         "user_id",
         "event_id",
         F.call_function("div", F.col("event_id"), F.lit(TASKS_PER_RUN)).alias("block"),
         F.struct(
             F.col("event_type").alias("task_key"),
-            epoch_ms("ts").alias("start_time"),
-            (epoch_ms("ts") + 1000).alias("end_time"),
+            epoch_ms("ts", zone_free).alias("start_time"),
+            (epoch_ms("ts", zone_free) + 1000).alias("end_time"),
             F.struct(F.when(F.col("event_type") == "error", "FAILED").alias("result_state")).alias("state"),
         ).alias("task"),
     )
