@@ -19,10 +19,10 @@ NULL_MARKER = "\\N"
 
 
 def fingerprint(cols: Iterable[str], sep: str = SEPARATOR, null_marker: str | None = NULL_MARKER) -> Column:
-    parts = []
-    for c in cols:
-        s = F.col(c).cast("string")
-        parts.append(s if null_marker is None else F.coalesce(s, F.lit(null_marker)))
+    marker = None if null_marker is None else F.lit(null_marker)
+    parts = [F.col(c).cast("string") for c in cols]
+    if marker is not None:
+        parts = [F.coalesce(p, marker) for p in parts]
     return F.sha2(F.concat_ws(sep, *parts), 256)
 
 

@@ -26,8 +26,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,57 +75,42 @@ def scd2_apply(
     cols = keys + attrs
     out_cols = target.columns
 
-    src = source.select(*cols).withColumn("hash", fingerprint(attrs, SEPARATOR, null_marker))
+    src = source.select(*cols, fingerprint(attrs, SEPARATOR, null_marker).alias("hash"))
     if validate:
         src = assert_unique_keys(src, keys, "dimension source")
     cur = target.filter(is_open())
     hist = target.filter(~is_open())
 
     # Which ids have closed history: only the distinct ids, aggregated map-side.
-    hist_ids = hist.select(*keys).distinct().withColumn("__hist", F.lit(True))
-    src = src.join(hist_ids, keys, "left")
-
-    t = cur.select(*[F.col(c).alias("t_" + c) for c in out_cols], F.lit(True).alias("t_here"))
-    s = src.select(
-        *[F.col(c).alias("s_" + c) for c in cols + ["hash", "__hist"]], F.lit(True).alias("s_here")
+    hist_ids = hist.select(*keys).distinct().withColumn("has_history", F.lit(True))
+
+    # Each side travels as one struct in the target's column order; a source
+    # row gets its dates later.
+    no_date = F.lit(None).cast("date")
+    t = cur.select(*keys, F.struct(*out_cols).alias("t"))
+    s = src.join(hist_ids, keys, "left").select(
+        *keys,
+        F.struct(*[no_date.alias(c) if c in ("beg_date", "exp_date") else c for c in out_cols]).alias("s"),
+        F.coalesce("has_history", F.lit(False)).alias("has_history"),
     )
-    on = reduce(and_, [F.col("t_" + k) == F.col("s_" + k) for k in keys])
-    j = t.join(s, on, "full_outer")
+    j = t.join(s, keys, "full_outer")
 
-    t_here = F.coalesce(F.col("t_here"), F.lit(False))
-    s_here = F.coalesce(F.col("s_here"), F.lit(False))
-    changed = t_here & s_here & (F.col("t_hash") != F.col("s_hash"))
-    same_day = F.col("t_beg_date") == eff
+    t_here, s_here = F.col("t").isNotNull(), F.col("s").isNotNull()
+    changed = t_here & s_here & (F.col("t.hash") != F.col("s.hash"))
     # A load dated before the open version began would rewrite history: refuse it.
     in_order = F.when(
-        changed & (F.col("t_beg_date") > eff),
+        changed & (F.col("t.beg_date") > eff),
         F.raise_error(F.lit("effective date is before the start of the open version")),
     ).otherwise(F.lit(True))
 
-    old = F.struct(
-        *[F.col("t_" + c).alias(c) for c in out_cols if c != "exp_date"],
-        F.when(changed, eff).otherwise(F.col("t_exp_date")).alias("exp_date"),
-    )
-    new_beg = (
-        F.when(t_here, eff)
-        .when(F.coalesce(F.col("s___hist"), F.lit(False)), eff)
-        .otherwise(F.lit(BEGINNING))
-    )
-    new = F.struct(
-        *[F.col("s_" + c).alias(c) for c in cols],
-        F.col("s_hash").alias("hash"),
-        new_beg.alias("beg_date"),
-        F.lit(OPEN_END).alias("exp_date"),
-    )
-    keep_old = t_here & ~(changed & same_day)
+    old = F.col("t").withField("exp_date", F.when(changed, eff).otherwise(F.col("t.exp_date")))
+    new_beg = F.when(t_here | F.col("has_history"), eff).otherwise(F.lit(BEGINNING))
+    new = F.col("s").withField("beg_date", new_beg).withField("exp_date", F.lit(OPEN_END))
+    keep_old = t_here & ~(changed & (F.col("t.beg_date") == eff))
     emit_new = s_here & (~t_here | changed)
     versions = F.array(F.when(keep_old, old), F.when(emit_new, new))
-    rows = (
-        j.filter(in_order)
-        .select(F.inline(F.filter(versions, lambda v: v.isNotNull())))
-        .select(*out_cols)
-    )
-    return hist.select(*out_cols).unionByName(rows)
+    rows = j.filter(in_order).select(F.inline(F.filter(versions, lambda v: v.isNotNull())))
+    return hist.unionByName(rows)
 
 
 def scd2_current(dim: DataFrame) -> DataFrame:
