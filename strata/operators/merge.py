@@ -4,12 +4,25 @@
 ``MERGE INTO target USING source ON keys``: matched rows are updated (all
 non-key columns, or ``update_cols``; only where ``when_changed`` says so),
 unmatched source rows are inserted, and target rows absent from the source
-stay. It is one full outer join on the keys; presence of each side is read
-from a marker column, never from key nullness.
+stay. Presence of each side is read from a marker column, never from key
+nullness.
 
 Each key may appear once in the source. The check runs inside the same job:
 a count per key over a window that is partitioned like the join, so it costs
 no extra shuffle, and a duplicate raises at run time.
+
+Strategies:
+
+- ``"shuffle"`` (default): full outer join; both sides are shuffled on the
+  keys. Right for any size; cost O(target).
+- ``"broadcast"``: the caller vouches that the source is small. The target is
+  never shuffled: ``target LEFT JOIN broadcast(source)`` gives updated and
+  kept rows; the inserts are source rows whose key is not among the target
+  keys that matched (a semi join of the target's key columns against the
+  broadcast keys, then an anti join of two small sides).
+- ``"auto"``: counts the source rows (one job over the source) and uses the
+  broadcast plan at or under ``broadcast_max_rows``, else the shuffle plan.
+  Meant for incremental loads, where the source is a batch of new files.
 """
 
 from __future__ import annotations
@@ -50,6 +63,8 @@ def merge(
     update_cols: Iterable[str] | None = None,
     null_safe: bool = False,
     validate: bool = True,
+    strategy: str = "shuffle",
+    broadcast_max_rows: int = 1_000_000,
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` on ``keys``; result has the target's columns.
 
@@ -60,6 +75,7 @@ def merge(
     - ``update_cols``: columns set on update (default: all non-key columns).
       Inserts always take every column the source has.
     - ``null_safe``: keys match with ``<=>`` (null equals null).
+    - ``strategy``: ``"shuffle"``, ``"broadcast"`` or ``"auto"`` (see module doc).
     """
     keys = _as_list(keys)
     tcols = target.columns
@@ -85,8 +101,28 @@ def merge(
     def sc(c: str) -> Column:
         return F.col(_S + c)
 
-    on = reduce(and_, [tc(k).eqNullSafe(sc(k)) if null_safe else tc(k) == sc(k) for k in keys])
-    joined = t.join(s, on, "full_outer")
+    def match(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+        return reduce(and_, [a(k).eqNullSafe(b(k)) if null_safe else a(k) == b(k) for k in keys])
+
+    if strategy == "auto":
+        strategy = "broadcast" if source.count() <= broadcast_max_rows else "shuffle"
+    if strategy not in ("shuffle", "broadcast"):
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+
+    if strategy == "shuffle":
+        joined = t.join(s, match(tc, sc), "full_outer")
+    else:
+        small = F.broadcast(s)
+        kept_or_updated = t.join(small, match(tc, sc), "left")
+        matched = t.select(*[tc(k) for k in keys]).join(
+            F.broadcast(s.select(*[sc(k) for k in keys])), match(tc, sc), "left_semi"
+        )
+        inserts = s.join(matched, match(sc, tc), "left_anti").select(
+            "*",
+            *[F.lit(None).cast(t_type).alias(_T + c) for c, t_type in target.dtypes],
+            F.lit(None).cast("boolean").alias(_T + "present"),
+        )
+        joined = kept_or_updated.unionByName(inserts)
 
     t_here = F.coalesce(tc("present"), F.lit(False))
     s_here = F.coalesce(sc("present"), F.lit(False))

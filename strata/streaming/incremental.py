@@ -34,20 +34,27 @@ def version_path(table_root: str, n: int) -> str:
     return f"{table_root.rstrip('/')}/version={n:09d}"
 
 
-def upsert_step(keys: str | Iterable[str], order_by: Iterable[str] | None = None) -> Step:
-    """Keyed upsert of each batch; with ``order_by`` only newer rows replace older ones."""
+def upsert_step(
+    keys: str | Iterable[str], order_by: Iterable[str] | None = None, broadcast_max_rows: int = 1_000_000
+) -> Step:
+    """Keyed upsert of each batch; with ``order_by`` only newer rows replace older ones.
+
+    A batch is usually small next to the table, so the merge checks the batch
+    size and, under ``broadcast_max_rows``, joins without shuffling the table.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
 
     def step(current: DataFrame, batch: DataFrame, _n: int) -> DataFrame:
+        plan = {"strategy": "auto", "broadcast_max_rows": broadcast_max_rows}
         if order_by is None:
-            return merge(current, batch, keys)
+            return merge(current, batch, keys, **plan)
         order = list(order_by)
         newest = latest_per_key(batch, keys, order)
 
         def newer(t, s):
             return F.struct(*[s(c) for c in order]) > F.struct(*[t(c) for c in order])
 
-        return merge(current, newest, keys, when_changed=newer)
+        return merge(current, newest, keys, when_changed=newer, **plan)
 
     return step
 
