@@ -15,14 +15,14 @@ Strategies:
 
 - ``"shuffle"`` (default): full outer join; both sides are shuffled on the
   keys. Right for any size; cost O(target).
-- ``"broadcast"``: the caller vouches that the source is small. The target is
-  never shuffled: ``target LEFT JOIN broadcast(source)`` gives updated and
-  kept rows; the inserts are source rows whose key is not among the target
-  keys that matched (a semi join of the target's key columns against the
-  broadcast keys, then an anti join of two small sides).
-- ``"auto"``: counts the source rows (one job over the source) and uses the
-  broadcast plan at or under ``broadcast_max_rows``, else the shuffle plan.
-  Meant for incremental loads, where the source is a batch of new files.
+- ``"auto"``: counts the source rows first (one job over the source). At or
+  under ``broadcast_max_rows`` the target is never shuffled:
+  ``target LEFT JOIN broadcast(source)`` gives updated and kept rows; the
+  inserts are source rows whose key is not among the target keys that
+  matched (a semi join of the target's key columns against the broadcast
+  keys, then an anti join of two small sides). Above the bound it is the
+  shuffle plan. Meant for incremental loads, where the source is a batch of
+  new files and cheap to count.
 """
 
 from __future__ import annotations
@@ -75,7 +75,7 @@ def merge(
     - ``update_cols``: columns set on update (default: all non-key columns).
       Inserts always take every column the source has.
     - ``null_safe``: keys match with ``<=>`` (null equals null).
-    - ``strategy``: ``"shuffle"``, ``"broadcast"`` or ``"auto"`` (see module doc).
+    - ``strategy``: ``"shuffle"`` or ``"auto"`` (see module doc).
     """
     keys = _as_list(keys)
     tcols = target.columns
@@ -104,12 +104,12 @@ def merge(
     def match(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
         return reduce(and_, [a(k).eqNullSafe(b(k)) if null_safe else a(k) == b(k) for k in keys])
 
-    if strategy == "auto":
-        strategy = "broadcast" if source.count() <= broadcast_max_rows else "shuffle"
-    if strategy not in ("shuffle", "broadcast"):
+    if strategy not in ("shuffle", "auto"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
+    # The broadcast plan is only taken behind a row count of the source.
+    small_source = strategy == "auto" and source.count() <= broadcast_max_rows
 
-    if strategy == "shuffle":
+    if not small_source:
         joined = t.join(s, match(tc, sc), "full_outer")
     else:
         small = F.broadcast(s)

@@ -69,7 +69,7 @@ def test_broadcast_strategy_equals_shuffle(spark):
     st = Store(spark, SF_SMALL)
     for kw in [{}, {"when_changed": "type"}, {"update_cols": ["status"], "when_changed": "status"}]:
         a = merge(st.customers_s1, st.customers_s2, "id", **kw).collect()
-        b = merge(st.customers_s1, st.customers_s2, "id", strategy="broadcast", **kw).collect()
+        b = merge(st.customers_s1, st.customers_s2, "id", strategy="auto", **kw).collect()
         c = merge(st.customers_s1, st.customers_s2, "id", strategy="auto", broadcast_max_rows=10, **kw).collect()
         assert sorted(map(tuple, a)) == sorted(map(tuple, b)) == sorted(map(tuple, c))
 
@@ -78,7 +78,7 @@ def test_broadcast_strategy_null_safe(spark):
     schema = "orderId long, itemId long, q int"
     t = spark.createDataFrame([(None, 5, 1), (5, None, 2), (1, 1, 3)], schema)
     s = spark.createDataFrame([(None, 5, 10), (2, 2, 7)], schema)
-    out = merge(t, s, ["orderId", "itemId"], null_safe=True, strategy="broadcast")
+    out = merge(t, s, ["orderId", "itemId"], null_safe=True, strategy="auto")
     got = sorted(((r.orderId, r.itemId, r.q) for r in out.collect()), key=str)
     assert got == sorted([(None, 5, 10), (5, None, 2), (1, 1, 3), (2, 2, 7)], key=str)
 
@@ -95,8 +95,8 @@ def test_broadcast_strategy_never_shuffles_the_target(spark):
     s = spark.createDataFrame([(2, "B", "x"), (5000, "n", "y")], S)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        merge(t, s, "id", strategy="broadcast").explain()
+        merge(t, s, "id", strategy="auto").explain()
     text = buf.getvalue()
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
-    out = {r.id: r.v for r in merge(t, s, "id", strategy="broadcast").collect()}
+    out = {r.id: r.v for r in merge(t, s, "id", strategy="auto").collect()}
     assert len(out) == 1001 and out[2] == "B" and out[5000] == "n" and out[3] == "3"
