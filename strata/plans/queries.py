@@ -46,7 +46,7 @@ EARLIER_EVENTS = "2024-01-16"
 
 
 def mart_city_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.city_sales(w.fct_orders, w.dim_addresses, w.fct_orderdetails, w.dim_items, REPORT_DATE)
 
 
@@ -54,7 +54,7 @@ def mart_city_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     a = scd2_current(w.dim_addresses)
     o = w.fct_orders
     return o.join(a, o.addressId == a.id).select(
@@ -63,48 +63,48 @@ def join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_geo_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.geo_orders(w.fct_orders, w.dim_addresses)
 
 
 def mart_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.product_performance(w.fct_orderdetails, w.dim_items, REPORT_DATE)
 
 
 def mart_city_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.city_delivery(w.dim_addresses, w.fct_orders, REPORT_DATE)
 
 
 def mart_vip_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.vip_cities(w.dim_customers, w.fct_orders, w.dim_addresses, REPORT_DATE)
 
 
 def mart_orders_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.orders_monthly(Store(spark, sf_dir).fct_orders, RANGE_BEG, RANGE_END)
+    return marts.orders_monthly(Store.of(spark, sf_dir).fct_orders, RANGE_BEG, RANGE_END)
 
 
 def mart_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     return marts.new_customers_monthly(w.dim_customers, RANGE_BEG, RANGE_END, REPORT_DATE)
 
 
 def mart_orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.orders_daily(Store(spark, sf_dir).fct_orders, RANGE_BEG, RANGE_END)
+    return marts.orders_daily(Store.of(spark, sf_dir).fct_orders, RANGE_BEG, RANGE_END)
 
 
 def period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Store(spark, sf_dir).fct_orders.filter(within("deliveryDate", *PERIOD_FILTER))
+    return Store.of(spark, sf_dir).fct_orders.filter(within("deliveryDate", *PERIOD_FILTER))
 
 
 def orderdetails_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Store(spark, sf_dir).fct_orderdetails
+    return Store.of(spark, sf_dir).fct_orderdetails
 
 
 def surrogate_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = Store(spark, sf_dir).raw_orderdetails
+    raw = Store.of(spark, sf_dir).raw_orderdetails
     return raw.select(surrogate_key("itemId", "orderId").alias("id"), "orderId", "itemId", "quantity")
 
 
@@ -112,23 +112,23 @@ def surrogate_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_strings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_strings(Store(spark, sf_dir).addresses)
+    return clean_strings(Store.of(spark, sf_dir).addresses)
 
 
 def valid_flag_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = Store(spark, sf_dir).addresses
+    a = Store.of(spark, sf_dir).addresses
     return a.select("id", valid_flag(a, string_columns(a)).alias("validFlag"))
 
 
 def mart_valid_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.valid_addresses(Warehouse(spark, sf_dir).dim_addresses, REPORT_DATE)
+    return marts.valid_addresses(Warehouse.of(spark, sf_dir).dim_addresses, REPORT_DATE)
 
 
 # --- step 4: fingerprint and dedup ---------------------------------------------------
 
 
 def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = Store(spark, sf_dir).customers
+    c = Store.of(spark, sf_dir).customers
     cols = hashed_columns(c)
     return c.select(
         "id",
@@ -138,11 +138,11 @@ def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_key(Store(spark, sf_dir).customers_dup, "id", order_by=["load_no"])
+    return dedupe_key(Store.of(spark, sf_dir).customers_dup, "id", order_by=["load_no"])
 
 
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = Store(spark, sf_dir).raw("events")
+    events = Store.of(spark, sf_dir).raw("events")
     return latest_per_key(events, ["event_type", "user_id"], ["ts", "event_id"])
 
 
@@ -150,7 +150,7 @@ def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Store(spark, sf_dir)
+    s = Store.of(spark, sf_dir)
     return merge(s.customers_s1, dedupe_key(s.customers_s2, "id"), "id")
 
 
@@ -159,18 +159,18 @@ def _tasks_log(events: DataFrame) -> DataFrame:
 
 
 def upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = Store(spark, sf_dir).raw("events")
+    events = Store.of(spark, sf_dir).raw("events")
     earlier = events.filter(F.col("ts") < F.lit(EARLIER_EVENTS).cast("timestamp_ntz"))
     return merge(_tasks_log(earlier), _tasks_log(events), ["job_run_id", "task_key"])
 
 
 def upsert_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Store(spark, sf_dir)
+    s = Store.of(spark, sf_dir)
     return merge(with_row_hash(s.customers_s1), with_row_hash(s.customers_s2), "id", when_changed="hash")
 
 
 def upsert_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Store(spark, sf_dir)
+    s = Store.of(spark, sf_dir)
     target = rollup_orderdetails(s.raw_orderdetails_shipped_before(EARLIER_SHIP_DAY))
     return merge(
         target,
@@ -184,7 +184,7 @@ def upsert_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_merge_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly orders mart: first run creates the table, second run merges by period."""
-    orders = Store(spark, sf_dir).fct_orders
+    orders = Store.of(spark, sf_dir).fct_orders
     path = fresh_table_path(spark, "dm_orders_monthly")
     sinks.create_if_absent(marts.orders_monthly(orders, *EARLIER_RUN), path)
     current = sinks.read_snapshot(spark, path)
@@ -196,27 +196,27 @@ def mart_merge_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_seed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_seed(Store(spark, sf_dir).customers_s1)
+    return scd2_seed(Store.of(spark, sf_dir).customers_s1)
 
 
 def scd2_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Warehouse(spark, sf_dir).dim_customers
+    return Warehouse.of(spark, sf_dir).dim_customers
 
 
 def scd2_current_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_current(Warehouse(spark, sf_dir).dim_customers)
+    return scd2_current(Warehouse.of(spark, sf_dir).dim_customers)
 
 
 def asof_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_as_of(Warehouse(spark, sf_dir).dim_customers, REPORT_DATE)
+    return scd2_as_of(Warehouse.of(spark, sf_dir).dim_customers, REPORT_DATE)
 
 
 def asof_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_as_of(Warehouse(spark, sf_dir).dim_customers, REPORT_DATE, inclusive=True)
+    return scd2_as_of(Warehouse.of(spark, sf_dir).dim_customers, REPORT_DATE, inclusive=True)
 
 
 def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir)
+    w = Warehouse.of(spark, sf_dir)
     j = as_of_join(w.fct_orders, w.dim_customers, "customerId", REPORT_DATE)
     return j.select(
         w.fct_orders.id.alias("orderId"), "customerId", "type", "status", "deliveryDate", "beg_date"
@@ -227,7 +227,7 @@ def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bootstrap_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Store(spark, sf_dir)
+    s = Store.of(spark, sf_dir)
     path = fresh_table_path(spark, "customers")
     sinks.create_if_absent(s.customers_s1, path)
     sinks.create_if_absent(s.customers_s2, path)  # table exists: nothing written
@@ -235,7 +235,7 @@ def bootstrap_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Store(spark, sf_dir)
+    s = Store.of(spark, sf_dir)
     path = fresh_table_path(spark, "customers")
     sinks.overwrite(s.customers_s1, path)
     sinks.overwrite(s.customers_s2, path)
@@ -243,31 +243,31 @@ def ingest_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = Store(spark, sf_dir).customers_dup
+    source = Store.of(spark, sf_dir).customers_dup
     loaded = dedupe_key(source, "id", order_by=["load_no"])
     return reconcile_counts(source, loaded, "id")
 
 
 def reporting_periods_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = Store(spark, sf_dir).raw("orders")
+    orders = Store.of(spark, sf_dir).raw("orders")
     calendar = orders.select(F.col("o_orderdate").cast("date").alias("date")).distinct()
     return periods.reporting_periods(calendar)
 
 
 def period_rollup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return periods.period_rollup(Store(spark, sf_dir).fct_orders, "deliveryDate", measure="Orders_Number")
+    return periods.period_rollup(Store.of(spark, sf_dir).fct_orders, "deliveryDate", measure="Orders_Number")
 
 
 # --- step 8: run log ----------------------------------------------------------------
 
 
 def runlog_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = runs_from_events(Store(spark, sf_dir).raw("events"))
+    runs = runs_from_events(Store.of(spark, sf_dir).raw("events"))
     return runlog.flatten_jobs(runs, runlog.job_names(spark))
 
 
 def runlog_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tasks_log(Store(spark, sf_dir).raw("events"))
+    return _tasks_log(Store.of(spark, sf_dir).raw("events"))
 
 
 # --- incremental (Structured Streaming) -------------------------------------------
@@ -275,7 +275,7 @@ def runlog_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest event per (event_type, user) kept up to date by a file stream over ``events``."""
-    events = Store(spark, sf_dir).raw("events")
+    events = Store.of(spark, sf_dir).raw("events")
     out = incremental_load(
         spark,
         sf_dir,

@@ -24,12 +24,24 @@ REPORT_DATE = dt.date(2000, 6, 1)
 RANGE_BEG = dt.date(1995, 1, 1)
 RANGE_END = dt.date(2001, 12, 31)
 
+_WAREHOUSES: dict[tuple[int, str, dt.date], Warehouse] = {}
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, effective_date: dt.date = EFFECTIVE_DATE):
-        self.store = Store(spark, sf_dir)
+        self.spark = spark
+        self.store = Store.of(spark, sf_dir)
         self.effective_date = effective_date
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, effective_date: dt.date = EFFECTIVE_DATE) -> Warehouse:
+        """The session's processing layer for ``sf_dir``, defined once (plans only, no cached data)."""
+        key = (id(spark), sf_dir.rstrip("/"), effective_date)
+        w = _WAREHOUSES.get(key)
+        if w is None or w.spark is not spark:
+            w = _WAREHOUSES[key] = cls(spark, sf_dir, effective_date)
+        return w
+
     @cached_property
     def dim_customers(self) -> DataFrame:
         s = self.store

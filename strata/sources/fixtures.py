@@ -21,6 +21,7 @@ from strata.functions.keys import surrogate_key
 from strata.sources.tables import read_table
 
 MONEY = "decimal(18,2)"
+_STORES: dict[tuple[int, str], Store] = {}
 
 
 def _to_date(c: str | Column) -> Column:
@@ -34,6 +35,19 @@ class Store:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Store:
+        """The session's store for ``sf_dir``: tables are defined once and reused.
+
+        Only the (lazy) plans are shared between queries; no data is cached,
+        every action reads the files again.
+        """
+        key = (id(spark), sf_dir.rstrip("/"))
+        store = _STORES.get(key)
+        if store is None or store.spark is not spark:
+            store = _STORES[key] = cls(spark, sf_dir)
+        return store
+
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
