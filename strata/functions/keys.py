@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def key_list(keys: str | Iterable[str]) -> list[str]:
+    """One key column name or several, as a list."""
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
 def surrogate_key(*cols: str | Column, sep: str = "_") -> Column:
     """``concat_ws(sep, cols...)`` as a readable row label.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.fingerprint import fingerprint
-from strata.operators.merge import _as_list
+from strata.functions.keys import key_list
 
 
 def _order(cols: Iterable[str | Column]) -> list[Column]:
@@ -26,7 +26,7 @@ def latest_per_key(
     df: DataFrame, keys: str | Iterable[str], order_by: Iterable[str | Column]
 ) -> DataFrame:
     """One row per key: the first by ``order_by`` (strings mean descending)."""
-    keys = _as_list(keys)
+    keys = key_list(keys)
     w = Window.partitionBy(*keys).orderBy(*_order(order_by))
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
@@ -40,7 +40,7 @@ def dedupe_key(
     load number). Without one, the row with the smallest fingerprint of all its
     columns wins, which does not depend on input order.
     """
-    keys = _as_list(keys)
+    keys = key_list(keys)
     if order_by is None:
         order_by = [fingerprint(df.columns).asc()]
     return latest_per_key(df, keys, order_by)

@@ -34,17 +34,15 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.keys import key_list
+
 _T, _S = "__t_", "__s_"
 Condition = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
 
-def _as_list(keys: str | Iterable[str]) -> list[str]:
-    return [keys] if isinstance(keys, str) else list(keys)
-
-
 def assert_unique_keys(df: DataFrame, keys: str | Iterable[str], what: str = "merge source") -> DataFrame:
     """Rows of ``df`` unchanged; raises at run time if a key occurs twice."""
-    keys = _as_list(keys)
+    keys = key_list(keys)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     msg = f"{what} has more than one row for a key of ({', '.join(keys)})"
     return (
@@ -77,7 +75,7 @@ def merge(
     - ``null_safe``: keys match with ``<=>`` (null equals null).
     - ``strategy``: ``"shuffle"`` or ``"auto"`` (see module doc).
     """
-    keys = _as_list(keys)
+    keys = key_list(keys)
     tcols = target.columns
     missing = [k for k in keys if k not in tcols or k not in source.columns]
     if missing:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.merge import _as_list
+from strata.functions.keys import key_list
 
 
 def reconcile_counts(source: DataFrame, target: DataFrame, keys: str | Iterable[str] = "id") -> DataFrame:
@@ -18,7 +18,7 @@ def reconcile_counts(source: DataFrame, target: DataFrame, keys: str | Iterable[
     caller's choice: after an upsert, dropped source duplicates and kept target
     rows make the row counts differ legitimately.
     """
-    keys = _as_list(keys)
+    keys = key_list(keys)
     k = F.struct(*keys)
     both = source.select(F.lit(True).alias("src"), k.alias("k")).unionByName(
         target.select(F.lit(False).alias("src"), k.alias("k"))

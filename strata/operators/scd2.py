@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.dates import BEGINNING, OPEN_END, as_date, as_of, is_open
 from strata.functions.fingerprint import NULL_MARKER, SEPARATOR, fingerprint
-from strata.operators.merge import _as_list, assert_unique_keys
+from strata.functions.keys import key_list
+from strata.operators.merge import assert_unique_keys
 
 HISTORY = ("hash", "beg_date", "exp_date")
 
@@ -49,7 +50,7 @@ def scd2_seed(
     null_marker: str | None = NULL_MARKER,
 ) -> DataFrame:
     """First load: every row open since the beginning of history."""
-    keys = _as_list(keys)
+    keys = key_list(keys)
     return df.withColumns(
         {
             "hash": fingerprint(_attributes(df, keys), SEPARATOR, null_marker),
@@ -69,7 +70,7 @@ def scd2_apply(
     validate: bool = True,
 ) -> DataFrame:
     """New state of the dimension after loading ``source`` on ``effective_date``."""
-    keys = _as_list(keys)
+    keys = key_list(keys)
     eff = F.lit(as_date(effective_date))
     attrs = _attributes(target, keys)
     cols = keys + attrs

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on: ANSI types, runtime re-planning (partition
 # coalescing, skew-join splitting, runtime broadcast only below the size bound),
@@ -97,3 +97,14 @@ def _cores(master: str) -> int:
         return int(inside.split(",")[0])
     except ValueError:
         return os.cpu_count() or 1
+
+
+def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and continue from the files.
+
+    For loops that apply an operator many times in one job (a run of SCD2
+    loads, for example): the plan stops growing and a lost executor does not
+    send the recomputation back to the first step.
+    """
+    checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
