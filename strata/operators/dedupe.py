@@ -13,6 +13,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from strata.functions.fingerprint import fingerprint
 from strata.functions.keys import key_list
@@ -37,10 +38,13 @@ def dedupe_key(
     """``dropDuplicates(keys)`` with a defined survivor.
 
     With ``order_by`` the first row by it wins (strings mean descending, e.g. a
-    load number). Without one, the row with the smallest fingerprint of all its
-    columns wins, which does not depend on input order.
+    load number). Without one, rows are ordered by all their columns (map
+    columns, which have no order, by their fingerprint), so the survivor does
+    not depend on input order; only identical rows tie.
     """
     keys = key_list(keys)
     if order_by is None:
-        order_by = [fingerprint(df.columns).asc()]
+        plain = [F.col(f.name).asc_nulls_first() for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+        maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
+        order_by = plain + ([fingerprint(maps).asc()] if maps else [])
     return latest_per_key(df, keys, order_by)

@@ -35,14 +35,23 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_snapshot(
-    spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet", partition_by: Iterable[str] = ()
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    fmt: str = "parquet",
+    partition_by: Iterable[str] = (),
+    max_records_per_file: int | None = None,
 ) -> str:
     """Write ``df`` to a fresh location and return it (one write, one commit).
 
-    The write also cuts the lineage: the next step reads the files back.
+    The write also cuts the lineage: the next step reads the files back. File
+    sizes follow the last stage's partitions, which AQE coalesces;
+    ``max_records_per_file`` caps a file where a partition is large.
     """
     path = fresh_table_path(spark, name)
     w = df.write.mode("errorifexists").format(fmt)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
