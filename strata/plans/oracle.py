@@ -50,6 +50,7 @@ def _scd2_sql(seed: str, src: str, cols: list[str]) -> str:
 CUST = ["type", "status", "createdOn"]
 ITEM = ["Codes", "Descriptions", "price"]
 ADDR = ["city", "state", "country", "validFlag"]
+JOB_COLS = ["job_id", "job_name", "date", "start_time", "end_time", "duration", "status"]
 
 CTES: list[tuple[str, str]] = [
     (
@@ -150,6 +151,17 @@ def _tasks_ctes(prefix: str, where: str = "") -> str:
       qualify row_number() over (partition by task_key, job_run_id order by start_ms desc) = 1)"""
 
 
+def _jobs_sql(runs: str) -> str:
+    """Jobs log of one listing of runs."""
+    return f"""select r.run_id as job_run_id, r.user_id % 3 as job_id,
+               case r.user_id % 3 when 0 then 'ingestion' when 1 then 'processing' else 'monitoring' end as job_name,
+               cast(make_timestamp(r.start_ms * 1000) as date) as date,
+               make_timestamp(r.start_ms * 1000) as start_time, make_timestamp(r.end_ms * 1000) as end_time,
+               cast(r.end_ms - r.start_ms as double) / 1000.0 as duration,
+               case when r.user_id % 7 = 0 then 'SUCCESS' when r.user_id % 5 = 0 then 'FAILED' else 'SUCCESS' end as status
+        from {runs} r"""
+
+
 def _upsert_all(t: str, s: str, keys: list[str], cols: list[str]) -> str:
     on = " and ".join(f"t.{k} = s.{k}" for k in keys)
     present = f"s.{keys[0]} is not null"
@@ -310,17 +322,13 @@ ORACLES: dict[str, str] = {
         select 'yearly', cast(date_trunc('year', deliveryDate) as date), make_date(year(deliveryDate), 12, 31), count(*)
              from fct_orders where deliveryDate is not null group by date_trunc('year', deliveryDate), year(deliveryDate)"""
     ),
-    "runlog_jobs": q(
-        """select r.run_id as job_run_id, r.user_id % 3 as job_id,
-               case r.user_id % 3 when 0 then 'ingestion' when 1 then 'processing' else 'monitoring' end as job_name,
-               cast(make_timestamp(r.start_ms * 1000) as date) as date,
-               make_timestamp(r.start_ms * 1000) as start_time, make_timestamp(r.end_ms * 1000) as end_time,
-               cast(r.end_ms - r.start_ms as double) / 1000.0 as duration,
-               case when r.user_id % 7 = 0 then 'SUCCESS' when r.user_id % 5 = 0 then 'FAILED' else 'SUCCESS' end as status
-        from all_runs r""",
-        _tasks_ctes("all"),
-    ),
+    "runlog_jobs": q(_jobs_sql("all_runs"), _tasks_ctes("all")),
     "runlog_tasks": q("select * from all_tasks", _tasks_ctes("all")),
+    "runlog_jobs_upsert": q(
+        _upsert_all("old_jobs", "new_jobs", ["job_run_id"], JOB_COLS),
+        _tasks_ctes("old", "where ts < timestamp '2024-01-16'") + ",\n" + _tasks_ctes("new")
+        + f",\nold_jobs as ({_jobs_sql('old_runs')}),\nnew_jobs as ({_jobs_sql('new_runs')})",
+    ),
     "stream_latest_events": "select * from events qualify row_number() over "
     "(partition by event_type, user_id order by ts desc, event_id desc) = 1",
 }

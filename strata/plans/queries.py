@@ -266,6 +266,18 @@ def runlog_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.flatten_jobs(runs, runlog.job_names(spark))
 
 
+def runlog_jobs_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs log of an earlier listing, upserted on ``job_run_id`` with the full listing."""
+    events = Store.of(spark, sf_dir).raw("events")
+    earlier = events.filter(F.col("ts") < F.lit(EARLIER_EVENTS).cast("timestamp_ntz"))
+    names = runlog.job_names(spark)
+    return merge(
+        runlog.flatten_jobs(runs_from_events(earlier), names),
+        runlog.flatten_jobs(runs_from_events(events), names),
+        "job_run_id",
+    )
+
+
 def runlog_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tasks_log(Store.of(spark, sf_dir).raw("events"))
 
@@ -326,5 +338,6 @@ QUERIES: dict[str, Query] = {
     "period_rollup": period_rollup_q,
     "runlog_jobs": runlog_jobs,
     "runlog_tasks": runlog_tasks,
+    "runlog_jobs_upsert": runlog_jobs_upsert,
     "stream_latest_events": stream_latest_events,
 }
