@@ -85,13 +85,15 @@ def scd2_apply(
     # Which ids have closed history: only the distinct ids, aggregated map-side.
     hist_ids = hist.select(*keys).distinct().withColumn("has_history", F.lit(True))
 
-    # Each side travels as one struct in the target's column order; a source
-    # row gets its dates later.
+    # Each side travels as one struct in the target's column order and types;
+    # a source row gets its dates later.
+    types = dict(target.dtypes)
     no_date = F.lit(None).cast("date")
     t = cur.select(*keys, F.struct(*out_cols).alias("t"))
+    s_fields = [no_date.alias(c) if c in ("beg_date", "exp_date") else F.col(c).cast(types[c]).alias(c) for c in out_cols]
     s = src.join(hist_ids, keys, "left").select(
         *keys,
-        F.struct(*[no_date.alias(c) if c in ("beg_date", "exp_date") else c for c in out_cols]).alias("s"),
+        F.struct(*s_fields).alias("s"),
         F.coalesce("has_history", F.lit(False)).alias("has_history"),
     )
     j = t.join(s, keys, "full_outer")

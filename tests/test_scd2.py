@@ -97,3 +97,11 @@ def test_hash_ignores_key_and_marks_nulls(spark):
     b = scd2_seed(spark.createDataFrame([(9, "x", None)], "id long, p string, q string"))
     assert b.first().hash == h[1]
     assert a.filter(F.col("hash").isNull()).count() == 0
+
+
+def test_source_types_follow_the_table(spark):
+    target = scd2_seed(spark.createDataFrame([(1, 10)], "id long, n long"))
+    source = spark.createDataFrame([(1, 11), (2, 5)], "id int, n int")
+    out = scd2_apply(target, source, D1)
+    assert dict(out.dtypes)["n"] == "bigint"
+    assert sorted((r.id, r.n, r.exp_date) for r in out.collect()) == [(1, 10, D1), (1, 11, OPEN_END), (2, 5, OPEN_END)]
