@@ -23,6 +23,12 @@ Strategies:
   keys, then an anti join of two small sides). Above the bound it is the
   shuffle plan. Meant for incremental loads, where the source is a batch of
   new files and cheap to count.
+
+Co-location: when the target is stored bucketed by the keys
+(``sinks.write_bucketed``), ``co_partitions=<buckets>`` repartitions the
+source into the same hash partitions, so the join reads the target in place
+and only the source moves. The merged result keeps that partitioning, so it is
+written back bucketed without another shuffle.
 """
 
 from __future__ import annotations
@@ -63,6 +69,7 @@ def merge(
     validate: bool = True,
     strategy: str = "shuffle",
     broadcast_max_rows: int = 1_000_000,
+    co_partitions: int | None = None,
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` on ``keys``; result has the target's columns.
 
@@ -74,6 +81,8 @@ def merge(
       Inserts always take every column the source has.
     - ``null_safe``: keys match with ``<=>`` (null equals null).
     - ``strategy``: ``"shuffle"`` or ``"auto"`` (see module doc).
+    - ``co_partitions``: bucket count of a target bucketed by ``keys``; the
+      source is hash-partitioned to match and the target is not shuffled.
     """
     keys = key_list(keys)
     tcols = target.columns
@@ -86,6 +95,10 @@ def merge(
     if unknown:
         raise ValueError(f"update columns {sorted(unknown)} are not in the source")
 
+    if co_partitions:
+        if null_safe:
+            raise ValueError("co-partitioned merges need plain key equality")
+        source = source.repartition(co_partitions, *keys)
     if validate:
         source = assert_unique_keys(source, keys)
     t = target.select(*[F.col(c).alias(_T + c) for c in tcols], F.lit(True).alias(_T + "present"))

@@ -68,14 +68,22 @@ def scd2_apply(
     *,
     null_marker: str | None = NULL_MARKER,
     validate: bool = True,
+    co_partitions: int | None = None,
 ) -> DataFrame:
-    """New state of the dimension after loading ``source`` on ``effective_date``."""
+    """New state of the dimension after loading ``source`` on ``effective_date``.
+
+    ``co_partitions``: bucket count of a dimension stored bucketed by the keys
+    (``sinks.write_bucketed``); the source is hash-partitioned to match, so the
+    dimension is read in place and never shuffled.
+    """
     keys = key_list(keys)
     eff = F.lit(as_date(effective_date))
     attrs = _attributes(target, keys)
     cols = keys + attrs
     out_cols = target.columns
 
+    if co_partitions:
+        source = source.repartition(co_partitions, *keys)
     src = source.select(*cols, fingerprint(attrs, SEPARATOR, null_marker).alias("hash"))
     if validate:
         src = assert_unique_keys(src, keys, "dimension source")

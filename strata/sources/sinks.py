@@ -10,6 +10,7 @@ of one machine. With Delta on the classpath, ``fmt="delta"`` works unchanged.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,5 +59,26 @@ def write_snapshot(
     return path
 
 
+def write_bucketed(
+    spark: SparkSession, df: DataFrame, name: str, keys: Iterable[str], buckets: int, fmt: str = "parquet"
+) -> str:
+    """Write ``df`` as a catalog table bucketed and sorted by ``keys``; return its name.
+
+    A table keyed like this is read already hash-partitioned, so merges and
+    joins on the keys (``merge(..., co_partitions=buckets)``) do not shuffle
+    it. Files live under the shared checkpoint folder.
+    """
+    keys = list(keys)
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (
+        df.write.format(fmt)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", fresh_table_path(spark, name))
+        .saveAsTable(table)
+    )
+    return table
+
+
 def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)

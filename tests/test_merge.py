@@ -100,3 +100,29 @@ def test_broadcast_strategy_never_shuffles_the_target(spark):
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
     out = {r.id: r.v for r in merge(t, s, "id", strategy="auto").collect()}
     assert len(out) == 1001 and out[2] == "B" and out[5000] == "n" and out[3] == "3"
+
+
+def test_bucketed_target_is_merged_in_place(spark):
+    import contextlib
+    import io
+
+    from strata.sources.fixtures import Store
+    from strata.sources.sinks import write_bucketed
+    from tests.conftest import SF_SMALL
+
+    st = Store(spark, SF_SMALL)
+    buckets = 6  # deliberately not the session's shuffle partition count
+    table = write_bucketed(spark, st.customers_s1, "customers", ["id"], buckets)
+    merged = merge(spark.table(table), st.customers_s2, "id", co_partitions=buckets)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        merged.explain()
+    lines = buf.getvalue().splitlines()
+    scan = next(i for i, line in enumerate(lines) if f"default.{table}" in line)
+    assert "Bucketed: true" in lines[scan]
+    assert "Exchange" not in lines[scan - 1]
+    plain = merge(st.customers_s1, st.customers_s2, "id")
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, plain.collect()))
+    # written back bucketed from the co-partitioned result
+    again = write_bucketed(spark, merged, "customers", ["id"], buckets)
+    assert spark.table(again).count() == plain.count()
