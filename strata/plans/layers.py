@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions.cleaning import clean_strings
 from strata.functions.fingerprint import with_row_hash
+from strata.functions.keys import key_list
 from strata.operators.dedupe import dedupe_key
 from strata.operators.merge import merge
 from strata.operators.scd2 import scd2_apply, scd2_seed
@@ -43,21 +44,28 @@ def ingest_upsert(
     keys: str | Iterable[str] = "id",
     order_by: Iterable[str] | None = None,
     strategy: str = "shuffle",
+    co_partitions: int | None = None,
 ) -> DataFrame:
     """Source deduplicated on the key (survivor by ``order_by``), then upserted."""
     fresh = dedupe_key(source, keys, order_by)
-    return fresh if current is None else merge(current, fresh, keys, strategy=strategy)
+    if current is None:
+        return fresh
+    return merge(current, fresh, keys, strategy=strategy, co_partitions=co_partitions)
 
 
 def process_fact(
-    current: DataFrame | None, source: DataFrame, keys: str | Iterable[str] = "id", strategy: str = "shuffle"
+    current: DataFrame | None,
+    source: DataFrame,
+    keys: str | Iterable[str] = "id",
+    strategy: str = "shuffle",
+    co_partitions: int | None = None,
 ) -> DataFrame:
     """Fact with a ``hash`` of its non-key columns; only changed rows are rewritten."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    keys = key_list(keys)
     hashed = with_row_hash(source, exclude=keys)
     if current is None:
         return hashed
-    return merge(current, hashed, keys, when_changed="hash", strategy=strategy)
+    return merge(current, hashed, keys, when_changed="hash", strategy=strategy, co_partitions=co_partitions)
 
 
 def process_dimension(
@@ -66,11 +74,14 @@ def process_dimension(
     effective_date: dt.date | str,
     keys: str | Iterable[str] = "id",
     clean: bool = False,
+    co_partitions: int | None = None,
 ) -> DataFrame:
     """SCD2 dimension; with ``clean`` the strings are cleaned and ``validFlag`` added first."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    keys = key_list(keys)
     rows = clean_strings(source, exclude=keys) if clean else source
-    return scd2_seed(rows, keys) if current is None else scd2_apply(current, rows, effective_date, keys)
+    if current is None:
+        return scd2_seed(rows, keys)
+    return scd2_apply(current, rows, effective_date, keys, co_partitions=co_partitions)
 
 
 def process_orderdetails(current: DataFrame | None, raw_lines: DataFrame) -> DataFrame:
@@ -93,6 +104,20 @@ def merge_mart(current: DataFrame | None, mart: DataFrame, grain: str | Iterable
     return mart if current is None else merge(current, mart, grain)
 
 
-def run_job(spark: SparkSession, state: DataFrame, table: str, fmt: str = "parquet") -> str:
-    """Write the job's result as a new snapshot of ``table``; return its path."""
+def run_job(
+    spark: SparkSession,
+    state: DataFrame,
+    table: str,
+    fmt: str = "parquet",
+    bucket_by: Iterable[str] | None = None,
+    buckets: int | None = None,
+) -> str:
+    """Write the job's result as a new snapshot of ``table``; return its path.
+
+    With ``bucket_by`` and ``buckets`` the snapshot is a catalog table bucketed
+    by the keys (its name is returned; read it with ``spark.table``), so the
+    next run merges into it with ``co_partitions=buckets`` without shuffling it.
+    """
+    if bucket_by:
+        return sinks.write_bucketed(spark, state, table, list(bucket_by), buckets or 200, fmt)
     return sinks.write_snapshot(spark, state, table, fmt)

@@ -248,6 +248,7 @@ ORACLES: dict[str, str] = {
         "(partition by event_type, user_id order by ts desc, event_id desc) = 1"
     ),
     "upsert_all": q(_upsert_all("customers_s1", "customers_s2", ["id"], CUST)),
+    "upsert_bucketed": q(_upsert_all("customers_s1", "customers_s2", ["id"], CUST)),
     "upsert_composite": q(
         _upsert_all("old_tasks", "new_tasks", ["job_run_id", "task_key"], ["start_time", "end_time", "status"]),
         _tasks_ctes("old", "where ts < timestamp '2024-01-16'") + ",\n" + _tasks_ctes("new"),

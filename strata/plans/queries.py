@@ -40,6 +40,8 @@ LATER_RUN = (dt.date(1999, 6, 1), dt.date(2001, 12, 31))
 # Earlier loads: order lines shipped before 1998, events before 16 January 2024.
 EARLIER_SHIP_DAY = "1998-01-01"
 EARLIER_EVENTS = "2024-01-16"
+# Bucket count of the co-located upsert's table.
+BUCKETS = 8
 
 
 # --- step 1: flagship ---------------------------------------------------------------
@@ -154,6 +156,13 @@ def upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(s.customers_s1, dedupe_key(s.customers_s2, "id"), "id")
 
 
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full upsert into a table stored bucketed by id: the table is merged in place."""
+    s = Store.of(spark, sf_dir)
+    table = sinks.write_bucketed(spark, s.customers_s1, "customers", ["id"], BUCKETS)
+    return merge(spark.table(table), s.customers_s2, "id", co_partitions=BUCKETS)
+
+
 def _tasks_log(events: DataFrame) -> DataFrame:
     return runlog.latest_tasks(runlog.flatten_tasks(runs_from_events(events)))
 
@@ -321,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "dedupe_key": dedupe_key_q,
     "dedupe_latest": dedupe_latest,
     "upsert_all": upsert_all,
+    "upsert_bucketed": upsert_bucketed,
     "upsert_composite": upsert_composite,
     "upsert_if_changed": upsert_if_changed,
     "upsert_column": upsert_column,

@@ -49,3 +49,11 @@ def test_chain_through_snapshots_equals_in_memory(spark):
     m = layers.run_job(spark, layers.merge_mart(None, marts.orders_monthly(st.fct_orders, "1995-01-01", "1999-06-15")), "dm_orders_monthly")
     m = read(layers.run_job(spark, layers.merge_mart(read(m), marts.orders_monthly(st.fct_orders, "1999-06-01", "2001-12-31")), "dm_orders_monthly"))
     assert rows(m) == rows(marts.orders_monthly(st.fct_orders, "1995-01-01", "2001-12-31"))
+
+
+def test_bucketed_chain(spark):
+    st = Store(spark, SF_SMALL)
+    dim = layers.run_job(spark, layers.process_dimension(None, st.customers_s1, DAY), "dim_customers", bucket_by=["id"], buckets=4)
+    nxt = layers.process_dimension(spark.table(dim), st.customers_s2, DAY, co_partitions=4)
+    dim = layers.run_job(spark, nxt, "dim_customers", bucket_by=["id"], buckets=4)
+    assert rows(spark.table(dim)) == rows(Warehouse(spark, SF_SMALL).dim_customers)
