@@ -40,7 +40,7 @@ def get_spark(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
-        .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "4g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
