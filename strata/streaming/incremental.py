@@ -11,7 +11,8 @@ dimension) are the same operators applied to each new batch of source files.
   version from the same input (merge and SCD2 are deterministic, SCD2 is
   idempotent) and never reads the path it writes;
 - ``trigger(availableNow=True)`` processes what is there and stops, which is
-  how a scheduled run uses it.
+  how a scheduled run uses it; each finished version is recorded in a small
+  log table, so a run that finds no new files returns the latest version.
 """
 
 from __future__ import annotations
@@ -86,12 +87,13 @@ def incremental_load(
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     stream = reader.parquet(source_dir)
-    written: list[int] = []
 
     def apply(batch: DataFrame, n: int) -> None:
-        current = initial if n == 0 else batch.sparkSession.read.parquet(version_path(table_root, n - 1))
+        session = batch.sparkSession
+        current = initial if n == 0 else session.read.parquet(version_path(table_root, n - 1))
         step(current, batch, n).write.mode("overwrite").parquet(version_path(table_root, n))
-        written.append(n)
+        # Record the finished version (a replayed batch records it again).
+        session.createDataFrame([(n,)], "version long").write.mode("append").parquet(_log_path(table_root))
 
     query = (
         stream.writeStream.foreachBatch(apply)
@@ -102,6 +104,17 @@ def incremental_load(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    if not written:
-        raise RuntimeError("no new source files")
-    return version_path(table_root, max(written))
+    return latest_version(spark, table_root)
+
+
+def _log_path(table_root: str) -> str:
+    return f"{table_root.rstrip('/')}/_versions"
+
+
+def latest_version(spark: SparkSession, table_root: str) -> str:
+    """Path of the newest finished version (also when a run found no new files)."""
+    try:
+        n = spark.read.parquet(_log_path(table_root)).agg(F.max("version")).first()[0]
+    except Exception as e:  # noqa: BLE001 - no version written yet
+        raise RuntimeError(f"no version of {table_root} has been written") from e
+    return version_path(table_root, n)
