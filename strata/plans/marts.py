@@ -38,8 +38,12 @@ def city_sales(
     delivered = orders.filter(F.col("deliveredOn").isNotNull()).select(
         F.col("id").alias("orderId"), "addressId"
     )
+    # Order lines grow with the data, so they are never the broadcast side: the
+    # merge hint keeps them streamed even where a loose size estimate would
+    # broadcast them. A small dimension is still broadcast at run time.
     per_order = (
         orderdetails.select("orderId", "itemId", "totalQuantity")
+        .hint("merge")
         .join(it, "itemId")
         .groupBy("orderId")
         .agg(F.sum(F.col("totalQuantity") * F.col("price")).alias("revenue"))
