@@ -89,6 +89,51 @@ def merge(
     missing = [k for k in keys if k not in tcols or k not in source.columns]
     if missing:
         raise ValueError(f"merge keys {missing} must exist on both sides")
+    if null_safe:
+        # `<=>` keys become coalesce/isnull expressions, which no input is
+        # partitioned by, so both sides would be shuffled again. A key with a
+        # null part never equals a key without one: rows whose keys are all
+        # present merge with plain equality (reusing the inputs' partitioning)
+        # and the rest merge null-safe; the two results are disjoint.
+        present = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        options = dict(
+            when_changed=when_changed,
+            update_cols=update_cols,
+            validate=validate,
+            strategy=strategy,
+            broadcast_max_rows=broadcast_max_rows,
+        )
+        complete = merge(target.filter(present), source.filter(present), keys, **options)
+        partial = _merge_one(target.filter(~present), source.filter(~present), keys, null_safe=True, **options)
+        return complete.unionByName(partial)
+    return _merge_one(
+        target,
+        source,
+        keys,
+        when_changed=when_changed,
+        update_cols=update_cols,
+        null_safe=False,
+        validate=validate,
+        strategy=strategy,
+        broadcast_max_rows=broadcast_max_rows,
+        co_partitions=co_partitions,
+    )
+
+
+def _merge_one(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    *,
+    when_changed: str | Condition | None,
+    update_cols: Iterable[str] | None,
+    null_safe: bool,
+    validate: bool,
+    strategy: str,
+    broadcast_max_rows: int,
+    co_partitions: int | None = None,
+) -> DataFrame:
+    tcols = target.columns
     scols = set(source.columns)
     update = set(update_cols) if update_cols is not None else {c for c in tcols if c not in keys}
     unknown = update - scols
@@ -96,8 +141,6 @@ def merge(
         raise ValueError(f"update columns {sorted(unknown)} are not in the source")
 
     if co_partitions:
-        if null_safe:
-            raise ValueError("co-partitioned merges need plain key equality")
         source = source.repartition(co_partitions, *keys)
     if validate:
         source = assert_unique_keys(source, keys)
