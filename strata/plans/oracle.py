@@ -300,9 +300,11 @@ ORACLES: dict[str, str] = {
     "reconcile_counts": q(
         """select source_rows, target_rows, source_keys, target_keys,
                source_rows = target_rows as rows_match, source_keys = target_keys as keys_match
-        from (select count(*) as source_rows, count(distinct id) as source_keys from customers_dup) s,
-             (select count(*) as target_rows, count(distinct id) as target_keys from
-                (select * from customers_dup qualify row_number() over (partition by id order by load_no desc) = 1)) t"""
+        from (select (select count(*) from customers_dup) as source_rows,
+                     (select count(*) from loaded) as target_rows,
+                     (select count(distinct id) from customers_dup) as source_keys,
+                     (select count(distinct id) from loaded) as target_keys)""",
+        "loaded as (select * from customers_dup qualify row_number() over (partition by id order by load_no desc) = 1)",
     ),
     "reporting_periods": """with cal as (select distinct cast(o_orderdate as date) as d from orders)
         select 'daily' as frequency, d as report_date, d - 1 as beg_date, d - 1 as exp_date from cal
