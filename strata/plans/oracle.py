@@ -297,6 +297,7 @@ ORACLES: dict[str, str] = {
     ),
     "bootstrap_ignore": q("select * from customers_s1"),
     "ingest_overwrite": q("select * from customers_s2"),
+    "append_load": q("select * from customers_dup"),
     "reconcile_counts": q(
         """select source_rows, target_rows, source_keys, target_keys,
                source_rows = target_rows as rows_match, source_keys = target_keys as keys_match

@@ -251,6 +251,15 @@ def ingest_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_snapshot(spark, path)
 
 
+def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First load written, the second load's rows appended (sink A6)."""
+    dup = Store.of(spark, sf_dir).customers_dup
+    path = fresh_table_path(spark, "customers_loads")
+    sinks.overwrite(dup.filter(F.col("load_no") == 1), path)
+    sinks.append(dup.filter(F.col("load_no") == 2), path)
+    return sinks.read_snapshot(spark, path)
+
+
 def reconcile_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = Store.of(spark, sf_dir).customers_dup
     loaded = dedupe_key(source, "id", order_by=["load_no"])
@@ -343,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "asof_join": asof_join,
     "bootstrap_ignore": bootstrap_ignore,
     "ingest_overwrite": ingest_overwrite,
+    "append_load": append_load,
     "reconcile_counts": reconcile_counts_q,
     "reporting_periods": reporting_periods_q,
     "period_rollup": period_rollup_q,
