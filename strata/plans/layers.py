@@ -14,6 +14,7 @@ job                        what it does
 ``process_dimension``      (optionally clean strings and flag validity), then SCD2
 ``process_orderdetails``   roll order lines up to (order, item); update quantity if changed
 ``merge_mart``             replace the measures of the periods (mart grain) a run covers
+``write_mart_periods``     the same on a mart partitioned by period: only the run's periods are written
 =========================  ====================================================
 """
 
@@ -104,6 +105,18 @@ def merge_mart(current: DataFrame | None, mart: DataFrame, grain: str | Iterable
     return mart if current is None else merge(current, mart, grain)
 
 
+def write_mart_periods(
+    spark: SparkSession, mart: DataFrame, path: str, period: str = "ReportingPeriod", fmt: str = "parquet"
+) -> DataFrame:
+    """Store a period-keyed mart partitioned by its period and return the table.
+
+    Each run replaces the periods it covers and adds new ones; the other
+    periods are not rewritten (the partitioned form of ``merge_mart``).
+    """
+    sinks.overwrite_partitions(mart, path, [period], fmt)
+    return spark.read.schema(mart.schema).format(fmt).load(path)
+
+
 def run_job(
     spark: SparkSession,
     state: DataFrame,

@@ -22,7 +22,7 @@ from strata.operators.dedupe import dedupe_key, latest_per_key
 from strata.operators.merge import merge
 from strata.operators.reconcile import reconcile_counts
 from strata.operators.scd2 import as_of_join, scd2_as_of, scd2_current, scd2_seed
-from strata.plans import marts, periods, runlog
+from strata.plans import layers, marts, periods, runlog
 from strata.plans.warehouse import RANGE_BEG, RANGE_END, REPORT_DATE, Warehouse
 from strata.session import fresh_table_path
 from strata.sources import sinks
@@ -201,6 +201,14 @@ def mart_merge_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_snapshot(spark, sinks.write_snapshot(spark, merged, "dm_orders_monthly"))
 
 
+def mart_period_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly orders mart partitioned by period: the second run rewrites only its months."""
+    orders = Store.of(spark, sf_dir).fct_orders
+    path = fresh_table_path(spark, "dm_orders_monthly_by_period")
+    layers.write_mart_periods(spark, marts.orders_monthly(orders, *EARLIER_RUN), path)
+    return layers.write_mart_periods(spark, marts.orders_monthly(orders, *LATER_RUN), path)
+
+
 # --- step 6: history ----------------------------------------------------------------
 
 
@@ -344,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "upsert_if_changed": upsert_if_changed,
     "upsert_column": upsert_column,
     "mart_merge_period": mart_merge_period,
+    "mart_period_partitions": mart_period_partitions,
     "scd2_seed": scd2_seed_q,
     "scd2_apply": scd2_apply_q,
     "scd2_current": scd2_current_q,

@@ -57,3 +57,27 @@ def test_bucketed_chain(spark):
     nxt = layers.process_dimension(spark.table(dim), st.customers_s2, DAY, co_partitions=4)
     dim = layers.run_job(spark, nxt, "dim_customers", bucket_by=["id"], buckets=4)
     assert rows(spark.table(dim)) == rows(Warehouse(spark, SF_SMALL).dim_customers)
+
+
+def test_partitioned_mart_rewrites_only_the_runs_periods(spark):
+    import glob
+    import os
+
+    from strata.session import fresh_table_path
+
+    st = Store(spark, SF_SMALL)
+    path = fresh_table_path(spark, "dm_orders_monthly")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    layers.write_mart_periods(spark, marts.orders_monthly(st.fct_orders, "1995-01-01", "1999-06-15"), path)
+
+    def files(period):
+        return sorted((f, os.path.getmtime(f)) for f in glob.glob(f"{local}/ReportingPeriod={period}/*.parquet"))
+
+    untouched, replaced = files("1996-Mar"), files("1999-Jun")
+    assert untouched and replaced
+    got = layers.write_mart_periods(spark, marts.orders_monthly(st.fct_orders, "1999-06-01", "2001-12-31"), path)
+    assert files("1996-Mar") == untouched
+    assert files("1999-Jun") != replaced
+    assert rows(got.select("ReportingPeriod", "Orders_Number")) == rows(
+        marts.orders_monthly(st.fct_orders, "1995-01-01", "2001-12-31")
+    )
