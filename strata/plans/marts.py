@@ -48,9 +48,12 @@ def city_sales(
         .groupBy("orderId")
         .agg(F.sum(F.col("totalQuantity") * F.col("price")).alias("revenue"))
     )
+    # Addresses first, orders last: the rows then arrive partitioned by
+    # orderId, which already clusters (city, orderId) for the exact distinct
+    # count, so it needs no shuffle of its own.
     return (
-        delivered.join(per_order, "orderId")
-        .join(ad, "addressId")
+        delivered.join(ad, "addressId")
+        .join(per_order, "orderId")
         .groupBy("city")
         .agg(
             F.count_distinct("orderId").alias("TotalOrders"),
@@ -75,6 +78,8 @@ def vip_cities(
     )
     ad = scd2_as_of(addresses, report_date, inclusive).select(F.col("id").alias("addressId"), "city")
     pairs = orders.select("customerId", "addressId").distinct()
+    # The VIP join comes first: it keeps a small share of the pairs, so the
+    # address join and the (city, customerId) distinct move only those rows.
     per_city = (
         pairs.join(vip, "customerId")
         .join(ad, "addressId")
