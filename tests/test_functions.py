@@ -77,3 +77,21 @@ def test_snapshot_file_cap(spark):
         path = path[len("file:"):]
     assert len(glob.glob(f"{path}/*.parquet")) == 4
     assert read_snapshot(spark, path).count() == 100
+
+
+def test_unicode_letters_option_keeps_accented_words(spark):
+    df = spark.createDataFrame([(1, "é x"), (2, "Zoë  Ann")], "id long, s string")
+    ascii_rule = {r.id: r.s for r in clean_strings(df).collect()}
+    unicode_rule = {r.id: r.s for r in clean_strings(df, unicode_letters=True).collect()}
+    assert ascii_rule == {1: "X", 2: "Zo Ann"}
+    assert unicode_rule == {1: "É X", 2: "Zoë Ann"}
+
+
+def test_read_sources_registers_one_view_per_name(spark):
+    from strata.sources.tables import read_sources
+    from tests.conftest import SF_SMALL
+
+    tables = read_sources(spark, SF_SMALL, "orders, customer")
+    assert set(tables) == {"orders", "customer"}
+    assert spark.table("orders").count() == tables["orders"].count() > 0
+    assert spark.sql("select count(*) as n from customer").first().n > 0
