@@ -13,7 +13,11 @@ def key_list(keys: str | Iterable[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def surrogate_key(*cols: str | Column, sep: str = "_") -> Column:
+# Fixed value: separator of the surrogate key's parts.
+KEY_SEPARATOR = "_"
+
+
+def surrogate_key(*cols: str | Column, sep: str = KEY_SEPARATOR) -> Column:
     """``concat_ws(sep, cols...)`` as a readable row label.
 
     Null parts vanish from ``concat_ws`` (both null -> empty string), so the

@@ -23,6 +23,11 @@ from strata.sources.tables import register_views
 REVENUE = "decimal(38,4)"
 UNITS = "decimal(38,2)"
 
+# The VIP customer status and the labels of the validity mart.
+VIP = "VIP"
+VALID = "Valid"
+INVALID = "Invalid"
+
 
 def city_sales(
     orders: DataFrame,
@@ -73,7 +78,7 @@ def vip_cities(
     """Top ``k`` cities by distinct VIP customers who ordered to an address there."""
     vip = (
         scd2_as_of(customers, report_date, inclusive)
-        .filter(F.col("status") == "VIP")
+        .filter(F.col("status") == VIP)
         .select(F.col("id").alias("customerId"))
     )
     ad = scd2_as_of(addresses, report_date, inclusive).select(F.col("id").alias("addressId"), "city")
@@ -93,7 +98,7 @@ def vip_cities(
 
 def valid_addresses(addresses: DataFrame, report_date: dt.date | str, inclusive: bool = False) -> DataFrame:
     """Address versions valid on the day, counted as 'Valid' / 'Invalid'."""
-    label = F.when(F.col("validFlag") == 1, "Valid").otherwise("Invalid")
+    label = F.when(F.col("validFlag") == 1, VALID).otherwise(INVALID)
     return (
         scd2_as_of(addresses, report_date, inclusive)
         .groupBy(label.alias("validFlag"))

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from strata.operators.dedupe import latest_per_key
 from strata.sources.runs import from_epoch_ms
 
-# Job id -> job name of the warehouse's three workflows.
+# Job id -> job name of the warehouse's three workflows, and the
+# status of a run or task that reports no result state.
 JOB_NAMES = {0: "ingestion", 1: "processing", 2: "monitoring"}
+DEFAULT_STATUS = "SUCCESS"
 
 
 def job_names(spark: SparkSession, mapping: Mapping[int, str] = JOB_NAMES) -> DataFrame:
@@ -29,7 +31,7 @@ def _ts(ms: F.Column) -> F.Column:
     return F.when(ms > 0, from_epoch_ms(ms))
 
 
-def flatten_jobs(runs: DataFrame, names: DataFrame, default_status: str = "SUCCESS") -> DataFrame:
+def flatten_jobs(runs: DataFrame, names: DataFrame, default_status: str = DEFAULT_STATUS) -> DataFrame:
     """One row per run: job_run_id, job_id, job_name, date, start/end time, duration (s), status.
 
     The name lookup has one row per configured job, so it is broadcast.
@@ -55,7 +57,7 @@ def flatten_jobs(runs: DataFrame, names: DataFrame, default_status: str = "SUCCE
     )
 
 
-def flatten_tasks(runs: DataFrame, default_status: str = "SUCCESS") -> DataFrame:
+def flatten_tasks(runs: DataFrame, default_status: str = DEFAULT_STATUS) -> DataFrame:
     """One row per task entry: task_key, job_run_id, start_time, end_time, status."""
     t = runs.select(F.col("run_id").alias("job_run_id"), F.explode("tasks").alias("t"))
     return t.select(
