@@ -49,3 +49,12 @@ def test_no_python_in_any_plan(spark, name):
     text = plan(E.queries()[name](spark, SF_SMALL))
     assert not any(node in text for node in PYTHON_NODES)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_flagship_reads_three_order_line_columns(spark):
+    text = plan(E.queries()["mart_city_sales"](spark, SF_SMALL))
+    schemas = [line for line in text.splitlines() if "ReadSchema" in line and "l_orderkey" in line]
+    assert schemas and all(
+        s.split("ReadSchema: ")[1].strip() == "struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>"
+        for s in schemas
+    )
