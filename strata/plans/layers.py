@@ -15,13 +15,14 @@ job                        what it does
 ``process_orderdetails``   roll order lines up to (order, item); update quantity if changed
 ``merge_mart``             replace the measures of the periods (mart grain) a run covers
 ``write_mart_periods``     the same on a mart partitioned by period: only the run's periods are written
+``run_mart_job``           a mart written as SQL, stored with an overwrite or a period-merge sink
 =========================  ====================================================
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,7 @@ from strata.functions.keys import key_list
 from strata.operators.dedupe import dedupe_key
 from strata.operators.merge import merge
 from strata.operators.scd2 import scd2_apply, scd2_seed
+from strata.plans.marts import run_mart
 from strata.sources import sinks
 from strata.sources.fixtures import rollup_orderdetails
 
@@ -117,6 +119,33 @@ def write_mart_periods(
     return spark.read.schema(mart.schema).format(fmt).load(path)
 
 
+def run_mart_job(
+    spark: SparkSession,
+    sql: str,
+    sources: Mapping[str, DataFrame],
+    params: Mapping[str, dt.date | str | int] | None,
+    table: str,
+    sink: str = "overwrite",
+    current_path: str | None = None,
+    grain: str | Iterable[str] = "ReportingPeriod",
+    fmt: str = "parquet",
+) -> str:
+    """Run a mart written as SQL and store it; return the new snapshot's path.
+
+    ``sink="overwrite"`` replaces the mart, ``sink="merge"`` merges the run into
+    the mart at ``current_path`` on its grain (created when there is none).
+    """
+    mart = run_mart(spark, sql, sources, params)
+    if sink == "overwrite":
+        state = mart
+    elif sink == "merge":
+        current = None if current_path is None else spark.read.format(fmt).load(current_path)
+        state = merge_mart(current, mart, grain)
+    else:
+        raise ValueError(f"unknown mart sink {sink!r}")
+    return sinks.write_snapshot(spark, state, table, fmt)
+
+
 def run_job(
     spark: SparkSession,
     state: DataFrame,

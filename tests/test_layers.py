@@ -81,3 +81,27 @@ def test_partitioned_mart_rewrites_only_the_runs_periods(spark):
     assert rows(got.select("ReportingPeriod", "Orders_Number")) == rows(
         marts.orders_monthly(st.fct_orders, "1995-01-01", "2001-12-31")
     )
+
+
+MONTHLY_SQL = """
+select date_format(trunc(deliveryDate, 'MM'), 'yyyy-MMM') as ReportingPeriod, count(1) as Orders_Number
+from fct_orders where deliveryDate between :beg_date and :exp_date
+group by 1
+"""
+
+
+def test_mart_job_with_merge_sink(spark):
+    st = Store(spark, SF_SMALL)
+    src = {"fct_orders": st.fct_orders}
+    first = layers.run_mart_job(
+        spark, MONTHLY_SQL, src, {"beg_date": "1995-01-01", "exp_date": "1999-06-15"}, "dm_orders_monthly", "merge"
+    )
+    second = layers.run_mart_job(
+        spark, MONTHLY_SQL, src, {"beg_date": "1999-06-01", "exp_date": "2001-12-31"}, "dm_orders_monthly", "merge",
+        current_path=first,
+    )
+    assert rows(spark.read.parquet(second)) == rows(marts.orders_monthly(st.fct_orders, "1995-01-01", "2001-12-31"))
+    over = layers.run_mart_job(
+        spark, MONTHLY_SQL, src, {"beg_date": "1999-06-01", "exp_date": "2001-12-31"}, "dm_orders_monthly", "overwrite"
+    )
+    assert rows(spark.read.parquet(over)) == rows(marts.orders_monthly(st.fct_orders, "1999-06-01", "2001-12-31"))
