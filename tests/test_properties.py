@@ -104,3 +104,24 @@ def test_scd2_equals_python_model(spark, first, loads):
         model = model_scd2(model, snap, day)
     got = sorted((r.id, r.v, r.beg_date, r.exp_date) for r in dim.collect())
     assert got == model
+
+
+wide = st.dictionaries(
+    st.integers(0, 6), st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["h1", "h2"])), max_size=6
+)
+
+
+@SETTINGS
+@given(t=wide, s=wide)
+def test_scoped_change_detecting_merge_equals_model(spark, t, s):
+    schema = "id long, v string, h string"
+    tdf = spark.createDataFrame([(k, v, h) for k, (v, h) in sorted(t.items())], schema)
+    sdf = spark.createDataFrame([(k, v, h) for k, (v, h) in sorted(s.items())], schema)
+    got = sorted(map(tuple, merge(tdf, sdf, "id", when_changed="h", update_cols=["h"]).collect()))
+    model = dict(t)
+    for k, (v, h) in s.items():
+        if k not in t:
+            model[k] = (v, h)  # insert every column
+        elif t[k][1] != h:
+            model[k] = (t[k][0], h)  # only the scoped column, only when it changed
+    assert got == sorted((k, v, h) for k, (v, h) in model.items())
