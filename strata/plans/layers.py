@@ -115,7 +115,9 @@ def write_mart_periods(
     Each run replaces the periods it covers and adds new ones; the other
     periods are not rewritten (the partitioned form of ``merge_mart``).
     """
-    sinks.overwrite_partitions(mart, path, [period], fmt)
+    # One task per period writes one file per partition (a mart is aggregated,
+    # so a period holds few rows), instead of every task writing to every period.
+    sinks.overwrite_partitions(mart.repartition(period), path, [period], fmt)
     return spark.read.schema(mart.schema).format(fmt).load(path)
 
 
