@@ -26,9 +26,9 @@ from pyspark.sql.types import StructType
 
 from strata.operators.dedupe import latest_per_key
 from strata.operators.merge import merge
-from strata.operators.scd2 import scd2_apply
+from strata.operators.scd2 import scd2_apply, scd2_seed
 
-Step = Callable[[DataFrame, DataFrame, int], DataFrame]
+Step = Callable[[DataFrame | None, DataFrame, int], DataFrame]
 
 
 def version_path(table_root: str, n: int) -> str:
@@ -45,12 +45,14 @@ def upsert_step(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
 
-    def step(current: DataFrame, batch: DataFrame, _n: int) -> DataFrame:
+    def step(current: DataFrame | None, batch: DataFrame, _n: int) -> DataFrame:
         plan = {"strategy": "auto", "broadcast_max_rows": broadcast_max_rows}
         if order_by is None:
-            return merge(current, batch, keys, **plan)
+            return batch if current is None else merge(current, batch, keys, **plan)
         order = list(order_by)
         newest = latest_per_key(batch, keys, order)
+        if current is None:
+            return newest
 
         def newer(t, s):
             return F.struct(*[s(c) for c in order]) > F.struct(*[t(c) for c in order])
@@ -63,7 +65,9 @@ def upsert_step(
 def scd2_step(keys: str | Iterable[str], effective_date: Callable[[int], dt.date]) -> Step:
     """SCD2 load of each batch (a full snapshot) on the date given for the batch."""
 
-    def step(current: DataFrame, batch: DataFrame, n: int) -> DataFrame:
+    def step(current: DataFrame | None, batch: DataFrame, n: int) -> DataFrame:
+        if current is None:
+            return scd2_seed(batch, keys)
         return scd2_apply(current, batch, effective_date(n), keys)
 
     return step
@@ -73,14 +77,18 @@ def incremental_load(
     spark: SparkSession,
     source_dir: str,
     schema: StructType,
-    initial: DataFrame,
+    initial: DataFrame | None,
     table_root: str,
     checkpoint: str,
     step: Step,
     files_per_batch: int | None = None,
     path_glob: str | None = None,
 ) -> str:
-    """Apply ``step`` to every batch of new parquet files; return the last version's path."""
+    """Apply ``step`` to every batch of new parquet files; return the last version's path.
+
+    ``initial`` is the table before the first batch; ``None`` lets the first
+    batch create it.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

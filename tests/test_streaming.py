@@ -58,3 +58,17 @@ def test_rerun_without_new_files_returns_latest_version(spark):
     first = incremental_load(*args)
     again = incremental_load(*args)  # same checkpoint: nothing new to read
     assert first == again and first.endswith("version=000000000")
+
+
+def test_first_batch_creates_the_table(spark):
+    store = Store(spark, SF_SMALL)
+    src = fresh_table_path(spark, "customers_in")
+    store.customers_s1.coalesce(1).write.parquet(f"{src}/load1")
+    flat = fresh_table_path(spark, "customers_flat")
+    spark.read.parquet(f"{src}/load1").coalesce(1).write.parquet(flat)
+    out = incremental_load(
+        spark, flat, store.customers_s1.schema, None,
+        fresh_table_path(spark, "dim"), fresh_table_path(spark, "ckpt"), scd2_step("id", lambda n: dt.date(2000, 6, 1)),
+    )
+    got = sorted(map(tuple, spark.read.parquet(out).collect()), key=str)
+    assert got == sorted(map(tuple, scd2_seed(store.customers_s1).collect()), key=str)
