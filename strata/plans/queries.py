@@ -318,7 +318,7 @@ def stream_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         events.schema,
-        initial=events.limit(0),
+        initial=None,
         table_root=fresh_table_path(spark, "latest_events"),
         checkpoint=fresh_table_path(spark, "latest_events_checkpoint"),
         step=upsert_step(["event_type", "user_id"], order_by=["ts", "event_id"]),

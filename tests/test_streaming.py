@@ -24,7 +24,7 @@ def test_upsert_stream_over_three_batches(spark):
     for i, f in enumerate(files):
         spark.read.parquet(f).coalesce(1).write.mode("append").parquet(flat)
     out = incremental_load(
-        spark, flat, events.schema, events.limit(0),
+        spark, flat, events.schema, None,
         fresh_table_path(spark, "latest"), fresh_table_path(spark, "ckpt"),
         upsert_step(["event_type", "user_id"], order_by=["ts", "event_id"]), files_per_batch=1,
     )
