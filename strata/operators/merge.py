@@ -15,7 +15,7 @@ Strategies:
 
 - ``"shuffle"`` (default): full outer join; both sides are shuffled on the
   keys. Right for any size; cost O(target).
-- ``"auto"``: counts the source rows first (one job over the source). At or
+- ``"auto"``: counts the source rows first, up to the bound (one job). At or
   under ``broadcast_max_rows`` the target is never shuffled:
   ``target LEFT JOIN broadcast(source)`` gives updated and kept rows; the
   inserts are source rows whose key is not among the target keys that
@@ -160,8 +160,11 @@ def _merge_one(
 
     if strategy not in ("shuffle", "auto"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    # The broadcast plan is only taken behind a row count of the source.
-    small_source = strategy == "auto" and source.count() <= broadcast_max_rows
+    # The broadcast plan is only taken behind a row count of the source. The
+    # count only has to tell "at most the bound" from "more", so each task
+    # stops reading after bound + 1 rows (the limit is the check, never a cap
+    # on the merge's rows).
+    small_source = strategy == "auto" and source.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
 
     if not small_source:
         joined = t.join(s, match(tc, sc), "full_outer")
