@@ -38,6 +38,7 @@ from strata.sources.fixtures import rollup_orderdetails
 
 
 def ingest_overwrite(current: DataFrame | None, source: DataFrame) -> DataFrame:
+    """The source replaces the table: one write of the new state (``run_job``)."""
     return source
 
 
