@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup
+from strata.llm import exact_dedup, simhash_dedup
 
 QUERIES = {
+    "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
 }
 ORACLES = {
