@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, simhash_dedup
+from strata.llm import exact_dedup, mixing, packing, simhash_dedup
 
 QUERIES = {
+    "op2_mix_sources": mixing.op2_mix_sources,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
 ORACLES = {
+    "op2_mix_sources": mixing.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
 }
