@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, mixing, packing, simhash_dedup
+from strata.llm import exact_dedup, language, mixing, packing, quality, simhash_dedup
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
+    "op5_quality_classifier": quality.op5_quality_classifier,
+    "op6_language_id": language.op6_language_id,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
