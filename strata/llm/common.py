@@ -13,6 +13,8 @@ from strata.session import fresh_table_path
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -26,11 +28,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage, so a lost executor costs a re-read; and a join with the
     written table has plain exchanges on both sides, which adaptive execution
     can split when one key is hot (it cannot split a side that is itself an
-    aggregate on the join key).
+    aggregate on the join key). The shuffle files of the run that wrote it are
+    removed with it, not when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = fresh_table_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        # a plan takes the setting when it is made, so it is made anew here
+        df.select("*").write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

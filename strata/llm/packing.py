@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,7 @@ def word_tokenizer_path() -> str:
 
 
 class WordIds(dict):
-    """Token ids of a word as little-endian unsigned 32-bit integers.
+    """Token ids of a word (its UTF-8 bytes) as little-endian unsigned 32-bit integers.
 
     The tokenizer never joins across white space, so a text's ids are those of
     its words. A run of Latin letters with punctuation behind it, the common
@@ -55,6 +56,7 @@ class WordIds(dict):
         self.model = self.full.model
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.plain = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+        self.marks = lru_cache(10_000)(self._through)
 
     def _through(self, word: str) -> bytes:
         return np.array(self.full.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -63,23 +65,20 @@ class WordIds(dict):
         known = letters if letters.isascii() else self.byte_level.pre_tokenize_str(letters)[0][0]
         return np.array([t.id for t in self.model.tokenize(known)], dtype="<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, key: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
+        word = key.decode("utf-8", "surrogatepass")
         found = self.plain(word)
         if found is None or "<|" in word:
             ids = self._through(word)
         else:
             letters, marks = found[1].lower(), found[2]
-            if marks:
-                if letters not in self:
-                    dict.__setitem__(self, letters, self._letters(letters))
-                if marks not in self:
-                    dict.__setitem__(self, marks, self._through(marks))
-                ids = dict.__getitem__(self, letters) + dict.__getitem__(self, marks)
-            else:
+            if letters == word:
                 ids = self._letters(letters)
-        self[word] = ids
+            else:
+                ids = self[letters.encode()] + (self.marks(marks) if marks else b"")
+        self[key] = ids
         return ids
 
 
@@ -94,7 +93,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS)
             known = batch["doc_id"].notna().tolist()
             out = []
             for doc_id, is_known, text in zip(batch["doc_id"].tolist(), known, batch["text"].tolist(), strict=True):
-                raw = b"".join(map(ids.__getitem__, (text or "").split())) + end
+                raw = b"".join(map(ids.__getitem__, (text or "").encode("utf-8", "surrogatepass").split())) + end
                 for at in range(0, len(raw), width):
                     part = raw[at : at + width]
                     out.append((int(doc_id) if is_known else None, at // width, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, language, mixing, packing, quality, simhash_dedup
+from strata.llm import exact_dedup, language, mixing, packing, quality, simhash_dedup, substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op5_quality_classifier": quality.op5_quality_classifier,
@@ -13,6 +14,7 @@ QUERIES = {
     "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
 ORACLES = {
+    "op1_substring_dedup": substring_dedup.ORACLE,
     "op2_mix_sources": mixing.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
 }
