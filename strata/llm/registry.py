@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, html_text, language, mixing, packing, quality, simhash_dedup, substring_dedup
+from strata.llm import exact_dedup, html_text, language, mixing, packing, quality, simhash_dedup, substring_dedup, url_filter
 
 QUERIES = {
+    "op3_url_filter": url_filter.op3_url_filter,
     "op10_html_extraction": html_text.op10_html_extraction,
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_mix_sources": mixing.op2_mix_sources,

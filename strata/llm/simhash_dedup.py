@@ -159,12 +159,17 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         own = shared.withColumn("id", F.shiftright("page", FAN * level)).groupBy("id").agg(F.bit_and("all_of").alias("all_of"), F.bit_or("any_of").alias("any_of"))
         return own.select(F.shiftright("id", FAN).alias(f"{name}_up"), F.col("id").alias(f"{name}_id"), F.col("all_of").alias(f"{name}_all"), F.col("any_of").alias(f"{name}_any"))
 
-    pairs = shared.select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).distinct()
-    for level in reversed(range(height)):
+    pairs = None
+    for level in reversed(range(max(1, height))):
         x, y = nodes(level, "x"), nodes(level, "y")
         agreed = [F.bitwise_not(F.col(f"{n}_all").bitwiseXOR(F.col(f"{n}_any"))) for n in "xy"]
         apart = F.bit_count(F.col("x_all").bitwiseXOR(F.col("y_all")).bitwiseAND(agreed[0]).bitwiseAND(agreed[1]))
-        pairs = pairs.join(x, F.col("a") == F.col("x_up")).join(y, (F.col("b") == F.col("y_up")) & (F.col("x_id") <= F.col("y_id"))).where(apart <= max_bits).select(F.col("x_id").alias("a"), F.col("y_id").alias("b"))
+        ordered_pair = F.col("x_id") <= F.col("y_id")
+        if pairs is None:  # the root's children
+            met = x.join(y, (F.col("x_up") == F.col("y_up")) & ordered_pair)
+        else:
+            met = pairs.join(x, F.col("a") == F.col("x_up")).join(y, (F.col("b") == F.col("y_up")) & ordered_pair)
+        pairs = met.where(apart <= max_bits).select(F.col("x_id").alias("a"), F.col("y_id").alias("b"))
     blobs = pages.select("page", "fps")
     left = blobs.select(F.col("page").alias("a"), F.col("fps").alias("a_fps"))
     right = blobs.select(F.col("page").alias("b"), F.col("fps").alias("b_fps"))
