@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, html_text, language, mixing, packing, quality, simhash_dedup, substring_dedup, url_filter
+from strata.llm import exact_dedup, html_text, language, mixing, packing, quality, simhash_dedup, substring_dedup, topk_search, url_filter
 
 QUERIES = {
+    "op8_topk_search": topk_search.op8_topk_search,
     "op3_url_filter": url_filter.op3_url_filter,
     "op10_html_extraction": html_text.op10_html_extraction,
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -16,6 +17,7 @@ QUERIES = {
     "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
 ORACLES = {
+    "op8_topk_search": topk_search.ORACLE,
     "op1_substring_dedup": substring_dedup.ORACLE,
     "op2_mix_sources": mixing.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
