@@ -1,9 +1,8 @@
 """Exact dedup by content-defined chunk recipes.
 
 A text without its white space is cut into chunks at places that its content
-defines: the first punctuation mark that is followed by a capital, a letter
-without case or a digit, at least ``MIN_CHUNK`` characters after the last cut
-and at most ``MAX_CHUNK``. A chunk gets a short identifier; one pass, which
+defines: behind the first of a few rare character patterns that lies at least
+``MIN_CHUNK`` characters after the last cut, at most ``MAX_CHUNK``. A chunk gets a short identifier; one pass, which
 moves each chunk once and copies within a task not even that, verifies that
 every identifier stands for one content. Texts are then equal exactly if their
 ordered lists of identifiers, their recipes, are equal, and only recipes are
@@ -24,9 +23,11 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import DOCUMENT_COLUMNS, SPACES, read_table, written
 
-MIN_CHUNK = 1024
+MIN_CHUNK = 256
 MAX_CHUNK = 8192
-CUT = r"(?s).{%d,%d}?\p{P}(?=[\p{Lu}\p{Lo}\p{N}])|.{1,%d}" % (MIN_CHUNK - 1, MAX_CHUNK - 1, MAX_CHUNK)
+# about one place in 500 characters of Latin text; digits and letters without case have patterns of their own
+PLACES = r"[dhlmc][aeiou][bgkpvw][aeiou]|[37][0-9][05]|\p{Lo}\p{P}(?=\p{Lo})"
+CUT = r"(?s).{%d,%d}?(?:%s)|.{1,%d}" % (MIN_CHUNK - 4, MAX_CHUNK - 4, PLACES, MAX_CHUNK)
 
 
 def short_id(chunk: Column) -> Column:
@@ -99,13 +100,14 @@ def exact_dedup(docs: DataFrame, identifiers: Sequence[Callable[[Column], Column
 
 
 def keep_exact(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    own = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256)).withColumn("_len", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
-    stay = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_keep_sha"), F.col("text_chars").alias("_keep_len"))
-    both = own.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_keep_sha")) & (F.col("_len") == F.col("_keep_len")))
+    """The rows of ``docs`` that stay, with their columns, whatever these are called."""
+    length = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    own = docs.select(F.struct("*").alias("row"), F.sha2(normalised(F.col("text")), 256).alias("sha"), length.alias("chars"))
+    stay = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha"), F.col("text_chars").alias("keep_chars"))
+    both = own.join(stay, F.col("row.doc_id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha")) & (F.col("chars") == F.col("keep_chars")))
     # rows that repeat doc_id and text: the first in the order of the other columns
-    first = Window.partitionBy("_id", "_keep_sha", "_keep_len").orderBy(*DOCUMENT_COLUMNS[1:])
-    return both.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*docs.columns)
+    first = Window.partitionBy("keep_id", "keep_sha", "keep_chars").orderBy(*(f"row.{c}" for c in DOCUMENT_COLUMNS[1:]))
+    return both.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,114 @@
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
+
+from strata.llm.components import components
+from strata.llm.simhash_dedup import PAGE, _forest, fingerprint, gray_rank, keep_one, near_links, page_links, simhash_groups
+
+NOISE = ["fp", "row", "text_key", "component_id", "nth"]
+
+
+def slow_fingerprint(text, n=3):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words)] if len(words) < n else [b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)]
+    hashes = [xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(n, links):
+    parent = list(range(n))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in links:
+        p, q = root(i), root(j)
+        parent[max(p, q)] = min(p, q)
+    return [root(i) for i in range(n)]
+
+
+def test_fingerprint_equals_spark_hash_and_slow_form(spark, documents, whole):
+    for text in (None, "", "  ", "One", "one TWO", "A b c", "a b c a b c a b c", "ÄÖ ä x\x85y \x1c z", "the " * 5000):
+        assert fingerprint(text) == slow_fingerprint(text)
+    # one shingle's majority is its hash
+    h = spark.sql("select xxhash64('a b c') h").first().h
+    assert fingerprint("A B c") == h % (1 << 64)
+
+
+def test_groups_equal_brute_force(whole):
+    rows = sorted((r.doc_id, r.text) for r in whole.select("doc_id", "text").collect())
+    fps = np.array([fingerprint(t) for _, t in rows], dtype=np.uint64)
+    links = [(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 2]
+    expected = {rows[i][0]: rows[r][0] for i, r in enumerate(roots(len(rows), links))}
+    got = {r.doc_id: r.component_id for r in simhash_groups(whole).collect()}
+    assert got == expected
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.integers(0, 2**32 - 1), st.integers(1, PAGE), st.integers(1, 600), st.integers(4, 64))
+def test_page_links_are_all_links(seed, n, m, bits):
+    chance = np.random.default_rng(seed)
+    mask = np.uint64((1 << bits) - 1)
+    a, b = (np.unique(chance.integers(0, 2**64, k, dtype=np.uint64) & mask).view(np.int64) for k in (n, m))
+    for x, y, same in ((a, b, False), (a, a, True)):
+        apart = np.bitwise_count(x[:, None] ^ y[None, :]) <= 2
+        if same:
+            apart = np.triu(apart, 1)
+        got = page_links(x, y, same, 2)
+        assert sorted(map(tuple, got.tolist())) == sorted(map(tuple, np.argwhere(apart).tolist()))
+
+
+def test_forest_keeps_components():
+    links = np.array([[0, 1], [1, 2], [0, 2], [4, 5], [2, 1]])
+    assert len(_forest(links, 0)) == 3
+    # with an offset the second index is of another page
+    assert _forest(np.array([[0, 0], [1, 0], [0, 0]]), 10) == [(0, 0), (1, 0)]
+
+
+def test_links_across_pages(spark):
+    """Clusters whose members lie far apart in Gray rank, over several pages and partitions."""
+    chance = np.random.default_rng(1)
+    base = chance.integers(0, 2**63, 3000, dtype=np.int64)
+    flips = np.int64(1) << chance.integers(0, 63, 3000)
+    values = np.unique(np.concatenate([base, base ^ flips, chance.integers(0, 2**63, 3000, dtype=np.int64)]))
+    fps = spark.createDataFrame([(int(v),) for v in values], "fp long")
+    got = {(min(r.u, r.v), max(r.u, r.v)) for r in near_links(fps).collect()}
+    assert all(bin(u ^ v).count("1") <= 2 for u, v in got)
+    at = {int(v): k for k, v in enumerate(values)}
+    apart = [(i, j) for i in range(len(values)) for j in (i + 1 + np.flatnonzero(np.bitwise_count(values[i] ^ values[i + 1 :]) <= 2)).tolist()]
+    assert roots(len(values), [(at[u], at[v]) for u, v in got]) == roots(len(values), apart)
+
+
+def test_gray_rank_orders_the_reflected_code(spark):
+    rows = spark.range(16).select("id", gray_rank(F.col("id")).alias("r")).orderBy("r").collect()
+    order = [r.id for r in rows]
+    assert all(bin(a ^ b).count("1") == 1 for a, b in zip(order, order[1:], strict=False))
+    top = spark.sql("select -1L as id").select(gray_rank(F.col("id")).alias("r")).first().r
+    assert top > rows[0].r
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(60)]
+    star = [(1000, 1000 + i) for i in range(1, 200)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(chain + star + [(7, 7)], "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 61)}, **{1000 + i: 1000 for i in range(1, 200)}}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_defined_cases(documents):
+    rows = [(4, None), (2, ""), (9, " \n"), (1, "a b c d"), (8, "A B C D"), (5, "q r"), (None, "q  R"), (5, "q r"), (7, "x " * 200_000)]
+    docs = documents(rows, NOISE)
+    got = simhash_groups(docs).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got} == {(4, 2), (2, 2), (9, 2), (1, 1), (8, 1), (5, 5), (None, 5), (7, 7)}
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 5, 7]
+    assert simhash_groups(documents([])).count() == 0
+    assert keep_one(documents([])).count() == 0
