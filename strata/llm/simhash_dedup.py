@@ -199,13 +199,14 @@ def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group, the one with the least doc_id, with the columns of ``docs``."""
+    """One document of each group, the one with the least doc_id, with its columns, whatever these are called."""
     groups = simhash_groups(docs, shingle_words, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = groups.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "fp").distinct()
-    both = docs.withColumn("_text_key", F.xxhash64("text")).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    # rows that repeat a doc_id within a group: the first in the order of all columns
-    first = Window.partitionBy("_id", "fp").orderBy(*DOCUMENT_COLUMNS[1:])
-    return both.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*docs.columns)
+    stay = groups.select("doc_id", "text_key", "fp").distinct()
+    own = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("own_key"))
+    both = own.join(stay, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key")))
+    # rows that repeat a doc_id within a group: the first in the order of the other columns
+    first = Window.partitionBy("doc_id", "fp").orderBy(*(f"row.{c}" for c in DOCUMENT_COLUMNS[1:]))
+    return both.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
