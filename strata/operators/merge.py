@@ -7,22 +7,14 @@ unmatched source rows are inserted, and target rows absent from the source
 stay. Presence of each side is read from a marker column, never from key
 nullness.
 
-Each key may appear once in the source. The check runs inside the same job:
-a count per key over a window that is partitioned like the join, so it costs
-no extra shuffle, and a duplicate raises at run time.
-
-Strategies:
-
-- ``"shuffle"`` (default): full outer join; both sides are shuffled on the
-  keys. Right for any size; cost O(target).
-- ``"auto"``: counts the source rows first, up to the bound (one job). At or
-  under ``broadcast_max_rows`` the target is never shuffled:
-  ``target LEFT JOIN broadcast(source)`` gives updated and kept rows; the
-  inserts are source rows whose key is not among the target keys that
-  matched (a semi join of the target's key columns against the broadcast
-  keys, then an anti join of two small sides). Above the bound it is the
-  shuffle plan. Meant for incremental loads, where the source is a batch of
-  new files and cheap to count.
+The plan is one full outer join. Which side is built, broadcast or split is
+left to adaptive execution, which knows the bytes at run time.
+
+Each key may appear once in the source. The check runs inside the same job: a
+row number per key over a window that is partitioned like the join, so it costs
+no extra shuffle and holds no group in memory; a second row raises at run time.
+Keys with a null part never match unless ``null_safe``: such source rows are
+all inserted, however many there are.
 
 Co-location: when the target is stored bucketed by the keys
 (``sinks.write_bucketed``), ``co_partitions=<buckets>`` repartitions the
@@ -43,18 +35,33 @@ from pyspark.sql import functions as F
 from strata.functions.keys import key_list
 
 _T, _S = "__t_", "__s_"
+# Fixed value: how many groups the rows without a full key are spread over.
+NULL_GROUPS = 1024
 Condition = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
 
-def assert_unique_keys(df: DataFrame, keys: str | Iterable[str], what: str = "merge source") -> DataFrame:
-    """Rows of ``df`` unchanged; raises at run time if a key occurs twice."""
+def _present(keys: list[str]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
+def assert_unique_keys(
+    df: DataFrame, keys: str | Iterable[str], what: str = "merge source", null_safe: bool = False
+) -> DataFrame:
+    """Rows of ``df`` unchanged; raises at run time if a key occurs twice.
+
+    Keys with a null part are equal to nothing, so they may repeat, unless
+    ``null_safe`` makes null a value like any other.
+    """
     keys = key_list(keys)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     msg = f"{what} has more than one row for a key of ({', '.join(keys)})"
+    repeated = F.col("__key_row") > 1
+    if not null_safe:
+        repeated = repeated & _present(keys)
     return (
-        df.withColumn("__key_rows", n)
-        .filter(F.when(F.col("__key_rows") > 1, F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
-        .drop("__key_rows")
+        df.withColumn("__key_row", nth)
+        .filter(F.when(repeated, F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
+        .drop("__key_row")
     )
 
 
@@ -67,9 +74,9 @@ def merge(
     update_cols: Iterable[str] | None = None,
     null_safe: bool = False,
     validate: bool = True,
-    strategy: str = "shuffle",
-    broadcast_max_rows: int = 1_000_000,
     co_partitions: int | None = None,
+    spread_null_keys: bool = False,
+    extra: str = "refuse",
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` on ``keys``; result has the target's columns.
 
@@ -77,65 +84,63 @@ def merge(
     - ``when_changed="hash"``: update only when that column differs (null-safe).
     - ``when_changed=callable(t, s) -> Column``: custom condition; ``t(c)``/``s(c)``
       give a side's column.
-    - ``update_cols``: columns set on update (default: all non-key columns).
-      Inserts always take every column the source has.
+    - ``update_cols``: columns set on update (default: all non-key columns the
+      source has). Inserts always take every column the source has.
     - ``null_safe``: keys match with ``<=>`` (null equals null).
-    - ``strategy``: ``"shuffle"`` or ``"auto"`` (see module doc).
     - ``co_partitions``: bucket count of a target bucketed by ``keys``; the
       source is hash-partitioned to match and the target is not shuffled.
+    - ``spread_null_keys``: rows without a full key, which match nothing, are
+      spread over the tasks instead of meeting in one. For tables where many
+      rows lack a key; inputs that are already partitioned by the keys are then
+      shuffled again.
+    - ``extra``: what to do with source columns the target doesn't have:
+      ``"refuse"`` raises, ``"add"`` adds them (null where a row isn't taken
+      from the source), ``"drop"`` leaves them out.
     """
     keys = key_list(keys)
-    tcols = target.columns
-    missing = [k for k in keys if k not in tcols or k not in source.columns]
+    missing = [k for k in keys if k not in target.columns or k not in source.columns]
     if missing:
         raise ValueError(f"merge keys {missing} must exist on both sides")
-    if null_safe:
-        # `<=>` keys become coalesce/isnull expressions, which no input is
-        # partitioned by, so both sides would be shuffled again. A key with a
-        # null part never equals a key without one: rows whose keys are all
-        # present merge with plain equality (reusing the inputs' partitioning)
-        # and the rest merge null-safe; the two results are disjoint.
-        present = reduce(and_, [F.col(k).isNotNull() for k in keys])
-        options = dict(
-            when_changed=when_changed,
-            update_cols=update_cols,
-            validate=validate,
-            strategy=strategy,
-            broadcast_max_rows=broadcast_max_rows,
-        )
-        complete = merge(target.filter(present), source.filter(present), keys, **options)
-        partial = _merge_one(target.filter(~present), source.filter(~present), keys, null_safe=True, **options)
-        return complete.unionByName(partial)
-    return _merge_one(
-        target,
-        source,
-        keys,
-        when_changed=when_changed,
-        update_cols=update_cols,
-        null_safe=False,
-        validate=validate,
-        strategy=strategy,
-        broadcast_max_rows=broadcast_max_rows,
-        co_partitions=co_partitions,
+    new = [c for c in source.columns if c not in target.columns]
+    if new:
+        if extra == "refuse":
+            raise ValueError(f"source columns {new} are not in the target; pass extra='add' or extra='drop'")
+        if extra not in ("add", "drop"):
+            raise ValueError(f"unknown choice for extra columns: {extra!r}")
+        if extra == "add":
+            types = dict(source.dtypes)
+            target = target.withColumns({c: F.lit(None).cast(types[c]) for c in new})
+        else:
+            source = source.drop(*new)
+    options = dict(when_changed=when_changed, update_cols=update_cols, validate=validate)
+    if null_safe and co_partitions:
+        # A key with a null part never equals a key without one. Rows with full
+        # keys merge with plain equality, which keeps the buckets; the others
+        # merge null-safe; the two results are disjoint.
+        present = _present(keys)
+        full = _merge(target.filter(present), source.filter(present), keys, co_partitions=co_partitions, **options)
+        rest = _merge(target.filter(~present), source.filter(~present), keys, null_safe=True, **options)
+        return full.unionByName(rest)
+    return _merge(
+        target, source, keys, null_safe=null_safe, co_partitions=co_partitions, spread=spread_null_keys and not null_safe, **options
     )
 
 
-def _merge_one(
+def _merge(
     target: DataFrame,
     source: DataFrame,
     keys: list[str],
     *,
     when_changed: str | Condition | None,
     update_cols: Iterable[str] | None,
-    null_safe: bool,
     validate: bool,
-    strategy: str,
-    broadcast_max_rows: int,
+    null_safe: bool = False,
     co_partitions: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     tcols = target.columns
     scols = set(source.columns)
-    update = set(update_cols) if update_cols is not None else {c for c in tcols if c not in keys}
+    update = set(update_cols) if update_cols is not None else {c for c in tcols if c not in keys and c in scols}
     unknown = update - scols
     if unknown:
         raise ValueError(f"update columns {sorted(unknown)} are not in the source")
@@ -143,11 +148,7 @@ def _merge_one(
     if co_partitions:
         source = source.repartition(co_partitions, *keys)
     if validate:
-        source = assert_unique_keys(source, keys)
-    t = target.select(*[F.col(c).alias(_T + c) for c in tcols], F.lit(True).alias(_T + "present"))
-    s = source.select(
-        *[F.col(c).alias(_S + c) for c in source.columns], F.lit(True).alias(_S + "present")
-    )
+        source = assert_unique_keys(source, keys, null_safe=null_safe)
 
     def tc(c: str) -> Column:
         return F.col(_T + c)
@@ -155,31 +156,17 @@ def _merge_one(
     def sc(c: str) -> Column:
         return F.col(_S + c)
 
-    def match(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
-        return reduce(and_, [a(k).eqNullSafe(b(k)) if null_safe else a(k) == b(k) for k in keys])
+    def side(df: DataFrame, prefix: str, group: Column) -> DataFrame:
+        spread_by = [F.when(_present(keys), F.lit(0).cast("long")).otherwise(group).alias(prefix + "group")] if spread else []
+        return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(prefix + "present"), *spread_by)
 
-    if strategy not in ("shuffle", "auto"):
-        raise ValueError(f"unknown merge strategy {strategy!r}")
-    # The broadcast plan is only taken behind a row count of the source. The
-    # count only has to tell "at most the bound" from "more", so each task
-    # stops reading after bound + 1 rows (the limit is the check, never a cap
-    # on the merge's rows).
-    small_source = strategy == "auto" and source.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
-
-    if not small_source:
-        joined = t.join(s, match(tc, sc), "full_outer")
-    else:
-        small = F.broadcast(s)
-        kept_or_updated = t.join(small, match(tc, sc), "left")
-        matched = t.select(*[tc(k) for k in keys]).join(
-            F.broadcast(s.select(*[sc(k) for k in keys])), match(tc, sc), "left_semi"
-        )
-        inserts = s.join(matched, match(sc, tc), "left_anti").select(
-            "*",
-            *[F.lit(None).cast(t_type).alias(_T + c) for c, t_type in target.dtypes],
-            F.lit(None).cast("boolean").alias(_T + "present"),
-        )
-        joined = kept_or_updated.unionByName(inserts)
+    # groups above zero hold the target's rows without a full key, those below the source's
+    t = side(target, _T, F.pmod(F.xxhash64(*tcols), F.lit(NULL_GROUPS)) + 1)
+    s = side(source, _S, -F.pmod(F.xxhash64(*source.columns), F.lit(NULL_GROUPS)) - 1)
+    on = [tc(k).eqNullSafe(sc(k)) if null_safe else tc(k) == sc(k) for k in keys]
+    if spread:
+        on.append(tc("group") == sc("group"))
+    joined = t.join(s, reduce(and_, on), "full_outer")
 
     t_here = F.coalesce(tc("present"), F.lit(False))
     s_here = F.coalesce(sc("present"), F.lit(False))
@@ -195,9 +182,7 @@ def _merge_one(
     out = []
     for c in tcols:
         from_source = sc(c) if c in scols else F.lit(None)
-        if c in keys:
-            v = F.when(t_here, tc(c)).otherwise(from_source)
-        elif c in update:
+        if c not in keys and c in update:
             v = F.when(take_source, from_source).otherwise(tc(c))
         else:
             v = F.when(t_here, tc(c)).otherwise(from_source)

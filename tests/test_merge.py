@@ -62,44 +62,74 @@ def test_missing_key_is_rejected(spark):
         merge(t, t.drop("id"), "id")
 
 
-def test_broadcast_strategy_equals_shuffle(spark):
-    from strata.sources.fixtures import Store
-    from tests.conftest import SF_SMALL
+def test_no_join_is_forced(spark):
+    """Which side is broadcast is left to the sizes: no hint in the plan."""
+    t = spark.createDataFrame([(1, "a", "1")], S)
+    assert "ResolvedHint" not in merge(t, t, "id")._jdf.queryExecution().optimizedPlan().toString()
 
-    st = Store(spark, SF_SMALL)
-    for kw in [{}, {"when_changed": "type"}, {"update_cols": ["status"], "when_changed": "status"}]:
-        a = merge(st.customers_s1, st.customers_s2, "id", **kw).collect()
-        b = merge(st.customers_s1, st.customers_s2, "id", strategy="auto", **kw).collect()
-        c = merge(st.customers_s1, st.customers_s2, "id", strategy="auto", broadcast_max_rows=10, **kw).collect()
-        assert sorted(map(tuple, a)) == sorted(map(tuple, b)) == sorted(map(tuple, c))
 
+def test_null_keys_are_inserted_each(spark):
+    t = spark.createDataFrame([(1, "a", "1"), (None, "t", "0")], S)
+    s = spark.createDataFrame([(None, "x", "1"), (None, "x", "1"), (1, "A", "2")], S)
+    for spread in (False, True):
+        out = merge(t, s, "id", spread_null_keys=spread)
+        got = sorted(((r.id, r.v) for r in out.collect()), key=str)
+        assert got == sorted([(1, "A"), (None, "t"), (None, "x"), (None, "x")], key=str)
+    with pytest.raises(PySparkException):
+        merge(t, s, "id", null_safe=True).collect()
 
-def test_broadcast_strategy_null_safe(spark):
-    schema = "orderId long, itemId long, q int"
-    t = spark.createDataFrame([(None, 5, 1), (5, None, 2), (1, 1, 3)], schema)
-    s = spark.createDataFrame([(None, 5, 10), (2, 2, 7)], schema)
-    out = merge(t, s, ["orderId", "itemId"], null_safe=True, strategy="auto")
-    got = sorted(((r.orderId, r.itemId, r.q) for r in out.collect()), key=str)
-    assert got == sorted([(None, 5, 10), (5, None, 2), (1, 1, 3), (2, 2, 7)], key=str)
 
+def test_spread_null_keys_reach_many_tasks(spark):
+    from pyspark.sql import functions as F
 
-def test_broadcast_strategy_never_shuffles_the_target(spark):
+    t = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("id"), F.col("id").cast("string").alias("v"))
+    s = spark.createDataFrame([(2, "new")], "id long, v string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        most = [
+            max(r["count"] for r in merge(t, s, "id", spread_null_keys=spread).groupBy(F.spark_partition_id()).count().collect())
+            for spread in (False, True)
+        ]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert most[1] < most[0] / 1.5
+
+
+def test_source_columns_that_the_table_lacks(spark):
+    t = spark.createDataFrame([(1, "a", "1"), (3, "c", "3")], S)
+    s = spark.createDataFrame([(1, "A", "2", 7), (2, "B", "2", 8)], S + ", n int")
+    with pytest.raises(ValueError, match="'n'"):
+        merge(t, s, "id")
+    assert merge(t, s, "id", extra="drop").columns == t.columns
+    added = merge(t, s, "id", extra="add")
+    assert as_set(added, "id", "v", "n") == [(1, "A", 7), (2, "B", 8), (3, "c", None)]
+
+
+def test_columns_only_the_table_has_survive(spark):
+    t = spark.createDataFrame([(1, "a", "1"), (3, "c", "3")], S)
+    s = spark.createDataFrame([(1, "A"), (2, "B")], "id long, v string")
+    assert as_set(merge(t, s, "id"), "id", "v", "h") == [(1, "A", "1"), (2, "B", None), (3, "c", "3")]
+
+
+def test_null_safe_merge_keeps_the_buckets(spark):
     import contextlib
     import io
 
-    from strata.session import fresh_table_path
+    from strata.sources.sinks import write_bucketed
 
-    path = fresh_table_path(spark, "target")
-    spark.range(1000).selectExpr("id", "cast(id as string) as v", "'h' as h").write.parquet(path)
-    t = spark.read.parquet(path)
-    s = spark.createDataFrame([(2, "B", "x"), (5000, "n", "y")], S)
+    rows = [(k, f"v{k}", "h") for k in range(50)] + [(None, "none", "h")]
+    table = write_bucketed(spark, spark.createDataFrame(rows, S), "keyed", ["id"], 3)
+    s = spark.createDataFrame([(1, "A", "x"), (None, "N", "x"), (99, "new", "x")], S)
+    out = merge(spark.table(table), s, "id", null_safe=True, co_partitions=3)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        merge(t, s, "id", strategy="auto").explain()
-    text = buf.getvalue()
-    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
-    out = {r.id: r.v for r in merge(t, s, "id", strategy="auto").collect()}
-    assert len(out) == 1001 and out[2] == "B" and out[5000] == "n" and out[3] == "3"
+        out.explain()
+    assert "Bucketed: true" in buf.getvalue()
+    got = {r.id: r.v for r in out.collect()}
+    assert (got[1], got[None], got[99], got[2], len(got)) == ("A", "N", "new", "v2", 52)
 
 
 def test_bucketed_target_is_merged_in_place(spark):
