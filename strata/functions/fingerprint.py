@@ -1,9 +1,11 @@
 """Row fingerprints for change detection.
 
 ``sha2(concat_ws(sep, cols...), 256)`` over the non-key columns, in table order.
-``concat_ws`` skips nulls, so (a, null, b) and (a, b, null) would hash alike;
-by default every value is first replaced by a null marker when null. With
-``null_marker=None`` the plain form is produced.
+``concat_ws`` skips nulls, so (a, null, b) and (a, b, null) would hash alike,
+and a separator inside a value would shift the borders between columns. By
+default a backslash or separator in a value is escaped by a backslash and a null
+becomes a marker that no escaped value can equal, so rows hash alike only if
+they are equal. With ``null_marker=None`` the plain form is produced.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ def fingerprint(cols: Iterable[str], sep: str = SEPARATOR, null_marker: str | No
     marker = None if null_marker is None else F.lit(null_marker)
     parts = [F.col(c).cast("string") for c in cols]
     if marker is not None:
-        parts = [F.coalesce(p, marker) for p in parts]
+        parts = [F.coalesce(F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(sep), F.lit("\\" + sep)), marker) for p in parts]
     return F.sha2(F.concat_ws(sep, *parts), 256)
 
 

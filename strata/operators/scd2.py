@@ -19,7 +19,9 @@ hash differs                                            old row closed on the ef
 Running it twice with the same source and date returns the same table. Rows
 deleted upstream stay open. Only open versions (at most one per id) and the
 source meet in the full outer join, so a key with a long history cannot skew
-it; closed history contributes only its distinct ids, pre-aggregated map-side.
+it. Closed history is asked only about source ids that have no open version, by
+a semi join on the key columns; on a dimension stored bucketed by its keys
+(``co_partitions``) that lookup moves nothing.
 """
 
 from __future__ import annotations
@@ -63,7 +65,7 @@ def scd2_seed(
 def scd2_apply(
     target: DataFrame,
     source: DataFrame,
-    effective_date: dt.date | str,
+    effective_date: dt.date | str | None = None,
     keys: str | Iterable[str] = "id",
     *,
     null_marker: str | None = NULL_MARKER,
@@ -72,11 +74,16 @@ def scd2_apply(
 ) -> DataFrame:
     """New state of the dimension after loading ``source`` on ``effective_date``.
 
+    Without a date it is the session's current date, read once, so that every
+    row of the load gets the same one. Source values are cast to the table's
+    types before they are hashed, so equal values hash alike.
     ``co_partitions``: bucket count of a dimension stored bucketed by the keys
     (``sinks.write_bucketed``); the source is hash-partitioned to match, so the
     dimension is read in place and never shuffled.
     """
     keys = key_list(keys)
+    if effective_date is None:
+        effective_date = target.sparkSession.range(1).select(F.current_date()).first()[0]
     eff = F.lit(as_date(effective_date))
     attrs = _attributes(target, keys)
     cols = keys + attrs
@@ -84,18 +91,20 @@ def scd2_apply(
 
     if co_partitions:
         source = source.repartition(co_partitions, *keys)
-    src = source.select(*cols, fingerprint(attrs, SEPARATOR, null_marker).alias("hash"))
+    types = dict(target.dtypes)
+    src = source.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
+    src = src.withColumn("hash", fingerprint(attrs, SEPARATOR, null_marker))
     if validate:
         src = assert_unique_keys(src, keys, "dimension source")
     cur = target.filter(is_open())
     hist = target.filter(~is_open())
 
-    # Which ids have closed history: only the distinct ids, aggregated map-side.
-    hist_ids = hist.select(*keys).distinct().withColumn("has_history", F.lit(True))
+    # Which source ids without an open version have closed history.
+    unmatched = src.select(*keys).join(cur.select(*keys), keys, "left_anti")
+    hist_ids = hist.select(*keys).join(unmatched, keys, "left_semi").distinct().withColumn("has_history", F.lit(True))
 
     # Each side travels as one struct in the target's column order and types;
     # a source row gets its dates later.
-    types = dict(target.dtypes)
     no_date = F.lit(None).cast("date")
     t = cur.select(*keys, F.struct(*out_cols).alias("t"))
     s_fields = [no_date.alias(c) if c in ("beg_date", "exp_date") else F.col(c).cast(types[c]).alias(c) for c in out_cols]

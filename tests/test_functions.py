@@ -95,3 +95,12 @@ def test_read_sources_registers_one_view_per_name(spark):
     assert set(tables) == {"orders", "customer"}
     assert spark.table("orders").count() == tables["orders"].count() > 0
     assert spark.sql("select count(*) as n from customer").first().n > 0
+
+
+def test_fingerprints_of_different_rows_differ(spark):
+    """A separator, a backslash or the null marker inside a value can't imitate another row."""
+    from strata.functions.fingerprint import fingerprint
+
+    rows = [("a~b", "c"), ("a", "b~c"), (None, "z"), ("\\N", "z"), ("a\\", "~c"), ("a\\~", "c"), ("a", None), ("a", ""), ("\\", "N"), ("\\\\N", "z")]
+    df = spark.createDataFrame(rows, "x string, y string").withColumn("h", fingerprint(["x", "y"]))
+    assert len({r.h for r in df.collect()}) == len(rows)

@@ -129,3 +129,50 @@ def test_bucketed_dimension_is_not_shuffled(spark):
     assert all("Exchange" not in lines[i - 1] for i in scans)
     want = scd2_apply(scd2_seed(st.customers_s1), st.customers_s2, dt.date(2000, 6, 1))
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_equal_values_of_another_type_make_no_version(spark):
+    target = scd2_seed(spark.createDataFrame([(1, "1.50")], "id long, v string").selectExpr("id", "cast(v as decimal(9,2)) as v"))
+    same = spark.createDataFrame([(1, 1.5)], "id long, v double")
+    assert sorted(map(tuple, scd2_apply(target, same, "2024-01-01").collect())) == sorted(map(tuple, target.collect()))
+
+
+def test_default_date_is_the_current_one_for_all_rows(spark):
+    target = scd2_seed(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"))
+    changed = spark.createDataFrame([(1, "A"), (2, "B")], "id long, v string")
+    today = spark.sql("select current_date() d").first().d
+    begun = {r.beg_date for r in scd2_apply(target, changed).collect() if r.v in "AB"}
+    assert begun == {today}
+
+
+def test_a_returning_id_starts_on_the_load_day(spark):
+    from pyspark.sql import functions as F
+
+    two = scd2_seed(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"))
+    gone = two.withColumn("exp_date", F.when(F.col("id") == 1, F.lit("2024-02-01").cast("date")).otherwise(F.col("exp_date")))
+    out = scd2_apply(gone, spark.createDataFrame([(1, "a"), (3, "c")], "id long, v string"), "2024-05-01")
+    begun = sorted((r.id, str(r.beg_date), str(r.exp_date)) for r in out.collect())
+    assert begun == [(1, "1980-01-01", "2024-02-01"), (1, "2024-05-01", "4444-01-01"), (2, "1980-01-01", "4444-01-01"), (3, "1980-01-01", "4444-01-01")]
+
+
+def test_stored_dimension_isnt_shuffled_by_a_third_load(spark):
+    """Over a bucketed dimension only the source moves, whatever the closed history."""
+    import contextlib
+    import io
+
+    from strata.plans.warehouse import THIRD_DATE, Warehouse
+    from strata.sources import sinks
+    from tests.conftest import SF_SMALL
+
+    w = Warehouse(spark, SF_SMALL)
+    name = sinks.write_bucketed(spark, w.customers_after_two_loads(), "dim_customers", ["id"], 4)
+    source = sinks.read_snapshot(spark, sinks.write_snapshot(spark, w.store.customers_s3, "customers_s3"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        scd2_apply(spark.table(name), source, THIRD_DATE, co_partitions=4).explain()
+    lines = buf.getvalue().splitlines()
+    for k, line in enumerate(lines):
+        if name in line:  # the operators between a scan of the dimension and its join hold no exchange
+            above = [x for x in lines[max(0, k - 4) : k]]
+            assert not any("Exchange" in x and "Repartition" not in x and "hashpartitioning(id" in x and "REPARTITION" not in x for x in above), above
+    assert sum("Exchange hashpartitioning" in x and "REPARTITION_BY_NUM" not in x for x in lines) == 0
