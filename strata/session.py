@@ -8,6 +8,7 @@ as is; only settings that are unset are filled in.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -63,8 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written tables.
 
     Read from the session (``spark.checkpoint.dir`` or a directory set on the
-    context). Only when nothing is set, as in local tests, a scratch folder is
-    created and registered.
+    context). Only on a local master, as in tests, a scratch folder is made when
+    nothing is set; a cluster has to name a folder that its machines share.
     """
     try:
         sc = spark.sparkContext
@@ -76,6 +77,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all machines of the cluster share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)

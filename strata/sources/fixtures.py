@@ -21,7 +21,6 @@ from strata.functions.keys import surrogate_key
 from strata.sources.tables import read_table
 
 MONEY = "decimal(18,2)"
-_STORES: dict[tuple[int, str], Store] = {}
 
 
 def _to_date(c: str | Column) -> Column:
@@ -35,19 +34,6 @@ class Store:
         self.spark = spark
         self.sf_dir = sf_dir
 
-    @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str) -> Store:
-        """The session's store for ``sf_dir``: tables are defined once and reused.
-
-        Only the (lazy) plans are shared between queries; no data is cached,
-        every action reads the files again.
-        """
-        key = (id(spark), sf_dir.rstrip("/"))
-        store = _STORES.get(key)
-        if store is None or store.spark is not spark:
-            store = _STORES[key] = cls(spark, sf_dir)
-        return store
-
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
@@ -55,12 +41,12 @@ class Store:
 
     @cached_property
     def customers(self) -> DataFrame:
-        """id, type, status, createdOn (first order day); customers with orders only."""
+        """id, type, status, createdOn (first order day; null without an order)."""
         first_order = self.raw("orders").groupBy("o_custkey").agg(
             F.min("o_orderdate").alias("first_order")
         )
         c = self.raw("customer")
-        return c.join(first_order, c.c_custkey == first_order.o_custkey).select(
+        return c.join(first_order, c.c_custkey == first_order.o_custkey, "left").select(
             c.c_custkey.alias("id"),
             c.c_mktsegment.alias("type"),
             F.when(c.c_acctbal > 9000, "VIP").otherwise("REGULAR").alias("status"),
@@ -149,6 +135,30 @@ class Store:
             "createdOn",
         )
 
+    @cached_property
+    def customers_s3(self) -> DataFrame:
+        """A third load: every twelfth customer changes its type, every ninth isn't listed."""
+        c = self.customers_s2
+        return c.filter(c.id % 9 != 8).withColumn("type", F.when(c.id % 12 == 0, "PARTNER").otherwise(c.type))
+
+    @cached_property
+    def customers_s4(self) -> DataFrame:
+        """The third load corrected on the same day."""
+        c = self.customers_s3
+        return c.withColumn("type", F.when(c.id % 24 == 0, "CORRECTED").otherwise(c.type))
+
+    @cached_property
+    def addresses_s2(self) -> DataFrame:
+        """A second load of addresses: every eighth has moved to another state and city."""
+        a = self.addresses
+        moved = a.id % 8 == 1
+        return a.select(
+            "id",
+            F.when(moved, "Newtown").otherwise(a.city).alias("city"),
+            F.when(moved, "S9").otherwise(a.state).alias("state"),
+            "country",
+        )
+
     @cached_property
     def items_s2(self) -> DataFrame:
         i = self.items

@@ -3,9 +3,7 @@
 Run listings arrive as JSON lines; ``read_runs_json`` reads them with a fixed
 schema (no inference, no driver-side dict building). ``runs_from_events``
 derives such records from the ``events`` table for tests and queries: the
-events of one user within one block of ``TASKS_PER_RUN`` consecutive event ids
-form a run, so a run never holds more than that many tasks, however the events
-are spread over users.
+events of one user on one day form a run.
 """
 
 from __future__ import annotations
@@ -34,9 +32,6 @@ RUN_SCHEMA = StructType(
     ]
 )
 
-# Fixed value: most tasks one derived run may hold (a block of event ids).
-TASKS_PER_RUN = 1000
-
 
 def read_runs_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).json(path)
@@ -64,7 +59,7 @@ def from_epoch_ms(ms: F.Column) -> F.Column:
 
 
 def runs_from_events(events: DataFrame) -> DataFrame:
-    """One run per (user, block of event ids); one task per event.
+    """One run per user and day; one task per event.
 
     run_id = first event id of the run, job_id = user % 3; run state is null
     (still running) for users divisible by 7, FAILED for users divisible by 5,
@@ -74,7 +69,7 @@ def runs_from_events(events: DataFrame) -> DataFrame:
     e = events.select(
         "user_id",
         "event_id",
-        F.call_function("div", F.col("event_id"), F.lit(TASKS_PER_RUN)).alias("block"),
+        F.col("ts").cast("date").alias("day"),
         F.struct(
             F.col("event_type").alias("task_key"),
             epoch_ms("ts", zone_free).alias("start_time"),
@@ -82,7 +77,7 @@ def runs_from_events(events: DataFrame) -> DataFrame:
             F.struct(F.when(F.col("event_type") == "error", "FAILED").alias("result_state")).alias("state"),
         ).alias("task"),
     )
-    runs = e.groupBy("user_id", "block").agg(
+    runs = e.groupBy("user_id", "day").agg(
         F.min("event_id").alias("run_id"),
         F.min("task.start_time").alias("start_time"),
         F.max("task.start_time").alias("end_time"),

@@ -4,8 +4,10 @@ Parquet has no transaction log, and a job that reads a path and overwrites the
 same path loses the data. So a table that changes (merge, SCD2) is written as a
 new snapshot directory and the caller moves on to the new path; a plain
 overwrite is only for paths the job does not read. Snapshot locations live
-under the shared checkpoint folder named by the session, never on local disk
-of one machine. With Delta on the classpath, ``fmt="delta"`` works unchanged.
+under the checkpoint folder named by the session, which a cluster's machines
+share. ``publish`` keeps a pointer from a table's name to its current snapshot
+and removes old ones. With Delta on the classpath, ``fmt="delta"`` works
+unchanged.
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.session import fresh_table_path
+from strata.session import checkpoint_dir, fresh_table_path
 
 
 def create_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -95,5 +98,67 @@ def write_bucketed(
     return table
 
 
+def default_buckets(spark: SparkSession) -> int:
+    """As many buckets as the session shuffles into, which its owner sets by the size of the data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def drop_bucketed(spark: SparkSession, table: str) -> None:
+    """Remove a table of ``write_bucketed`` from the catalog (its files stay in the shared folder)."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+# --- tables with a name -----------------------------------------------------------
+
+
+def _pointer(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/current/{name}"
+
+
+def snapshots(spark: SparkSession, name: str) -> list[str]:
+    """Locations of a named table's snapshots, the current one last."""
+    try:
+        rows = spark.read.schema("version long, path string").parquet(_pointer(spark, name)).orderBy("version").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [r.path for r in rows]
+
+
+def publish(spark: SparkSession, name: str, df: DataFrame, keep: int = 2, fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` as the current snapshot of ``name`` and return it; older ones than ``keep`` are removed.
+
+    The pointer moves after the write is complete, so a job that fails leaves
+    the table as it was. One job at a time writes a name, as schedulers do.
+    """
+    path = write_snapshot(spark, df, name, fmt)
+    old = snapshots(spark, name)
+    stay = [*old, path][-keep:]
+    rows = [(k, p) for k, p in enumerate(stay)]
+    spark.createDataFrame(rows, "version long, path string").coalesce(1).write.mode("overwrite").parquet(_pointer(spark, name))
+    for gone in old:
+        if gone not in stay:
+            remove(spark, gone)
+    return read_snapshot(spark, path, fmt)
+
+
+def current(spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame | None:
+    """The current snapshot of ``name``; None before the first ``publish``."""
+    paths = snapshots(spark, name)
+    return read_snapshot(spark, paths[-1], fmt) if paths else None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a snapshot that this package wrote, in whatever file system it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def read_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)

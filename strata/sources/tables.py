@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 
 def table_path(base: str, name: str) -> str:
@@ -18,26 +17,9 @@ def table_path(base: str, name: str) -> str:
     return f"{base}/{name}" if name.endswith(".parquet") else f"{base}/{name}.parquet"
 
 
-# Footer schemas already read, by path. Opening a parquet table without a
-# schema runs a job to read a footer; a table opened again in the same
-# application reuses the schema and only lists its files.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Parquet scan of ``name`` under ``base`` (``<base>/<name>.parquet``)."""
-    path = table_path(base, name)
-    schema = _SCHEMAS.get(path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
-
-
-def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Scan of a table written by this package (a snapshot directory)."""
-    return spark.read.format(fmt).load(path)
+    """Parquet scan of ``name`` under ``base`` (``<base>/<name>.parquet``), as it is now."""
+    return spark.read.parquet(table_path(base, name))
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
