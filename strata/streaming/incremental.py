@@ -6,13 +6,16 @@ dimension) are the same operators applied to each new batch of source files.
 
 - the stream's checkpoint records which files were consumed, so a restarted
   job continues where it stopped;
-- batch ``n`` reads table version ``n - 1`` and writes version ``n`` to its
-  own directory, so a batch that is replayed after a failure rewrites the same
-  version from the same input (merge and SCD2 are deterministic, SCD2 is
-  idempotent) and never reads the path it writes;
+- a batch reads the table's newest version and writes the next one to its own
+  directory; a log says which checkpoint and batch made which version, so a
+  batch that is replayed after a failure writes the same version again from the
+  same input, and a new checkpoint over an existing table goes on from it;
 - ``trigger(availableNow=True)`` processes what is there and stops, which is
-  how a scheduled run uses it; each finished version is recorded in a small
-  log table, so a run that finds no new files returns the latest version.
+  how a scheduled run uses it; a run that finds no new files returns the newest
+  version. Versions older than the last ``keep_versions`` are removed.
+
+Every batch writes the whole table, as any parquet table does that has no
+transaction log; a table too large for that is stored bucketed, or as Delta.
 """
 
 from __future__ import annotations
@@ -24,31 +27,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.functions.keys import key_list
 from strata.operators.dedupe import latest_per_key
-from strata.operators.merge import merge
+from strata.operators.merge import assert_unique_keys, merge
 from strata.operators.scd2 import scd2_apply, scd2_seed
+from strata.sources import sinks
 
 Step = Callable[[DataFrame | None, DataFrame, int], DataFrame]
 
+LOG = "checkpoint string, batch long, version long"
+
 
 def version_path(table_root: str, n: int) -> str:
     return f"{table_root.rstrip('/')}/version={n:09d}"
 
 
-def upsert_step(
-    keys: str | Iterable[str], order_by: Iterable[str] | None = None, broadcast_max_rows: int = 1_000_000
-) -> Step:
+def upsert_step(keys: str | Iterable[str], order_by: Iterable[str] | None = None) -> Step:
     """Keyed upsert of each batch; with ``order_by`` only newer rows replace older ones.
 
-    A batch is usually small next to the table, so the merge checks the batch
-    size and, under ``broadcast_max_rows``, joins without shuffling the table.
+    Without ``order_by`` a key that occurs twice in a batch raises, in the
+    first batch too.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    keys = key_list(keys)
 
     def step(current: DataFrame | None, batch: DataFrame, _n: int) -> DataFrame:
-        plan = {"strategy": "auto", "broadcast_max_rows": broadcast_max_rows}
         if order_by is None:
-            return batch if current is None else merge(current, batch, keys, **plan)
+            return assert_unique_keys(batch, keys, "first batch") if current is None else merge(current, batch, keys)
         order = list(order_by)
         newest = latest_per_key(batch, keys, order)
         if current is None:
@@ -57,7 +61,7 @@ def upsert_step(
         def newer(t, s):
             return F.struct(*[s(c) for c in order]) > F.struct(*[t(c) for c in order])
 
-        return merge(current, newest, keys, when_changed=newer, **plan)
+        return merge(current, newest, keys, when_changed=newer)
 
     return step
 
@@ -67,7 +71,7 @@ def scd2_step(keys: str | Iterable[str], effective_date: Callable[[int], dt.date
 
     def step(current: DataFrame | None, batch: DataFrame, n: int) -> DataFrame:
         if current is None:
-            return scd2_seed(batch, keys)
+            return scd2_seed(assert_unique_keys(batch, keys, "first batch"), keys)
         return scd2_apply(current, batch, effective_date(n), keys)
 
     return step
@@ -82,26 +86,32 @@ def incremental_load(
     checkpoint: str,
     step: Step,
     files_per_batch: int | None = None,
-    path_glob: str | None = None,
+    keep_versions: int = 2,
 ) -> str:
-    """Apply ``step`` to every batch of new parquet files; return the last version's path.
+    """Apply ``step`` to every batch of new parquet files; return the newest version's path.
 
-    ``initial`` is the table before the first batch; ``None`` lets the first
+    ``initial`` is the table before the first version; ``None`` lets the first
     batch create it.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
     stream = reader.parquet(source_dir)
 
     def apply(batch: DataFrame, n: int) -> None:
         session = batch.sparkSession
-        current = initial if n == 0 else session.read.parquet(version_path(table_root, n - 1))
-        step(current, batch, n).write.mode("overwrite").parquet(version_path(table_root, n))
-        # Record the finished version (a replayed batch records it again).
-        session.createDataFrame([(n,)], "version long").write.mode("append").parquet(_log_path(table_root))
+        done = _log(session, table_root)
+        own = [v for c, b, v in done if (c, b) == (checkpoint, n)]
+        last = max((v for _, _, v in done), default=-1)
+        version = own[0] if own else last + 1
+        current = session.read.parquet(version_path(table_root, version - 1)) if version else initial
+        step(current, batch, n).write.mode("overwrite").parquet(version_path(table_root, version))
+        if not own:
+            entry = session.createDataFrame([(checkpoint, n, version)], LOG)
+            entry.coalesce(1).write.mode("append").parquet(_log_path(table_root))
+            # the version before stays for a replay of this batch
+            if version >= max(2, keep_versions):
+                sinks.remove(session, version_path(table_root, version - max(2, keep_versions)))
 
     query = (
         stream.writeStream.foreachBatch(apply)
@@ -119,10 +129,16 @@ def _log_path(table_root: str) -> str:
     return f"{table_root.rstrip('/')}/_versions"
 
 
+def _log(spark: SparkSession, table_root: str) -> list[tuple[str, int, int]]:
+    """(checkpoint, batch, version) of every finished version: one row for a batch ever run."""
+    if not sinks.exists(spark, _log_path(table_root)):
+        return []
+    return [tuple(r) for r in spark.read.schema(LOG).parquet(_log_path(table_root)).collect()]
+
+
 def latest_version(spark: SparkSession, table_root: str) -> str:
     """Path of the newest finished version (also when a run found no new files)."""
-    try:
-        n = spark.read.parquet(_log_path(table_root)).agg(F.max("version")).first()[0]
-    except Exception as e:  # noqa: BLE001 - no version written yet
-        raise RuntimeError(f"no version of {table_root} has been written") from e
-    return version_path(table_root, n)
+    versions = [v for _, _, v in _log(spark, table_root)]
+    if not versions:
+        raise RuntimeError(f"no version of {table_root} has been written")
+    return version_path(table_root, max(versions))

@@ -72,3 +72,43 @@ def test_first_batch_creates_the_table(spark):
     )
     got = sorted(map(tuple, spark.read.parquet(out).collect()), key=str)
     assert got == sorted(map(tuple, scd2_seed(store.customers_s1).collect()), key=str)
+
+
+def test_new_checkpoint_goes_on_from_the_table(spark):
+    """A second stream over an existing table neither overwrites nor hides what is there."""
+    schema = "id long, v string"
+    root = fresh_table_path(spark, "table")
+    for n, rows in enumerate([[(1, "a"), (2, "b")], [(2, "NEW"), (3, "c")]]):
+        src = fresh_table_path(spark, f"in{n}")
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(src)
+        out = incremental_load(spark, src, spark.createDataFrame([], schema).schema, None, root, fresh_table_path(spark, "ckpt"), upsert_step("id"))
+    assert {r.id: r.v for r in spark.read.parquet(out).collect()} == {1: "a", 2: "NEW", 3: "c"}
+
+
+def test_first_batch_refuses_a_repeated_key(spark):
+    import pytest
+
+    src = fresh_table_path(spark, "in")
+    spark.createDataFrame([(1, "a"), (1, "b")], "id long, v string").coalesce(1).write.parquet(src)
+    with pytest.raises(Exception, match="more than one row"):
+        incremental_load(spark, src, spark.createDataFrame([], "id long, v string").schema, None, fresh_table_path(spark, "t"), fresh_table_path(spark, "c"), upsert_step("id"))
+
+
+def test_old_versions_are_removed(spark):
+    from strata.sources import sinks
+
+    src, root = fresh_table_path(spark, "in"), fresh_table_path(spark, "t")
+    for k in range(4):
+        spark.createDataFrame([(k, "v")], "id long, v string").coalesce(1).write.mode("append").parquet(src)
+    out = incremental_load(spark, src, spark.createDataFrame([], "id long, v string").schema, None, root, fresh_table_path(spark, "c"), upsert_step("id"), files_per_batch=1)
+    assert spark.read.parquet(out).count() == 4
+    assert [sinks.exists(spark, f"{root}/version={k:09d}") for k in range(4)] == [False, False, True, True]
+
+
+def test_registered_stream_reads_a_table_directory(spark):
+    from strata.plans.queries import QUERIES
+
+    base = fresh_table_path(spark, "sf")
+    Store(spark, SF_SMALL).raw("events").repartition(3).write.parquet(f"{base}/events.parquet")
+    got, want = (sorted(map(tuple, QUERIES[q](spark, base).collect()), key=str) for q in ("stream_latest_events", "dedupe_latest"))
+    assert got == want and got
