@@ -8,7 +8,6 @@ snapshot and returns its path, so a job never overwrites the path it reads.
 =========================  ====================================================
 job                        what it does
 =========================  ====================================================
-``ingest_overwrite``       replace the ingestion table with the source (one write)
 ``ingest_upsert``          deduplicate the source on its key, then full upsert
 ``process_fact``           fingerprint non-key columns; update rows whose hash changed, insert new
 ``process_dimension``      (optionally clean strings and flag validity), then SCD2
@@ -25,57 +24,56 @@ import datetime as dt
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions.cleaning import clean_strings
 from strata.functions.fingerprint import with_row_hash
 from strata.functions.keys import key_list
 from strata.operators.dedupe import dedupe_key
-from strata.operators.merge import merge
+from strata.operators.merge import assert_unique_keys, merge
 from strata.operators.scd2 import scd2_apply, scd2_seed
 from strata.plans.marts import run_mart
 from strata.sources import sinks
 from strata.sources.fixtures import rollup_orderdetails
 
 
-def ingest_overwrite(current: DataFrame | None, source: DataFrame) -> DataFrame:
-    """The source replaces the table: one write of the new state (``run_job``)."""
-    return source
-
-
 def ingest_upsert(
     current: DataFrame | None,
     source: DataFrame,
     keys: str | Iterable[str] = "id",
     order_by: Iterable[str] | None = None,
-    strategy: str = "shuffle",
     co_partitions: int | None = None,
 ) -> DataFrame:
     """Source deduplicated on the key (survivor by ``order_by``), then upserted."""
     fresh = dedupe_key(source, keys, order_by)
     if current is None:
         return fresh
-    return merge(current, fresh, keys, strategy=strategy, co_partitions=co_partitions)
+    return merge(current, fresh, keys, co_partitions=co_partitions, extra="drop")
 
 
 def process_fact(
     current: DataFrame | None,
     source: DataFrame,
     keys: str | Iterable[str] = "id",
-    strategy: str = "shuffle",
     co_partitions: int | None = None,
 ) -> DataFrame:
-    """Fact with a ``hash`` of its non-key columns; only changed rows are rewritten."""
+    """Fact with a ``hash`` of its non-key columns; only changed rows are rewritten.
+
+    Values are cast to the table's types before they are hashed; a key that
+    occurs twice raises, on the first load too.
+    """
     keys = key_list(keys)
-    hashed = with_row_hash(source, exclude=keys)
     if current is None:
-        return hashed
-    return merge(current, hashed, keys, when_changed="hash", strategy=strategy, co_partitions=co_partitions)
+        return with_row_hash(assert_unique_keys(source, keys, "fact source"), exclude=keys)
+    types = dict(current.dtypes)
+    typed = source.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in source.columns])
+    return merge(current, with_row_hash(typed, exclude=keys), keys, when_changed="hash", co_partitions=co_partitions)
 
 
 def process_dimension(
     current: DataFrame | None,
     source: DataFrame,
-    effective_date: dt.date | str,
+    effective_date: dt.date | str | None = None,
     keys: str | Iterable[str] = "id",
     clean: bool = False,
     co_partitions: int | None = None,
@@ -84,7 +82,7 @@ def process_dimension(
     keys = key_list(keys)
     rows = clean_strings(source, exclude=keys) if clean else source
     if current is None:
-        return scd2_seed(rows, keys)
+        return scd2_seed(assert_unique_keys(rows, keys, "dimension source"), keys)
     return scd2_apply(current, rows, effective_date, keys, co_partitions=co_partitions)
 
 
@@ -109,16 +107,33 @@ def merge_mart(current: DataFrame | None, mart: DataFrame, grain: str | Iterable
 
 
 def write_mart_periods(
-    spark: SparkSession, mart: DataFrame, path: str, period: str = "ReportingPeriod", fmt: str = "parquet"
+    spark: SparkSession,
+    mart: DataFrame,
+    path: str,
+    period: str = "ReportingPeriod",
+    grain: str | Iterable[str] | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Store a period-keyed mart partitioned by its period and return the table.
 
-    Each run replaces the periods it covers and adds new ones; the other
-    periods are not rewritten (the partitioned form of ``merge_mart``).
+    The partitioned form of ``merge_mart``: the run's rows replace stored rows
+    of the same ``grain`` (the period alone unless told otherwise), stored rows
+    of other grains in the same periods stay, and only the periods that the run
+    touches are read and written.
     """
+    keys = key_list(grain) if grain is not None else [period]
+    if period not in keys:
+        raise ValueError(f"the grain {keys} has to hold the period {period!r}")
+    state = mart
+    if keys != [period] and sinks.exists(spark, path):
+        stored = spark.read.schema(mart.schema).format(fmt).load(path)
+        touched = stored.join(mart.select(period).distinct(), period, "left_semi")
+        # the merged periods are written elsewhere first: a job can't overwrite what it reads
+        merged = merge(touched.select(*mart.columns), mart, keys)
+        state = sinks.read_snapshot(spark, sinks.write_snapshot(spark, merged, "touched_periods", fmt), fmt)
     # One task per period writes one file per partition (a mart is aggregated,
     # so a period holds few rows), instead of every task writing to every period.
-    sinks.overwrite_partitions(mart.repartition(period), path, [period], fmt)
+    sinks.overwrite_partitions(state.repartition(period), path, [period], fmt)
     return spark.read.schema(mart.schema).format(fmt).load(path)
 
 
@@ -164,5 +179,7 @@ def run_job(
     next run merges into it with ``co_partitions=buckets`` without shuffling it.
     """
     if bucket_by:
-        return sinks.write_bucketed(spark, state, table, list(bucket_by), buckets or 200, fmt)
+        if not buckets:
+            raise ValueError("a bucketed table needs its number of buckets, chosen by its size")
+        return sinks.write_bucketed(spark, state, table, list(bucket_by), buckets, fmt)
     return sinks.write_snapshot(spark, state, table, fmt)

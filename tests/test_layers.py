@@ -24,7 +24,7 @@ def test_chain_through_snapshots_equals_in_memory(spark):
     # ingestion: first load creates, second load upserts (duplicates dropped, latest load wins)
     ing = layers.run_job(spark, layers.ingest_upsert(None, st.customers_s1), "customers")
     ing = layers.run_job(spark, layers.ingest_upsert(read(ing), st.customers_dup, order_by=["load_no"]).drop("load_no"), "customers")
-    report = reconcile_counts(st.customers_dup, read(ing)).first()
+    report = reconcile_counts(st.customers_dup, read(ing), "id").first()
     assert report.keys_match and not report.rows_match
 
     # processing: SCD2 customers over two loads, cleaned addresses, facts
@@ -35,6 +35,7 @@ def test_chain_through_snapshots_equals_in_memory(spark):
     assert rows(again) == rows(read(dim))
 
     adr = layers.run_job(spark, layers.process_dimension(None, st.addresses, DAY, clean=True), "dim_addresses")
+    adr = layers.run_job(spark, layers.process_dimension(read(adr), st.addresses_s2, DAY, clean=True), "dim_addresses")
     assert rows(read(adr)) == rows(Warehouse(spark, SF_SMALL).dim_addresses)
 
     fct = layers.run_job(spark, layers.process_fact(None, st.customers_s1), "fct_customers")
@@ -94,14 +95,63 @@ def test_mart_job_with_merge_sink(spark):
     st = Store(spark, SF_SMALL)
     src = {"fct_orders": st.fct_orders}
     first = layers.run_mart_job(
-        spark, MONTHLY_SQL, src, {"beg_date": "1995-01-01", "exp_date": "1999-06-15"}, "dm_orders_monthly", "merge"
+        spark, MONTHLY_SQL, src, {"beg_date": dt.date(1995, 1, 1), "exp_date": dt.date(1999, 6, 15)}, "dm_orders_monthly", "merge"
     )
     second = layers.run_mart_job(
-        spark, MONTHLY_SQL, src, {"beg_date": "1999-06-01", "exp_date": "2001-12-31"}, "dm_orders_monthly", "merge",
+        spark, MONTHLY_SQL, src, {"beg_date": dt.date(1999, 6, 1), "exp_date": dt.date(2001, 12, 31)}, "dm_orders_monthly", "merge",
         current_path=first,
     )
     assert rows(spark.read.parquet(second)) == rows(marts.orders_monthly(st.fct_orders, "1995-01-01", "2001-12-31"))
     over = layers.run_mart_job(
-        spark, MONTHLY_SQL, src, {"beg_date": "1999-06-01", "exp_date": "2001-12-31"}, "dm_orders_monthly", "overwrite"
+        spark, MONTHLY_SQL, src, {"beg_date": dt.date(1999, 6, 1), "exp_date": dt.date(2001, 12, 31)}, "dm_orders_monthly", "overwrite"
     )
     assert rows(spark.read.parquet(over)) == rows(marts.orders_monthly(st.fct_orders, "1999-06-01", "2001-12-31"))
+
+
+def test_partitioned_mart_keeps_other_grains_of_a_period(spark):
+    from strata.session import fresh_table_path
+
+    schema = "ReportingPeriod string, type string, n long"
+    path = fresh_table_path(spark, "dm_by_type")
+    grain = ["ReportingPeriod", "type"]
+    layers.write_mart_periods(spark, spark.createDataFrame([("2024-Mar", "A", 1), ("2024-Mar", "B", 2), ("2024-Feb", "A", 3)], schema), path, grain=grain)
+    run = spark.createDataFrame([("2024-Mar", "A", 9), ("2024-Apr", "A", 4)], schema)
+    got = layers.write_mart_periods(spark, run, path, grain=grain)
+    assert rows(got.select(*grain, "n")) == [("2024-Apr", "A", 4), ("2024-Feb", "A", 3), ("2024-Mar", "A", 9), ("2024-Mar", "B", 2)]
+
+
+def test_first_loads_refuse_a_repeated_key(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id long, v string")
+    for first in (layers.process_dimension(None, twice, DAY), layers.process_fact(None, twice)):
+        with pytest.raises(PySparkException):
+            first.collect()
+
+
+def test_fact_values_are_cast_before_they_are_hashed(spark):
+    first = layers.process_fact(None, spark.createDataFrame([(1, "1.50")], "id long, v string").selectExpr("id", "cast(v as decimal(9,2)) v"))
+    path = layers.run_job(spark, first, "fct")
+    same = spark.createDataFrame([(1, 1.5)], "id long, v double")
+    assert rows(layers.process_fact(spark.read.parquet(path), same)) == rows(spark.read.parquet(path))
+
+
+def test_named_table_moves_its_pointer_and_drops_old_snapshots(spark):
+    from strata.sources import sinks
+
+    name = f"named_{id(spark)}"
+    assert sinks.current(spark, name) is None
+    paths = []
+    for n in range(4):
+        sinks.publish(spark, name, spark.range(n + 1), keep=2)
+        paths.append(sinks.snapshots(spark, name)[-1])
+    assert sinks.current(spark, name).count() == 4
+    assert [sinks.exists(spark, p) for p in paths] == [False, False, True, True]
+
+
+def test_bucketed_job_needs_a_bucket_count(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        layers.run_job(spark, spark.range(3), "t", bucket_by=["id"])
