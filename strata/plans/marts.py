@@ -43,27 +43,20 @@ def city_sales(
     delivered = orders.filter(F.col("deliveredOn").isNotNull()).select(
         F.col("id").alias("orderId"), "addressId"
     )
-    # Order lines grow with the data, so they are never the broadcast side: the
-    # merge hint keeps them streamed even where a loose size estimate would
-    # broadcast them. A small dimension is still broadcast at run time.
+    # Orders meet their lines first, partitioned by orderId: lines of
+    # undelivered orders are gone before anything is priced, and where items
+    # are small enough to be broadcast the rows stay where they are for the sum
+    # per order and city, so the lines move once.
+    lines = orderdetails.select("orderId", "itemId", "totalQuantity")
     per_order = (
-        orderdetails.select("orderId", "itemId", "totalQuantity")
-        .hint("merge")
+        delivered.join(ad, "addressId")
+        .join(lines, "orderId")
         .join(it, "itemId")
-        .groupBy("orderId")
+        .groupBy("orderId", "city")
         .agg(F.sum(F.col("totalQuantity") * F.col("price")).alias("revenue"))
     )
-    # Addresses first, orders last: the rows then arrive partitioned by
-    # orderId, which already clusters (city, orderId) for the exact distinct
-    # count, so it needs no shuffle of its own.
-    return (
-        delivered.join(ad, "addressId")
-        .join(per_order, "orderId")
-        .groupBy("city")
-        .agg(
-            F.count_distinct("orderId").alias("TotalOrders"),
-            F.sum("revenue").cast(REVENUE).alias("TotalRevenue"),
-        )
+    return per_order.groupBy("city").agg(
+        F.count(F.lit(1)).alias("TotalOrders"), F.sum("revenue").cast(REVENUE).alias("TotalRevenue")
     )
 
 
@@ -82,11 +75,12 @@ def vip_cities(
         .select(F.col("id").alias("customerId"))
     )
     ad = scd2_as_of(addresses, report_date, inclusive).select(F.col("id").alias("addressId"), "city")
-    pairs = orders.select("customerId", "addressId").distinct()
-    # The VIP join comes first: it keeps a small share of the pairs, so the
-    # address join and the (city, customerId) distinct move only those rows.
+    # VIPs first: the orders move once, by customer, and that partitioning
+    # serves the distinct pairs; only those reach the addresses.
     per_city = (
-        pairs.join(vip, "customerId")
+        orders.select("customerId", "addressId")
+        .join(vip, "customerId")
+        .distinct()
         .join(ad, "addressId")
         .select("city", "customerId")
         .distinct()
@@ -115,12 +109,17 @@ def city_delivery(
     """
     ad = scd2_as_of(addresses, report_date, inclusive).select(F.col("id").alias("addressId"), "city")
     delay = F.datediff("deliveredOn", "deliveryDate")
+    # Sums and counts per address first (exact): one row of an address is moved
+    # for each task, however many orders it has.
+    per_address = orders.groupBy("addressId").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(delay).alias("days"), F.count(delay).alias("delivered")
+    )
     return (
-        ad.join(orders.select("addressId", delay.alias("delay_days")), "addressId")
+        per_address.join(ad, "addressId")
         .groupBy("city")
         .agg(
-            F.count(F.lit(1)).alias("OrdersCount"),
-            ratio_half_up(F.sum("delay_days") * 24, F.count("delay_days"), 2).alias("AvgHoursDelivery"),
+            F.sum("orders").alias("OrdersCount"),
+            ratio_half_up(F.sum("days") * 24, F.sum("delivered"), 2).alias("AvgHoursDelivery"),
         )
     )
 
@@ -206,18 +205,16 @@ def run_mart(
     """Run a mart written as SQL text over named sources.
 
     Sources are registered as temp views under their names; parameters are
-    bound as typed literals (``:report_date``), never formatted into the text.
+    bound as literals of their Python type (``:report_date``), never formatted
+    into the text. Views that the session had under these names are put back.
     """
     if not sql or not sql.strip():
         raise ValueError("mart SQL is empty")
+    before = {n: spark.table(n) for n in sources if any(t.isTemporary and t.name == n for t in spark.catalog.listTables())}
     register_views(sources)
-    args = {k: (as_date(v) if isinstance(v, str) and _looks_like_date(v) else v) for k, v in (params or {}).items()}
-    return spark.sql(sql, args=args)
-
-
-def _looks_like_date(v: str) -> bool:
     try:
-        dt.date.fromisoformat(v)
-        return True
-    except ValueError:
-        return False
+        return spark.sql(sql, args=dict(params or {}))
+    finally:
+        for name in sources:
+            spark.catalog.dropTempView(name)
+        register_views(before)

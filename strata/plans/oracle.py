@@ -3,16 +3,18 @@
 The tables of the driver's testdata are views in DuckDB. Every oracle starts
 with the same chain of CTEs that rebuilds the store and its processing layer
 in plain SQL (fixtures, cleaning, fingerprints, SCD2 as a ``union all``), then
-states the query the way the reference's SQL does, without the rewrites the
-Spark side uses for scale (pre-aggregation, one-pass SCD2).
+states the query from its definition.
 """
 
 from __future__ import annotations
 
 # Fixed values shared with strata.plans.warehouse.
 EFF = "date '2000-06-01'"
-REPORT = "date '2000-06-01'"
-RANGE = "date '1995-01-01' and date '2001-12-31'"
+RETIRED = "date '2000-07-01'"
+THIRD = "date '2000-09-01'"
+REPORT = "date '2000-05-31'"
+LATER = "date '2001-01-01'"
+RANGE = "date '1996-03-15' and date '1999-10-20'"
 OPEN = "date '4444-01-01'"
 BEGIN = "date '1980-01-01'"
 
@@ -23,7 +25,10 @@ def _clean(x: str) -> str:
 
 
 def _hash(*cols: str, marker: bool = True) -> str:
-    parts = [f"coalesce(cast({c} as varchar), '\\N')" if marker else f"cast({c} as varchar)" for c in cols]
+    def escaped(c: str) -> str:
+        return f"replace(replace(cast({c} as varchar), '\\', '\\\\'), '~', '\\~')"
+
+    parts = [f"coalesce({escaped(c)}, '\\N')" if marker else f"cast({c} as varchar)" for c in cols]
     return f"sha256(concat_ws('~', {', '.join(parts)}))"
 
 
@@ -33,18 +38,20 @@ def _asof(alias: str, d: str = REPORT, inclusive: bool = False) -> str:
     return f"{alias}.beg_date <= {d} and {d} < {alias}.exp_date"
 
 
-def _scd2_sql(seed: str, src: str, cols: list[str]) -> str:
-    """SCD2 of one load over a seeded table without closed history."""
-    t_cols = ", ".join(f"t.{c}" for c in ["id", *cols, "hash", "beg_date"])
-    s_cols = ", ".join(f"s.{c}" for c in ["id", *cols, "hash"])
+def _scd2_sql(table: str, src: str, cols: list[str], day: str) -> str:
+    """One SCD2 load of ``src`` over a table that may have closed history."""
+    names = ["id", *cols, "hash"]
+    t_cols, s_cols = (", ".join(f"{x}.{c}" for c in names) for x in "ts")
     return f"""
-      select {t_cols},
-             case when s.id is not null and s.hash <> t.hash then {EFF} else t.exp_date end as exp_date
-      from {seed} t left join {src} s on s.id = t.id
+      select {", ".join(names)}, beg_date, exp_date from {table} where exp_date <> {OPEN}
+      union all
+      select {t_cols}, t.beg_date, case when s.hash <> t.hash then {day} else t.exp_date end as exp_date
+      from {table} t left join {src} s on s.id = t.id
+      where t.exp_date = {OPEN} and not coalesce(s.hash <> t.hash and t.beg_date = {day}, false)
       union all
-      select {s_cols}, case when t.id is null then {BEGIN} else {EFF} end as beg_date, {OPEN} as exp_date
-      from {src} s left join {seed} t on t.id = s.id
-      where t.id is null or t.hash <> s.hash"""
+      select {s_cols}, case when exists (select 1 from {table} h where h.id = s.id) then {day} else {BEGIN} end as beg_date,
+             {OPEN} as exp_date
+      from {src} s where not exists (select 1 from {table} t where t.id = s.id and t.exp_date = {OPEN} and t.hash = s.hash)"""
 
 
 CUST = ["type", "status", "createdOn"]
@@ -52,11 +59,14 @@ ITEM = ["Codes", "Descriptions", "price"]
 ADDR = ["city", "state", "country", "validFlag"]
 JOB_COLS = ["job_id", "job_name", "date", "start_time", "end_time", "duration", "status"]
 
+MOVED_CITY = "case when id % 8 = 1 then 'Newtown' else city end"
+MOVED_STATE = "case when id % 8 = 1 then 'S9' else state end"
+
 CTES: list[tuple[str, str]] = [
     (
         "customers",
         "select c_custkey as id, c_mktsegment as type, case when c_acctbal > 9000 then 'VIP' else 'REGULAR' end as status, "
-        "cast(min(o_orderdate) as date) as createdOn from customer join orders on o_custkey = c_custkey "
+        "cast(min(o_orderdate) as date) as createdOn from customer left join orders on o_custkey = c_custkey "
         "group by c_custkey, c_mktsegment, c_acctbal",
     ),
     (
@@ -105,20 +115,37 @@ CTES: list[tuple[str, str]] = [
         "from addresses",
     ),
     (
-        "dim_addresses",
-        f"select *, {_hash(*ADDR)} as hash, {BEGIN} as beg_date, {OPEN} as exp_date from addresses_clean",
-    ),
+        "addresses_s2_clean",
+        f"select id, city, state, {_clean('country')} as country, case when city = raw_city and state = raw_state and "
+        f"{_clean('country')} = country then 1 else 0 end as validFlag from (select id, country, "
+        f"{_clean(MOVED_CITY)} as city, {MOVED_CITY} as raw_city, {_clean(MOVED_STATE)} as state, {MOVED_STATE} as raw_state from addresses)",
+    ),
+    ("addresses_seed", f"select *, {_hash(*ADDR)} as hash, {BEGIN} as beg_date, {OPEN} as exp_date from addresses_clean"),
+    ("addresses_src", f"select *, {_hash(*ADDR)} as hash from addresses_s2_clean"),
+    ("dim_addresses", _scd2_sql("addresses_seed", "addresses_src", ADDR, EFF)),
     ("customers_seed", f"select *, {_hash(*CUST)} as hash, {BEGIN} as beg_date, {OPEN} as exp_date from customers_s1"),
     ("customers_src", f"select *, {_hash(*CUST)} as hash from customers_s2"),
-    ("dim_customers", _scd2_sql("customers_seed", "customers_src", CUST)),
+    ("dim_customers", _scd2_sql("customers_seed", "customers_src", CUST, EFF)),
     ("items_seed", f"select *, {_hash(*ITEM)} as hash, {BEGIN} as beg_date, {OPEN} as exp_date from items"),
     ("items_src", f"select *, {_hash(*ITEM)} as hash from items_s2"),
-    ("dim_items", _scd2_sql("items_seed", "items_src", ITEM)),
+    ("dim_items", _scd2_sql("items_seed", "items_src", ITEM, EFF)),
 ]
 
 _PRELUDE = "with " + ",\n".join(f"{name} as ({sql})" for name, sql in CTES)
 
 
+#: The third load and its correction, over the second load's result with some versions closed.
+THIRD_LOAD = f"""customers_s3 as (select id, case when id % 12 = 0 then 'PARTNER' else type end as type, status, createdOn
+                    from customers_s2 where id % 9 <> 8),
+    customers_s4 as (select id, case when id % 24 = 0 then 'CORRECTED' else type end as type, status, createdOn from customers_s3),
+    s3_src as (select *, {_hash(*CUST)} as hash from customers_s3),
+    s4_src as (select *, {_hash(*CUST)} as hash from customers_s4),
+    retired as (select * replace (case when exp_date = {OPEN} and id % 17 = 5 then {RETIRED} else exp_date end as exp_date)
+                from dim_customers),
+    after_s3 as ({_scd2_sql("retired", "s3_src", CUST, THIRD)}),
+    dim_third as ({_scd2_sql("after_s3", "s4_src", CUST, THIRD)})"""
+
+
 def q(body: str, extra_ctes: str = "") -> str:
     """Oracle text: the shared CTE chain, optional extra CTEs, then the body."""
     return _PRELUDE + (",\n" + extra_ctes if extra_ctes else "") + "\n" + body
@@ -137,17 +164,17 @@ def _month(c: str) -> str:
 
 
 def _tasks_ctes(prefix: str, where: str = "") -> str:
-    """Runs of (user, block of 1000 event ids) and the latest start per (task_key, run)."""
+    """Runs of a user's day and the latest start per (task_key, run)."""
     return f"""{prefix}_ev as (select event_id, user_id, event_type, epoch_us(ts) // 1000 as ms,
-                                 event_id // 1000 as block from events {where}),
-    {prefix}_runs as (select user_id, block, min(event_id) as run_id, min(ms) as start_ms, max(ms) as end_ms
-                      from {prefix}_ev group by user_id, block),
+                                 cast(ts as date) as day from events {where}),
+    {prefix}_runs as (select user_id, day, min(event_id) as run_id, min(ms) as start_ms, max(ms) as end_ms
+                      from {prefix}_ev group by user_id, day),
     {prefix}_tasks as (
       select task_key, job_run_id, make_timestamp(start_ms * 1000) as start_time,
              make_timestamp(end_ms * 1000) as end_time, status
       from (select e.event_type as task_key, r.run_id as job_run_id, e.ms as start_ms, e.ms + 1000 as end_ms,
                    case when e.event_type = 'error' then 'FAILED' else 'SUCCESS' end as status
-            from {prefix}_ev e join {prefix}_runs r on e.user_id = r.user_id and e.block = r.block)
+            from {prefix}_ev e join {prefix}_runs r on e.user_id = r.user_id and e.day = r.day)
       qualify row_number() over (partition by task_key, job_run_id order by start_ms desc) = 1)"""
 
 
@@ -162,67 +189,90 @@ def _jobs_sql(runs: str) -> str:
         from {runs} r"""
 
 
-def _upsert_all(t: str, s: str, keys: list[str], cols: list[str]) -> str:
+def _upsert_all(t: str, s: str, keys: list[str], cols: list[str], own: tuple[str, ...] = ()) -> str:
+    """``own``: columns that only the table has."""
     on = " and ".join(f"t.{k} = s.{k}" for k in keys)
     present = f"s.{keys[0]} is not null"
     out = [f"coalesce(t.{k}, s.{k}) as {k}" for k in keys]
     out += [f"case when {present} then s.{c} else t.{c} end as {c}" for c in cols]
+    out += [f"t.{c}" for c in own]
     return f"select {', '.join(out)} from {t} t full join {s} s on {on}"
 
 
+def _new_customers(days: str, report: str) -> str:
+    return f"""select {_month('month')} as ReportingPeriod, type, status, count(*) as NewCustomerNumber from (
+          select date_trunc('month', c.createdOn) as month, c.type, c.status from dim_customers c
+          where {_asof('c', report)} and c.createdOn between {days}) group by month, type, status"""
+
+
+def _daily(days: str) -> str:
+    return f"""select strftime(day, '%Y-%m-%d') as ReportingPeriod, n as Orders_Number from (
+          select deliveryDate as day, count(*) as n from fct_orders group by deliveryDate) where day between {days}"""
+
+
+def _if_changed() -> str:
+    cols = [*CUST, "hash", "loaded_on"]
+    old, new = "t.id is not null and (s.id is null or s.hash = t.hash)", "s"
+    picked = ", ".join(f"case when {old} then t.{c} else {new}.{c} end as {c}" for c in cols)
+    return f"""select coalesce(t.id, s.id) as id, {picked}
+        from (select *, date '2000-01-01' as loaded_on from customers_seed) t
+        full join (select *, date '2000-06-01' as loaded_on from customers_src) s on t.id = s.id"""
+
+
+def _two_runs(grain: list[str]) -> str:
+    """The later run's rows, and the earlier run's where the later one has none of the grain."""
+    same = " and ".join(f"l.{g} = e.{g}" for g in grain)
+    return f"""select * from later union all
+        select e.* from earlier e where not exists (select 1 from later l where {same})"""
+
+
 ORACLES: dict[str, str] = {
     "mart_city_sales": q(
-        f"""select a.city, count(distinct o.id) as TotalOrders,
-               cast(sum(d.totalQuantity * i.price) as decimal(38,4)) as TotalRevenue
-        from fct_orders o
-        join dim_addresses a on o.addressId = a.id and {_asof('a')}
-        join fct_orderdetails d on o.id = d.orderId
-        join dim_items i on d.itemId = i.id and {_asof('i')}
-        where o.deliveredOn is not null
-        group by a.city"""
+        """select city, count(*) as TotalOrders, cast(sum(revenue) as decimal(38,4)) as TotalRevenue from sold
+        join delivered using (orderId) group by city""",
+        f"""priced as (select id as itemId, price from dim_items i where {_asof('i')}),
+        sold as (select orderId, sum(totalQuantity * price) as revenue from fct_orderdetails join priced using (itemId) group by orderId),
+        delivered as (select o.id as orderId, (select a.city from dim_addresses a where a.id = o.addressId and {_asof('a')}) as city
+                      from fct_orders o where o.deliveredOn is not null
+                      and exists (select 1 from dim_addresses a where a.id = o.addressId and {_asof('a')}))""",
     ),
     "join_inner": q(
         f"""select o.id as orderId, o.customerId, a.city, a.state, a.country
-        from fct_orders o join dim_addresses a on o.addressId = a.id where a.exp_date = {OPEN}"""
+        from (select * from dim_addresses where exp_date = {OPEN}) a, fct_orders o where a.id = o.addressId"""
     ),
     "mart_geo_orders": q(
-        """select a.country, a.state, count(distinct o.id) as OrdersCount
-        from fct_orders o join dim_addresses a on o.addressId = a.id group by a.country, a.state"""
+        """select country, state, count(*) as OrdersCount from (
+          select distinct p.country, p.state, o.id from places p join fct_orders o on o.addressId = p.id) group by all""",
+        "places as (select distinct id, country, state from dim_addresses)",
     ),
     "mart_product_performance": q(
-        f"""select i.Codes, i.Descriptions, cast(sum(d.totalQuantity) as decimal(38,2)) as TotalUnitsSold,
-               cast(sum(d.totalQuantity * i.price) as decimal(38,4)) as TotalRevenue
-        from fct_orderdetails d join dim_items i on d.itemId = i.id and {_asof('i')}
-        group by i.Codes, i.Descriptions"""
+        """select Codes, Descriptions, cast(sum(units) as decimal(38,2)) as TotalUnitsSold,
+               cast(sum(units * price) as decimal(38,4)) as TotalRevenue
+        from (select itemId, sum(totalQuantity) as units from fct_orderdetails group by itemId) u
+        join valid on valid.id = u.itemId group by all""",
+        f"valid as (select id, Codes, Descriptions, price from dim_items i where {_asof('i')})",
     ),
     "mart_city_delivery": q(
-        f"""select a.city, count(1) as OrdersCount,
-               {_ratio_half_up("sum(date_diff('day', o.deliveryDate, o.deliveredOn)) * 24",
-                               "count(date_diff('day', o.deliveryDate, o.deliveredOn))")} as AvgHoursDelivery
-        from dim_addresses a join fct_orders o on a.id = o.addressId
-        where {_asof('a')} group by a.city"""
+        f"""select city, sum(n)::bigint as OrdersCount, {_ratio_half_up("sum(days) * 24", "sum(known)")} as AvgHoursDelivery
+        from late join valid using (addressId) group by city""",
+        f"""late as (select addressId, count(*) as n, sum(deliveredOn - deliveryDate) as days, count(deliveredOn) as known
+                     from fct_orders group by addressId),
+        valid as (select id as addressId, city from dim_addresses a where {_asof('a')})""",
     ),
     "mart_vip_cities": q(
-        f"""select k.city, count(1) as NumberOfVIPCustomers
-        from (select distinct a.city, c.id from dim_customers c
-              join fct_orders o on o.customerId = c.id
-              join dim_addresses a on a.id = o.addressId and {_asof('a')}
-              where c.status = 'VIP' and {_asof('c')}) k
-        group by k.city order by count(1) desc, k.city limit 5"""
+        f"""select city, count(*) as NumberOfVIPCustomers from (
+          select a.city, v.id from vip v join fct_orders o on o.customerId = v.id
+          join (select id, city from dim_addresses a where {_asof('a')}) a on a.id = o.addressId group by all)
+        group by city order by 2 desc, 1 limit 5""",
+        f"vip as (select id from dim_customers c where c.status = 'VIP' and {_asof('c')})",
     ),
     "mart_orders_monthly": q(
-        f"""select {_month('deliveryDate')} as ReportingPeriod, count(1) as Orders_Number
-        from fct_orders o where o.deliveryDate between {RANGE} group by date_trunc('month', deliveryDate)"""
-    ),
-    "mart_new_customers": q(
-        f"""select {_month('c.createdOn')} as ReportingPeriod, type, status, count(1) as NewCustomerNumber
-        from dim_customers c where c.createdOn between {RANGE} and {_asof('c')}
-        group by date_trunc('month', c.createdOn), type, status"""
-    ),
-    "mart_orders_daily": q(
-        f"""select strftime(deliveryDate, '%Y-%m-%d') as ReportingPeriod, count(1) as Orders_Number
-        from fct_orders o where o.deliveryDate between {RANGE} group by deliveryDate"""
+        f"""select {_month('month')} as ReportingPeriod, sum(n)::bigint as Orders_Number from (
+          select date_trunc('month', deliveryDate) as month, count(*) as n from fct_orders
+          where deliveryDate between {RANGE} group by deliveryDate) group by month"""
     ),
+    "mart_new_customers": q(_new_customers(RANGE, REPORT)),
+    "mart_orders_daily": q(_daily(RANGE)),
     "period_filter": q(
         "select * from fct_orders where deliveryDate between date '1997-01-01' and date '1998-12-31'"
     ),
@@ -234,8 +284,8 @@ ORACLES: dict[str, str] = {
     "clean_strings": q("select * from addresses_clean"),
     "valid_flag": q("select id, validFlag from addresses_clean"),
     "mart_valid_addresses": q(
-        f"""select case when a.validFlag = 1 then 'Valid' else 'Invalid' end as validFlag, count(1) as count
-        from dim_addresses a where {_asof('a')} group by 1"""
+        f"""select validFlag, count(*) as count from (
+          select if(validFlag = 1, 'Valid', 'Invalid') as validFlag from dim_addresses a where {_asof('a')}) group by validFlag"""
     ),
     "row_hash": q(
         f"select id, {_hash(*CUST, marker=False)} as hash_plain, {_hash(*CUST)} as hash from customers"
@@ -248,27 +298,22 @@ ORACLES: dict[str, str] = {
         "(partition by event_type, user_id order by ts desc, event_id desc) = 1"
     ),
     "upsert_all": q(_upsert_all("customers_s1", "customers_s2", ["id"], CUST)),
-    "upsert_bucketed": q(_upsert_all("customers_s1", "customers_s2", ["id"], CUST)),
+    "upsert_bucketed": q(_if_changed()),
     "upsert_composite": q(
-        _upsert_all("old_tasks", "new_tasks", ["job_run_id", "task_key"], ["start_time", "end_time", "status"]),
-        _tasks_ctes("old", "where ts < timestamp '2024-01-16'") + ",\n" + _tasks_ctes("new"),
-    ),
-    "upsert_if_changed": q(
-        "select coalesce(t.id, s.id) as id, "
-        + ", ".join(
-            f"case when t.id is null or (s.id is not null and s.hash <> t.hash) then s.{c} else t.{c} end as {c}"
-            for c in [*CUST, "hash"]
-        )
-        + " from customers_seed t full join customers_src s on t.id = s.id"
+        _upsert_all("stored", "new_tasks", ["job_run_id", "task_key"], ["start_time", "end_time", "status"], ("loaded_on",)),
+        _tasks_ctes("old", "where ts < timestamp '2024-01-16'") + ",\n" + _tasks_ctes("new", "where user_id % 11 <> 3")
+        + ",\nstored as (select *, date '2000-01-01' as loaded_on from old_tasks)",
     ),
+    "upsert_if_changed": q(_if_changed()),
     "upsert_column": q(
         """select case when t.id is not null then t.id else s.id end as id,
                case when t.id is not null then t.orderId else s.orderId end as orderId,
                case when t.id is not null then t.itemId else s.itemId end as itemId,
                case when t.id is null then s.totalQuantity
                     when s.id is not null and t.totalQuantity is distinct from s.totalQuantity then s.totalQuantity
-                    else t.totalQuantity end as totalQuantity
-        from old_fct t full join fct_orderdetails s
+                    else t.totalQuantity end as totalQuantity,
+               case when t.id is not null then date '2000-01-01' else date '2000-06-01' end as loaded_on
+        from old_fct t full join (select * from fct_orderdetails where itemId % 13 <> 5) s
           on t.orderId is not distinct from s.orderId and t.itemId is not distinct from s.itemId""",
         """old_fct as (
           select concat_ws('_', cast(itemId as varchar), cast(orderId as varchar)) as id, orderId, itemId,
@@ -277,6 +322,21 @@ ORACLES: dict[str, str] = {
                 from lineitem where l_shipdate < timestamp '1998-01-01')
           group by orderId, itemId)""",
     ),
+    "mart_new_customers_merge": q(
+        _two_runs(["ReportingPeriod", "type", "status"]),
+        f"""earlier as ({_new_customers("date '1995-01-01' and date '1995-06-20'", REPORT)}),
+        later as ({_new_customers("date '1995-06-15' and date '1995-12-31'", LATER)})""",
+    ),
+    "mart_orders_daily_merge": q(
+        _two_runs(["ReportingPeriod"]),
+        f"""earlier as ({_daily("date '1996-03-15' and date '1998-02-10'")}),
+        later as ({_daily("date '1998-02-05' and date '1999-10-20'")})""",
+    ),
+    "mart_runner_sql": q(
+        f"""select a.state, count(o.deliveredOn) as Delivered, count(*) as Orders
+        from fct_orders o join dim_addresses a on a.id = o.addressId and {_asof('a', LATER)}
+        where o.deliveryDate >= date '1996-03-15' group by a.state"""
+    ),
     "mart_merge_period": q(
         """select coalesce(e.ReportingPeriod, l.ReportingPeriod) as ReportingPeriod,
                case when l.ReportingPeriod is not null then l.Orders_Number else e.Orders_Number end as Orders_Number
@@ -298,8 +358,15 @@ ORACLES: dict[str, str] = {
     "scd2_seed": q("select * from customers_seed"),
     "scd2_apply": q("select * from dim_customers"),
     "scd2_current": q(f"select * from dim_customers where exp_date = {OPEN}"),
-    "asof_dim": q(f"select * from dim_customers c where {_asof('c')}"),
-    "asof_inclusive": q(f"select * from dim_customers c where {_asof('c', inclusive=True)}"),
+    "scd2_third_load": q("select * from dim_third", THIRD_LOAD),
+    "scd2_default_date": q(
+        f"""select id, type, status, case when beg_date = {EFF} then 0 end as days_since, exp_date = {OPEN} as is_open
+        from dim_customers"""
+    ),
+    "asof_before": q(f"select * from dim_third c where {_asof('c')}", THIRD_LOAD),
+    "asof_dim": q(f"select * from dim_third c where {_asof('c', EFF)}", THIRD_LOAD),
+    "asof_after": q(f"select * from dim_third c where {_asof('c', LATER)}", THIRD_LOAD),
+    "asof_inclusive": q(f"select * from dim_third c where {_asof('c', EFF, inclusive=True)}", THIRD_LOAD),
     "asof_join": q(
         f"""select o.id as orderId, o.customerId, c.type, c.status, o.deliveryDate, c.beg_date
         from fct_orders o join dim_customers c on o.customerId = c.id and {_asof('c')}"""
@@ -308,6 +375,10 @@ ORACLES: dict[str, str] = {
     "ingest_overwrite": q("select * from customers_s2"),
     "append_load": q("select * from customers_dup"),
     "reconcile_counts": q(
+        """select count(*) as source_rows, count(distinct id) as target_rows, count(*) = count(distinct id) as rows_match
+        from customers_dup"""
+    ),
+    "reconcile_keys": q(
         """select source_rows, target_rows, source_keys, target_keys,
                source_rows = target_rows as rows_match, source_keys = target_keys as keys_match
         from (select (select count(*) from customers_dup) as source_rows,
@@ -337,10 +408,11 @@ ORACLES: dict[str, str] = {
     ),
     "runlog_jobs": q(_jobs_sql("all_runs"), _tasks_ctes("all")),
     "runlog_tasks": q("select * from all_tasks", _tasks_ctes("all")),
+    "runlog_from_json": q(_jobs_sql("all_runs"), _tasks_ctes("all")),
     "runlog_jobs_upsert": q(
-        _upsert_all("old_jobs", "new_jobs", ["job_run_id"], JOB_COLS),
-        _tasks_ctes("old", "where ts < timestamp '2024-01-16'") + ",\n" + _tasks_ctes("new")
-        + f",\nold_jobs as ({_jobs_sql('old_runs')}),\nnew_jobs as ({_jobs_sql('new_runs')})",
+        _upsert_all("stored", "new_jobs", ["job_run_id"], JOB_COLS, ("loaded_on",)),
+        _tasks_ctes("old", "where ts < timestamp '2024-01-16'") + ",\n" + _tasks_ctes("new", "where user_id % 11 <> 3")
+        + f",\nstored as (select *, date '2000-01-01' as loaded_on from ({_jobs_sql('old_runs')})),\nnew_jobs as ({_jobs_sql('new_runs')})",
     ),
     "stream_latest_events": "select * from events qualify row_number() over "
     "(partition by event_type, user_id order by ts desc, event_id desc) = 1",

@@ -3,8 +3,8 @@
 ``reporting_periods`` turns a calendar (one row per day) into the runs a
 scheduler would trigger: for each due day, the previous complete period and
 the report date (the day itself). ``period_rollup`` groups a fact by the
-period that contains its date, for several frequencies in one pass: each row
-is tagged once per frequency and a single partial aggregation collapses them.
+period that contains its date, for several frequencies in one pass: rows are
+counted per day, and only the days are tagged once per frequency and summed.
 """
 
 from __future__ import annotations
@@ -72,10 +72,11 @@ def period_rollup(
     fact: DataFrame, date_col: str, freqs: Iterable[str] = FREQUENCIES, measure: str = "row_count"
 ) -> DataFrame:
     """Rows of ``fact`` per (frequency, period) of ``date_col``."""
-    d = F.col(date_col).cast("date")
+    day = F.col(date_col).cast("date")
+    days = fact.filter(day.isNotNull()).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
     tags = []
     for f in freqs:
-        beg, exp = _containing(d, f)
-        tags.append(F.struct(F.lit(f).alias("frequency"), beg.alias("beg_date"), exp.alias("exp_date")))
-    tagged = fact.filter(d.isNotNull()).select(F.inline(F.array(*tags)))
-    return tagged.groupBy("frequency", "beg_date", "exp_date").agg(F.count(F.lit(1)).alias(measure))
+        beg, exp = _containing(F.col("day"), f)
+        tags.append(F.struct(F.lit(f).alias("frequency"), beg.alias("beg_date"), exp.alias("exp_date"), F.col("rows").alias("rows")))
+    tagged = days.select(F.inline(F.array(*tags)))
+    return tagged.groupBy("frequency", "beg_date", "exp_date").agg(F.sum("rows").alias(measure))

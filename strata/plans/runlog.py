@@ -34,7 +34,7 @@ def _ts(ms: F.Column) -> F.Column:
 def flatten_jobs(runs: DataFrame, names: DataFrame, default_status: str = DEFAULT_STATUS) -> DataFrame:
     """One row per run: job_run_id, job_id, job_name, date, start/end time, duration (s), status.
 
-    The name lookup has one row per configured job, so it is broadcast.
+    Whether the name lookup is broadcast is left to its size.
     """
     start, end = F.col("start_time"), F.col("end_time")
     jobs = runs.select(
@@ -45,7 +45,7 @@ def flatten_jobs(runs: DataFrame, names: DataFrame, default_status: str = DEFAUL
         F.when(end > 0, (end - start).cast("double") / F.lit(1000.0)).alias("duration"),
         F.coalesce(F.col("state.result_state"), F.lit(default_status)).alias("status"),
     )
-    return jobs.join(F.broadcast(names), "job_id", "left").select(
+    return jobs.join(names, "job_id", "left").select(
         "job_run_id",
         "job_id",
         "job_name",

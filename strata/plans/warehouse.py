@@ -1,8 +1,10 @@
 """The processing layer of the store, derived from the ingestion tables.
 
-``dim_customers`` and ``dim_items`` are SCD2 tables: the first load is seeded,
-the second is applied on ``EFFECTIVE_DATE``. ``dim_addresses`` is cleaned
-(validity flag) and seeded. Facts are the ingestion tables as they are.
+The dimensions are SCD2 tables: the first load is seeded, the second applied on
+``EFFECTIVE_DATE`` (addresses are cleaned and flagged first). Each is written
+once as a snapshot and read back, as a scheduled job would leave it, so its
+size is known and as-of bounds reach its scan. Facts are the ingestion tables
+as they are.
 """
 
 from __future__ import annotations
@@ -11,50 +13,74 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions.cleaning import clean_strings
+from strata.functions.dates import is_open
 from strata.operators.scd2 import scd2_apply, scd2_seed
+from strata.sources import sinks
 from strata.sources.fixtures import Store
 
-# The day the second load is applied and the report day of the
-# as-of marts (the change day itself, where half-open and closed ranges differ).
+# The day the second load is applied, and the days of the third
+# load and of the closing of some versions between the two.
 EFFECTIVE_DATE = dt.date(2000, 6, 1)
-REPORT_DATE = dt.date(2000, 6, 1)
-# Reporting range covering all planned delivery days of the data.
-RANGE_BEG = dt.date(1995, 1, 1)
-RANGE_END = dt.date(2001, 12, 31)
-
-_WAREHOUSES: dict[tuple[int, str, dt.date], Warehouse] = {}
+RETIRED_DATE = dt.date(2000, 7, 1)
+THIRD_DATE = dt.date(2000, 9, 1)
+# Report days: before the second load (the as-of marts), on the day itself
+# (where half-open and closed ranges differ) and after all loads.
+REPORT_DATE = dt.date(2000, 5, 31)
+CHANGE_DAY = EFFECTIVE_DATE
+LATER_DATE = dt.date(2001, 1, 1)
+# Reporting range: inside the days that the data cover.
+RANGE_BEG = dt.date(1996, 3, 15)
+RANGE_END = dt.date(1999, 10, 20)
 
 
 class Warehouse:
+    """Dimensions written on first use; one object is one build of the layer."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, effective_date: dt.date = EFFECTIVE_DATE):
         self.spark = spark
-        self.store = Store.of(spark, sf_dir)
+        self.store = Store(spark, sf_dir)
         self.effective_date = effective_date
 
-    @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str, effective_date: dt.date = EFFECTIVE_DATE) -> Warehouse:
-        """The session's processing layer for ``sf_dir``, defined once (plans only, no cached data)."""
-        key = (id(spark), sf_dir.rstrip("/"), effective_date)
-        w = _WAREHOUSES.get(key)
-        if w is None or w.spark is not spark:
-            w = _WAREHOUSES[key] = cls(spark, sf_dir, effective_date)
-        return w
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        return sinks.read_snapshot(self.spark, sinks.write_snapshot(self.spark, df, name)).select(*df.columns)
 
-    @cached_property
-    def dim_customers(self) -> DataFrame:
+    def customers_after_two_loads(self) -> DataFrame:
         s = self.store
         return scd2_apply(scd2_seed(s.customers_s1), s.customers_s2, self.effective_date)
 
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        return self._stored(self.customers_after_two_loads(), "dim_customers")
+
     @cached_property
     def dim_items(self) -> DataFrame:
         s = self.store
-        return scd2_apply(scd2_seed(s.items), s.items_s2, self.effective_date)
+        return self._stored(scd2_apply(scd2_seed(s.items), s.items_s2, self.effective_date), "dim_items")
 
     @cached_property
     def dim_addresses(self) -> DataFrame:
-        return scd2_seed(clean_strings(self.store.addresses))
+        s = self.store
+        first = scd2_seed(clean_strings(s.addresses))
+        return self._stored(scd2_apply(first, clean_strings(s.addresses_s2), self.effective_date), "dim_addresses")
+
+    @cached_property
+    def dim_customers_third(self) -> DataFrame:
+        """Customers after a third load and its correction on the same day, over a table with closed history.
+
+        Between the loads every seventeenth id lost its open version, so it
+        returns with the third one. The table is stored bucketed by id: both
+        loads merge into it in place.
+        """
+        buckets = sinks.default_buckets(self.spark)
+        two = self.customers_after_two_loads()
+        retired = F.when(is_open() & (F.col("id") % 17 == 5), F.lit(RETIRED_DATE)).otherwise(F.col("exp_date"))
+        name = sinks.write_bucketed(self.spark, two.withColumn("exp_date", retired), "dim_customers", ["id"], buckets)
+        third = scd2_apply(self.spark.table(name), self.store.customers_s3, THIRD_DATE, co_partitions=buckets)
+        name = sinks.write_bucketed(self.spark, third, "dim_customers", ["id"], buckets)
+        return scd2_apply(self.spark.table(name), self.store.customers_s4, THIRD_DATE, co_partitions=buckets)
 
     @property
     def fct_orders(self) -> DataFrame:

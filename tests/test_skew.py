@@ -58,19 +58,28 @@ def final_plan(df) -> str:
     return buf.getvalue()
 
 
-def test_hot_address_join_is_split_and_exact(spark, skew_conf):
+def test_hot_address_is_summed_before_the_shuffle(spark, skew_conf):
+    """City delivery: a hot address is one row of sums for each task, and the result is exact."""
     w = Warehouse(spark, SF_SKEW)
     orders = hot_orders(w)
     got = marts.city_delivery(w.dim_addresses, orders, REPORT_DATE)
+    plan = final_plan(got)
+    assert "partial_count" in plan and "partial_sum" in plan
+    assert sum(r.OrdersCount for r in got.collect()) == w.fct_orders.count()
+
+
+def test_hot_address_join_is_split_and_exact(spark, skew_conf):
+    w = Warehouse(spark, SF_SKEW)
+    orders = hot_orders(w)
+    got = marts.geo_orders(orders, w.dim_addresses, REPORT_DATE)
     assert "SortMergeJoin(skew=true) [addressId" in final_plan(got)
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     try:
-        want = marts.city_delivery(w.dim_addresses, orders, REPORT_DATE).collect()
+        want = marts.geo_orders(orders, w.dim_addresses, REPORT_DATE).collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
-    total = sum(r.OrdersCount for r in want)
-    assert total == w.fct_orders.count()
+    assert sum(r.OrdersCount for r in want) == w.fct_orders.count()
 
 
 def test_hot_key_latest_per_key_is_exact(spark):
