@@ -108,14 +108,14 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
-    """The documents of the mix, a repeated one as so many rows, with the columns of ``docs``."""
-    plan = mix(docs, weights).groupBy("shuffle").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0")
+    """The documents of the mix, a repeated one as so many rows, with their columns, whatever these are called."""
+    plan = mix(docs, weights).groupBy("shuffle").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
     # rows that repeat doc_id and text have one key; they share its copies out
-    keyed = docs.withColumn("_key", shuffle_key(F.col("doc_id"), F.col("text")))
-    both = keyed.join(plan, keyed["_key"] == plan["shuffle"])
-    row = F.row_number().over(Window.partitionBy("_key").orderBy("lang", "source", "n_chars"))
-    own = F.floor(F.col("_copies") / F.col("_rows")).cast("int") + (row <= F.col("_copies") % F.col("_rows")).cast("int")
-    return both.withColumn("_own", own).where("_own > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_own"))).select(*(keyed[c] for c in docs.columns))
+    keyed = docs.select(F.struct("*").alias("row"), shuffle_key(F.col("doc_id"), F.col("text")).alias("shuffle"))
+    nth = F.row_number().over(Window.partitionBy("shuffle").orderBy("row.lang", "row.source", "row.n_chars"))
+    own = F.floor(F.col("copies") / F.col("rows")).cast("int") + (nth <= F.col("copies") % F.col("rows")).cast("int")
+    both = keyed.join(plan, "shuffle").withColumn("own", own).where("own > 0")
+    return both.withColumn("copy", F.explode(F.sequence(F.lit(1), "own"))).select("row.*")
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
