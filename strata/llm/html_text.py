@@ -118,7 +118,18 @@ class _Tree(HTMLParser):
         pass
 
 
+def without_open_tag(html: str) -> str:
+    """``html`` without a tag that the page breaks off in; a "<" that begins no tag is text."""
+    at = html.find("<", html.rfind(">") + 1)
+    while at >= 0:
+        if html[at + 1 : at + 2].isalpha() or html[at + 1 : at + 2] in ("/", "!", "?"):
+            return html[:at]
+        at = html.find("<", at + 1)
+    return html
+
+
 def parse(html: str) -> _Tree:
+    html = without_open_tag(html)
     tree = _Tree()
     try:
         tree.feed(html)

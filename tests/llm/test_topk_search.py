@@ -1,0 +1,69 @@
+import numpy as np
+import pytest
+
+from strata.llm.topk_search import TOP, spread_out, top_k
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, every=50, top=TOP):
+    fine = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    width = max((len(v) for _, v in fine), default=0)
+    ids = np.array([i for i, _ in fine], dtype=np.int64)
+    m = np.zeros((len(fine), width), dtype=np.int64)
+    for k, (_, v) in enumerate(fine):
+        m[k, : len(v)] = np.floor(256 * np.array(v, dtype=np.float32).astype(np.float64))
+    out = []
+    for q in sorted({i for i in ids.tolist() if i % every == 0}):
+        best = {}
+        for k in np.flatnonzero(ids == q):
+            for i, s in zip(ids.tolist(), (m @ m[k]).tolist(), strict=True):
+                if i != q:
+                    best[i] = max(s, best.get(i, s))
+        ranked = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:top]
+        out += [(q, r + 1, i, s) for r, (i, s) in enumerate(ranked)]
+    return out
+
+
+def result(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return [tuple(r) for r in top_k(df, **options).orderBy("query_id", "rank").collect()]
+
+
+def test_equals_brute_force_over_several_pages(spark):
+    chance = np.random.default_rng(5)
+    centres = chance.normal(size=(12, 16))
+    rows = [(int(k), (centres[k % 12] + 0.3 * chance.normal(size=16)).tolist()) for k in range(5000)]
+    assert result(spark, rows) == brute(rows)
+
+
+def test_hot_vector_and_ties(spark):
+    chance = np.random.default_rng(6)
+    hot = [0.5] * 8
+    rows = [(k, hot if k % 3 == 0 else chance.normal(size=8).tolist()) for k in range(3000)]
+    assert result(spark, rows) == brute(rows)
+
+
+def test_defined_cases(spark):
+    rows = [
+        (0, [1.0, 2.0]), (0, [3.0, 0.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0]),
+        (50, [1.0]), (7, []), (8, [1.0, 1.0, 1.0]), (8, [1.0, 1.0, 1.0]), (9, [-1.0, -2.0]), (100, [0.0, 0.0]),
+    ]
+    assert result(spark, rows) == brute(rows)
+    assert result(spark, []) == []
+    assert result(spark, [(0, [1.0])]) == []
+    assert result(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 512 * 256)]
+
+
+def test_other_columns_are_not_read(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(60)], SCHEMA).withColumns({c: F.lit("x") for c in ("cell", "page", "dist", "rank", "score")})
+    assert top_k(df).count() == 10
+
+
+@pytest.mark.parametrize("many", [1, 5, 50])
+def test_routing_objects_are_distinct(many):
+    vectors = np.random.default_rng(0).integers(0, 3, (40, 2))
+    chosen = spread_out(vectors, many)
+    assert len({tuple(vectors[k]) for k in chosen}) == len(chosen) <= many
