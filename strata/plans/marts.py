@@ -164,7 +164,7 @@ def geo_orders(
     """Distinct orders by country and state.
 
     Without ``report_date`` every version of an address joins, so an order
-    counts in each state its address ever had (the reference's behaviour).
+    counts in each state its address ever had.
     """
     ad = addresses if report_date is None else scd2_as_of(addresses, report_date)
     ad = ad.select(F.col("id").alias("addressId"), "country", "state")

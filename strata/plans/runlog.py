@@ -1,8 +1,7 @@
 """Run-log tables from nested run records: jobs log and tasks log.
 
-Columns as in the reference's logs. Epoch milliseconds become timestamps; a
-missing result state means SUCCESS (the reference's default, kept as a
-parameter); an end time of 0 (run not finished) becomes null instead of 1970.
+Columns of a job and a task log. Epoch milliseconds become timestamps; a
+missing result state means SUCCESS (a parameter); an end time of 0 (run not finished) becomes null instead of 1970.
 Logs are then upserted: jobs on ``job_run_id``, tasks on
 (``job_run_id``, ``task_key``) after keeping the latest start per task.
 """

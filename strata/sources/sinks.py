@@ -154,6 +154,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def signature(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and times of the files under ``path``: changes whenever they do."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(hadoop, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a snapshot that this package wrote, in whatever file system it lies."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -110,8 +110,8 @@ def test_vip_cities_moves_the_orders_once(spark, at_scale):
 
 def test_city_sales_moves_the_lines_once_where_items_are_broadcast(spark):
     w = Warehouse(spark, SF_SMALL)
-    lines = w._stored(w.fct_orderdetails, "fct_orderdetails")
-    orders = w._stored(w.fct_orders, "fct_orders")
+    lines = w._stored(w.fct_orderdetails, "fct_orderdetails", ("lineitem",))
+    orders = w._stored(w.fct_orders, "fct_orders", ("orders",))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -27,3 +27,16 @@ def test_customers_without_orders_stay(spark):
     spark.createDataFrame([(1, "A", 9500.0), (2, "B", 10.0)], "c_custkey long, c_mktsegment string, c_acctbal double").write.parquet(f"{base}/customer.parquet")
     spark.sql("select 1L as o_custkey, timestamp_ntz'1997-01-01 00:00:00' as o_orderdate").write.parquet(f"{base}/orders.parquet")
     assert sorted((r.id, r.status, str(r.createdOn)) for r in Store(spark, base).customers.collect()) == [(1, "VIP", "1997-01-01"), (2, "REGULAR", "None")]
+
+
+def test_dimensions_are_written_once_until_their_files_change(spark):
+    from strata.plans.warehouse import Warehouse
+
+    base = fresh_table_path(spark, "base")
+    schema = "p_partkey long, p_brand string, p_name string, p_retailprice double"
+    for n in (3, 5):
+        rows = [(k, "b", f"item {k}", 1.0 + k) for k in range(1, n)]
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{base}/part.parquet")
+        a, b = (Warehouse(spark, base).dim_items for _ in range(2))
+        assert a.inputFiles() == b.inputFiles()
+        assert a.count() == n - 1
