@@ -33,6 +33,7 @@ PROFILE = 400
 BLANK = 32
 UNKNOWN = "und"
 FLUSH = 2_000_000  # n-gram counts that a task holds before it sums them up
+SPAN = 500_000  # characters of a text that are counted at a time
 
 
 @cache
@@ -40,9 +41,30 @@ def _is_letter() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams of a text as integers of 21 bits a letter, ascending, and their counts."""
-    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+def grams(text: str | None, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a text as integers of 21 bits a letter, ascending, and their counts.
+
+    No n-gram crosses from word to word, so a long text is counted span by span, cut between words.
+    """
+    text = text or ""
+    if len(text) <= span:
+        return _grams(text)
+    found, counts = _grams("")
+    at = 0
+    while at < len(text):
+        end = at + span
+        while end < len(text) and text[end].isalpha():
+            end += 1
+        more, n = _grams(text[at:end])
+        merged, where = np.unique(np.concatenate([found, more]), return_inverse=True)
+        total = np.zeros(len(merged), dtype=np.int64)
+        np.add.at(total, where, np.concatenate([counts, n]))
+        found, counts, at = merged, total, end
+    return found, counts
+
+
+def _grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     letter = _is_letter()[codes]
     if not letter.any():
         return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)

@@ -21,6 +21,7 @@ repeated. An empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,7 @@ MAX_BITS = 2
 PAGE = 2048  # fingerprints of a page
 FAN = 4  # a node has 2**FAN children
 HASH_SEED = 42
+BLOCK = 65_536  # shingles of a text that are counted at a time
 BLOCKS = (256, 32, 4, 1)  # sizes of the groups inside a page, each divides the one before
 
 
@@ -50,9 +52,12 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle_words)), strict=False))
-    hashes = np.array([xxh64_intdigest(s, HASH_SEED) for s in shingles], dtype="<u8")
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    ones, many, shingles = np.zeros(64, dtype=np.int64), 0, iter(shingles)
+    while block := [xxh64_intdigest(s, HASH_SEED) for s in islice(shingles, BLOCK)]:
+        hashes = np.array(block, dtype="<u8")
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        many += len(block)
+    return int(np.packbits(2 * ones > many, bitorder="little").view("<u8")[0])
 
 
 def with_fingerprint(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:

@@ -37,6 +37,13 @@ def test_grams_equal_the_slow_form(text):
     assert dict(zip(found.tolist(), counts.tolist(), strict=True)) == {code(g): n for g, n in slow_grams(text).items()}
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="ab é.\n", max_size=80), st.integers(1, 20))
+def test_spans_of_a_text_count_as_the_whole(text, span):
+    for a, b in zip(grams(text, span), grams(text), strict=True):
+        assert a.tolist() == b.tolist()
+
+
 def slow_prediction(text, profiles):
     counted = slow_grams(text)
     if not counted:
