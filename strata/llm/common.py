@@ -76,6 +76,6 @@ def running_total(
     return inner.join(starts, keys).withColumn(out, F.col("_start") + F.col("_upto") - F.col(value)).drop("_start", "_upto")
 
 
-def slots_for(rows: int, per_slot: int = 20_000) -> int:
-    """How many slots keep about ``per_slot`` rows in each; a power of two."""
-    return 1 << max(0, (max(rows, 1) // per_slot).bit_length())
+def slots_for(rows: int) -> int:
+    """About the square root of ``rows``, a power of two: as many slots as rows in each, so neither end grows fast."""
+    return 1 << (max(rows, 1).bit_length() // 2)

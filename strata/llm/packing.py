@@ -156,7 +156,7 @@ def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS) -> DataF
     counts = {r["length"]: r["count"] for r in found.groupBy("length").count().collect()}  # at most max_tokens rows
     schema = "length long, first_rank long, pieces long, each long, first_sequence long, at long"
     plan = spark.createDataFrame(plan_slots(counts, max_tokens), schema)
-    slots = slots_for(sum(counts.values()), 200_000)
+    slots = slots_for(sum(counts.values()))
     key = F.xxhash64("doc_id", "piece", "ids_crc32")
     top = F.shiftright(key, 64 - (slots.bit_length() - 1)) if slots > 1 else F.lit(0).cast("long")
     keyed = found.withColumns({"_key": key, "_slot": top, "_one": F.lit(1).cast("long")})
