@@ -76,6 +76,7 @@ def merge(
     validate: bool = True,
     co_partitions: int | None = None,
     spread_null_keys: bool = False,
+    refuse_null_keys: bool = False,
     extra: str = "refuse",
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` on ``keys``; result has the target's columns.
@@ -93,6 +94,10 @@ def merge(
       spread over the tasks instead of meeting in one. For tables where many
       rows lack a key; inputs that are already partitioned by the keys are then
       shuffled again.
+    - ``refuse_null_keys``: for tables that guarantee full keys. A key with a
+      null part raises at run time, on either side, so that null-safe and plain
+      keys mean the same and the join is a plain one: inputs partitioned by the
+      keys are not shuffled again.
     - ``extra``: what to do with source columns the target doesn't have:
       ``"refuse"`` raises, ``"add"`` adds them (null where a row isn't taken
       from the source), ``"drop"`` leaves them out.
@@ -113,6 +118,10 @@ def merge(
         else:
             source = source.drop(*new)
     options = dict(when_changed=when_changed, update_cols=update_cols, validate=validate)
+    if refuse_null_keys:
+        msg = f"a key of ({', '.join(keys)}) is null"
+        full = F.when(_present(keys), F.lit(True)).otherwise(F.raise_error(F.lit(msg)))
+        target, source, null_safe = target.filter(full), source.filter(full), False
     if null_safe and co_partitions:
         # A key with a null part never equals a key without one. Rows with full
         # keys merge with plain equality, which keeps the buckets; the others

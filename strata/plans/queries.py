@@ -58,7 +58,7 @@ LATER_DAYS = (dt.date(1998, 2, 5), dt.date(1999, 10, 20))
 
 def mart_city_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Warehouse(spark, sf_dir)
-    return marts.city_sales(w.fct_orders, w.dim_addresses, w.fct_orderdetails, w.dim_items, REPORT_DATE)
+    return marts.city_sales(w.fct_orders, w.dim_addresses, w.orderdetails_by_order, w.dim_items, REPORT_DATE)
 
 
 # --- step 2: read side --------------------------------------------------------------
@@ -215,7 +215,7 @@ def upsert_column(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["orderId", "itemId"],
         when_changed="totalQuantity",
         update_cols=["totalQuantity"],
-        null_safe=True,
+        refuse_null_keys=True,
     )
 
 

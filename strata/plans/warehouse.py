@@ -10,16 +10,18 @@ its scan. Facts are the ingestion tables as they are.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.cleaning import clean_strings
 from strata.functions.dates import is_open
 from strata.operators.scd2 import scd2_apply, scd2_seed
 from strata.sources import sinks
-from strata.sources.fixtures import Store
+from strata.sources.fixtures import Store, rollup_orderdetails
 from strata.sources.tables import table_path
 
 # The day the second load is applied, and the days of the third
@@ -38,7 +40,7 @@ RANGE_END = dt.date(1999, 10, 20)
 
 
 # Where a dimension was written, by application, inputs and their files' state.
-_WRITTEN: dict[tuple, str] = {}
+_WRITTEN: dict[tuple, tuple[str, StructType]] = {}
 
 
 class Warehouse:
@@ -49,13 +51,14 @@ class Warehouse:
         self.store = Store(spark, sf_dir)
         self.effective_date = effective_date
 
-    def _stored(self, df: DataFrame, name: str, tables: tuple[str, ...]) -> DataFrame:
+    def _stored(self, name: str, tables: tuple[str, ...], build: Callable[[], DataFrame]) -> DataFrame:
         files = tuple(sinks.signature(self.spark, table_path(self.store.sf_dir, t)) for t in tables)
         key = (self.spark.sparkContext.applicationId, name, self.effective_date, files)
-        path = _WRITTEN.get(key)
+        path, schema = _WRITTEN.get(key, (None, None))
         if path is None or not sinks.exists(self.spark, path):
-            path = _WRITTEN[key] = sinks.write_snapshot(self.spark, df, name)
-        return self.spark.read.schema(df.schema).parquet(path)
+            df = build()
+            path, schema = _WRITTEN[key] = sinks.write_snapshot(self.spark, df, name), df.schema
+        return self.spark.read.schema(schema).parquet(path)
 
     def customers_after_two_loads(self) -> DataFrame:
         s = self.store
@@ -63,19 +66,20 @@ class Warehouse:
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return self._stored(self.customers_after_two_loads(), "dim_customers", ("customer", "orders"))
+        return self._stored("dim_customers", ("customer", "orders"), self.customers_after_two_loads)
 
     @cached_property
     def dim_items(self) -> DataFrame:
         s = self.store
-        return self._stored(scd2_apply(scd2_seed(s.items), s.items_s2, self.effective_date), "dim_items", ("part",))
+        return self._stored("dim_items", ("part",), lambda: scd2_apply(scd2_seed(s.items), s.items_s2, self.effective_date))
 
     @cached_property
     def dim_addresses(self) -> DataFrame:
-        s = self.store
-        first = scd2_seed(clean_strings(s.addresses))
-        second = scd2_apply(first, clean_strings(s.addresses_s2), self.effective_date)
-        return self._stored(second, "dim_addresses", ("customer", "nation", "region"))
+        def build() -> DataFrame:
+            first = scd2_seed(clean_strings(self.store.addresses))
+            return scd2_apply(first, clean_strings(self.store.addresses_s2), self.effective_date)
+
+        return self._stored("dim_addresses", ("customer", "nation", "region"), build)
 
     @cached_property
     def dim_customers_third(self) -> DataFrame:
@@ -100,3 +104,8 @@ class Warehouse:
     @property
     def fct_orderdetails(self) -> DataFrame:
         return self.store.fct_orderdetails
+
+    @property
+    def orderdetails_by_order(self) -> DataFrame:
+        """The same rows, clustered by order: one shuffle of the lines serves the roll-up and joins to orders."""
+        return rollup_orderdetails(self.store.raw_orderdetails.repartition("orderId"))

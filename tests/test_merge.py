@@ -156,3 +156,12 @@ def test_bucketed_target_is_merged_in_place(spark):
     # written back bucketed from the co-partitioned result
     again = write_bucketed(spark, merged, "customers", ["id"], buckets)
     assert spark.table(again).count() == plain.count()
+
+
+def test_refused_null_keys(spark):
+    t = spark.createDataFrame([(1, "a", "1")], S)
+    s = spark.createDataFrame([(1, "A", "2"), (2, "B", "2")], S)
+    assert as_set(merge(t, s, "id", refuse_null_keys=True), "id", "v") == [(1, "A"), (2, "B")]
+    for a, b in ((t, spark.createDataFrame([(None, "x", "1")], S)), (spark.createDataFrame([(None, "x", "1")], S), s)):
+        with pytest.raises(PySparkException, match="is null"):
+            merge(a, b, "id", refuse_null_keys=True).collect()

@@ -110,8 +110,8 @@ def test_vip_cities_moves_the_orders_once(spark, at_scale):
 
 def test_city_sales_moves_the_lines_once_where_items_are_broadcast(spark):
     w = Warehouse(spark, SF_SMALL)
-    lines = w._stored(w.fct_orderdetails, "fct_orderdetails", ("lineitem",))
-    orders = w._stored(w.fct_orders, "fct_orders", ("orders",))
+    lines = w._stored("fct_orderdetails", ("lineitem",), lambda: w.fct_orderdetails)
+    orders = w._stored("fct_orders", ("orders",), lambda: w.fct_orders)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -127,3 +127,22 @@ def test_city_sales_moves_the_lines_once_where_items_are_broadcast(spark):
 
 def test_row_reconciliation_moves_no_keys(spark):
     assert shuffles(E.queries()["reconcile_counts"](spark, SF_SMALL)) <= 2  # those of its own source
+
+
+def test_registered_flagship_moves_the_lines_once(spark, at_scale):
+    """Roll-up and join to the orders share one shuffle of the lines by order."""
+    lines = simple_plan(E.queries()["mart_city_sales"](spark, SF_SMALL)).splitlines()
+    at = next(k for k, x in enumerate(lines) if "l_orderkey" in x and "FileScan" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    above, level = [], depth(lines[at])
+    for x in reversed(lines[:at]):
+        if depth(x) < level:
+            level = depth(x)
+            above.append(x)
+            if "SortMergeJoin [orderId" in x:
+                break
+    assert sum("Exchange" in x for x in above) == 1
+
+
+def test_column_upsert_shuffles_each_load_once(spark, at_scale):
+    assert shuffles(E.queries()["upsert_column"](spark, SF_SMALL)) == 2
