@@ -44,8 +44,9 @@ CELLS = 64
 RINGS = 64
 PAGE = 1024
 LEAVES = 16
-BLOCK_PAGES = 16  # queries of so many neighbouring pages travel together
-SHARD_PAGES = 64  # a task visits up to so many pages for a block
+BLOCK_PAGES = 16  # queries of so many neighbouring pages travel together,
+BLOCK_QUERIES = 512  # and of so many cells that there are about so many
+SHARD_PAGES = 16  # about so many pages are visited one after the other for a block
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -192,10 +193,11 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
     vectors = usable(embeddings)
     empty = "query_id long, rank int, vec_id long, score long"
     spark = embeddings.sparkSession
-    facts = vectors.agg(F.count(F.lit(1)), F.max(F.size("vec")), F.min("vec_id"), F.max("vec_id")).first()
+    facts = vectors.agg(F.count(F.lit(1)), F.max(F.size("vec")), F.min("vec_id"), F.max("vec_id"), F.count_if(F.col("vec_id") % every == 0)).first()
     if not facts[0]:
         return spark.createDataFrame([], empty)
     count, width, low, high = facts[0], max(1, facts[1]), facts[2], facts[3]
+    cells_together = max(1, BLOCK_QUERIES * CELLS // max(1, facts[4]))
     # a bounded sample: routing objects, and what queries find before the search
     picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE).collect()
     sample_ids = np.array([r["vec_id"] for r in picked], dtype=np.int64)
@@ -256,7 +258,7 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
 
     asked = ranked.where(F.col("vec_id") % every == 0).select("vec_id", "cell", "page", "vec")
     started = written(asked.mapInPandas(start, "query_id long, home int, home_page long, vec binary, cell int, to_parent double, norm double, needed double, needed_id long"), "queries")
-    block = [F.col("home"), F.floor(F.col("home_page") / BLOCK_PAGES).cast("long").alias("part")]
+    block = [F.floor(F.col("home") / cells_together).cast("long").alias("home"), F.floor(F.col("home_page") / BLOCK_PAGES).cast("long").alias("part")]
     # a ring of the cell holds nothing nearer than the difference of distances to its router
     gap = F.greatest(F.col("to_parent") - F.col("farthest"), F.col("nearest") - F.col("to_parent"), F.lit(0.0))
     bound = (F.col("norm") + F.col("largest") - gap * gap) / 2
@@ -270,7 +272,8 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
     blocks = started.select(*block, "cell", F.struct(*columns).alias("q")).groupBy("home", "part", "cell").agg(F.collect_list("q").alias("q"))
     blocks = blocks.select("home", "part", "cell", *(F.col(f"q.{c}").alias(c) for c in columns))
     work = pairs.join(blocks, ["home", "part", "cell"]).join(pages.drop("nearest", "farthest", "first_id", "largest"), ["cell", "page"])
-    work = work.withColumn("shard", F.floor(F.col("page") / SHARD_PAGES))
+    shards = -(-pages.count() // SHARD_PAGES)
+    work = work.withColumn("shard", F.pmod(F.xxhash64("cell", "page"), F.lit(max(1, shards))))
     dealt = work.repartition("home", "part", "shard").sortWithinPartitions("home", "part", "shard", F.desc("bound"), "cell", "page")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
