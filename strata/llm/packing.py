@@ -14,12 +14,14 @@ result. Other columns are not read.
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from strata.llm.common import read_table, running_total, slots_for, written
 
 MAX_TOKENS = 2048
 END_ID = 0
-CACHED_WORDS = 400_000  # words whose ids a Python worker keeps
+CACHED_WORDS = 800_000  # words whose ids a Python worker keeps
 
 
 def word_tokenizer_path() -> str:
@@ -37,6 +39,14 @@ def word_tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordIds(dict):
     """Token ids of a word (its UTF-8 bytes) as little-endian unsigned 32-bit integers.
 
@@ -48,22 +58,21 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.plain = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+        self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
         self.marks = lru_cache(10_000)(self._through)
 
     def _through(self, word: str) -> bytes:
-        return np.array(self.full.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return _packed(self.full.encode(word, add_special_tokens=False).ids)
 
     def _letters(self, letters: str) -> bytes:
         known = letters if letters.isascii() else self.byte_level.pre_tokenize_str(letters)[0][0]
-        return np.array([t.id for t in self.model.tokenize(known)], dtype="<u4").tobytes()
+        return _packed([t.id for t in self.model.tokenize(known)])
 
     def __missing__(self, key: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
@@ -84,7 +93,7 @@ class WordIds(dict):
 
 def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every text, its end id included."""
-    end = np.array([END_ID], dtype="<u4").tobytes()
+    end = _packed([END_ID])
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = WordIds(tokenizer)
