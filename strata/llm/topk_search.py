@@ -98,14 +98,15 @@ class Best:
 
     def add(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
         held = self.found[query]
-        keep = np.lexsort((ids, -scores))
-        taken = 0
-        for k in keep.tolist():
+        taken: set[int] = set()
+        for k in np.lexsort((ids, -scores)).tolist():
             vec_id, score = int(ids[k]), int(scores[k])
+            if vec_id in taken:
+                continue
             if score > held.get(vec_id, score - 1):
                 held[vec_id] = score
-            taken += 1
-            if taken >= 2 * self.top and len(held) >= self.top:
+            taken.add(vec_id)
+            if len(taken) == self.top:  # the rest ranks below so many other ids
                 break
         ranked = sorted(held.items(), key=lambda x: (-x[1], x[0]))[: self.top]
         self.found[query] = dict(ranked)

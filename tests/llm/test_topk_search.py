@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from strata.llm.topk_search import TOP, spread_out, top_k
+from strata.llm.topk_search import TOP, Best, spread_out, top_k
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -44,6 +44,22 @@ def test_hot_vector_and_ties(spark):
     assert result(spark, rows) == brute(rows)
 
 
+def test_rows_that_repeat_an_id_hide_no_other(spark):
+    """Several pages with every row three times, and one row 50 times."""
+    chance = np.random.default_rng(7)
+    base = [(int(k), chance.normal(size=6).tolist()) for k in range(1500)]
+    far = max(base, key=lambda r: sum(x * x for x in r[1]))
+    rows = base * 3 + [far] * 50
+    assert result(spark, rows) == brute(rows)
+
+
+def test_repeated_rows_count_once_when_five_are_held():
+    best = Best(np.array([-np.inf]), np.array([np.iinfo(np.int64).max]), 5)
+    best.add(0, np.arange(1, 6), np.arange(1, 6))
+    best.add(0, np.array([90] * 12 + [80, 70, 60, 50]), np.array([10] * 12 + [11, 12, 13, 14]))
+    assert best.found[0] == {10: 90, 11: 80, 12: 70, 13: 60, 14: 50}
+
+
 def test_defined_cases(spark):
     rows = [
         (0, [1.0, 2.0]), (0, [3.0, 0.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0]),
