@@ -1,8 +1,9 @@
 """Main text of web pages by composite text density.
 
-A page is parsed into a tree; elements that never hold the article (scripts,
-menus, footers, forms, adverts, comments and the like, by tag, role or class)
-are left out. For every node the composite density is its characters per tag,
+A page is parsed into a tree. Scripts and the like are left out, and so are
+menus, footers, forms, adverts, comments and other elements that by tag, or by a
+whole class, id or role, don't hold the article, unless they hold a main element
+or most of the text (see ``leave_out``). For every node the composite density is its characters per tag,
 damped by the share of characters in links; a node's density sum adds up those
 of its children. The subtree with the largest sum is the text's core. It grows
 to its parents as long as these stay as dense as the page's body, the threshold
@@ -32,8 +33,13 @@ from strata.llm.common import read_table
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template head title nav footer aside form button select option textarea input iframe object embed canvas svg math audio video map menu dialog datalist".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+# Elements that hold no text of a page, and those that usually hold none of its main text.
+SKIPPED = frozenset("script style noscript template head title annotation annotation-xml button select option textarea input iframe object embed canvas svg audio video map datalist".split())
+BOILERPLATE = frozenset("nav footer aside form menu dialog".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math annotation mi mn mo ms mtext mrow mstyle msup msub msubsup mfrac msqrt mroot mover munder munderover semantics".split()
+)
 # A start tag of the one closes an open element of the others.
 CLOSES = {
     **{t: frozenset({"p"}) for t in "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()},
@@ -47,22 +53,36 @@ CLOSES = {
 }
 # An end tag, or what a start tag closes, is looked for no further than these.
 SCOPES = frozenset("article aside body blockquote details div dl fieldset figure footer form header html li main nav ol section table td th ul".split())
-# Words in a class, an id or a role that say that an element isn't the article.
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promos?|promotion|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|sidebars?|side|"
-    r"widgets?|related|recommended|share|sharing|social|comments?|commentlist|replies|reply|respond|disqus|nav|navbar|navigation|menus?|breadcrumbs?|footer|"
-    r"masthead|topbar|toolbar|newsletter|subscribe|subscription|signup|login|search|pagination|pager|skip|complementary|contentinfo|dialog)(?:$|[\s_-])",
-    re.I,
+# Classes, ids and roles that say that an element isn't the article: these words, or some of them joined.
+NOISE = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promos promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay sidebar sidebars side "
+    "widget widgets related recommended share sharing social comment comments commentlist replies reply respond disqus nav navbar navigation menu menus breadcrumb breadcrumbs footer "
+    "masthead topbar toolbar newsletter subscribe subscription signup login search pagination pager skip complementary contentinfo dialog".split()
 )
+# Readers' texts and consent texts can be longer than the article; length is no sign that they are it.
+OTHERS = frozenset("comment comments commentlist replies reply respond disqus cookie cookies consent gdpr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset({"article", "main"})
 
 
+def noise_words(names: str) -> set[str]:
+    """The words of those names that consist of NOISE words only: "sidebar" and "cookie-notice", not "has-sidebar"."""
+    out: set[str] = set()
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[_-]+", name) if w]
+        if words and NOISE.issuperset(words):
+            out.update(words)
+    return out
+
+
 class _Tree(HTMLParser):
     """Nodes in page order, each with its parent, and text with the node that holds it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.skipped, self.main = ["#page"], [-1], [False], [False]
+        # by tag or name not the article; by name others' texts; a main element
+        self.doubtful, self.others, self.whole = [False], [False], [False]
         self.pieces: list[tuple[int, str]] = []  # text, or "" where a block begins or ends
         self.open = [0]
 
@@ -87,14 +107,18 @@ class _Tree(HTMLParser):
         self._edge(tag)
         node, parent = len(self.tags), self.open[-1]
         told = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "style")}
-        words = f"{told.get('class', '')} {told.get('id', '')} {told.get('role', '')}".strip()
+        names = f"{told.get('class', '')} {told.get('id', '')} {told.get('role', '')}"
+        words = set() if tag in HEADINGS or tag in ("html", "body", "main") else noise_words(names)
+        if tag == "article":
+            words &= OTHERS
         hidden = "hidden" in told or told.get("aria-hidden") == "true" or "display:none" in told.get("style", "").replace(" ", "").lower()
         inside = self.main[parent]
-        noise = tag in SKIPPED or hidden or (tag not in ("html", "body", "#page") and bool(words) and bool(NOISE.search(words)))
-        noise = noise or (tag == "header" and not inside)
         self.tags.append(tag)
         self.parents.append(parent)
-        self.skipped.append(self.skipped[parent] or noise)
+        self.skipped.append(self.skipped[parent] or tag in SKIPPED or hidden)
+        self.doubtful.append(tag in BOILERPLATE or bool(words) or (tag == "header" and not inside))
+        self.others.append(not OTHERS.isdisjoint(words))
+        self.whole.append("main" in (tag, told.get("role")))
         self.main.append(inside or tag in MAIN or told.get("role") in MAIN)
         if tag not in VOID:
             self.open.append(node)
@@ -139,9 +163,54 @@ def parse(html: str) -> _Tree:
         tree = _Tree()
         tree.feed(re.sub(r"<!\[[^>]*>?", "", html))
         tree.close()
+    leave_out(tree)
     return tree
 
 
+def leave_out(tree: _Tree) -> None:
+    """Skip the doubtful elements, but for those that have to hold the main text.
+
+    These hold a main element, or most of what the page's articles or the whole
+    page have outside links. Others' texts stay if they hold a main element or
+    are all that the article or main element around them, or the page, has. If
+    nothing is left, nothing doubtful is skipped.
+    """
+    n = len(tree.tags)
+    never = tree.skipped
+    plain, linked, outer = [0] * n, [False] * n, [0] * n  # outer: the outermost article or main element around a node
+    for node in range(1, n):
+        up = tree.parents[node]
+        linked[node] = linked[up] or tree.tags[node] == "a"
+        outer[node] = outer[up] or (node if tree.main[node] else 0)
+    for node, text in tree.pieces:
+        if not linked[node]:
+            plain[node] += len("".join(text.split()))
+    own = plain.copy()
+    mains, articles = [0] * n, [0] * n
+    for node in range(n - 1, 0, -1):
+        if never[node]:
+            continue
+        if outer[node] == node and not tree.others[node]:
+            articles[node] = plain[node]
+        mains[node] += tree.whole[node] and plain[node] > 0
+        for kind in (plain, mains, articles):
+            kind[tree.parents[node]] += kind[node]
+    skipped = never.copy()
+    for node in range(1, n):
+        up = tree.parents[node]
+        if skipped[up]:
+            skipped[node] = True
+        elif tree.doubtful[node] and not never[node] and not mains[node]:
+            if tree.others[node]:
+                skipped[node] = plain[node] < max(1, plain[outer[up]])
+            else:
+                skipped[node] = 2 * articles[node] <= articles[0] and 2 * plain[node] <= plain[0]
+    if any(own[k] and not skipped[k] for k in range(n)):
+        tree.skipped = skipped
+    elif plain[0] == 0:  # links at most
+        tree.skipped = skipped
+
+
 def densities(tree: _Tree) -> tuple[list[float], list[float], list[int]]:
     """Composite density and density sum of every node, and its characters."""
     n = len(tree.tags)

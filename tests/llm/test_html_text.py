@@ -37,6 +37,46 @@ def test_main_text(html, expected):
     assert main_text(html) == expected
 
 
+TEXT = f"Head {PARAGRAPH}{PARAGRAPH}".strip()
+BLOCKS = f"<h1>Head</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>"
+MENU = "<nav><ul><li><a href=1>one</a><li><a href=2>two</a></ul></nav>"
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<form action=x>{MENU}<div>{BLOCKS}</div><input></form>",
+        f"<form action=x>{MENU}<article>{BLOCKS}</article></form>",
+        f"{MENU}<main><form>{BLOCKS}</form></main>",
+        f"{MENU}<article class='post has-sidebar'>{BLOCKS}</article>",
+        f"{MENU}<article class='notice'>{BLOCKS}</article>",
+        f"{MENU}<main class='search'>{BLOCKS}</main>",
+        f"{MENU}<div class='overlay'><main>{BLOCKS}</main></div><div class=sidebar>beside</div>",
+        f"{MENU}<div id='content' class='with-sidebar'>{BLOCKS}</div>",
+        f"{MENU}<div class='no-comments'>{BLOCKS}</div><div class=sidebar>beside</div>",
+        f"{MENU}<div class='sidebar'>{BLOCKS}</div>",
+        f"{MENU}<div id='comments'>{BLOCKS}</div>",
+    ],
+)
+def test_elements_that_hold_the_text_stay(body):
+    assert main_text(page(body)) == TEXT
+
+
+@pytest.mark.parametrize("part", ["<section id='related-work'>{}</section>", "<section id='social-impact'>{}</section>", "<div class='ads-free has-widgets'>{}</div>"])
+def test_parts_of_the_article_stay(part):
+    assert main_text(page(f"<article>{BLOCKS}{part.format('<h2 id=search>Search</h2><p>more of it</p>')}</article>")) == f"{TEXT} Search more of it"
+
+
+def test_formulas_stay():
+    formula = "<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding='application/x-tex'>a=1</annotation></semantics></math>"
+    assert main_text(page(f"<article><p>so {formula}, and on</p></article>")) == "so a=1, and on"
+
+
+def test_long_comments_and_consent_are_not_the_text():
+    others = f"<div id=comments><p>{PARAGRAPH * 9}</p></div><div class=cookie-consent>{PARAGRAPH * 9}</div>"
+    assert main_text(page(f"{MENU}<div id=content>{BLOCKS}</div>{others}")) == TEXT
+
+
 def test_density_prefers_text_over_links():
     tree = parse(page(f"<div class=x><a href=1>{'word ' * 20}</a><a href=2>{'word ' * 20}</a></div><div class=y><p>{'word ' * 40}</p></div>"))
     density, sums, chars = densities(tree)
