@@ -5,10 +5,12 @@ menus, footers, forms, adverts, comments and other elements that by tag, or by a
 whole class, id or role, don't hold the article, unless they hold a main element
 or most of the text (see ``leave_out``). For every node the composite density is its characters per tag,
 damped by the share of characters in links; a node's density sum adds up those
-of its children. The subtree with the largest sum is the text's core. It grows
+of its children. The subtree with the largest sum is the text's core. It widens
+to the article or main element that its densest part lies in; or else it grows
 to its parents as long as these stay as dense as the page's body, the threshold
-on the path to it, or to the article or main element around it; all text of that
-subtree is returned.
+on the path to it. Other articles are parts of the text if they come near the
+core in density or length or are long, and teasers if not. All text of what is chosen is
+returned.
 
 Parsing is the only Python here: Spark deals the pages out, and a page is one
 row's work.
@@ -63,6 +65,8 @@ NOISE = frozenset(
 OTHERS = frozenset("comment comments commentlist replies reply respond disqus cookie cookies consent gdpr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset({"article", "main"})
+PART = 0.25  # of the core's characters or density: from there an article beside it is a part of the text
+TEASER = 300  # and so it is from so many characters outside links
 
 
 def noise_words(names: str) -> set[str]:
@@ -240,23 +244,29 @@ def densities(tree: _Tree) -> tuple[list[float], list[float], list[int]]:
     return density, sums, chars
 
 
-def core(tree: _Tree) -> int:
-    """The node whose subtree is the main text."""
-    density, sums, chars = densities(tree)
+def grown(tree: _Tree, density: list[float], sums: list[float], chars: list[int]) -> tuple[int, int]:
+    """The node whose subtree is the main text, and the densest node that led there."""
     nodes = [k for k in range(len(tree.tags)) if not tree.skipped[k] and chars[k]]
     if not nodes:
-        return 0
+        return 0, 0
     # a node without children that hold text stands by itself
     worth = [max(sums[k], density[k]) for k in range(len(sums))]
-    inside = [k for k in nodes if tree.main[k]]
-    best = max(inside or nodes, key=lambda k: (worth[k], -k))
-    path = [best]
+    best = max(nodes, key=lambda k: (worth[k], -k))
+    densest: dict[int, int] = {}
+    for k in nodes[1:]:
+        up = tree.parents[k]
+        if up not in densest or density[k] > density[densest[up]]:
+            densest[up] = k
+    heart = best
+    while heart in densest and density[densest[heart]] >= (1 - PART) * sums[heart] > 0:
+        heart = densest[heart]
+    path = [heart]
     while tree.parents[path[-1]] >= 0:
         path.append(tree.parents[path[-1]])
-    if inside:
-        return [k for k in path if tree.main[k]][-1]
+    if tree.main[heart]:
+        return [k for k in path if tree.main[k]][-1], heart
     body = next((k for k in path if tree.tags[k] in ("body", "html", "#page")), path[-1])
-    for up in path[1:]:
+    for up in path[path.index(best) + 1 :]:
         # up to the page's body, while what a parent adds is as dense as that
         added = chars[up] - chars[best]
         if added and density[up] < max(density[body], 0.5 * density[best]):
@@ -264,18 +274,50 @@ def core(tree: _Tree) -> int:
         best = up
         if up == body:
             break
-    return best
+    return best, heart
+
+
+def core(tree: _Tree) -> int:
+    """The node whose subtree is the main text."""
+    return grown(tree, *densities(tree))[0]
+
+
+def chosen(tree: _Tree) -> list[bool]:
+    """Whether a node is in the main text: in the core, or in an article beside it that is a part of the text.
+
+    An article that growing has met and that is no part of the text is not in it.
+    """
+    density, sums, chars = densities(tree)
+    top, heart = grown(tree, density, sums, chars)
+    n = len(tree.tags)
+    plain, linked, around = [0] * n, [False] * n, {top}
+    for node in range(1, n):
+        linked[node] = linked[tree.parents[node]] or tree.tags[node] == "a"
+    for node, text in tree.pieces:
+        if not linked[node] and not tree.skipped[node]:
+            plain[node] += len("".join(text.split()))
+    for node in range(n - 1, 0, -1):
+        plain[tree.parents[node]] += plain[node]
+    up = heart
+    while up >= 0:
+        around.add(up)
+        up = tree.parents[up]
+    within = [False] * n
+    within[top] = True
+    for node in range(1, n):
+        up = tree.parents[node]
+        within[node] = node == top or within[up]
+        if tree.main[node] and not tree.main[up] and node not in around:
+            part = density[node] >= PART * density[heart] or plain[node] >= min(TEASER, PART * plain[heart]) > 0
+            within[node] = part and (within[up] or tree.main[heart])
+    return within
 
 
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     tree = parse(html)
-    top = core(tree)
-    within = [False] * len(tree.tags)
-    within[top] = True
-    for node in range(top + 1, len(tree.tags)):
-        within[node] = within[tree.parents[node]]
+    within = chosen(tree)
     return " ".join("".join(text or " " for node, text in tree.pieces if within[node] and not tree.skipped[node]).split())
 
 

@@ -77,6 +77,26 @@ def test_long_comments_and_consent_are_not_the_text():
     assert main_text(page(f"{MENU}<div id=content>{BLOCKS}</div>{others}")) == TEXT
 
 
+TEASER = "<article class=teaser><h3><a href=3>Read next</a></h3><p>A short teaser.</p></article>"
+
+
+@pytest.mark.parametrize(
+    ("body", "expected"),
+    [
+        (f"{MENU}<div id=content>{BLOCKS}</div>{TEASER}", TEXT),
+        (f"{MENU}{TEASER * 12}<div id=content>{BLOCKS}</div>", TEXT),
+        (f"{MENU}<div id=content>{BLOCKS}</div><div class=cards>{TEASER * 3}</div>", TEXT),
+        (f"{MENU}<div id=content>{PARAGRAPH}<br>{PARAGRAPH}</div>{TEASER}", f"{PARAGRAPH}{PARAGRAPH}".strip()),
+        (f"{MENU}<article>{BLOCKS}</article>{TEASER}", TEXT),
+        (f"{MENU}<article>{BLOCKS}</article><article><h2>Two</h2><p>{PARAGRAPH}</p></article>", f"{TEXT} Two {PARAGRAPH}".strip()),
+        (f"{MENU}<div><article>{PARAGRAPH * 9}</article></div><div><article>{BLOCKS}</article></div>{TEASER}", f"{PARAGRAPH * 9}{TEXT}"),
+        (f"{MENU}<main><article>{BLOCKS}</article><article><p>{PARAGRAPH}</p></article></main>", f"{TEXT} {PARAGRAPH}".strip()),
+    ],
+)
+def test_density_decides_and_articles_widen(body, expected):
+    assert main_text(page(body)) == expected
+
+
 def test_density_prefers_text_over_links():
     tree = parse(page(f"<div class=x><a href=1>{'word ' * 20}</a><a href=2>{'word ' * 20}</a></div><div class=y><p>{'word ' * 40}</p></div>"))
     density, sums, chars = densities(tree)
