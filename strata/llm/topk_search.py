@@ -18,8 +18,8 @@ query needs. Bounds are rounded up and ties go on unless all ids there are
 larger, so the result is exact.
 
 Defined cases: a row whose id or vector is null, or whose vector holds a null or
-a component that is not finite or beyond ``LIMIT`` in size, takes no part. A
-shorter vector counts as filled up with zeros. Rows that repeat an id are one
+a component that is not finite, takes no part; finite ones of any size do, and
+a score among the best that a long can't hold stops the run. A shorter vector counts as filled up with zeros. Rows that repeat an id are one
 candidate, with its best score, and never their own query's. An empty table
 gives an empty result. Other columns are not read.
 """
@@ -38,7 +38,9 @@ from strata.llm.common import read_table, running_total, slots_for, written
 TOP = 5
 QUERY_EVERY = 50
 SCALE = 256
-LIMIT = 2.0**16  # of a component; scores then fit a long in up to 2**15 dimensions
+LIMIT = 2.0**400  # of a scaled component, which only doubles can pass: squares have to be finite; beyond it the run stops
+SLACK = 4e-12  # of the sizes that a bound is computed from, for rounding
+LONG = 2**63
 SAMPLE = 4096
 CELLS = 64
 RINGS = 64
@@ -50,19 +52,32 @@ SHARD_PAGES = 16  # about so many pages are visited one after the other for a bl
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of all rows; through floats where these are exact."""
+    """Exact inner products of all rows: through floats where these are exact, as Python's integers where longs are too short."""
     top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if top < 2**52:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    if top < LONG:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    wide = np.argwhere(np.sqrt(_norms(a))[:, None] * np.sqrt(_norms(b))[None, :] >= LONG // 2)
+    with np.errstate(invalid="ignore"):  # components beyond a long are in wide pairs, or meet zeros
+        out = (a.astype(np.int64) @ b.astype(np.int64).T).astype(object)
+    for i, j in wide.tolist():
+        out[i, j] = sum(int(x) * int(y) for x, y in zip(a[i].tolist(), b[j].tolist(), strict=True))
+    return out
 
 
 def _norms(a: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", a, a, dtype=np.float64)
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(_norms(a)[:, None] + _norms(b)[None, :] - 2.0 * _products(a, b), 0.0))
+def _distances(a: np.ndarray, b: np.ndarray, dots: np.ndarray | None = None) -> np.ndarray:
+    """Distances of all rows; from the inner products where these and the norms are exact in floats."""
+    left, right = _norms(a), _norms(b)
+    if left.max(initial=0.0) + right.max(initial=0.0) < 2**51:
+        dots = _products(a, b) if dots is None else dots
+        return np.sqrt(np.maximum(left[:, None] + right[None, :] - 2.0 * dots, 0.0))
+    own = a.astype(np.float64)
+    return np.stack([np.sqrt(_norms(own - row)) for row in b.astype(np.float64)], axis=1)
 
 
 def spread_out(vectors: np.ndarray, many: int) -> list[int]:
@@ -78,10 +93,21 @@ def spread_out(vectors: np.ndarray, many: int) -> list[int]:
     return chosen
 
 
-def _at_most(norm: np.ndarray, largest: np.ndarray, apart: np.ndarray) -> np.ndarray:
-    """Upper bound of the inner product from the least distance, as a whole number."""
+def _at_most(norm: np.ndarray, largest: np.ndarray, apart: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Upper bound of the inner product, a whole number, from the least distance; ``far`` is the largest that this comes from."""
     bound = (norm + largest - np.maximum(apart, 0.0) ** 2) / 2
-    return np.floor(bound * (1 + 1e-12) + np.abs(bound) * 1e-12 + 1e-3)
+    return np.floor(bound + (norm + largest + far**2) * SLACK + 1e-3)
+
+
+def _within(dots: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Upper bound of the inner product, a whole number, from the one with the centre and what the radius can add."""
+    dots = dots.astype(np.float64)
+    return np.floor(dots + reach + (np.abs(dots) + reach) * SLACK + 1e-3)
+
+
+def _whole(numbers) -> np.ndarray:
+    numbers = list(numbers)
+    return np.array(numbers, dtype=np.int64 if all(-LONG <= x < LONG for x in numbers) else object)
 
 
 class Best:
@@ -118,22 +144,24 @@ class Best:
 
 def usable(embeddings: DataFrame) -> DataFrame:
     """vec_id and the scaled whole numbers of every vector that takes part."""
-    sized = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE))
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) <= LIMIT))
-    return embeddings.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(fine).select("vec_id", sized.cast("array<int>").alias("vec"))
+    scaled = lambda x: x.cast("double") * SCALE
+    # from 2**52 on doubles are whole, and soon beyond a long
+    sized = F.transform("embedding", lambda x: F.when(F.abs(scaled(x)) >= 2.0**52, scaled(x)).otherwise(F.floor(scaled(x)).cast("double")))
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return embeddings.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(fine).select("vec_id", sized.alias("vec"))
 
 
-def _matrix(vectors, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), dtype=np.int32)
+def _matrix(vectors, width: int, kind: str) -> np.ndarray:
+    out = np.zeros((len(vectors), width), dtype=kind)
     for k, v in enumerate(vectors):
         out[k, : len(v)] = v
     return out
 
 
-def _page(key: tuple, rows: pd.DataFrame, width: int) -> pd.DataFrame:
+def _page(key: tuple, rows: pd.DataFrame, width: int, kind: str) -> pd.DataFrame:
     """One page: its vectors by leaf, the routing object first, and what the leaves store."""
     rows = rows.sort_values(["dist", "vec_id"])
-    vectors = np.frombuffer(b"".join(rows["vec"]), dtype="<i4").reshape(len(rows), width)
+    vectors = np.frombuffer(b"".join(rows["vec"]), dtype=kind).reshape(len(rows), width)
     routers = spread_out(vectors, LEAVES)
     apart = _distances(vectors, vectors[routers])
     leaf = apart.argmin(axis=1)
@@ -146,7 +174,7 @@ def _page(key: tuple, rows: pd.DataFrame, width: int) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "cell": [key[0]], "page": [key[1]], "nearest": [dist.min()], "farthest": [dist.max()], "first_id": [ids.min()], "largest": [norms.max()],
-            "ids": [ids.astype("<i8").tobytes()], "vecs": [vectors[order].astype("<i4").tobytes()], "ends": [ends.tolist()],
+            "ids": [ids.astype("<i8").tobytes()], "vecs": [vectors[order].tobytes()], "ends": [ends.tolist()],
             "radius": [np.maximum.reduceat(own[order], starts).tolist()], "parent": [dist[starts].tolist()],
             "leaf_first_id": [np.minimum.reduceat(ids, starts).tolist()], "leaf_largest": [np.maximum.reduceat(norms, starts).tolist()],
         }
@@ -160,23 +188,22 @@ def visit(best: Best, query_ids: np.ndarray, queries: np.ndarray, to_parent: np.
     """Search one page for all queries, leaf by leaf, the most promising first."""
     width = queries.shape[1]
     ids = np.frombuffer(page.ids, dtype="<i8")
-    vectors = np.frombuffer(page.vecs, dtype="<i4").reshape(len(ids), width)
+    vectors = np.frombuffer(page.vecs, dtype=queries.dtype).reshape(len(ids), width)
     ends = np.asarray(page.ends, dtype=np.int64)
     starts = ends - np.diff(ends, prepend=0)
     radius, parent, first_id, largest = (np.asarray(x) for x in (page.radius, page.parent, page.leaf_first_id, page.leaf_largest))
     norms = _norms(queries)
     # stored distances only
     apart = np.abs(to_parent[:, None] - parent[None, :]) - radius[None, :]
-    bound = _at_most(norms[:, None], largest[None, :], apart)
+    bound = _at_most(norms[:, None], largest[None, :], apart, to_parent[:, None] + parent[None, :])
     wanted = best.may_hold(bound, first_id[None, :])
     some = np.flatnonzero(wanted.any(axis=1))
     if not len(some):
         return
     dots = _products(queries[some], vectors[starts])
-    routed = np.sqrt(np.maximum(norms[some, None] + _norms(vectors[starts])[None, :] - 2.0 * dots, 0.0))
-    bound[some] = np.minimum(bound[some], _at_most(norms[some, None], largest[None, :], routed - radius[None, :]))
-    reach = dots + np.sqrt(norms[some, None]) * radius[None, :]
-    bound[some] = np.minimum(bound[some], np.floor(reach + np.abs(reach) * 1e-12 + 1e-3))
+    routed = _distances(queries[some], vectors[starts], dots)
+    bound[some] = np.minimum(bound[some], _at_most(norms[some, None], largest[None, :], routed - radius[None, :], routed))
+    bound[some] = np.minimum(bound[some], _within(dots, np.sqrt(norms[some, None]) * radius[None, :]))
     for leaf in np.argsort(-bound.max(axis=0), kind="stable").tolist():
         asks = np.flatnonzero(wanted[:, leaf] & best.may_hold(bound[:, leaf], first_id[leaf]))
         if not len(asks):
@@ -184,7 +211,7 @@ def visit(best: Best, query_ids: np.ndarray, queries: np.ndarray, to_parent: np.
         span = slice(starts[leaf], ends[leaf])
         scores = _products(queries[asks], vectors[span])
         for row, query in enumerate(asks.tolist()):
-            own = (scores[row] >= best.needed[query]) & (ids[span] != query_ids[query])
+            own = (scores[row].astype(np.float64) >= best.needed[query]) & (ids[span] != query_ids[query])
             if own.any():
                 best.add(query, scores[row][own], ids[span][own])
 
@@ -194,25 +221,29 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
     vectors = usable(embeddings)
     empty = "query_id long, rank int, vec_id long, score long"
     spark = embeddings.sparkSession
-    facts = vectors.agg(F.count(F.lit(1)), F.max(F.size("vec")), F.min("vec_id"), F.max("vec_id"), F.count_if(F.col("vec_id") % every == 0)).first()
+    facts = vectors.agg(F.count(F.lit(1)), F.max(F.size("vec")), F.min("vec_id"), F.max("vec_id"), F.count_if(F.col("vec_id") % every == 0), F.max(F.array_max(F.transform("vec", F.abs)))).first()
     if not facts[0]:
         return spark.createDataFrame([], empty)
     count, width, low, high = facts[0], max(1, facts[1]), facts[2], facts[3]
+    largest = facts[5] or 0.0
+    if not largest < LIMIT:
+        raise ValueError(f"op8: a component of {largest / SCALE} is too large to search")
+    kind = "<i4" if largest < 2**31 else "<f8"  # either holds every scaled component
     cells_together = max(1, BLOCK_QUERIES * CELLS // max(1, facts[4]))
     # a bounded sample: routing objects, and what queries find before the search
     picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE).collect()
     sample_ids = np.array([r["vec_id"] for r in picked], dtype=np.int64)
-    sample = _matrix([r["vec"] for r in picked], width)
+    sample = _matrix([r["vec"] for r in picked], width, kind)
     routers = sample[spread_out(sample, CELLS)]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            own = _matrix(batch["vec"].tolist(), width)
+            own = _matrix(batch["vec"].tolist(), width, kind)
             apart = _distances(own, routers)
             cell = apart.argmin(axis=1)
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "cell": cell.astype(np.int32), "dist": apart[np.arange(len(own)), cell], "vec": [v.tobytes() for v in own.astype("<i4")]})
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "cell": cell.astype(np.int32), "dist": apart[np.arange(len(own)), cell], "vec": [v.tobytes() for v in own]})
 
     placed = written(vectors.mapInPandas(assign, "vec_id long, cell int, dist double, vec binary"), "vectors")
     far = {r["cell"]: r["far"] for r in placed.groupBy("cell").agg(F.max("dist").alias("far")).collect()}  # at most CELLS rows
@@ -223,7 +254,7 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
     ranked = running_total(slotted, ["cell"], "slot", [F.col("dist"), F.col("vec_id")], "one", "rank").withColumn("page", F.floor(F.col("rank") / PAGE).cast("long"))
 
     def page(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return _page(key, rows, width)
+        return _page(key, rows, width, kind)
 
     ranked = ranked.select("cell", "page", "vec_id", "dist", "vec")
     pages = written(ranked.groupBy("cell", "page").applyInPandas(page, PAGE_SCHEMA), "pages")
@@ -235,19 +266,20 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
             if not len(batch):
                 continue
             ids = batch["vec_id"].to_numpy()
-            own = np.frombuffer(b"".join(batch["vec"]), dtype="<i4").reshape(len(ids), width)
+            own = np.frombuffer(b"".join(batch["vec"]), dtype=kind).reshape(len(ids), width)
             best = Best(np.full(len(ids), -np.inf), np.full(len(ids), np.iinfo(np.int64).max), top)
             for at in range(0, len(ids), 256):
                 scores = _products(own[at : at + 256], sample)
+                sizes = scores.astype(np.float64)
                 for row in range(len(scores)):
                     others = np.flatnonzero(sample_ids != ids[at + row])
                     if len(others) > 8 * top:
-                        near = np.partition(scores[row][others], -4 * top)[-4 * top]
-                        others = others[scores[row][others] >= near]
+                        near = np.partition(sizes[row][others], -4 * top)[-4 * top]
+                        others = others[sizes[row][others] >= near]
                     best.add(at + row, scores[row][others], sample_ids[others])
             to = _distances(own, routers)
             norms = _norms(own)
-            bound = np.floor(_products(own, routers) + np.sqrt(norms)[:, None] * np.maximum(reach, 0.0)[None, :] * (1 + 1e-12) + 1e-3)
+            bound = _within(_products(own, routers), np.sqrt(norms)[:, None] * np.maximum(reach, 0.0)[None, :])
             row, cell = np.nonzero((bound >= best.needed[:, None]) & (reach >= 0)[None, :])
             tell = batch.iloc[row]
             yield pd.DataFrame(
@@ -263,7 +295,10 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
     # a ring of the cell holds nothing nearer than the difference of distances to its router
     gap = F.greatest(F.col("to_parent") - F.col("farthest"), F.col("nearest") - F.col("to_parent"), F.lit(0.0))
     bound = (F.col("norm") + F.col("largest") - gap * gap) / 2
-    bound = F.floor(bound + F.abs(bound) * 1e-12 + 1e-3)
+    far_off = F.col("to_parent") + F.col("farthest")
+    # kept as a double: a long can be too short
+    bound = bound + (F.col("norm") + F.col("largest") + far_off * far_off) * SLACK + 1e-3
+    bound = F.when(F.abs(bound) >= 2.0**52, bound).otherwise(F.floor(bound).cast("double"))
     directory = pages.select("cell", "page", "nearest", "farthest", "first_id", "largest")
     met = started.drop("vec").select(*block, "query_id", "cell", "to_parent", "norm", "needed", "needed_id").join(directory, "cell")
     met = met.withColumn("bound", bound).where("bound > needed OR (bound = needed AND first_id <= needed_id)")
@@ -282,8 +317,14 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
 
         def result() -> Iterator[pd.DataFrame]:
             out = [(q, v, s) for q, held in known.items() for v, s in held.items()]
-            if out:
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+            if not out:
+                return
+            queries, ids, scores = zip(*out, strict=True)
+            if max(scores) >= LONG:
+                raise OverflowError(f"op8: a score of {max(scores)} does not fit a long")
+            # one below all longs is null, which ranks last
+            held = pd.array([s if s >= -LONG else None for s in scores], dtype="Int64")
+            yield pd.DataFrame({"query_id": queries, "vec_id": ids, "score": held})
 
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -291,12 +332,12 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
                     yield from result()
                     current, known = (row.home, row.part, row.shard), {}
                 ids = np.asarray(row.query_id, dtype=np.int64)
-                queries = np.frombuffer(b"".join(row.vec), dtype="<i4").reshape(len(ids), width)
+                queries = np.frombuffer(b"".join(row.vec), dtype=kind).reshape(len(ids), width)
                 best = Best(np.asarray(row.needed, dtype=np.float64), np.asarray(row.needed_id, dtype=np.int64), top)
                 for k, q in enumerate(ids.tolist()):
                     if q in known:  # what pages before this one have given
                         held = known[q]
-                        best.add(k, np.fromiter(held.values(), np.int64, len(held)), np.fromiter(held.keys(), np.int64, len(held)))
+                        best.add(k, _whole(held.values()), _whole(held.keys()))
                 visit(best, ids, queries, np.asarray(row.to_parent, dtype=np.float64), row)
                 for k, q in enumerate(ids.tolist()):
                     if best.found[k]:
@@ -308,7 +349,8 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
 
     found = dealt.mapInPandas(search, "query_id long, vec_id long, score long").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    score = F.coalesce("score", F.raise_error(F.lit("op8: a score does not fit a long")).cast("long")).alias("score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", score)
 
 
 def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:

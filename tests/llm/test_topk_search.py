@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from strata.llm.topk_search import TOP, Best, spread_out, top_k
+from strata.llm.topk_search import TOP, Best, _distances, _products, spread_out, top_k
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -60,6 +60,36 @@ def test_repeated_rows_count_once_when_five_are_held():
     assert best.found[0] == {10: 90, 11: 80, 12: 70, 13: 60, 14: 50}
 
 
+def test_large_components_take_part(spark):
+    """Finite components of any size, in a query and in a candidate, among small ones."""
+    chance = np.random.default_rng(8)
+    rows = [(int(k), chance.normal(size=6).tolist()) for k in range(2500)]
+    rows[100] = (100, [1e5, *rows[100][1][1:]])
+    rows[777] = (777, [-1.0, 1e5, 0.5, 0.0, 2.0, 1e3])
+    rows[1201] = (1201, [1e9, 1.0, -1e9, 0.0, 0.0, 3.0])
+    assert result(spark, rows) == brute(rows)
+
+
+def test_scores_beyond_a_long(spark):
+    rows = [(0, [1e12, 0.0]), (1, [-1e30, 1.0]), *((k, [0.0, float(k)]) for k in range(2, 8)), (50, [0.0, 1.0])]
+    got = result(spark, rows)
+    assert [(r[0], r[2], r[3]) for r in got] == [(0, k, 0) for k in range(2, 7)] + [(50, k, k * 256 * 256) for k in range(7, 2, -1)]
+    with pytest.raises(Exception, match="does not fit a long"):
+        result(spark, [*rows, (9, [1e12, 0.0])])
+    with pytest.raises(Exception, match="does not fit a long"):
+        result(spark, [(0, [1e12]), (1, [-1e12])])
+
+
+def test_products_and_distances_of_large_numbers_are_exact():
+    chance = np.random.default_rng(9)
+    a = np.floor(chance.normal(size=(20, 4)) * 10.0 ** chance.integers(0, 30, (20, 1)))
+    whole = [[int(x) for x in row] for row in a.tolist()]
+    want = [[sum(x * y for x, y in zip(p, q, strict=True)) for q in whole] for p in whole]
+    assert _products(a, a).tolist() == want
+    apart = [[sum((x - y) ** 2 for x, y in zip(p, q, strict=True)) ** 0.5 for q in whole] for p in whole]
+    assert np.allclose(_distances(a, a), apart, rtol=1e-14, atol=0)
+
+
 def test_defined_cases(spark):
     rows = [
         (0, [1.0, 2.0]), (0, [3.0, 0.0]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0]),
