@@ -192,25 +192,31 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return met.mapInPandas(links, "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per input row: doc_id, text_key, fp, component_id (the least doc_id reachable over links)."""
+def _rooted(docs: DataFrame, shingle_words: int, max_bits: int) -> DataFrame:
+    """One row per input row: doc_id, text_key, fp, component_id, and root, the least fingerprint of the component."""
     rows = written(with_fingerprint(docs, shingle_words), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint_classes")
     roots = components(near_links(classes.select("fp"), max_bits))
     members = classes.join(roots, classes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
     least = written(members.groupBy("root").agg(F.min("first_id").alias("component_id")), "component_ids")
-    of_fp = written(members.join(least, "root").select("fp", "component_id"), "component_of")
-    return rows.join(of_fp, "fp").select("doc_id", "text_key", "fp", "component_id")
+    of_fp = written(members.join(least, "root").select("fp", "root", "component_id"), "component_of")
+    return rows.join(of_fp, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
+
+
+def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per input row: doc_id, text_key, fp, component_id (the least doc_id reachable over links)."""
+    return _rooted(docs, shingle_words, max_bits).drop("root")
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each group, the one with the least doc_id, with its columns, whatever these are called."""
-    groups = simhash_groups(docs, shingle_words, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = groups.select("doc_id", "text_key", "fp").distinct()
+    groups = _rooted(docs, shingle_words, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # of rows that share the least doc_id of a group, or have none, those of the least fingerprint and text
+    stay = groups.groupBy("root").agg(F.min(F.struct("fp", "doc_id", "text_key")).alias("least")).select("root", "least.doc_id", "least.text_key")
     own = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("own_key"))
     both = own.join(stay, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key")))
-    # rows that repeat a doc_id within a group: the first in the order of the other columns
-    first = Window.partitionBy("doc_id", "fp").orderBy(*(f"row.{c}" for c in DOCUMENT_COLUMNS[1:]))
+    # rows that repeat the text: the first in the order of the other columns
+    first = Window.partitionBy("root").orderBy(*(f"row.{c}" for c in DOCUMENT_COLUMNS[1:]))
     return both.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
 
 

@@ -112,3 +112,14 @@ def test_defined_cases(documents):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 5, 7]
     assert simhash_groups(documents([])).count() == 0
     assert keep_one(documents([])).count() == 0
+
+
+def test_one_stays_of_near_copies_that_share_a_doc_id_or_have_none(documents):
+    words = [f"w{k}" for k in range(400)]
+    texts = sorted({" ".join([*words[:k], "other", *words[k + 1 :]]) for k in (10, 90, 170, 250, 330)} | {" ".join(words)})
+    fps = [fingerprint(t) for t in texts]
+    near = [t for t, f in zip(texts, fps, strict=True) if (f ^ fps[0]).bit_count() <= 2]
+    assert len({fingerprint(t) for t in near}) > 1
+    for doc_id in (3, None):
+        rows = [(doc_id, t) for t in near] * 2 + [(8, "a text that is another one altogether")]
+        assert sorted(str(r.doc_id) for r in keep_one(documents(rows)).collect()) == sorted([str(doc_id), "8"])
