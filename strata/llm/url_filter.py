@@ -3,7 +3,8 @@
 Rules say allow or block for a host with all its subdomains and the paths that
 start with the rule's; the longest that fits wins. The trees judge the rest.
 They are trained from labelled URLs (by default those that a rule decides): at
-most ``MAX_LABELLED`` of them, the first in the order of a hash. Suffix
+most ``MAX_LABELLED`` different ones of each verdict, the first in the order of
+a hash, each with the weight of its copies. Suffix
 statistics, the share of blocked URLs among the labelled ones under the host's
 last label and last two labels, count every labelled URL.
 
@@ -33,7 +34,7 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-MAX_LABELLED = 20_000
+MAX_LABELLED = 20_000  # of each verdict
 TREES = 20
 DEPTH = 4
 PRIOR = 20.0  # labelled URLs that the overall share counts as in a suffix's
@@ -139,13 +140,15 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, label
             return joined.fillna({"top_blocked": overall, "domain_blocked": overall, "domain_seen": 0.0})
 
         lexicals = [f for f in FEATURES if f not in ("top_blocked", "domain_blocked", "domain_seen")]
-        # ties in the hash are equal in all features, or are ordered by them
+        # equal URLs of one verdict are one with their number; ties in the hash are ordered by the features
         key = F.xxhash64("host", "path", *lexicals)
-        sample = taught.select("top", "domain", "blocked", *lexicals, key.alias("key")).orderBy("key", *lexicals, "blocked").limit(max_labelled)
+        copies = taught.groupBy("top", "domain", "blocked", *lexicals, key.alias("key")).agg(F.count(F.lit(1)).cast("double").alias("copies"))
+        by_verdict = [copies.where(F.col("blocked") == v).orderBy("key", *lexicals, "top", "domain").limit(max_labelled) for v in (0.0, 1.0)]
+        sample = by_verdict[0].union(by_verdict[1])
         vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        sample = written(with_shares(sample).select(*FEATURES, "blocked"), "labelled_urls")
-        trees = GBTClassifier(featuresCol="features", labelCol="blocked", maxIter=TREES, maxDepth=DEPTH, seed=0)
-        model = trees.fit(vector.transform(sample.orderBy(*FEATURES, "blocked")))
+        sample = written(with_shares(sample).select(*FEATURES, "blocked", "copies"), "labelled_urls")
+        trees = GBTClassifier(featuresCol="features", labelCol="blocked", weightCol="copies", maxIter=TREES, maxDepth=DEPTH, seed=0)
+        model = trees.fit(vector.transform(sample.orderBy(*FEATURES, "blocked", "copies")))
         own = model.transform(vector.transform(with_shares(own)))
         score = F.element_at(ML.vector_to_array("probability"), 2)
     method = F.when(F.col("blocked_score") > 0.5, "block").otherwise("allow")

@@ -71,6 +71,15 @@ def test_trees_learn_labelled_urls(spark):
     assert sum(got[k] == ("allow" if k % 2 else "block") for k in range(300, 400)) >= 98
 
 
+def test_hot_urls_do_not_fill_the_sample(spark):
+    """Copies of a URL count as its weight: the rarer verdict is learnt as well."""
+    blocked = [f"https://win-free-{k}.example.com/{k}{k}{k}?a={k}&b={k}&c=1" for k in range(8)]
+    allowed = [f"https://site{k}.example.org/a/{k}" for k in range(40)]
+    labelled = spark.createDataFrame([(u, 1) for u in blocked] + [(u, 0) for u in allowed] * 100, "url string, blocked int")
+    got = {r.page_id: r.verdict for r in judge(pages(spark, blocked + allowed), rules=(), labelled=labelled, max_labelled=10).collect()}
+    assert [got[k] for k in range(48)] == ["block"] * 8 + ["allow"] * 40
+
+
 def test_one_verdict_none_and_empty(spark):
     assert {r.verdict for r in judge(pages(spark, ["http://a.org/x", "http://b.com/y"])).collect()} == {"allow"}
     assert {r.verdict for r in judge(pages(spark, ["http://a.net/x", "http://b.com/y"])).collect()} == {"block"}
