@@ -176,3 +176,11 @@ def test_stored_dimension_isnt_shuffled_by_a_third_load(spark):
             above = [x for x in lines[max(0, k - 4) : k]]
             assert not any("Exchange" in x and "Repartition" not in x and "hashpartitioning(id" in x and "REPARTITION" not in x for x in above), above
     assert sum("Exchange hashpartitioning" in x and "REPARTITION_BY_NUM" not in x for x in lines) == 0
+
+
+def test_registered_query_applies_the_load_in_every_run(spark):
+    from strata.plans.queries import QUERIES
+
+    for _ in range(2):
+        plan = QUERIES["scd2_apply"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" in plan
