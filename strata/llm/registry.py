@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, html_text, language, mixing, packing, quality, simhash_dedup, substring_dedup, topk_search, url_filter
+from strata.llm import exact_dedup, html_text, language, mixing, packing, quality, simhash_dedup, substring_dedup, topk_search, url_filter, vector_codes
 
 QUERIES = {
     "op8_topk_search": topk_search.op8_topk_search,
@@ -15,10 +15,12 @@ QUERIES = {
     "op6_language_id": language.op6_language_id,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 ORACLES = {
     "op8_topk_search": topk_search.ORACLE,
     "op1_substring_dedup": substring_dedup.ORACLE,
     "op2_mix_sources": mixing.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op13_vector_codes": vector_codes.ORACLE,
 }
