@@ -191,7 +191,7 @@ def train(vectors: DataFrame, column: str, by: str, parts: int = PARTS, entries:
 
 def encode(vectors: DataFrame, column: str, books: Codebooks | None, *others: str) -> DataFrame:
     """code and error of every usable vector, beside the columns ``others``."""
-    kept = _usable(vectors, column).select(*others, column)
+    kept = _usable(vectors, column).select(*dict.fromkeys([*others, column]))
     if books is None:
         return kept.select(*others, F.lit("").alias("code"), F.lit(0).cast("long").alias("error"))
     digits = max(2, len(f"{books.entries.shape[1] - 1:x}"))
@@ -203,7 +203,7 @@ def encode(vectors: DataFrame, column: str, books: Codebooks | None, *others: st
             errors = pa.array([sum(row) for row in apart.tolist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(text, pa.string()), errors], [*others, "code", "error"])
 
-    types = ", ".join(f"`{c}` {t}" for c, t in kept.drop(column).dtypes)
+    types = ", ".join(f"`{c}` {t}" for c, t in kept.select(*others).dtypes)
     return kept.mapInArrow(coded, f"{types}, code string, error long")
 
 
