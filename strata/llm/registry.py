@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import conversation_repair, exact_dedup, html_text, language, mixing, packing, quality, simhash_dedup, substring_dedup, topk_search, url_filter, vector_codes
+from strata.llm import conversation_repair, exact_dedup, html_text, language, mixing, packing, piecewise_hash, quality, simhash_dedup, substring_dedup, topk_search, url_filter, vector_codes
 
 QUERIES = {
     "op8_topk_search": topk_search.op8_topk_search,
@@ -15,6 +15,7 @@ QUERIES = {
     "op6_language_id": language.op6_language_id,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
+    "op11_document_fingerprints": piecewise_hash.op11_document_fingerprints,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
