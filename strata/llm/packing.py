@@ -22,7 +22,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,22 +94,25 @@ class WordIds(dict):
 def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every text, its end id included."""
     end = _packed([END_ID])
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds(tokenizer)
         width = 4 * max_tokens
         for batch in batches:
-            known = batch["doc_id"].notna().tolist()
+            doc_ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))  # Arrow keeps ids whole beside nulls
             out = []
-            for doc_id, is_known, text in zip(batch["doc_id"].tolist(), known, batch["text"].tolist(), strict=True):
+            for doc_id, text in zip(doc_ids, texts, strict=True):
                 raw = b"".join(map(ids.__getitem__, (text or "").encode("utf-8", "surrogatepass").split())) + end
                 for at in range(0, len(raw), width):
                     part = raw[at : at + width]
-                    out.append((int(doc_id) if is_known else None, at // width, at // 4, len(part) // 4, zlib.crc32(part)))
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield frame.astype({"doc_id": "Int64"})
+                    out.append((doc_id, at // width, at // 4, len(part) // 4, zlib.crc32(part)))
+            columns = zip(*out, strict=True) if out else [[]] * 5
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
-    return docs.select("doc_id", "text").mapInPandas(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def plan_slots(counts: dict[int, int], max_tokens: int = MAX_TOKENS) -> list[tuple[int, int, int, int, int, int]]:
