@@ -9,10 +9,13 @@ are sorted by place and every one that has been seen before is a repeat.
 1. Every run's minimiser is counted. A run whose minimiser occurs once, in
    itself too, holds no repeat and stays where it is; so only text that may repeat is ever moved.
 2. Documents meet the places of their other runs and send these to the buckets.
-   A bucket of up to ``HEAVY`` runs is one sorted group of a task. Where a
-   minimiser is more frequent its windows travel one by one instead, and the
-   earliest place of each is an aggregate that combines before the shuffle.
-3. Documents meet the words found repeated, and drop them.
+   A bucket of up to ``HEAVY`` runs is one sorted group of a task. The runs of a
+   more frequent minimiser are cut again by the next of ``SEEDS``, a longer one,
+   and go, packed as before, to the bucket of both; and so on.
+3. What is still frequent by the longest seed is mostly one passage in many
+   copies. Equal runs become one, its earliest place is an aggregate that
+   combines before the shuffle, and so is that of each window of the runs left.
+4. Documents meet the words found repeated, and drop them.
 
 Nothing is approximate: hashes only say where to meet, windows are compared as
 text.
@@ -38,8 +41,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import read_table, written
 
 WINDOW = 20
-SEED = 4
-HEAVY = 16_384
+SEEDS = (4, 8, 16)  # words of a minimiser, level by level
+HEAVY = 2_048
 CACHED_WORDS = 300_000
 # a run's place is start << 32 | heavy | again | windows
 HEAVY_BIT = 1 << 31
@@ -62,7 +65,7 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def runs(words: list[bytes], hashes: dict, window: int = WINDOW, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+def runs(words: list[bytes], hashes: dict, window: int = WINDOW, seed: int = SEEDS[0]) -> tuple[np.ndarray, np.ndarray]:
     """Minimiser and place of each run of windows that share a minimiser."""
     n = len(words) - window + 1
     if n < 1:
@@ -91,34 +94,67 @@ def runs(words: list[bytes], hashes: dict, window: int = WINDOW, seed: int = SEE
 def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = _WordHash()
     for batch in batches:
-        minimisers, rids, places = [], [], []
-        for rid, text in zip(batch["rid"].tolist(), batch["text"].tolist(), strict=True):
+        minimisers, rows, places = [], [], []
+        for row_key, text in zip(batch["row_key"].tolist(), batch["text"].tolist(), strict=True):
             minimiser, place = runs(words_of(text), hashes)
             minimisers.append(minimiser)
-            rids.append(np.full(len(place), rid, dtype=np.int64))
+            rows.append(np.full(len(place), row_key, dtype=np.int64))
             places.append(place)
-        if rids:
-            yield pd.DataFrame({"minimiser": np.concatenate(minimisers), "rid": np.concatenate(rids), "place": np.concatenate(places)})
+        if rows:
+            yield pd.DataFrame({"minimiser": np.concatenate(minimisers), "row_key": np.concatenate(rows), "place": np.concatenate(places)})
+
+
+RUN = ["level", "bucket", "counts", "packed", "unknown", "rid", "row_key", "start"]
+RUN_SCHEMA = "level int, bucket long, counts int, packed string, unknown boolean, rid long, row_key long, start long"
+
+
+def _cut(words: list[bytes], start: int, level: int, bucket: int, own: tuple, hashes: dict) -> Iterator[tuple]:
+    """The runs of consecutive windows by the minimisers of a level, for buckets within ``bucket``."""
+    from xxhash import xxh64_intdigest
+
+    for minimiser, place in zip(*(x.tolist() for x in runs(words, hashes, seed=SEEDS[level])), strict=True):
+        at, many = place >> 32, place & (AGAIN_BIT - 1)
+        both = xxh64_intdigest(b"%d %d" % (bucket, minimiser)) - (1 << 63)
+        yield level, both, 2 if place & AGAIN_BIT else 1, b" ".join(words[at : at + many + WINDOW - 1]).decode(), *own, start + at
 
 
 def _super_kmers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The packed strings of a document's runs; one for each window where the minimiser is heavy."""
+    """The packed strings of a document's runs; those of a heavy minimiser are cut by the next level's."""
+    hashes = _WordHash()
     for batch in batches:
         out = []
-        for doc_id, rid, key, text, places, minimisers in zip(batch["doc_id"].isna().tolist(), batch["rid"].tolist(), batch["text_key"].tolist(), batch["text"].tolist(), batch["places"], batch["minimisers"], strict=True):
-            words = words_of(text)
+        for unknown, rid, row_key, text, places, minimisers in zip(*(batch[c].tolist() for c in ("unknown", "rid", "row_key", "text")), batch["places"], batch["minimisers"], strict=True):
+            words, own = words_of(text), (unknown, rid, row_key)
             for place, minimiser in zip(places.tolist(), minimisers.tolist(), strict=True):
                 start, many = place >> 32, place & (AGAIN_BIT - 1)
-                many = min(many, len(words) - WINDOW + 1 - start)  # the place may be one in another row with this id
+                here = words[start : start + many + WINDOW - 1]
                 if place & HEAVY_BIT:
-                    out.extend((0, True, b" ".join(words[s : s + WINDOW]).decode(), doc_id, rid, key, s) for s in range(start, start + many))
-                elif many > 0:
-                    out.append((minimiser, False, b" ".join(words[start : start + many + WINDOW - 1]).decode(), doc_id, rid, key, start))
-            if len(out) > 50_000:
-                yield pd.DataFrame(out, columns=["bucket", "heavy", "packed", "unknown", "rid", "text_key", "start"])
+                    out.extend(_cut(here, start, 1, minimiser, own, hashes))
+                elif len(here) >= WINDOW:  # the place may be one in another row with this key
+                    out.append((0, minimiser, 1, b" ".join(here).decode(), *own, start))
+            if len(out) > 20_000:
+                yield pd.DataFrame(out, columns=RUN)
                 out = []
         if out:
-            yield pd.DataFrame(out, columns=["bucket", "heavy", "packed", "unknown", "rid", "text_key", "start"])
+            yield pd.DataFrame(out, columns=RUN)
+
+
+def _cut_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes = _WordHash()
+    for batch in batches:
+        out = []
+        for level, bucket, _, packed, *own, start in zip(*(batch[c].tolist() for c in RUN), strict=True):
+            out.extend(_cut(words_of(packed), start, level + 1, bucket, tuple(own), hashes))
+        if out:
+            yield pd.DataFrame(out, columns=RUN)
+
+
+def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every window of every run."""
+    for batch in batches:
+        for packed, *own, start in zip(*(batch[c].tolist() for c in ("packed", "unknown", "rid", "row_key", "start")), strict=True):
+            words = packed.split(" ")
+            yield pd.DataFrame([(" ".join(words[i : i + WINDOW]), *own, start + i) for i in range(len(words) - WINDOW + 1)], columns=["packed", "unknown", "rid", "row_key", "start"])
 
 
 def _repeats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,7 +162,7 @@ def _repeats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     current, seen, whole = None, {}, {}
     for batch in batches:
         out = []
-        for bucket, packed, unknown, rid, key, start in zip(*(batch[c].tolist() for c in ("bucket", "packed", "unknown", "rid", "text_key", "start")), strict=True):
+        for bucket, packed, unknown, rid, key, start in zip(*(batch[c].tolist() for c in ("bucket", "packed", "unknown", "rid", "row_key", "start")), strict=True):
             if bucket != current:
                 current, seen, whole = bucket, {}, {}
             own = (unknown, rid, start)
@@ -148,49 +184,81 @@ def _repeats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if since is not None:
                 out.append((rid, key, start + since, start + many + WINDOW - 1))
         if out:
-            yield pd.DataFrame(out, columns=["rid", "text_key", "first", "behind"])
+            yield pd.DataFrame(out, columns=["rid", "row_key", "first", "behind"])
 
 
 def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for text, key, keys, firsts, behinds in zip(batch["text"].tolist(), batch["text_key"].tolist(), batch["keys"], batch["firsts"], batch["behinds"], strict=True):
+        for text, rid, rids, firsts, behinds in zip(batch["text"].tolist(), batch["rid"].tolist(), batch["rids"], batch["firsts"], batch["behinds"], strict=True):
             words = words_of(text)
             stay = words
             if firsts is not None:
                 edge = np.zeros(len(words) + 1, dtype=np.int64)
-                own = keys == key
+                own = rids == rid  # not those of another row with this key
                 np.add.at(edge, firsts[own], 1)
                 np.add.at(edge, behinds[own], -1)
                 stay = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
             joined = b" ".join(stay)
             out.append((len(words), len(words) - len(stay), hashlib.sha256(joined).hexdigest(), joined.decode()))
         frame = pd.DataFrame(out, columns=["n_words", "n_removed", "kept_sha256", "kept"])
-        frame.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
+        frame.insert(0, "doc_id", pd.arrays.IntegerArray(batch["rid"].to_numpy(dtype=np.int64), batch["unknown"].to_numpy(dtype=bool)))
         yield frame
 
 
+RANGE_SCHEMA = "rid long, row_key long, first long, behind long"
+
+
+def _not_first(packed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of equal ``packed`` strings at the earliest place, and those behind it."""
+    at = F.struct("unknown", "rid", "start")
+    earliest = written(packed.groupBy("packed").agg(F.min(at).alias("earliest")), "earliest_places")
+    met = packed.join(earliest, "packed")
+    return met.where(at == F.col("earliest")), met.where(at != F.col("earliest"))
+
+
+def _of_passages(found: DataFrame) -> list[DataFrame]:
+    """Repeated word ranges of runs that no minimiser tells apart: whole equal runs first, then windows of those left."""
+    found = found.select("packed", "unknown", "rid", "row_key", "start")
+    first, again = _not_first(found)
+    whole = again.select("rid", "row_key", F.col("start").alias("first"), (F.col("start") + F.regexp_count("packed", F.lit(" ")) + 1).alias("behind"))
+    left = first.drop("earliest").distinct()
+    windows = written(left.mapInPandas(_windows, "packed string, unknown boolean, rid long, row_key long, start long"), "windows")
+    _, again = _not_first(windows)
+    return [whole, again.select("rid", "row_key", F.col("start").alias("first"), (F.col("start") + WINDOW).alias("behind"))]
+
+
 def dedup_substrings(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (the words left, joined by a space) of every row."""
-    text_key = F.xxhash64("text")
-    rows = docs.select("doc_id", F.coalesce("doc_id", text_key).alias("rid"), text_key.alias("text_key"), "text")
-    every = rows.select("rid", "text").mapInPandas(_places, "minimiser long, rid long, place long")
+    text_key, doc_id = F.xxhash64("text"), F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.isNull().alias("unknown"), F.coalesce(doc_id, text_key).alias("rid"), F.xxhash64(F.coalesce(doc_id, text_key), text_key).alias("row_key"), "text")
+    every = rows.select("row_key", "text").mapInPandas(_places, "minimiser long, row_key long, place long")
     repeated = written(every.groupBy("minimiser").agg(F.sum(F.when(F.col("place").bitwiseAND(F.lit(AGAIN_BIT)) != 0, 2).otherwise(1)).alias("n")).where("n > 1"), "repeated_minimisers")
     place = F.col("place") + F.when(F.col("n") > heavy, F.lit(HEAVY_BIT)).otherwise(F.lit(0))
-    found = every.join(repeated, "minimiser").select("rid", F.struct(place.alias("place"), "minimiser").alias("run"))
-    of_row = found.groupBy("rid").agg(F.collect_set("run").alias("runs")).select("rid", F.col("runs.place").alias("places"), F.col("runs.minimiser").alias("minimisers"))
-    sent = rows.join(of_row, "rid").mapInPandas(_super_kmers, "bucket long, heavy boolean, packed string, unknown boolean, rid long, text_key long, start long")
-    sent = written(sent, "super_kmers")
-
-    light = sent.where("NOT heavy").repartition("bucket").sortWithinPartitions("bucket", "unknown", "rid", "start")
-    ranges = light.mapInPandas(_repeats, "rid long, text_key long, first long, behind long")
-    one = sent.where("heavy").select("packed", F.struct("unknown", "rid", "start").alias("at"), "text_key")
-    earliest = written(one.groupBy("packed").agg(F.min("at").alias("earliest")), "earliest_windows")
-    again = one.join(earliest, "packed").where("at != earliest")
-    ranges = ranges.union(again.select("at.rid", "text_key", "at.start", F.col("at.start") + WINDOW))
-    drop = ranges.groupBy("rid").agg(F.collect_set(F.struct("text_key", "first", "behind")).alias("r"))
-    drop = drop.select("rid", F.col("r.text_key").alias("keys"), F.col("r.first").alias("firsts"), F.col("r.behind").alias("behinds"))
-    return rows.join(drop, "rid", "left").mapInPandas(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    found = every.join(repeated, "minimiser").select("row_key", F.struct(place.alias("place"), "minimiser").alias("run"))
+    of_row = found.groupBy("row_key").agg(F.collect_set("run").alias("runs")).select("row_key", F.col("runs.place").alias("places"), F.col("runs.minimiser").alias("minimisers"))
+    sent = written(rows.join(of_row, "row_key").mapInPandas(_super_kmers, RUN_SCHEMA), "super_kmers")
+
+    light, ranges, level = sent.where("level = 0"), [], 1
+    left = None if repeated.where(F.col("n") > heavy).isEmpty() else sent.where("level = 1")
+    while left is not None:
+        sizes = left.groupBy("bucket").agg(F.sum("counts").alias("n")).where("n > 1")
+        sized = written(left.join(sizes, "bucket"), "sized_super_kmers")
+        light = light.unionByName(sized.where(F.col("n") <= heavy).select(*RUN))
+        left, level = sized.where(F.col("n") > heavy).select(*RUN), level + 1
+        if left.isEmpty():
+            left = None
+        elif level == len(SEEDS):
+            ranges, left = _of_passages(left), None
+        else:
+            left = written(left.mapInPandas(_cut_again, RUN_SCHEMA), "super_kmers")
+    placed = light.select("bucket", "packed", "unknown", "rid", "row_key", "start").repartition("bucket").sortWithinPartitions("bucket", "unknown", "rid", "start")
+    drop = placed.mapInPandas(_repeats, RANGE_SCHEMA)
+    for found in ranges:
+        drop = drop.unionByName(found)
+    drop = drop.groupBy("row_key").agg(F.collect_set(F.struct("rid", "first", "behind")).alias("r"))
+    drop = drop.select("row_key", F.col("r.rid").alias("rids"), F.col("r.first").alias("firsts"), F.col("r.behind").alias("behinds"))
+    return rows.join(drop, "row_key", "left").mapInPandas(_kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

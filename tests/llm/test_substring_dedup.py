@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.substring_dedup import AGAIN_BIT, WINDOW, _WordHash, dedup_substrings, runs, words_of
 
-NOISE = ["rid", "text_key", "bucket", "packed", "start", "kept", "run"]
+NOISE = ["rid", "row_key", "unknown", "level", "counts", "text_key", "bucket", "packed", "start", "kept", "run"]
 
 
 def brute(rows, window=WINDOW):
@@ -68,7 +68,7 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("heavy", [16_384, 3])
+@pytest.mark.parametrize("heavy", [16_384, 30, 3, 1])
 def test_equals_brute_force(documents, heavy):
     rows = corpus()
     assert result(documents(rows, NOISE), heavy=heavy) == brute(rows)
@@ -87,6 +87,13 @@ def test_defined_cases(documents):
 def test_hot_passage(spark):
     passage = " ".join(f"p{k}" for k in range(60))
     docs = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit(passage + " z"), F.col("id"))).otherwise(F.concat(F.lit("own "), F.col("id"))).alias("text"))
-    for heavy in (16_384, 50):
+    for heavy in (16_384, 50, 2):
         got = dedup_substrings(docs, heavy=heavy).where("n_removed > 0").agg(F.count("*"), F.min("n_removed"), F.max("n_removed")).first()
         assert tuple(got) == (299, 60, 60)
+
+
+@pytest.mark.parametrize("heavy", [16_384, 3])
+def test_rows_that_share_an_id_have_places_of_their_own(documents, heavy):
+    rows = [(7 if k % 2 else None, text) for k, (_, text) in enumerate(corpus()[:40])]
+    rows = [r for r in rows if r[0] is not None]  # the order of null ids is that of a hash
+    assert result(documents(rows), heavy=heavy) == brute(rows)
