@@ -249,7 +249,7 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
     far = {r["cell"]: r["far"] for r in placed.groupBy("cell").agg(F.max("dist").alias("far")).collect()}  # at most CELLS rows
     slots = slots_for(count)
     ring = F.least(F.floor(F.col("dist") * (RINGS / (max(far.values()) or 1.0))), F.lit(RINGS - 1))
-    by_id = F.floor((F.col("vec_id") - low).cast("double") / (float(high) - float(low) + 1.0) * slots)
+    by_id = F.floor((F.col("vec_id").cast("double") - float(low)) / (float(high) - float(low) + 1.0) * slots)
     slotted = placed.withColumns({"slot": (ring * slots + by_id).cast("long"), "one": F.lit(1).cast("long")})
     ranked = running_total(slotted, ["cell"], "slot", [F.col("dist"), F.col("vec_id")], "one", "rank").withColumn("page", F.floor(F.col("rank") / PAGE).cast("long"))
 

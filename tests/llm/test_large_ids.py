@@ -1,0 +1,68 @@
+"""Ids that a float can't hold, beside null ids in one partition."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from strata.llm import exact_dedup, language, mixing, packing, piecewise_hash, quality, simhash_dedup, substring_dedup
+
+LARGE = [2**53 + 1, 2**53 + 3, 2**53 + 5, 2**63 - 1, 2**63 - 3, -(2**63) + 1, -(2**53) - 1]
+IDS = [None, *LARGE, None, 5]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    words = [f"alpha{k} beta{k} gamma. Delta{k} is a sentence of number {k}, and the next one too." for k in range(len(IDS))]
+    rows = [(i, f"{t} " * 4, "en", "s", 1) for i, t in zip(IDS, words, strict=True)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+
+
+def ids(df):
+    return sorted((r["doc_id"] for r in df.select("doc_id").collect()), key=str)
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        substring_dedup.dedup_substrings,
+        mixing.mix,
+        lambda d: simhash_dedup.simhash_groups(d),
+        lambda d: exact_dedup.exact_dedup(d),
+        lambda d: packing.pack(d, packing.word_tokenizer_path()),
+        piecewise_hash.against_next,
+    ],
+    ids=["op1", "op2", "op4", "op7", "op9", "op11"],
+)
+def test_operators_return_ids_as_they_are(docs, operator):
+    assert ids(operator(docs)) == sorted(IDS, key=str)
+
+
+def labels(spark):
+    return spark.createDataFrame([(i, k % 2, 0) for k, i in enumerate(x for x in IDS if x is not None)], "doc_id long, quality int, toxic int")
+
+
+def test_registered_queries_return_ids_as_they_are(spark, docs, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
+    for query in (quality.op5_quality_classifier, language.op6_language_id):
+        assert ids(query(spark, str(tmp_path))) == sorted(IDS, key=str)
+
+
+def test_stages_return_ids_as_they_are(spark, docs, tmp_path):
+    labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in cp.STAGES[1:]:
+        found = stage(spark, docs, str(tmp_path)).select("doc_id").distinct()
+        assert ids(found) == sorted({*IDS}, key=str), name
+    kept = cp.STAGES[0][1](spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} <= {*IDS}
+
+
+def test_pages_and_vectors(spark, tmp_path):
+    from strata.llm import html_text, topk_search, url_filter
+
+    pages = spark.createDataFrame([(i, f"http://h{k}.org/fr/{k}", f"<p>Text {k}</p>") for k, i in enumerate(IDS)], "page_id long, url string, html string").coalesce(1)
+    for found in (html_text.extract(pages), url_filter.judge(pages)):
+        assert sorted((r["page_id"] for r in found.select("page_id").collect()), key=str) == sorted(IDS, key=str)
+    vectors = spark.createDataFrame([(i, [float(k), 1.0]) for k, i in enumerate(IDS)], "vec_id long, embedding array<double>").coalesce(1)
+    found = topk_search.top_k(vectors.withColumn("label", F.lit(1)), every=1).select("vec_id").distinct()
+    assert sorted(r["vec_id"] for r in found.collect()) == sorted(i for i in IDS if i is not None)
