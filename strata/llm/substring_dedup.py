@@ -9,12 +9,13 @@ are sorted by place and every one that has been seen before is a repeat.
 1. Every run's minimiser is counted. A run whose minimiser occurs once, in
    itself too, holds no repeat and stays where it is; so only text that may repeat is ever moved.
 2. Documents meet the places of their other runs and send these to the buckets.
-   A bucket of up to ``HEAVY`` runs is one sorted group of a task. The runs of a
-   more frequent minimiser are cut again by the next of ``SEEDS``, a longer one,
-   and go, packed as before, to the bucket of both; and so on.
-3. What is still frequent by the longest seed is mostly one passage in many
-   copies. Equal runs become one, its earliest place is an aggregate that
-   combines before the shuffle, and so is that of each window of the runs left.
+   A bucket of up to ``HEAVY`` runs is one sorted group of a task. Of the runs of
+   a more frequent minimiser, equal ones become one first, whose earliest place
+   is an aggregate that combines before the shuffle. The runs left are cut again
+   by the next of ``SEEDS``, a longer one, and go, packed as before, to the bucket
+   of both minimisers; and so on.
+3. What is still frequent by the longest seed becomes single windows, of which
+   equal ones become one in the same way.
 4. Documents meet the words found repeated, and drop them.
 
 Nothing is approximate: hashes only say where to meet, windows are compared as
@@ -104,34 +105,21 @@ def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"minimiser": np.concatenate(minimisers), "row_key": np.concatenate(rows), "place": np.concatenate(places)})
 
 
-RUN = ["level", "bucket", "counts", "packed", "unknown", "rid", "row_key", "start"]
-RUN_SCHEMA = "level int, bucket long, counts int, packed string, unknown boolean, rid long, row_key long, start long"
-
-
-def _cut(words: list[bytes], start: int, level: int, bucket: int, own: tuple, hashes: dict) -> Iterator[tuple]:
-    """The runs of consecutive windows by the minimisers of a level, for buckets within ``bucket``."""
-    from xxhash import xxh64_intdigest
-
-    for minimiser, place in zip(*(x.tolist() for x in runs(words, hashes, seed=SEEDS[level])), strict=True):
-        at, many = place >> 32, place & (AGAIN_BIT - 1)
-        both = xxh64_intdigest(b"%d %d" % (bucket, minimiser)) - (1 << 63)
-        yield level, both, 2 if place & AGAIN_BIT else 1, b" ".join(words[at : at + many + WINDOW - 1]).decode(), *own, start + at
+RUN = ["bucket", "counts", "packed", "unknown", "rid", "row_key", "start"]
+RUN_SCHEMA = "bucket long, counts int, packed string, unknown boolean, rid long, row_key long, start long"
 
 
 def _super_kmers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The packed strings of a document's runs; those of a heavy minimiser are cut by the next level's."""
-    hashes = _WordHash()
+    """The packed strings of a document's runs; counts is 0 where the minimiser is heavy."""
     for batch in batches:
         out = []
         for unknown, rid, row_key, text, places, minimisers in zip(*(batch[c].tolist() for c in ("unknown", "rid", "row_key", "text")), batch["places"], batch["minimisers"], strict=True):
-            words, own = words_of(text), (unknown, rid, row_key)
+            words = words_of(text)
             for place, minimiser in zip(places.tolist(), minimisers.tolist(), strict=True):
                 start, many = place >> 32, place & (AGAIN_BIT - 1)
                 here = words[start : start + many + WINDOW - 1]
-                if place & HEAVY_BIT:
-                    out.extend(_cut(here, start, 1, minimiser, own, hashes))
-                elif len(here) >= WINDOW:  # the place may be one in another row with this key
-                    out.append((0, minimiser, 1, b" ".join(here).decode(), *own, start))
+                if len(here) >= WINDOW:  # the place may be one in another row with this key
+                    out.append((minimiser, 0 if place & HEAVY_BIT else 1, b" ".join(here).decode(), unknown, rid, row_key, start))
             if len(out) > 20_000:
                 yield pd.DataFrame(out, columns=RUN)
                 out = []
@@ -139,14 +127,25 @@ def _super_kmers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(out, columns=RUN)
 
 
-def _cut_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = _WordHash()
-    for batch in batches:
-        out = []
-        for level, bucket, _, packed, *own, start in zip(*(batch[c].tolist() for c in RUN), strict=True):
-            out.extend(_cut(words_of(packed), start, level + 1, bucket, tuple(own), hashes))
-        if out:
-            yield pd.DataFrame(out, columns=RUN)
+def _cut_again(seed: int):
+    """Cuts packed strings into the runs by minimisers of ``seed`` words, for buckets within theirs."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from xxhash import xxh64_intdigest
+
+        hashes = _WordHash()
+        for batch in batches:
+            out = []
+            for bucket, packed, *own, start in zip(*(batch[c].tolist() for c in ("bucket", "packed", "unknown", "rid", "row_key", "start")), strict=True):
+                words = words_of(packed)
+                for minimiser, place in zip(*(x.tolist() for x in runs(words, hashes, seed=seed)), strict=True):
+                    at, many = place >> 32, place & (AGAIN_BIT - 1)
+                    both = xxh64_intdigest(b"%d %d" % (bucket, minimiser)) - (1 << 63)
+                    out.append((both, 2 if place & AGAIN_BIT else 1, b" ".join(words[at : at + many + WINDOW - 1]).decode(), *own, start + at))
+            if out:
+                yield pd.DataFrame(out, columns=RUN)
+
+    return cut
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,23 +208,14 @@ def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 RANGE_SCHEMA = "rid long, row_key long, first long, behind long"
 
 
-def _not_first(packed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of equal ``packed`` strings at the earliest place, and those behind it."""
+def _collapsed(packed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of equal strings the rows at the earliest place, and the word ranges of those behind it, which are repeats."""
     at = F.struct("unknown", "rid", "start")
     earliest = written(packed.groupBy("packed").agg(F.min(at).alias("earliest")), "earliest_places")
     met = packed.join(earliest, "packed")
-    return met.where(at == F.col("earliest")), met.where(at != F.col("earliest"))
-
-
-def _of_passages(found: DataFrame) -> list[DataFrame]:
-    """Repeated word ranges of runs that no minimiser tells apart: whole equal runs first, then windows of those left."""
-    found = found.select("packed", "unknown", "rid", "row_key", "start")
-    first, again = _not_first(found)
-    whole = again.select("rid", "row_key", F.col("start").alias("first"), (F.col("start") + F.regexp_count("packed", F.lit(" ")) + 1).alias("behind"))
-    left = first.drop("earliest").distinct()
-    windows = written(left.mapInPandas(_windows, "packed string, unknown boolean, rid long, row_key long, start long"), "windows")
-    _, again = _not_first(windows)
-    return [whole, again.select("rid", "row_key", F.col("start").alias("first"), (F.col("start") + WINDOW).alias("behind"))]
+    again = met.where(at != F.col("earliest"))
+    behind = F.col("start") + F.regexp_count("packed", F.lit(" ")) + 1
+    return met.where(at == F.col("earliest")).drop("earliest").distinct(), again.select("rid", "row_key", F.col("start").alias("first"), behind.alias("behind"))
 
 
 def dedup_substrings(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
@@ -239,19 +229,24 @@ def dedup_substrings(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     of_row = found.groupBy("row_key").agg(F.collect_set("run").alias("runs")).select("row_key", F.col("runs.place").alias("places"), F.col("runs.minimiser").alias("minimisers"))
     sent = written(rows.join(of_row, "row_key").mapInPandas(_super_kmers, RUN_SCHEMA), "super_kmers")
 
-    light, ranges, level = sent.where("level = 0"), [], 1
-    left = None if repeated.where(F.col("n") > heavy).isEmpty() else sent.where("level = 1")
-    while left is not None:
-        sizes = left.groupBy("bucket").agg(F.sum("counts").alias("n")).where("n > 1")
-        sized = written(left.join(sizes, "bucket"), "sized_super_kmers")
+    light, ranges = sent.where("counts > 0"), []
+    left = sent.where("counts = 0")
+    some = not repeated.where(F.col("n") > heavy).isEmpty()
+    for seed in SEEDS[1:] if some else ():
+        first, again = _collapsed(left)
+        ranges.append(again)
+        cut = written(first.mapInPandas(_cut_again(seed), RUN_SCHEMA), "super_kmers")
+        sizes = cut.groupBy("bucket").agg(F.sum("counts").alias("n")).where("n > 1")
+        sized = written(cut.join(sizes, "bucket"), "sized_super_kmers")
         light = light.unionByName(sized.where(F.col("n") <= heavy).select(*RUN))
-        left, level = sized.where(F.col("n") > heavy).select(*RUN), level + 1
-        if left.isEmpty():
-            left = None
-        elif level == len(SEEDS):
-            ranges, left = _of_passages(left), None
-        else:
-            left = written(left.mapInPandas(_cut_again, RUN_SCHEMA), "super_kmers")
+        left = sized.where(F.col("n") > heavy).select(*RUN)
+        some = not left.isEmpty()
+        if not some:
+            break
+    if some:
+        first, again = _collapsed(left)
+        windows = written(first.select("packed", "unknown", "rid", "row_key", "start").mapInPandas(_windows, "packed string, unknown boolean, rid long, row_key long, start long"), "windows")
+        ranges += [again, _collapsed(windows)[1]]
     placed = light.select("bucket", "packed", "unknown", "rid", "row_key", "start").repartition("bucket").sortWithinPartitions("bucket", "unknown", "rid", "start")
     drop = placed.mapInPandas(_repeats, RANGE_SCHEMA)
     for found in ranges:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.substring_dedup import AGAIN_BIT, WINDOW, _WordHash, dedup_substrings, runs, words_of
 
-NOISE = ["rid", "row_key", "unknown", "level", "counts", "text_key", "bucket", "packed", "start", "kept", "run"]
+NOISE = ["rid", "row_key", "unknown", "counts", "packed", "text_key", "bucket", "packed", "start", "kept", "run"]
 
 
 def brute(rows, window=WINDOW):
@@ -18,7 +18,9 @@ def brute(rows, window=WINDOW):
     for k in order:
         words = words_of(rows[k][1])
         for i in range(len(words) - window + 1):
-            first.setdefault(tuple(words[i : i + window]), (rows[k][0], i))
+            at = first.setdefault(tuple(words[i : i + window]), (rows[k][0], i))
+            if at[0] == rows[k][0]:  # rows that share an id: the earliest start of any
+                first[tuple(words[i : i + window])] = (at[0], min(at[1], i))
     for k in order:
         words = words_of(rows[k][1])
         gone = [False] * len(words)
