@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import key_list
 
-_T, _S = "__t_", "__s_"
+_T, _S, _GROUP = "__t_", "__s_", "group__"
 # Fixed value: how many groups the rows without a full key are spread over.
 NULL_GROUPS = 1024
 Condition = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -45,15 +45,16 @@ def _present(keys: list[str]) -> Column:
 
 
 def assert_unique_keys(
-    df: DataFrame, keys: str | Iterable[str], what: str = "merge source", null_safe: bool = False
+    df: DataFrame, keys: str | Iterable[str], what: str = "merge source", null_safe: bool = False, beside: Iterable[str] = ()
 ) -> DataFrame:
     """Rows of ``df`` unchanged; raises at run time if a key occurs twice.
 
     Keys with a null part are equal to nothing, so they may repeat, unless
-    ``null_safe`` makes null a value like any other.
+    ``null_safe`` makes null a value like any other. ``beside``: columns that
+    follow from the row and that the rows are dealt out by, beside the keys.
     """
     keys = key_list(keys)
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    nth = F.row_number().over(Window.partitionBy(*keys, *beside).orderBy(*keys))
     msg = f"{what} has more than one row for a key of ({', '.join(keys)})"
     repeated = F.col("__key_row") > 1
     if not null_safe:
@@ -135,6 +136,12 @@ def merge(
     )
 
 
+def _spread_group(df: DataFrame, keys: list[str], sign: int) -> Column:
+    """0 for rows with a full key; groups above zero hold the target's other rows, those below the source's."""
+    # not the literal 0, which would be no key of the join where keys can't be null
+    return F.when(_present(keys), F.pmod(F.xxhash64(*keys), F.lit(1).cast("long"))).otherwise(sign * (F.pmod(F.xxhash64(*df.columns), F.lit(NULL_GROUPS)) + 1))
+
+
 def _merge(
     target: DataFrame,
     source: DataFrame,
@@ -156,7 +163,13 @@ def _merge(
 
     if co_partitions:
         source = source.repartition(co_partitions, *keys)
-    if validate:
+    if spread:
+        # the check and the join deal rows out by the same columns
+        source = source.withColumn(_GROUP, _spread_group(source, keys, -1))
+        target = target.withColumn(_GROUP, _spread_group(target, keys, 1))
+    if validate and spread:
+        source = assert_unique_keys(source, keys, beside=[_GROUP])
+    elif validate:
         source = assert_unique_keys(source, keys, null_safe=null_safe)
 
     def tc(c: str) -> Column:
@@ -165,16 +178,13 @@ def _merge(
     def sc(c: str) -> Column:
         return F.col(_S + c)
 
-    def side(df: DataFrame, prefix: str, group: Column) -> DataFrame:
-        spread_by = [F.when(_present(keys), F.lit(0).cast("long")).otherwise(group).alias(prefix + "group")] if spread else []
-        return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(prefix + "present"), *spread_by)
+    def side(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(prefix + "present"))
 
-    # groups above zero hold the target's rows without a full key, those below the source's
-    t = side(target, _T, F.pmod(F.xxhash64(*tcols), F.lit(NULL_GROUPS)) + 1)
-    s = side(source, _S, -F.pmod(F.xxhash64(*source.columns), F.lit(NULL_GROUPS)) - 1)
+    t, s = side(target, _T), side(source, _S)
     on = [tc(k).eqNullSafe(sc(k)) if null_safe else tc(k) == sc(k) for k in keys]
     if spread:
-        on.append(tc("group") == sc("group"))
+        on.append(tc(_GROUP) == sc(_GROUP))
     joined = t.join(s, reduce(and_, on), "full_outer")
 
     t_here = F.coalesce(tc("present"), F.lit(False))

@@ -16,25 +16,28 @@ hash differs                                            old row closed on the ef
                                                         source row open from it
 ======================================================  =========================================
 
-Running it twice with the same source and date returns the same table. Rows
-deleted upstream stay open. Only open versions (at most one per id) and the
-source meet in the full outer join, so a key with a long history cannot skew
-it. Closed history is asked only about source ids that have no open version, by
-a semi join on the key columns; on a dimension stored bucketed by its keys
-(``co_partitions``) that lookup moves nothing.
+Running it twice with the same source and date returns the same table, also
+where ids are null: a null id is a key like any other (``null_keys="match"``) or
+refused (``"refuse"``). Rows deleted upstream stay open. Only open versions (at
+most one per id) and the source meet in the full outer join, so a key with a
+long history cannot skew it; of the closed history a distinct list of ids is
+asked, to tell a returning id from a new one. Loads that are dated before an
+open version began are for ``strata.operators.splice``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import BEGINNING, OPEN_END, as_date, as_of, is_open
 from strata.functions.fingerprint import NULL_MARKER, SEPARATOR, fingerprint
-from strata.functions.keys import key_list
+from strata.functions.keys import comparable, key_list
 from strata.operators.merge import assert_unique_keys
 
 HISTORY = ("hash", "beg_date", "exp_date")
@@ -62,6 +65,34 @@ def scd2_seed(
     )
 
 
+def typed_source(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    null_marker: str | None,
+    validate: bool,
+    null_keys: str,
+    prefix: str,
+) -> tuple[DataFrame, list[str]]:
+    """The source in the table's types with its hash and the columns to join on; a repeated or refused id raises."""
+    attrs = _attributes(target, keys)
+    types = dict(target.dtypes)
+    src = source.select(*[F.col(c).cast(types[c]).alias(c) for c in keys + attrs])
+    src = src.withColumn("hash", fingerprint(attrs, SEPARATOR, null_marker))
+    on = list(keys)
+    if null_keys == "match":
+        columns = comparable(src, keys, prefix)
+        src, on = src.withColumns(columns), list(columns)
+    elif null_keys == "refuse":
+        known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        src = src.filter(F.when(known, F.lit(True)).otherwise(F.raise_error(F.lit("dimension source has a null id"))))
+    else:
+        raise ValueError(f"unknown choice for null ids: {null_keys!r}")
+    if validate:
+        src = assert_unique_keys(src, on, "dimension source")
+    return src, on
+
+
 def scd2_apply(
     target: DataFrame,
     source: DataFrame,
@@ -71,6 +102,7 @@ def scd2_apply(
     null_marker: str | None = NULL_MARKER,
     validate: bool = True,
     co_partitions: int | None = None,
+    null_keys: str | None = None,
 ) -> DataFrame:
     """New state of the dimension after loading ``source`` on ``effective_date``.
 
@@ -79,58 +111,54 @@ def scd2_apply(
     types before they are hashed, so equal values hash alike.
     ``co_partitions``: bucket count of a dimension stored bucketed by the keys
     (``sinks.write_bucketed``); the source is hash-partitioned to match, so the
-    dimension is read in place and never shuffled.
+    dimension is read in place and never shuffled. ``null_keys``: "match" makes
+    null an id like any other; "refuse", the default with ``co_partitions``
+    (buckets are found by plain equality), raises on one in the source.
     """
     keys = key_list(keys)
     if effective_date is None:
         effective_date = target.sparkSession.range(1).select(F.current_date()).first()[0]
+    null_keys = null_keys or ("refuse" if co_partitions else "match")
+    if co_partitions and null_keys == "match":
+        raise ValueError("a bucketed dimension can't match null ids")
     eff = F.lit(as_date(effective_date))
-    attrs = _attributes(target, keys)
-    cols = keys + attrs
     out_cols = target.columns
 
     if co_partitions:
         source = source.repartition(co_partitions, *keys)
     types = dict(target.dtypes)
-    src = source.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
-    src = src.withColumn("hash", fingerprint(attrs, SEPARATOR, null_marker))
-    if validate:
-        src = assert_unique_keys(src, keys, "dimension source")
+    src, on = typed_source(target, source, keys, null_marker, validate, null_keys, "__key_")
+    if null_keys == "match":
+        columns = comparable(target, keys, "__key_")
+        target = target.withColumns(columns)
     cur = target.filter(is_open())
     hist = target.filter(~is_open())
-
-    # Which source ids without an open version have closed history.
-    unmatched = src.select(*keys).join(cur.select(*keys), keys, "left_anti")
-    hist_ids = hist.select(*keys).join(unmatched, keys, "left_semi").distinct().withColumn("has_history", F.lit(True))
+    hist_ids = hist.select(*on).distinct().withColumn("__history", F.lit(True))
 
     # Each side travels as one struct in the target's column order and types;
     # a source row gets its dates later.
     no_date = F.lit(None).cast("date")
-    t = cur.select(*keys, F.struct(*out_cols).alias("t"))
+    t = cur.select(*on, F.struct(*out_cols).alias("__t"))
     s_fields = [no_date.alias(c) if c in ("beg_date", "exp_date") else F.col(c).cast(types[c]).alias(c) for c in out_cols]
-    s = src.join(hist_ids, keys, "left").select(
-        *keys,
-        F.struct(*s_fields).alias("s"),
-        F.coalesce("has_history", F.lit(False)).alias("has_history"),
-    )
-    j = t.join(s, keys, "full_outer")
+    s = src.join(hist_ids, on, "left").select(*on, F.struct(*s_fields).alias("__s"), "__history")
+    j = t.join(s, on, "full_outer")
 
-    t_here, s_here = F.col("t").isNotNull(), F.col("s").isNotNull()
-    changed = t_here & s_here & (F.col("t.hash") != F.col("s.hash"))
+    t_here, s_here = F.col("__t").isNotNull(), F.col("__s").isNotNull()
+    changed = t_here & s_here & (F.col("__t.hash") != F.col("__s.hash"))
     # A load dated before the open version began would rewrite history: refuse it.
     in_order = F.when(
-        changed & (F.col("t.beg_date") > eff),
+        changed & (F.col("__t.beg_date") > eff),
         F.raise_error(F.lit("effective date is before the start of the open version")),
     ).otherwise(F.lit(True))
 
-    old = F.col("t").withField("exp_date", F.when(changed, eff).otherwise(F.col("t.exp_date")))
-    new_beg = F.when(t_here | F.col("has_history"), eff).otherwise(F.lit(BEGINNING))
-    new = F.col("s").withField("beg_date", new_beg).withField("exp_date", F.lit(OPEN_END))
-    keep_old = t_here & ~(changed & (F.col("t.beg_date") == eff))
+    old = F.col("__t").withField("exp_date", F.when(changed, eff).otherwise(F.col("__t.exp_date")))
+    new_beg = F.when(t_here | F.col("__history"), eff).otherwise(F.lit(BEGINNING))
+    new = F.col("__s").withField("beg_date", new_beg).withField("exp_date", F.lit(OPEN_END))
+    keep_old = t_here & ~(changed & (F.col("__t.beg_date") == eff))
     emit_new = s_here & (~t_here | changed)
     versions = F.array(F.when(keep_old, old), F.when(emit_new, new))
     rows = j.filter(in_order).select(F.inline(F.filter(versions, lambda v: v.isNotNull())))
-    return hist.unionByName(rows)
+    return hist.select(*out_cols).unionByName(rows)
 
 
 def scd2_current(dim: DataFrame) -> DataFrame:

@@ -89,15 +89,22 @@ def process_dimension(
 def process_orderdetails(current: DataFrame | None, raw_lines: DataFrame) -> DataFrame:
     """Order lines summed per (order, item); a changed total updates only ``totalQuantity``."""
     rolled = rollup_orderdetails(raw_lines)
-    if current is None:
-        return rolled
+    return rolled if current is None else merge_quantities(current, rolled)
+
+
+def merge_quantities(current: DataFrame, rolled: DataFrame) -> DataFrame:
+    """Rolled-up order lines merged by (order, item): known rows get a changed ``totalQuantity``, new ones come whole.
+
+    Lines have an order and an item; a null in either raises, so the join is on
+    plain keys and the partitioning of the roll-up serves it.
+    """
     return merge(
         current,
         rolled,
         ["orderId", "itemId"],
         when_changed="totalQuantity",
         update_cols=["totalQuantity"],
-        null_safe=True,
+        refuse_null_keys=True,
     )
 
 

@@ -209,14 +209,7 @@ def upsert_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Store(spark, sf_dir)
     stored = rollup_orderdetails(s.raw_orderdetails_shipped_before(EARLIER_SHIP_DAY)).withColumn("loaded_on", F.lit(FIRST_LOAD))
     fresh = s.fct_orderdetails.filter(F.col("itemId") % 13 != 5).withColumn("loaded_on", F.lit(SECOND_LOAD))
-    return merge(
-        stored,
-        fresh,
-        ["orderId", "itemId"],
-        when_changed="totalQuantity",
-        update_cols=["totalQuantity"],
-        refuse_null_keys=True,
-    )
+    return layers.merge_quantities(stored, fresh)
 
 
 def mart_new_customers_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +249,7 @@ def mart_runner_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = fresh_table_path(spark, "processing")
     sinks.overwrite(w.dim_addresses, f"{base}/dim_addresses.parquet")
     sinks.overwrite(w.fct_orders, f"{base}/fct_orders.parquet")
-    sources = read_sources(spark, base, "dim_addresses, fct_orders")
+    sources = read_sources(spark, base, "dim_addresses, fct_orders", register=False)  # the runner registers them while it needs them
     params = {"report_date": LATER_DATE, "first_day": RANGE_BEG}
     return sinks.read_snapshot(spark, layers.run_mart_job(spark, ORDERS_BY_STATE_SQL, sources, params, "dm_orders_by_state"))
 
@@ -297,7 +290,7 @@ def scd2_current_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_third_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third load and its same-day correction over a stored table that has closed history."""
-    return Warehouse(spark, sf_dir).dim_customers_third
+    return Warehouse(spark, sf_dir).customers_after_third_load()
 
 
 def scd2_default_date(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,19 +83,27 @@ class Warehouse:
 
     @cached_property
     def dim_customers_third(self) -> DataFrame:
+        return self._stored("dim_customers_third", ("customer", "orders"), self.customers_after_third_load)
+
+    def customers_after_third_load(self) -> DataFrame:
         """Customers after a third load and its correction on the same day, over a table with closed history.
 
         Between the loads every seventeenth id lost its open version, so it
         returns with the third one. The table is stored bucketed by id: both
-        loads merge into it in place.
+        loads merge into it in place. The result is a snapshot; the bucketed
+        tables of the way there are removed.
         """
         buckets = sinks.default_buckets(self.spark)
         two = self.customers_after_two_loads()
         retired = F.when(is_open() & (F.col("id") % 17 == 5), F.lit(RETIRED_DATE)).otherwise(F.col("exp_date"))
-        name = sinks.write_bucketed(self.spark, two.withColumn("exp_date", retired), "dim_customers", ["id"], buckets)
-        third = scd2_apply(self.spark.table(name), self.store.customers_s3, THIRD_DATE, co_partitions=buckets)
-        name = sinks.write_bucketed(self.spark, third, "dim_customers", ["id"], buckets)
-        return scd2_apply(self.spark.table(name), self.store.customers_s4, THIRD_DATE, co_partitions=buckets)
+        first = sinks.write_bucketed(self.spark, two.withColumn("exp_date", retired), "dim_customers", ["id"], buckets)
+        third = scd2_apply(self.spark.table(first), self.store.customers_s3, THIRD_DATE, co_partitions=buckets)
+        second = sinks.write_bucketed(self.spark, third, "dim_customers", ["id"], buckets)
+        fourth = scd2_apply(self.spark.table(second), self.store.customers_s4, THIRD_DATE, co_partitions=buckets)
+        out = sinks.read_snapshot(self.spark, sinks.write_snapshot(self.spark, fourth, "dim_customers"))
+        for table in (first, second):
+            sinks.drop_bucketed(self.spark, table)
+        return out
 
     @property
     def fct_orders(self) -> DataFrame:

@@ -104,8 +104,11 @@ def default_buckets(spark: SparkSession) -> int:
 
 
 def drop_bucketed(spark: SparkSession, table: str) -> None:
-    """Remove a table of ``write_bucketed`` from the catalog (its files stay in the shared folder)."""
+    """Remove a table of ``write_bucketed`` from the catalog, and its files."""
+    where = [r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect() if r.col_name == "Location"]
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for path in where:
+        remove(spark, path)
 
 
 # --- tables with a name -----------------------------------------------------------

@@ -28,10 +28,15 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def read_sources(spark: SparkSession, base: str, names: str | Iterable[str]) -> dict[str, DataFrame]:
-    """Comma-separated (or listed) source names -> DataFrames, registered as views."""
+def read_sources(spark: SparkSession, base: str, names: str | Iterable[str], register: bool = True) -> dict[str, DataFrame]:
+    """Comma-separated (or listed) source names -> DataFrames, registered as views.
+
+    Views replace those the session has under these names; without ``register``
+    the session stays as it is.
+    """
     if isinstance(names, str):
         names = [n.strip() for n in names.split(",") if n.strip()]
     tables = {n: read_table(spark, base, n) for n in names}
-    register_views(tables)
+    if register:
+        register_views(tables)
     return tables

@@ -155,3 +155,31 @@ def test_bucketed_job_needs_a_bucket_count(spark):
 
     with pytest.raises(ValueError):
         layers.run_job(spark, spark.range(3), "t", bucket_by=["id"])
+
+
+def test_queries_leave_no_tables_and_views_behind(spark):
+    from strata.plans.queries import QUERIES
+
+    spark.range(3).createOrReplaceTempView("fct_orders")
+    before = {t.name for t in spark.catalog.listTables()}
+    try:
+        for name in ("scd2_third_load", "asof_dim", "upsert_bucketed", "mart_runner_sql"):
+            assert QUERIES[name](spark, SF_SMALL).count() > 0
+        assert {t.name for t in spark.catalog.listTables()} == before
+        assert spark.table("fct_orders").columns == ["id"] and spark.table("fct_orders").count() == 3
+    finally:
+        spark.catalog.dropTempView("fct_orders")
+
+
+def test_the_order_detail_job_merges_on_plain_keys(spark):
+    from strata.sources.fixtures import Store
+
+    st = Store(spark, SF_SMALL)
+    job = layers.process_orderdetails(layers.process_orderdetails(None, st.raw_orderdetails_shipped_before("1998-01-01")), st.raw_orderdetails)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = job._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # the roll-ups' partitioning by (order, item) serves the check and the join
+    assert plan.count("Exchange hashpartitioning") == 2 and "coalesce(__t_orderId" not in plan

@@ -184,3 +184,50 @@ def test_registered_query_applies_the_load_in_every_run(spark):
     for _ in range(2):
         plan = QUERIES["scd2_apply"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" in plan
+
+
+def test_null_ids_are_one_id_and_reruns_change_nothing(spark):
+    target = scd2_seed(spark.createDataFrame([(1, "a"), (None, "n")], SCHEMA))
+    source = spark.createDataFrame([(1, "a2"), (None, "n2"), (2, "c")], SCHEMA)
+    once = scd2_apply(target, source, D1)
+    assert sorted(((r.id, r.v, r.beg_date, r.exp_date) for r in once.collect()), key=str) == sorted(
+        [(1, "a", BEGINNING, D1), (1, "a2", D1, OPEN_END), (None, "n", BEGINNING, D1), (None, "n2", D1, OPEN_END), (2, "c", BEGINNING, OPEN_END)], key=str
+    )
+    again = scd2_apply(scd2_apply(once, source, D1), source, D1)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, once.collect()), key=str)
+    back = scd2_apply(once.filter("id is not null or exp_date <> date '4444-01-01'"), source, D2)
+    assert [(r.v, r.beg_date) for r in back.filter("id is null and v = 'n2'").collect()] == [("n2", D2)]
+
+
+def test_a_source_with_two_null_ids_or_refused_ones_raises(spark):
+    target = scd2_seed(spark.createDataFrame([(1, "a")], SCHEMA))
+    twice = spark.createDataFrame([(None, "x"), (None, "y")], SCHEMA)
+    with pytest.raises(PySparkException):
+        scd2_apply(target, twice, D1).collect()
+    with pytest.raises(PySparkException, match="null id"):
+        scd2_apply(target, spark.createDataFrame([(None, "x")], SCHEMA), D1, null_keys="refuse").collect()
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "double"])
+def test_null_ids_of_other_types(spark, kind):
+    one = {"string": "k", "date": D1, "double": 0.0}[kind]
+    schema = f"id {kind}, v string"
+    target = scd2_seed(spark.createDataFrame([(one, "a"), (None, "b")], schema))
+    source = spark.createDataFrame([(one, "a"), (None, "c")], schema)
+    out = scd2_apply(scd2_apply(target, source, D1), source, D1)
+    assert sorted((str(r.id), r.v, r.exp_date) for r in out.collect()) == sorted([(str(one), "a", OPEN_END), ("None", "b", D1), ("None", "c", OPEN_END)])
+
+
+def test_the_source_is_planned_once_and_history_is_not_moved_whole(spark, tmp_path):
+    import contextlib
+    import io
+
+    scd2_seed(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA)).write.parquet(f"{tmp_path}/t")
+    spark.createDataFrame([(1, "x")], SCHEMA).write.parquet(f"{tmp_path}/s")
+    out = scd2_apply(spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s"), D1)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain("formatted")
+    scans = [line for line in buf.getvalue().splitlines() if line.startswith("Location")]
+    assert sum(f"{tmp_path}/s" in line for line in scans) == 1
+    assert sum(f"{tmp_path}/t" in line for line in scans) == 3  # open versions, ids of closed ones, closed ones as they are

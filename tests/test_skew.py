@@ -89,3 +89,23 @@ def test_hot_key_latest_per_key_is_exact(spark):
     pdf = hot.toPandas().sort_values(["ts", "event_id"]).groupby(["event_type", "user_id"]).tail(1)
     want = {(r.event_type, r.user_id): r.event_id for r in pdf.itertuples()}
     assert got == want
+
+
+def test_rows_without_a_key_are_spread_over_the_tasks_of_a_merge(spark):
+    """99 % of the source lacks the key: neither the uniqueness check nor the join gathers them."""
+    from strata.operators.merge import merge
+
+    source = spark.range(20_000).select(F.when(F.col("id") % 100 == 0, F.col("id")).alias("id"), F.col("id").alias("v")).repartition(4)
+    target = spark.range(500).select("id", F.lit(0).cast("long").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = merge(target, source, "id", spread_null_keys=True)
+        per_task = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(per_task) == 500 + 20_000 - 5 and max(per_task) < 2 * min(per_task)
+    assert plan.count("Exchange hashpartitioning") == 2  # one for each side: the check uses the join's
+    assert all("group__" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
