@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from strata.functions.keys import key_list
 
 _T, _S, _GROUP = "__t_", "__s_", "group__"
+CHANGE, ACTION = "change", "merge_action"
 # Fixed value: how many groups the rows without a full key are spread over.
 NULL_GROUPS = 1024
 Condition = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -66,21 +67,8 @@ def assert_unique_keys(
     )
 
 
-def merge(
-    target: DataFrame,
-    source: DataFrame,
-    keys: str | Iterable[str],
-    *,
-    when_changed: str | Condition | None = None,
-    update_cols: Iterable[str] | None = None,
-    null_safe: bool = False,
-    validate: bool = True,
-    co_partitions: int | None = None,
-    spread_null_keys: bool = False,
-    refuse_null_keys: bool = False,
-    extra: str = "refuse",
-) -> DataFrame:
-    """Upsert ``source`` into ``target`` on ``keys``; result has the target's columns.
+def merge(target: DataFrame, source: DataFrame, keys: str | Iterable[str], **options) -> DataFrame:
+    """Upsert ``source`` into ``target`` on ``keys``; result has the target's columns. Options:
 
     - ``when_changed=None``: every matched row is updated.
     - ``when_changed="hash"``: update only when that column differs (null-safe).
@@ -88,6 +76,7 @@ def merge(
       give a side's column.
     - ``update_cols``: columns set on update (default: all non-key columns the
       source has). Inserts always take every column the source has.
+    - ``validate`` (default true): a key that occurs twice in the source raises.
     - ``null_safe``: keys match with ``<=>`` (null equals null).
     - ``co_partitions``: bucket count of a target bucketed by ``keys``; the
       source is hash-partitioned to match and the target is not shuffled.
@@ -103,6 +92,24 @@ def merge(
       ``"refuse"`` raises, ``"add"`` adds them (null where a row isn't taken
       from the source), ``"drop"`` leaves them out.
     """
+    return _prepared(target, source, keys, _merged, **options)
+
+
+def _prepared(
+    target: DataFrame,
+    source: DataFrame,
+    keys: str | Iterable[str],
+    shape: Callable[..., DataFrame],
+    *,
+    when_changed: str | Condition | None = None,
+    update_cols: Iterable[str] | None = None,
+    null_safe: bool = False,
+    validate: bool = True,
+    co_partitions: int | None = None,
+    spread_null_keys: bool = False,
+    refuse_null_keys: bool = False,
+    extra: str = "refuse",
+) -> DataFrame:
     keys = key_list(keys)
     missing = [k for k in keys if k not in target.columns or k not in source.columns]
     if missing:
@@ -118,7 +125,7 @@ def merge(
             target = target.withColumns({c: F.lit(None).cast(types[c]) for c in new})
         else:
             source = source.drop(*new)
-    options = dict(when_changed=when_changed, update_cols=update_cols, validate=validate)
+    options = dict(when_changed=when_changed, update_cols=update_cols, validate=validate, shape=shape)
     if refuse_null_keys:
         msg = f"a key of ({', '.join(keys)}) is null"
         full = F.when(_present(keys), F.lit(True)).otherwise(F.raise_error(F.lit(msg)))
@@ -150,6 +157,7 @@ def _merge(
     when_changed: str | Condition | None,
     update_cols: Iterable[str] | None,
     validate: bool,
+    shape: Callable[..., DataFrame],
     null_safe: bool = False,
     co_partitions: int | None = None,
     spread: bool = False,
@@ -206,4 +214,34 @@ def _merge(
         else:
             v = F.when(t_here, tc(c)).otherwise(from_source)
         out.append(v.cast(types[c]).alias(c))
+    return shape(joined, out, [tc(c).alias(c) for c in tcols], t_here, s_here, take_source)
+
+
+def _merged(joined: DataFrame, out: list[Column], old: list[Column], t_here: Column, s_here: Column, take_source: Column) -> DataFrame:
     return joined.select(*out)
+
+
+def _changes(joined: DataFrame, out: list[Column], old: list[Column], t_here: Column, s_here: Column, take_source: Column) -> DataFrame:
+    signed = F.array(F.when(t_here, F.struct(F.lit(-1).alias(CHANGE), F.struct(*old).alias("row"))), F.struct(F.lit(1).alias(CHANGE), F.struct(*out).alias("row")))
+    differs = ~t_here | ~F.struct(*old).eqNullSafe(F.struct(*out))
+    return joined.where(take_source & differs).select(F.inline(F.filter(signed, lambda r: r.isNotNull()))).select("row.*", CHANGE)
+
+
+def _actions(joined: DataFrame, out: list[Column], old: list[Column], t_here: Column, s_here: Column, take_source: Column) -> DataFrame:
+    action = F.when(~t_here, "insert").when(take_source, "update").when(s_here, "keep").otherwise("absent")
+    return joined.select(*out, action.alias(ACTION))
+
+
+def merge_changes(target: DataFrame, source: DataFrame, keys: str | Iterable[str], **options) -> DataFrame:
+    """What ``merge`` with the same options changes, as signed rows of the target.
+
+    An inserted row has ``change`` 1; an updated one is its old row with -1 and
+    its new row with 1; rows that stay as they are, or are updated to what they
+    were, are not in it.
+    """
+    return _prepared(target, source, keys, _changes, **options)
+
+
+def merge_actions(target: DataFrame, source: DataFrame, keys: str | Iterable[str], **options) -> DataFrame:
+    """``merge`` with what was done to each row in ``merge_action``: insert, update, keep (listed, unchanged) or absent (not listed)."""
+    return _prepared(target, source, keys, _actions, **options)

@@ -22,6 +22,9 @@ table that they give in order.
 ``scd2_replay`` builds the table from all loads at once, each row with its
 load's date: a version begins where the hash differs from the load before.
 
+The result reads its table several times: write it, or cut its lineage, before
+another load is applied to it.
+
 The version to cut is found by a filter on the date, at most one row of an id;
 neighbours are found by an equi-join of the other versions with the changed ids,
 which adaptive execution can split where one id has a long history.

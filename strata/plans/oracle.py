@@ -417,3 +417,6 @@ ORACLES: dict[str, str] = {
     "stream_latest_events": "select * from events qualify row_number() over "
     "(partition by event_type, user_id order by ts desc, event_id desc) = 1",
 }
+
+# Adds its own to ORACLES; here, as it is written with the helpers above.
+import strata.plans.oracle_upkeep  # noqa: E402, F401

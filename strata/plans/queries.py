@@ -23,7 +23,7 @@ from strata.operators.dedupe import dedupe_key, latest_per_key
 from strata.operators.merge import merge
 from strata.operators.reconcile import reconcile_counts
 from strata.operators.scd2 import as_of_join, scd2_apply, scd2_as_of, scd2_current, scd2_seed
-from strata.plans import layers, marts, periods, runlog
+from strata.plans import layers, marts, periods, runlog, upkeep
 from strata.plans.warehouse import CHANGE_DAY, LATER_DATE, RANGE_BEG, RANGE_END, REPORT_DATE, Warehouse
 from strata.session import fresh_table_path
 from strata.sources import sinks
@@ -473,4 +473,5 @@ QUERIES: dict[str, Query] = {
     "mart_orders_daily_merge": mart_orders_daily_merge,
     "mart_runner_sql": mart_runner_sql,
     "stream_latest_events": stream_latest_events,
+    **upkeep.QUERIES,
 }

@@ -147,6 +147,15 @@ class Store:
         c = self.customers_s3
         return c.withColumn("type", F.when(c.id % 24 == 0, "CORRECTED").otherwise(c.type))
 
+    @cached_property
+    def customers_late(self) -> DataFrame:
+        """A load between the second and the third that arrives after both: some types of its own, some that
+        the third load tells too, and customers that no other load lists."""
+        c = self.customers_s2
+        listed = c.filter(c.id % 7 != 6).withColumn("type", F.when(c.id % 6 == 1, "LATE").when(c.id % 24 == 0, "PARTNER").otherwise(c.type))
+        unknown = self.customers.filter(F.col("id") % 40 == 3).withColumn("id", F.col("id") + 1_000_000)
+        return listed.unionByName(unknown)
+
     @cached_property
     def addresses_s2(self) -> DataFrame:
         """A second load of addresses: every eighth has moved to another state and city."""
