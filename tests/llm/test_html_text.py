@@ -118,3 +118,92 @@ def test_rows_stay_as_they_are(spark):
     df = spark.createDataFrame([(1, None), (1, None), (None, "<p>x</p>")], "page_id long, html string").withColumn("tags", F.lit("clash"))
     assert sorted(((r.page_id, r.text, r.n_chars) for r in extract(df).collect()), key=str) == [(1, "", 0), (1, "", 0), (None, "x", 1)]
     assert extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["comments-area", "user-comments", "post-comments", "commentsSection", "comment_list"])
+def test_readers_texts_with_compound_names_go(name):
+    readers = f"<div class='{name}'><p>{PARAGRAPH * 2}</p><p>{PARAGRAPH * 2}</p></div>"
+    assert main_text(page(f"{MENU}<article>{BLOCKS}{readers}</article>")) == TEXT
+    assert main_text(page(f"{MENU}<div id=content>{BLOCKS}</div>{readers}")) == TEXT
+    assert main_text(page(f"{MENU}<div id=content>{BLOCKS}{readers}</div>")) == TEXT
+
+
+@pytest.mark.parametrize("name", ["ad-container", "related-posts", "share-buttons", "sidebar-right", "cookie-box", "newsletter-form", "ad_slot", "social-links", "site-header", "promo-banner"])
+def test_other_compound_names_go(name):
+    assert main_text(page(f"{MENU}<article>{BLOCKS}<div class='x {name}'><p>something else</p></div></article>")) == TEXT
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-comments", "with-widgets", "ad-free", "related-work", "social-impact", "comment-free-zone", "content", "post-content", "main", "entry-header", "article-footer-note"])
+def test_names_that_only_mention_such_words_stay(name):
+    assert main_text(page(f"{MENU}<article>{BLOCKS}<div class='{name}'><p>more of it</p></div></article>")) == f"{TEXT} more of it"
+    assert main_text(page(f"{MENU}<div class='{name}'>{BLOCKS}</div>")) == TEXT
+
+
+def test_a_short_article_beside_a_long_one_stays():
+    assert main_text(page(f"<article>{BLOCKS}</article><article><h2>Note</h2><p>Paid work.</p></article>")) == f"{TEXT} Note Paid work."
+    assert main_text(page(f"<form><article><p>First, short.</p></article></form><article>{BLOCKS}</article>")) == f"First, short. {TEXT}"
+
+
+def test_a_long_sidebar_is_no_text_and_a_form_around_the_text_is():
+    side = f"<div class=sidebar><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>"
+    assert main_text(page(f"{MENU}<div id=content>{BLOCKS}</div>{side}")) == TEXT
+    assert main_text(page(f"{MENU}<article><p>Short.</p></article>{side}")) == "Short."
+    assert main_text(page(f"<form>{MENU}<div>{BLOCKS}</div>{side}</form><div>Imprint and so on</div>")) == TEXT
+
+
+def test_a_heading_before_the_text_belongs_to_it():
+    assert main_text(page(f"{MENU}<h1>Head</h1><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><div>Imprint and so on</div>")) == TEXT
+    assert main_text(page(f"<div><h2><a href=1>Other</a></h2></div><h1>Head</h1><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div>")) == TEXT
+
+
+def test_a_first_paragraph_of_marked_up_words_belongs_to_the_text():
+    start = "<h1>LOOK!! HERE!!</h1><p><b>" + "BUY!! NOW!! " * 90 + "</b></p>"
+    assert main_text(page(f"{MENU}<div>{start}<p>And then a quiet end.</p></div>")).startswith("LOOK!! HERE!! BUY!!")
+
+
+def test_articles_renamed_to_divs_give_the_same_text(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        assert main_text(re.sub(r"(</?)article\b", r"\1div", r.html)) == main_text(r.html)
+
+
+def slow_densities(tree):
+    """Every node's own walk over its subtree."""
+    from strata.llm.html_text import INLINE, VOID
+
+    n = len(tree.tags)
+    children = [[k for k in range(n) if tree.parents[k] == node and not tree.skipped[k]] for node in range(n)]
+
+    def subtree(node):
+        out = [node]
+        for k in children[node]:
+            out += subtree(k)
+        return out
+
+    def counts(node):
+        inside = set(subtree(node))
+        links = {k for a in inside if tree.tags[a] == "a" for k in subtree(a)}
+        c, lc = (sum(len("".join(t.split())) for k, t in tree.pieces if k in which and not tree.skipped[k]) for which in (inside, links))
+        return c, sum(tree.tags[k] not in VOID for k in inside if k), lc, sum(tree.tags[k] == "a" for k in inside)
+
+    import math
+
+    all_c, _, all_lc, _ = counts(0)
+    density = []
+    for node in range(n):
+        c, t, lc, lt = counts(node)
+        lc, t, lt = max(1, lc), max(1, t), max(1, lt)
+        if tree.skipped[node] or not c:
+            density.append(0.0)
+        else:
+            base = math.log(c / max(1, c - lc) * lc + all_lc / max(1, all_c) * c + math.e)
+            density.append(c / t * max(0.0, math.log(c / lc * t / lt, base)))
+    return density, [sum(density[k] for k in children[node] if tree.tags[k] not in INLINE) for node in range(n)]
+
+
+@pytest.mark.parametrize("html", [c[0] for c in CASES if c[0] and len(c[0]) < 5_000])
+def test_densities_against_a_walk_of_every_subtree(html):
+    tree = parse(html)
+    density, sums, _ = densities(tree)
+    slow, slow_sums = slow_densities(tree)
+    # the page itself is no element, and what is skipped has no density
+    assert density[1:] == pytest.approx(slow[1:]) and sums == pytest.approx(slow_sums)
