@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm.url_filter import RULES, entropy, judge, lexical, op3_url_filter, parsed
+from strata.llm.url_filter import COVERED, FEATURES, PRIOR, RULES, entropy, fitting_rule, host_fold, judge, lexical, op3_url_filter, parsed, read_urls, suffix_shares, train
 
 SCHEMA = "page_id long, url string"
 
@@ -90,3 +90,50 @@ def test_reruns_agree_and_no_python_runs(spark):
     a, b = (op3_url_filter(spark, "/root/testdata/sf0.01") for _ in range(2))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert not re.search("Python|Pandas|Arrow", a._jdf.queryExecution().executedPlan().toString())
+
+
+def read_with_rules(pages):
+    return read_urls(pages.select("page_id", "url")).withColumn("told", fitting_rule(F.col("host"), F.col("path"))["verdict"])
+
+
+def test_shares_against_plain_counts(spark):
+    rules = "http://h{}.{}/x http://h{}.example.net/en/ http://h{}.example.com/de/ http://h{}.org/fr/ http://h{}.example.com/x".split()
+    urls = [u.format(k % 23, ("net", "org", "b.net", "a.org")[k % 4]) if u.count("{}") == 2 else u.format(k % 17) for k in range(60) for u in rules]
+    rows = read_with_rules(pages(spark, urls))
+    taught = rows.where("told IS NOT NULL").withColumn("blocked", (F.col("told") == "block").cast("double"))
+    read = rows.select("host", "top", "domain", "told", host_fold(F.col("host")).alias("fold")).collect()
+    for suffix in ("top", "domain"):
+        want = {}
+        for name in {r[suffix] for r in read}:
+            own = [r for r in read if r[suffix] == name]
+            told = [r for r in own if r.told]
+            if not told or len(told) < COVERED * len(own):
+                continue
+            for fold in {-1, *(r.fold for r in told)}:
+                used = [r.told == "block" for r in told if r.fold != fold]
+                want[name, fold] = ((sum(used) + PRIOR * 0.3) / (len(used) + PRIOR), float(len(used)))
+        got = {(r[0], r[1]): (r[2], r[3]) for r in suffix_shares(taught, rows, suffix, 0.3).collect()}
+        assert got.keys() == want.keys() and len(want) > 2
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_the_trees_do_not_judge_by_the_top_level_domain(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    rows = read_with_rules(table)
+    model = train(rows.where("told IS NOT NULL").withColumn("blocked", (F.col("told") == "block").cast("double")), rows)
+    weight = dict(zip(FEATURES, model.trees.featureImportances.toArray().tolist(), strict=True))
+    lexicals = sum(v for k, v in weight.items() if k not in ("top_blocked", "domain_blocked", "domain_seen"))
+    assert lexicals > 0.5 and max(weight.values()) < 0.5
+    judged = model.scored(rows.where("told IS NULL")).groupBy("top").agg(F.avg((F.col("blocked_score") > 0.5).cast("int")).alias("blocked")).collect()
+    assert all(0.05 < r.blocked < 0.95 for r in judged)
+
+
+def test_a_model_is_fitted_once_and_used_again(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = read_with_rules(table)
+    model = train(rows.where("told IS NOT NULL").withColumn("blocked", (F.col("told") == "block").cast("double")), rows)
+    want = sorted(map(tuple, judge(table).collect()))
+    monkeypatch.setattr(GBTClassifier, "fit", lambda *_: pytest.fail("fitted again"))
+    assert sorted(map(tuple, judge(table, model=model).collect())) == want
