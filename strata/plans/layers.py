@@ -14,6 +14,7 @@ job                        what it does
 ``process_orderdetails``   roll order lines up to (order, item); update quantity if changed
 ``merge_mart``             replace the measures of the periods (mart grain) a run covers
 ``write_mart_periods``     the same on a mart partitioned by period: only the run's periods are written
+``merge_touched``          merge that reads and writes only the partitions its source has rows for
 ``run_mart_job``           a mart written as SQL, stored with an overwrite or a period-merge sink
 =========================  ====================================================
 """
@@ -131,19 +132,35 @@ def write_mart_periods(
     keys = key_list(grain) if grain is not None else [period]
     if period not in keys:
         raise ValueError(f"the grain {keys} has to hold the period {period!r}")
-    state = mart
     if keys != [period] and sinks.exists(spark, path):
-        stored = spark.read.schema(mart.schema).format(fmt).load(path)
-        touched = stored.join(mart.select(period).distinct(), period, "left_semi")
-        # the merged periods are written elsewhere first: a job can't overwrite what it reads
-        merged = merge(touched.select(*mart.columns), mart, keys)
-        state = sinks.read_snapshot(spark, sinks.write_snapshot(spark, merged, "touched_periods", fmt), fmt)
+        return merge_touched(spark, path, mart, keys, period, fmt)
     # One task per period writes one file per partition (a mart is aggregated,
     # so a period holds few rows), instead of every task writing to every period.
-    sinks.overwrite_partitions(state.repartition(period), path, [period], fmt)
+    sinks.overwrite_partitions(mart.repartition(period), path, [period], fmt)
     return spark.read.schema(mart.schema).format(fmt).load(path)
 
 
+def merge_touched(
+    spark: SparkSession, path: str, source: DataFrame, keys: str | Iterable[str], part: str, fmt: str = "parquet", **options
+) -> DataFrame:
+    """Merge into a table partitioned by ``part``, reading and writing only the partitions the source has rows for.
+
+    ``part`` follows from the key (a range of ids, the day of an event), or is a
+    part of it: a row stays in its partition for good. Which partitions are
+    touched is found from the source when the job runs; the other files are
+    neither read nor written. Returns the table.
+    """
+    keys = key_list(keys)
+    stored = spark.read.schema(source.schema).format(fmt).load(path)
+    touched = stored.join(source.select(part).distinct(), part, "left_semi").select(*source.columns)
+    # merged partitions are written elsewhere first, as a job can't overwrite what it reads
+    aside = sinks.write_snapshot(spark, merge(touched, source, list(dict.fromkeys([*keys, part])), **options), "touched", fmt)
+    state = spark.read.schema(source.schema).format(fmt).load(aside)
+    sinks.overwrite_partitions(state.repartition(part), path, [part], fmt)
+    sinks.remove(spark, aside)
+    return spark.read.schema(source.schema).format(fmt).load(path)
+
+
 def run_mart_job(
     spark: SparkSession,
     sql: str,

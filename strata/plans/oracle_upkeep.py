@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from strata.plans import oracle
-from strata.plans.oracle import BEGIN, CUST, OPEN, RETIRED, THIRD, THIRD_LOAD, _asof, _hash, _month, _ratio_half_up, _scd2_sql, q
+from strata.plans.oracle import BEGIN, CUST, OPEN, RETIRED, THIRD, THIRD_LOAD, _asof, _hash, _jobs_sql, _month, _ratio_half_up, _scd2_sql, _tasks_ctes, q
 
 # Fixed values shared with strata.plans.upkeep.
 LATE = "date '2000-07-15'"
@@ -48,6 +48,8 @@ _BEFORE_LATE = f"""customers_s3 as (select id, case when id % 12 = 0 then 'PARTN
       union all select id + 1000000, type, status, createdOn from customers where id % 40 = 3)),
     cut as (select t.* from before_late t join late_src l on l.id = t.id and l.hash <> t.hash where {_valid('t', LATE)})"""
 
+_KEPT = "t.id is not null and (s.id is null or s.hash = t.hash)"
+
 ORACLES: dict[str, str] = {
     "asof_by_fact_date": q(
         f"""select o.id as orderId, o.customerId, o.deliveryDate, c.type, c.status, c.beg_date as valid_from
@@ -115,4 +117,45 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+ORACLES |= {
+    "load_report": q(
+        """select count(*) as table_rows, count_if(t.id is null) as insert_rows, count_if(t.hash <> s.hash) as update_rows,
+               count_if(t.hash = s.hash) as keep_rows, count_if(s.id is null) as absent_rows,
+               count_if(case when t.id is null or t.hash <> s.hash then s.createdOn is null else t.createdOn is null end) as invalid_rows
+        from customers_seed t full join customers_src s on s.id = t.id"""
+    ),
+    "upsert_touched_ranges": q(
+        f"""select coalesce(t.id, s.id) as id, {", ".join(f"case when {_KEPT} then t.{c} else s.{c} end as {c}" for c in [*CUST, "hash", "loaded_on"])}
+        from (select *, date '2000-01-01' as loaded_on from customers_seed) t
+        full join (select *, date '2000-06-01' as loaded_on from customers_src where (id // 100) % 5 = 1) s on s.id = t.id"""
+    ),
+    "mart_city_sales_bucketed": oracle.ORACLES["mart_city_sales"],
+    "runlog_from_drifting": q(
+        """select job_run_id, job_id, job_name, date, start_time, end_time, duration, status, null::varchar as line, null::varchar as rejected
+        from (select * from jobs where job_run_id % 6 not in (3, 4))
+        union all
+        select null, null, null, null, null, null, null, null,
+               case when job_run_id % 6 = 3 then '{"run_id": ' || job_run_id || ', broken'
+                    else '{"job_id":' || job_id || ',"start_time":' || epoch_ms(start_time) || ',"end_time":' || epoch_ms(end_time) || '}' end,
+               case when job_run_id % 6 = 3 then 'no JSON' else 'no run id' end
+        from jobs where job_run_id % 6 in (3, 4)""",
+        _tasks_ctes("all") + f",\njobs as ({_jobs_sql('all_runs')})",
+    ),
+    "stream_first_seen": "select * from events",
+    "stream_latest_changes": oracle.ORACLES["stream_latest_events"],
+    "period_rollup_filled": q(
+        """select s.frequency, s.city, s.beg_date, s.exp_date, count(p.addressId) as Orders_Number
+        from (select * from spans, (select distinct city from placed)) s
+        left join placed p on p.city = s.city and p.deliveryDate between s.beg_date and s.exp_date
+        group by 1, 2, 3, 4""",
+        f"""placed as (select o.addressId, o.deliveryDate, a.city from fct_orders o join dim_addresses a on a.id = o.addressId and {_asof('a')}),
+        ends as (select min(deliveryDate) as a, max(deliveryDate) as z from placed),
+        spans as (
+          select 'daily' as frequency, cast(d as date) as beg_date, cast(d as date) as exp_date from ends, unnest(generate_series(a, z, interval 1 day)) t(d)
+          union all select 'weekly', cast(d as date), cast(d as date) + 6 from ends, unnest(generate_series(date_trunc('week', a), z, interval 7 day)) t(d)
+          union all select 'monthly', cast(d as date), last_day(cast(d as date)) from ends, unnest(generate_series(date_trunc('month', a), z, interval 1 month)) t(d)
+          union all select 'yearly', cast(d as date), make_date(year(d), 12, 31) from ends, unnest(generate_series(date_trunc('year', a), z, interval 1 year)) t(d))""",
+    ),
+}
+
 oracle.ORACLES.update(ORACLES)

@@ -80,3 +80,50 @@ def period_rollup(
         tags.append(F.struct(F.lit(f).alias("frequency"), beg.alias("beg_date"), exp.alias("exp_date"), F.col("rows").alias("rows")))
     tagged = days.select(F.inline(F.array(*tags)))
     return tagged.groupBy("frequency", "beg_date", "exp_date").agg(F.sum("rows").alias(measure))
+
+
+# The step from one period of a frequency to the next.
+STEPS = {"daily": "1 day", "weekly": "7 day", "monthly": "1 month", "yearly": "1 year"}
+
+
+def period_spine(ranges: DataFrame, freqs: Iterable[str] = FREQUENCIES) -> DataFrame:
+    """Every period of each row of ``ranges`` (frequency, first_day, last_day, ...): its columns, beg_date and exp_date.
+
+    Periods are generated within each row, so nothing is joined; those that
+    contain the first and the last day are the ends.
+    """
+    freqs = list(freqs)
+    begins = F.array().cast("array<date>")
+    for f in freqs:
+        first, last = (_containing(F.col(c), f)[0].cast("date") for c in ("first_day", "last_day"))
+        begins = F.when(F.col("frequency") == f, F.sequence(first, last, F.expr(f"interval {STEPS[f]}"))).otherwise(begins)
+    rows = ranges.withColumn("beg_date", F.explode(begins))
+    exp = F.lit(None).cast("date")
+    for f in freqs:
+        exp = F.when(F.col("frequency") == f, _containing(F.col("beg_date"), f)[1]).otherwise(exp)
+    return rows.withColumn("exp_date", exp).drop("first_day", "last_day")
+
+
+def period_rollup_filled(
+    fact: DataFrame, date_col: str, by: Iterable[str], freqs: Iterable[str] = FREQUENCIES, measure: str = "row_count"
+) -> DataFrame:
+    """Rows of ``fact`` per (frequency, period, group), 0 where a group has none.
+
+    All groups have the periods from the fact's first day to its last. The fact
+    is counted by group and day once; groups and periods are made from these counts.
+    """
+    by, freqs = list(by), list(freqs)
+    day = F.col(date_col).cast("date")
+    days = fact.filter(day.isNotNull()).groupBy(*by, day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    tags = []
+    for f in freqs:
+        beg, exp = _containing(F.col("day"), f)
+        tags.append(F.struct(F.lit(f).alias("frequency"), beg.cast("date").alias("beg_date"), exp.cast("date").alias("exp_date"), F.col("day"), F.col("rows").alias("rows")))
+    tagged = days.select(*by, F.inline(F.array(*tags)))
+    counts = tagged.groupBy("frequency", *by, "beg_date", "exp_date").agg(F.sum("rows").alias(measure))
+    groups = tagged.groupBy("frequency", *by).agg(F.min("day").alias("first_own"), F.max("day").alias("last_own"))
+    whole = groups.groupBy("frequency").agg(F.min("first_own").alias("first_day"), F.max("last_own").alias("last_day"))
+    spine = period_spine(groups.drop("first_own", "last_own").join(whole, "frequency"), freqs)
+    zero = spine.withColumn(measure, F.lit(0).cast("long"))
+    # a group's null is a group: a union and a sum, not a join
+    return counts.unionByName(zero).groupBy("frequency", *by, "beg_date", "exp_date").agg(F.sum(measure).alias(measure))

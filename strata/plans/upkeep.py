@@ -8,25 +8,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.dates import is_open, month_label, within
+from strata.functions.fingerprint import with_row_hash
 from strata.functions.numeric import ratio_half_up
 from strata.operators.asof import as_of_join_by_date
 from strata.operators.deltas import ROWS, apply_changes, state_changes, state_of
 from strata.operators.digest import differences
 from strata.operators.distinct import distinct_counts, distinct_state
-from strata.operators.merge import merge_changes
+from strata.operators.merge import merge_actions, merge_changes
 from strata.operators.scd2 import scd2_apply, scd2_as_of
 from strata.operators.splice import scd2_replay, scd2_splice
-from strata.plans import layers
+from strata.plans import layers, marts, periods, runlog
 from strata.plans.marts import REVENUE
 from strata.plans.warehouse import REPORT_DATE, RETIRED_DATE, THIRD_DATE, Warehouse
 from strata.session import fresh_table_path
+from strata.sources import sinks
+from strata.sources.drifting import rejected_lines, runs_of
 from strata.sources.fixtures import Store, rollup_orderdetails
+from strata.sources.observed import write_merged
+from strata.sources.runs import from_epoch_ms, runs_from_events
+from strata.streaming.stateful import append_first_seen, append_latest
 
 # Fixed values of the test scenarios: when the loads were made, and the one that came late.
 SEED_DATE, EFFECTIVE_DATE, LATE_DATE, FOURTH_DATE = dt.date(2000, 1, 15), dt.date(2000, 6, 1), dt.date(2000, 7, 15), dt.date(2000, 12, 1)
 # An earlier state of the orders: placed before 1999, and delivered as far as known by 1998.
 PLACED_BEFORE, KNOWN_BEFORE = dt.date(1999, 1, 1), dt.date(1998, 1, 1)
 EARLIER_SHIP_DAY = "1998-01-01"
+FIRST_LOAD, SECOND_LOAD, RANGE = dt.date(2000, 1, 1), dt.date(2000, 6, 1), 100
 EARLIER_RUN = (dt.date(1995, 1, 1), dt.date(1999, 6, 15))
 LATER_RUN = (dt.date(1999, 6, 1), dt.date(2001, 12, 31))
 
@@ -152,6 +159,106 @@ def reconcile_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return differences(s.customers_s2, copied.unionByName(twice).unionByName(kept), "id")
 
 
+# --- loads that measure themselves, and touch what they change --------------------------
+
+
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load did, as the write itself counted it: rows inserted, updated, kept, absent, and without a first order."""
+    s = Store(spark, sf_dir)
+    actions = merge_actions(with_row_hash(s.customers_s1), with_row_hash(s.customers_s2), "id", when_changed="hash")
+    _, report = write_merged(spark, actions, "customers", invalid=F.col("createdOn").isNull())
+    return spark.createDataFrame([tuple(report.values())], ", ".join(f"{k} long" for k in report))
+
+
+def upsert_touched_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that lists some ranges of ids, merged into a table partitioned by these; other partitions stay as they are."""
+    s = Store(spark, sf_dir)
+    span = F.floor(F.col("id") / RANGE).cast("long").alias("id_range")
+    path = fresh_table_path(spark, "customers_by_range")
+    stored = with_row_hash(s.customers_s1).withColumn("loaded_on", F.lit(FIRST_LOAD)).select("*", span)
+    sinks.overwrite(stored.repartition("id_range"), path, partition_by=["id_range"])
+    fresh = with_row_hash(s.customers_s2).withColumn("loaded_on", F.lit(SECOND_LOAD)).select("*", span)
+    listed = fresh.filter(F.col("id_range") % 5 == 1)
+    return layers.merge_touched(spark, path, listed, "id", "id_range", when_changed="hash").drop("id_range")
+
+
+def mart_city_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City sales over orders and order lines that are stored bucketed by the order: neither is shuffled."""
+    w = Warehouse(spark, sf_dir)
+    buckets = sinks.default_buckets(spark)
+    orders = sinks.write_bucketed(spark, w.fct_orders, "fct_orders", ["id"], buckets)
+    lines = sinks.write_bucketed(spark, w.orderdetails_by_order, "fct_orderdetails", ["orderId"], buckets)
+    mart = marts.city_sales(spark.table(orders), w.dim_addresses, spark.table(lines), w.dim_items, REPORT_DATE)
+    out = sinks.read_snapshot(spark, sinks.write_snapshot(spark, mart, "dm_city_sales"))
+    for table in (orders, lines):
+        sinks.drop_bucketed(spark, table)
+    return out
+
+
+# --- run listings that drift ------------------------------------------------------------
+
+
+def drifting_lines(events: DataFrame) -> DataFrame:
+    """The run listing as lines of text, in the shapes it had over the years, some of them broken."""
+    runs = runs_from_events(events)
+    r, shape = F.col("run_id"), F.col("run_id") % 6
+    iso = [F.concat(F.date_format(from_epoch_ms(F.col(c)), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z")).alias(c) for c in ("start_time", "end_time")]
+    times = F.struct(F.col("start_time").alias("start"), F.col("end_time").alias("end")).alias("times")
+    state = F.col("state.result_state")
+    line = (
+        F.when(shape == 0, F.to_json(F.struct("run_id", "job_id", "start_time", "end_time", "state")))
+        .when(shape == 1, F.to_json(F.struct(r.alias("id"), F.struct(F.col("job_id").alias("id")).alias("job"), times, state.alias("status"))))
+        .when(shape == 2, F.to_json(F.struct("run_id", "job_id", *iso, state.alias("result_state"))))
+        .when(shape == 3, F.concat(F.lit('{"run_id": '), r.cast("string"), F.lit(", broken")))
+        .when(shape == 4, F.to_json(F.struct("job_id", "start_time", "end_time")))
+        .otherwise(F.to_json(F.struct(r.cast("string").alias("run_id"), "job_id", "start_time", "end_time", "state", F.lit(1).alias("extra"))))
+    )
+    return runs.select(r.alias("of_run"), line.alias("value"))
+
+
+def runlog_from_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs log of a drifting listing, read from text files, and its rejected lines with the reason."""
+    path = fresh_table_path(spark, "runs_text")
+    drifting_lines(Store(spark, sf_dir).raw("events")).select("value").write.text(path)
+    lines = spark.read.text(path)
+    jobs = runlog.flatten_jobs(runs_of(lines), runlog.job_names(spark)).withColumns({"line": F.lit(None).cast("string"), "rejected": F.lit(None).cast("string")})
+    return jobs.unionByName(rejected_lines(lines).withColumnRenamed("value", "line"), allowMissingColumns=True)
+
+
+# --- streams with a state store ---------------------------------------------------------
+
+
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that a source sends again are appended once, by a stream that forgets keys behind its watermark."""
+    events = Store(spark, sf_dir).raw("events")
+    arrived = fresh_table_path(spark, "events_sent")
+    again = events.filter(F.col("event_type") == "error")
+    events.unionByName(again).repartition(3, "user_id").write.parquet(arrived)
+    return append_first_seen(
+        spark, arrived, events.schema, "event_id", "ts", "40 days", fresh_table_path(spark, "events_once"), fresh_table_path(spark, "events_once_checkpoint"), files_per_batch=1
+    )
+
+
+def stream_latest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per (event_type, user) from a changelog that a stateful stream appends to."""
+    events = Store(spark, sf_dir).raw("events")
+    arrived = fresh_table_path(spark, "events_in")
+    events.repartition(3, "event_id").write.parquet(arrived)
+    return append_latest(
+        spark, arrived, events.schema, ["event_type", "user_id"], ["ts", "event_id"], fresh_table_path(spark, "latest_log"), fresh_table_path(spark, "latest_checkpoint"), files_per_batch=1
+    )
+
+
+# --- periods without rows ---------------------------------------------------------------
+
+
+def period_rollup_filled_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by city and period of every frequency, 0 where a city had none."""
+    w = Warehouse(spark, sf_dir)
+    ad = scd2_as_of(w.dim_addresses, REPORT_DATE).select(F.col("id").alias("addressId"), "city")
+    return periods.period_rollup_filled(w.fct_orders.join(ad, "addressId"), "deliveryDate", ["city"], measure="Orders_Number")
+
+
 QUERIES = {
     "asof_by_fact_date": asof_by_fact_date,
     "mart_sales_on_the_day": mart_sales_on_the_day,
@@ -161,4 +268,11 @@ QUERIES = {
     "mart_city_sales_kept_up": mart_city_sales_kept_up,
     "mart_customers_distinct": mart_customers_distinct,
     "reconcile_differences": reconcile_differences,
+    "load_report": load_report,
+    "upsert_touched_ranges": upsert_touched_ranges,
+    "mart_city_sales_bucketed": mart_city_sales_bucketed,
+    "runlog_from_drifting": runlog_from_drifting,
+    "stream_first_seen": stream_first_seen,
+    "stream_latest_changes": stream_latest_changes,
+    "period_rollup_filled": period_rollup_filled_q,
 }
