@@ -6,8 +6,9 @@ The vectors of a cell, in rings of that distance, fill pages of ``PAGE``
 vectors; a page is divided among ``LEAVES`` routing objects of its own, each
 with covering radius and parent distance. Every vector is in the index.
 
-The search: queries travel in blocks. What a query has already found among the
-sample bounds what it still needs. The largest inner product that a ball or a
+The search: queries travel in blocks, and a block as a whole is held against the
+pages first; only what that leaves over meets single queries. What a query has
+already found among the sample bounds what it still needs. The largest inner product that a ball or a
 ring can hold follows from the triangle inequality,
 
     q.x = (|q|^2 + |x|^2 - d(q,x)^2) / 2,   d(q,x) >= |d(q,p) - d(x,p)|,
@@ -292,17 +293,19 @@ def top_k(embeddings: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> Da
     asked = ranked.where(F.col("vec_id") % every == 0).select("vec_id", "cell", "page", "vec")
     started = written(asked.mapInPandas(start, "query_id long, home int, home_page long, vec binary, cell int, to_parent double, norm double, needed double, needed_id long"), "queries")
     block = [F.floor(F.col("home") / cells_together).cast("long").alias("home"), F.floor(F.col("home_page") / BLOCK_PAGES).cast("long").alias("part")]
-    # a ring of the cell holds nothing nearer than the difference of distances to its router
-    gap = F.greatest(F.col("to_parent") - F.col("farthest"), F.col("nearest") - F.col("to_parent"), F.lit(0.0))
+    # a block of queries against a ring of the cell: for all of them, the ring holds nothing nearer than
+    # the least difference of distances to the router, and the least demanding of them decides
+    of_block = started.select(*block, "cell", "to_parent", "norm", "needed").groupBy("home", "part", "cell")
+    of_block = of_block.agg(F.min("to_parent").alias("near"), F.max("to_parent").alias("far"), F.max("norm").alias("norm"), F.min("needed").alias("needed"))
+    gap = F.greatest(F.col("near") - F.col("farthest"), F.col("nearest") - F.col("far"), F.lit(0.0))
     bound = (F.col("norm") + F.col("largest") - gap * gap) / 2
-    far_off = F.col("to_parent") + F.col("farthest")
+    far_off = F.col("far") + F.col("farthest")
     # kept as a double: a long can be too short
     bound = bound + (F.col("norm") + F.col("largest") + far_off * far_off) * SLACK + 1e-3
     bound = F.when(F.abs(bound) >= 2.0**52, bound).otherwise(F.floor(bound).cast("double"))
-    directory = pages.select("cell", "page", "nearest", "farthest", "first_id", "largest")
-    met = started.drop("vec").select(*block, "query_id", "cell", "to_parent", "norm", "needed", "needed_id").join(directory, "cell")
-    met = met.withColumn("bound", bound).where("bound > needed OR (bound = needed AND first_id <= needed_id)")
-    pairs = met.groupBy("home", "part", "cell", "page").agg(F.max("bound").alias("bound"))
+    directory = pages.select("cell", "page", "nearest", "farthest", "largest")
+    met = of_block.join(directory, "cell").withColumn("bound", bound).where("bound >= needed")
+    pairs = met.select("home", "part", "cell", "page", "bound")
     # the queries of a block with their distances to a cell's router: bounded by the pages that they live on
     columns = ["query_id", "vec", "to_parent", "needed", "needed_id"]
     blocks = started.select(*block, "cell", F.struct(*columns).alias("q")).groupBy("home", "part", "cell").agg(F.collect_list("q").alias("q"))
