@@ -155,3 +155,39 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = learn_profiles(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"))
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return identify(rows, profiles).drop("text")
+
+
+ORACLE = rf"""
+WITH RECURSIVE bits AS (
+  SELECT b, 0 AS n, b::BIGINT AS c FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL SELECT b, n + 1, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) FROM bits WHERE n < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM bits WHERE n = 8),
+d AS MATERIALIZED (
+  SELECT doc_id, lang,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 5 = 0 AS held_out,
+    string_split(' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', ' ', 'g')) || ' ', '') AS c
+  FROM documents, crc),
+g AS MATERIALIZED (
+  SELECT doc_id, lang, held_out, gram, count(*) AS n FROM (
+    SELECT doc_id, lang, held_out, unnest(list_concat(
+      list_filter(c, lambda x: x <> ' '),
+      list_transform(range(1, len(c)), lambda i: c[i] || c[i + 1]),
+      list_transform(list_filter(range(1, len(c) - 1), lambda i: c[i + 1] <> ' '), lambda i: c[i] || c[i + 1] || c[i + 2]))) AS gram
+    FROM d WHERE len(list_filter(c, lambda x: x <> ' ')) > 0) GROUP BY ALL),
+profile AS MATERIALIZED (
+  SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, length(gram), gram) - 1 AS rank FROM (
+    SELECT lang, gram, sum(n) AS n FROM g WHERE lang IS NOT NULL AND NOT held_out GROUP BY ALL) QUALIFY rank < {PROFILE}),
+own AS MATERIALIZED (
+  SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, length(gram), gram) - 1 AS rank FROM g QUALIFY rank < {PROFILE}),
+sizes AS (SELECT doc_id, count(*) AS grams FROM own GROUP BY doc_id),
+met AS (
+  SELECT own.doc_id, p.lang, count(*) AS known, sum(abs(p.rank - own.rank)) AS apart FROM own JOIN profile p USING (gram) GROUP BY ALL),
+near AS (
+  SELECT s.doc_id, l.lang, coalesce(apart, 0) + {PROFILE} * (grams - coalesce(known, 0)) AS apart, grams
+  FROM sizes s CROSS JOIN (SELECT DISTINCT lang FROM profile) l LEFT JOIN met ON met.doc_id = s.doc_id AND met.lang = l.lang),
+best AS (SELECT doc_id, lang, 1 - apart::DOUBLE / ({PROFILE} * grams) AS score FROM near QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY apart, lang) = 1)
+SELECT d.doc_id, d.held_out, coalesce(best.lang, '{UNKNOWN}') AS lang_pred, coalesce(best.score, 0.0) AS score
+FROM d LEFT JOIN best USING (doc_id)
+"""

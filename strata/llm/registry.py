@@ -23,6 +23,7 @@ ORACLES = {
     "op8_topk_search": topk_search.ORACLE,
     "op1_substring_dedup": substring_dedup.ORACLE,
     "op2_mix_sources": mixing.ORACLE,
+    "op6_language_id": language.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
     "op12_conversation_repair": conversation_repair.ORACLE,
     "op13_vector_codes": vector_codes.ORACLE,

@@ -77,3 +77,83 @@ def test_threshold_is_at_the_quantile_of_the_labels(share):
     good = np.arange(600) < 300
     model = fit_ranker(rows, good, share)
     assert model.score(np.array([[6.0]]))[0] > 0.9 and model.score(np.array([[-6.0]]))[0] < 0.1
+
+
+def slow_features(text):
+    """Word by word and byte by byte."""
+    import math
+
+    if not text:
+        return [0.0] * 16
+    raw = list(text.encode("utf-8", "surrogatepass"))
+    words, lines = text.split(), text.split("\n")
+
+    def share(which):
+        return sum(which(b) for b in raw) / len(raw)
+
+    stops = b".,;:?'\"-"
+    out = [0.0] * 16
+    out[4], out[5], out[6] = share(lambda b: 65 <= b <= 90), share(lambda b: 48 <= b <= 57), share(lambda b: b in stops)
+    out[7] = share(lambda b: b == ord("!"))
+    out[8] = share(lambda b: 33 <= b < 127 and not chr(b).isalnum() and b not in stops)
+    out[9] = share(lambda b: b in (9, 11, 12, 13))
+    out[14] = -sum(raw.count(b) / len(raw) * math.log(raw.count(b) / len(raw)) for b in set(raw))
+    out[13] = len(set(lines)) / len(lines)
+    if words:
+        n, distinct = len(words), set(words)
+        out[0], out[1] = math.log(n + 1), math.log(sum(len(w) for w in words) / n)
+        out[2], out[3] = sum(len(w) > 20 for w in words) / n, sum(len(w) == 1 for w in words) / n
+        out[10] = len(distinct) / n**0.9
+        out[11] = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
+        out[12] = max(words.count(w) for w in distinct) / n
+        out[15] = sum(not (w.isalpha() or w[:-1].isalpha()) for w in distinct) / len(distinct)
+    return out
+
+
+def test_features_against_the_slow_form(whole):
+    texts = [r.text for r in whole.select("text").collect()][:60] + ["", None, "a", "A1! \t x\n\nx x", "é — ü", "w " * 50]
+    for text in texts:
+        assert features((text or "")[:3000]) == pytest.approx(slow_features((text or "")[:3000]))
+
+
+def test_scores_against_quantiles_row_by_row():
+    """The score of a labelled document is its weighted quantile, stretched so that the best cut is at the threshold."""
+    chance = np.random.default_rng(5)
+    rows = chance.normal(size=(120, 4))
+    good = rows[:, 0] + chance.normal(0, 0.5, 120) > 0
+    share = 0.7
+    model = fit_ranker(rows, good, share)
+    worth = model.worth(rows)
+    weight = [share / good.sum() if g else (1 - share) / (~good).sum() for g in good]
+    ranked = sorted(range(120), key=lambda i: worth[i])
+
+    def right(cut):
+        return sum(weight[i] for i in ranked[:cut] if not good[i]) + sum(weight[i] for i in ranked[cut:] if good[i])
+
+    cut = max(range(121), key=lambda c: (round(right(c), 12), -c))
+    at = sum(weight[i] for i in ranked[:cut])
+    upto = 0.0
+    for place, i in enumerate(ranked):
+        upto += weight[i]
+        want = THRESHOLD * upto / at if place < cut else THRESHOLD + (1 - THRESHOLD) * (upto - at) / (1 - at)
+        assert model.score(rows[i : i + 1])[0] == pytest.approx(want, abs=1e-6)
+
+
+def test_weights_are_where_the_logistic_loss_is_least():
+    from strata.llm.quality import PAIRS, RIDGE
+
+    chance = np.random.default_rng(6)
+    rows = chance.normal(size=(60, 3))
+    good = rows[:, 0] - rows[:, 2] + chance.normal(0, 1, 60) > 0
+    model = fit_ranker(rows, good, 0.5)
+    scaled = np.clip((rows - model.mean) / model.scale, -8, 8)
+    draw = np.random.default_rng(0)
+    diff = scaled[draw.choice(np.flatnonzero(good), PAIRS)] - scaled[draw.choice(np.flatnonzero(~good), PAIRS)]
+
+    def loss(w):
+        return np.log1p(np.exp(-(diff @ w))).mean() + RIDGE / 2 * (w @ w)
+
+    least = loss(model.weights)
+    for k in range(3):
+        for step in (-1e-2, 1e-2):
+            assert loss(model.weights + step * np.eye(3)[k]) > least
