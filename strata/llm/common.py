@@ -76,6 +76,18 @@ def running_total(
     return inner.join(starts, keys).withColumn(out, F.col("_start") + F.col("_upto") - F.col(value)).drop("_start", "_upto")
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """Equal rows as one with their number, ``copies``; combined in the tasks first, so a hot row is no large group."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def copied(df: DataFrame, place: str, step: Column) -> DataFrame:
+    """The rows of ``counted`` again, each ``step`` behind the one before it at ``place``."""
+    nth = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    rows = df.withColumn("_nth", nth)
+    return rows.withColumn(place, F.col(place) + F.col("_nth") * step).drop("_nth", "copies")
+
+
 def slots_for(rows: int) -> int:
     """About the square root of ``rows``, a power of two: as many slots as rows in each, so neither end grows fast."""
     return 1 << (max(rows, 1).bit_length() // 2)

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import n_words, read_table, running_total, slots_for, written
+from strata.llm.common import copied, counted, n_words, read_table, running_total, slots_for, written
 
 WEIGHTS = (5, 2, 1)  # by the sources' code point order, repeating
 MAX_REPEATS = 2
@@ -76,8 +76,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
     slots = slots_for(sizes.count())
     # the first 8 hex digits of the key, cut into ranges
     slot = F.floor(F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") * slots / float(1 << 32)).cast("long")
-    ranked = sizes.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).withColumn("slot", slot)
-    placed = running_total(ranked, ["rank"], "slot", [F.col("shuffle"), F.col("doc_id")], "size", "before")
+    # rows that repeat doc_id and text follow each other, so they are placed as one
+    ranked = counted(sizes).join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).withColumn("slot", slot)
+    ranked = ranked.withColumn("every_size", F.col("size") * F.col("copies"))
+    placed = copied(running_total(ranked, ["rank"], "slot", [F.col("shuffle"), F.col("doc_id")], "every_size", "before"), "before", F.col("size"))
     placed = written(placed.select("doc_id", "shuffle", "size", "rank", "weight", "source_size", "target", "before"), "placed")
 
     def finish(turn: int) -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import read_table, running_total, slots_for, written
+from strata.llm.common import copied, counted, read_table, running_total, slots_for, written
 
 MAX_TOKENS = 2048
 END_ID = 0
@@ -166,13 +166,15 @@ def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS) -> DataF
     spark = docs.sparkSession
     found = written(token_pieces(docs, tokenizer, max_tokens), "pieces")
     counts = {r["length"]: r["count"] for r in found.groupBy("length").count().collect()}  # at most max_tokens rows
+    found = counted(found)  # pieces of rows that repeat take neighbouring ranks
     schema = "length long, first_rank long, pieces long, each long, first_sequence long, at long"
     plan = spark.createDataFrame(plan_slots(counts, max_tokens), schema)
     slots = slots_for(sum(counts.values()))
     key = F.xxhash64("doc_id", "piece", "ids_crc32")
     top = F.shiftright(key, 64 - (slots.bit_length() - 1)) if slots > 1 else F.lit(0).cast("long")
-    keyed = found.withColumns({"_key": key, "_slot": top, "_one": F.lit(1).cast("long")})
-    ranked = running_total(keyed, ["length"], "_slot", [F.col("_key"), F.col("doc_id"), F.col("piece")], "_one", "rank")
+    keyed = found.withColumns({"_key": key, "_slot": top})
+    ranked = running_total(keyed, ["length"], "_slot", [F.col("_key"), F.col("doc_id"), F.col("piece")], "copies", "rank")
+    ranked = copied(ranked, "rank", F.lit(1).cast("long"))
     # the plan has a few rows for each length, whatever the corpus
     took = ranked.join(F.broadcast(plan), "length").where("rank >= first_rank AND rank < first_rank + pieces")
     within = F.col("rank") - F.col("first_rank")

@@ -72,3 +72,17 @@ def test_defined_cases(documents):
     assert mix(documents([])).count() == 0
     assert mixed_documents(documents([])).count() == 0
     assert [r.taken for r in mix(documents([(1, None), (2, " ")])).collect()] == [0, 0]
+
+
+def test_hot_rows_follow_each_other(documents):
+    """Equal rows, a third of all, are taken as if each had a place of its own."""
+    rows = [(None, "a b c d", "en", "s1")] * 60 + [(k, "w " * (k % 9), "en", ("s1", "s2", None)[k % 3]) for k in range(120)]
+    out = mix(documents(rows)).collect()
+    assert len(out) == 180
+    hot = [r for r in out if r.doc_id is None]
+    assert len(hot) == 60 and {r.size for r in hot} == {4} and {r.taken for r in hot} <= {0, 4, 8}
+    by_source = {}
+    for r in out:
+        by_source.setdefault((r.source_size, r.target), []).append(r.taken)
+    for (size, target), taken in by_source.items():
+        assert abs(sum(taken) - target) <= 2 * 9 and sum(taken) <= 2 * size

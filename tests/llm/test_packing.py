@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm.packing import WordIds, pack, plan_slots, word_tokenizer_path
@@ -94,3 +95,20 @@ def test_defined_cases(documents):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (4, "one"), (None, "two three"), (5, "word " * 2047), (6, "word " * 2048), (7, "word " * 9000), *((100 + k, "same") for k in range(300))]
     check(documents(rows, ["rank", "length", "piece", "_slot", "each", "at"]), rows)
     assert pack(documents([]), word_tokenizer_path()).count() == 0
+
+
+def test_hot_rows_are_placed_as_one(spark):
+    """Nine of ten rows are equal, without id and text: they take neighbouring places, none twice."""
+    docs = spark.range(3_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 10 == 0, F.concat(F.lit("word "), F.col("id"))).alias("text"))
+    rows = pack(docs, word_tokenizer_path(), max_tokens=64).collect()
+    assert len(rows) == 3_000 and sum(r.doc_id is None for r in rows) == 2_700
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append((r.offset, r.length))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert len(by) == best_fit([r.length for r in rows], 64)
