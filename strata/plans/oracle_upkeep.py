@@ -129,6 +129,7 @@ ORACLES |= {
         from (select *, date '2000-01-01' as loaded_on from customers_seed) t
         full join (select *, date '2000-06-01' as loaded_on from customers_src where (id // 100) % 5 = 1) s on s.id = t.id"""
     ),
+    "append_rerun": q("select * from customers_dup"),
     "mart_city_sales_bucketed": oracle.ORACLES["mart_city_sales"],
     "runlog_from_drifting": q(
         """select job_run_id, job_id, job_name, date, start_time, end_time, duration, status, null::varchar as line, null::varchar as rejected

@@ -182,6 +182,15 @@ def upsert_touched_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.merge_touched(spark, path, listed, "id", "id_range", when_changed="hash").drop("id_range")
 
 
+def append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads appended, the second one twice, as by a job that is started again: its rows are there once."""
+    dup = Store(spark, sf_dir).customers_dup
+    path = fresh_table_path(spark, "customers_loads")
+    for load in (1, 2, 2):
+        sinks.append_load(dup.filter(F.col("load_no") == load), path, load)
+    return spark.read.parquet(path).select(*dup.columns)
+
+
 def mart_city_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City sales over orders and order lines that are stored bucketed by the order: neither is shuffled."""
     w = Warehouse(spark, sf_dir)
@@ -270,6 +279,7 @@ QUERIES = {
     "reconcile_differences": reconcile_differences,
     "load_report": load_report,
     "upsert_touched_ranges": upsert_touched_ranges,
+    "append_rerun": append_rerun,
     "mart_city_sales_bucketed": mart_city_sales_bucketed,
     "runlog_from_drifting": runlog_from_drifting,
     "stream_first_seen": stream_first_seen,

@@ -17,6 +17,7 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.session import checkpoint_dir, fresh_table_path
 
@@ -50,9 +51,21 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Iterable[str],
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Add rows; a job that runs again adds them again. ``append_load`` is for jobs that may."""
     df.write.mode("append").format(fmt).save(path)
 
 
+def append_load(df: DataFrame, path: str, load: str | int, column: str = "load_id", fmt: str = "parquet") -> None:
+    """Add a load's rows as the partition of its id; the same load again replaces its own rows.
+
+    Loads of other ids are not touched, so a job that failed, or that a scheduler
+    starts twice, can just run again. A load without rows leaves what is there.
+    """
+    if column in df.columns:
+        raise ValueError(f"the rows already have a column {column!r}")
+    overwrite_partitions(df.withColumn(column, F.lit(load)), path, [column], fmt)
+
+
 def write_snapshot(
     spark: SparkSession,
     df: DataFrame,

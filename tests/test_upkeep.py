@@ -57,6 +57,16 @@ def test_only_touched_partitions_are_read_and_written(spark, tmp_path):
     assert not [n for n in os.listdir(os.path.dirname(fresh_table_path(spark, "x")).removeprefix("file:")) if n.startswith("touched-")]
 
 
+def test_a_load_that_runs_again_replaces_its_own_rows(spark, tmp_path):
+    path = str(tmp_path / "loads")
+    first, second = (spark.createDataFrame([(i, f"{load}", 0) for i in range(4)], SCHEMA) for load in "ab")
+    for load, df in ((1, first), (2, second.limit(2)), (2, second), (2, second), (3, second.limit(0))):
+        sinks.append_load(df, path, load)
+    assert rows(spark.read.parquet(path).select("id", "v", "part")) == rows(first.union(second))
+    with pytest.raises(ValueError, match="already"):
+        sinks.append_load(first, path, 1, column="id")
+
+
 def test_bucketed_orders_and_lines_are_not_shuffled(spark):
     w = Warehouse(spark, SF_SMALL)
     orders = sinks.write_bucketed(spark, w.fct_orders, "fct_orders", ["id"], 4)
