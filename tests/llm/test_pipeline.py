@@ -88,7 +88,7 @@ def test_word_counts(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     rel = con.execute(ORACLES[name])
     columns = [d[0] for d in rel.description]
@@ -101,5 +101,5 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert exact_dedup.__doc__
