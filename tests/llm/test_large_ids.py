@@ -64,5 +64,9 @@ def test_pages_and_vectors(spark, tmp_path):
     for found in (html_text.extract(pages), url_filter.judge(pages)):
         assert sorted((r["page_id"] for r in found.select("page_id").collect()), key=str) == sorted(IDS, key=str)
     vectors = spark.createDataFrame([(i, [float(k), 1.0]) for k, i in enumerate(IDS)], "vec_id long, embedding array<double>").coalesce(1)
-    found = topk_search.top_k(vectors.withColumn("label", F.lit(1)), every=1).select("vec_id").distinct()
-    assert sorted(r["vec_id"] for r in found.collect()) == sorted(i for i in IDS if i is not None)
+    found = topk_search.top_k(vectors.withColumn("label", F.lit(1)), every=1).collect()
+    known = {i for i in IDS if i is not None}
+    assert {r["query_id"] for r in found} == known and {r["vec_id"] for r in found} <= known
+    # the greatest products are with the last vectors
+    last = [i for i in IDS if i is not None][-5:]
+    assert all({r["vec_id"] for r in found if r["query_id"] == q} == set(last) for q in known - set(last))
