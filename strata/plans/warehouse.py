@@ -37,6 +37,8 @@ LATER_DATE = dt.date(2001, 1, 1)
 # Reporting range: inside the days that the data cover.
 RANGE_BEG = dt.date(1996, 3, 15)
 RANGE_END = dt.date(1999, 10, 20)
+# Fixed value: the order lines that one task rolls up and joins, in under 1 GB of hash tables and sorts.
+LINES_PER_TASK = 1_000_000
 
 
 # Where a dimension was written, by application, inputs and their files' state.
@@ -113,7 +115,20 @@ class Warehouse:
     def fct_orderdetails(self) -> DataFrame:
         return self.store.fct_orderdetails
 
+    @cached_property
+    def order_line_count(self) -> int:
+        """Rows of the order lines, from the footers of their files."""
+        return self.store.raw("lineitem").count()
+
     @property
     def orderdetails_by_order(self) -> DataFrame:
-        """The same rows, clustered by order: one shuffle of the lines serves the roll-up and joins to orders."""
-        return rollup_orderdetails(self.store.raw_orderdetails.repartition("orderId"))
+        """The same rows, clustered by order: one shuffle of the lines serves the roll-up and joins to orders.
+
+        Lines are few bytes in a shuffle and many in hash tables, so partitions
+        coalesced by shuffled bytes would need gigabytes of a task. Lines that
+        fill more than one task are dealt into a number of partitions by their rows.
+        """
+        lines = self.store.raw_orderdetails
+        if self.order_line_count <= LINES_PER_TASK:
+            return rollup_orderdetails(lines.repartition("orderId"))
+        return rollup_orderdetails(lines.repartition(sinks.default_buckets(self.spark, self.order_line_count, LINES_PER_TASK), "orderId"))

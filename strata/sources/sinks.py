@@ -111,9 +111,12 @@ def write_bucketed(
     return table
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """As many buckets as the session shuffles into, which its owner sets by the size of the data."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def default_buckets(spark: SparkSession, rows: int = 0, rows_per_bucket: int = 1) -> int:
+    """As many buckets as the session shuffles into, which its owner sets by the size of the data.
+
+    With ``rows`` they are more where a bucket would hold over ``rows_per_bucket``.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_bucket))
 
 
 def drop_bucketed(spark: SparkSession, table: str) -> None:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.merge import merge, merge_actions
-from strata.plans import layers, marts, periods, upkeep
+from strata.plans import layers, marts, periods, upkeep, warehouse
 from strata.plans.oracle import ORACLES
 from strata.plans.warehouse import REPORT_DATE, Warehouse
 from strata.session import fresh_table_path
@@ -87,6 +87,20 @@ def test_bucketed_orders_and_lines_are_not_shuffled(spark):
     assert found == rows(marts.city_sales(w.fct_orders, w.dim_addresses, w.orderdetails_by_order, w.dim_items, REPORT_DATE))
 
 
+def test_order_lines_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
+    """A task rolls up and joins a bounded number of lines, however few bytes these are in a shuffle."""
+    monkeypatch.setattr(warehouse, "LINES_PER_TASK", 100, raising=False)
+    lines = [(n % 1000, n % 7, float(n % 50)) for n in range(2000)] + [(None, 1, 2.0), (3, None, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    w = Warehouse(spark, str(tmp_path))
+    dealt = w.orderdetails_by_order
+    assert rows(dealt) == rows(w.fct_orderdetails)
+    orders = spark.range(1000).select(F.col("id").alias("orderId"), (F.col("id") % 3).alias("addressId"))
+    for df in (dealt, orders.hint("merge").join(dealt, "orderId")):
+        tasks = df.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 15 and max(t["count"] for t in tasks) < 250
+
+
 def test_fields_are_found_where_they_have_been(spark):
     lines = [
         json.dumps({"run_id": 1, "job_id": 2, "start_time": 1000, "end_time": 2000, "state": {"result_state": "FAILED"}, "tasks": [{"task_key": "a", "start_time": 5}]}),
