@@ -194,8 +194,9 @@ def append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart_city_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City sales over orders and order lines that are stored bucketed by the order: neither is shuffled."""
     w = Warehouse(spark, sf_dir)
-    buckets = sinks.default_buckets(spark)
-    orders = sinks.write_bucketed(spark, w.fct_orders, "fct_orders", ["id"], buckets)
+    # a bucket is read by one task, so their number follows the lines; dealt like that, each bucket is one sorted file
+    buckets = w.order_partitions
+    orders = sinks.write_bucketed(spark, w.fct_orders.repartition(buckets, "id"), "fct_orders", ["id"], buckets)
     lines = sinks.write_bucketed(spark, w.orderdetails_by_order, "fct_orderdetails", ["orderId"], buckets)
     mart = marts.city_sales(spark.table(orders), w.dim_addresses, spark.table(lines), w.dim_items, REPORT_DATE)
     out = sinks.read_snapshot(spark, sinks.write_snapshot(spark, mart, "dm_city_sales"))

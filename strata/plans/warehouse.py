@@ -120,6 +120,11 @@ class Warehouse:
         """Rows of the order lines, from the footers of their files."""
         return self.store.raw("lineitem").count()
 
+    @property
+    def order_partitions(self) -> int:
+        """Partitions or buckets by order: as many as the session shuffles into, more where one would hold too many lines."""
+        return sinks.default_buckets(self.spark, self.order_line_count, LINES_PER_TASK)
+
     @property
     def orderdetails_by_order(self) -> DataFrame:
         """The same rows, clustered by order: one shuffle of the lines serves the roll-up and joins to orders.
@@ -131,4 +136,4 @@ class Warehouse:
         lines = self.store.raw_orderdetails
         if self.order_line_count <= LINES_PER_TASK:
             return rollup_orderdetails(lines.repartition("orderId"))
-        return rollup_orderdetails(lines.repartition(sinks.default_buckets(self.spark, self.order_line_count, LINES_PER_TASK), "orderId"))
+        return rollup_orderdetails(lines.repartition(self.order_partitions, "orderId"))

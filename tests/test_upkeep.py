@@ -101,6 +101,27 @@ def test_order_lines_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
         assert len(tasks) > 15 and max(t["count"] for t in tasks) < 250
 
 
+def test_buckets_follow_the_order_lines(spark, monkeypatch):
+    """Buckets hold a bounded number of lines and are one file each, so a task neither writes nor reads more."""
+    monkeypatch.setattr(warehouse, "LINES_PER_TASK", 500, raising=False)
+    seen = {}
+
+    def drop(spark, table, plain=sinks.drop_bucketed):
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+        per_file = spark.table(table).groupBy(F.input_file_name()).count().collect()
+        seen[table.rpartition("_")[0]] = int(described["Num Buckets"]), len(per_file), max(r["count"] for r in per_file)
+        plain(spark, table)
+
+    monkeypatch.setattr(sinks, "drop_bucketed", drop)
+    found = rows(upkeep.mart_city_sales_bucketed(spark, SF_SMALL))
+    w = Warehouse(spark, SF_SMALL)
+    many = -(-w.store.raw("lineitem").count() // 500)
+    assert many > 8 and set(seen) == {"fct_orders", "fct_orderdetails"}
+    for buckets, count, most in seen.values():
+        assert (buckets, count) == (many, many) and most < 700
+    assert found == rows(marts.city_sales(w.fct_orders, w.dim_addresses, w.fct_orderdetails, w.dim_items, REPORT_DATE))
+
+
 def test_fields_are_found_where_they_have_been(spark):
     lines = [
         json.dumps({"run_id": 1, "job_id": 2, "start_time": 1000, "end_time": 2000, "state": {"result_state": "FAILED"}, "tasks": [{"task_key": "a", "start_time": 5}]}),
